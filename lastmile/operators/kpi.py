@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lastmile import fixed, schemas
 from lastmile.functions import count_where, mean_rounded, money_sum, ratio_pct, with_time_dimensions
 from lastmile.operators.ranking import composite_score, global_rank, top_k
+from lastmile.session import materialize
 
 
 def _status(value: str) -> Column:
@@ -65,7 +66,8 @@ def kpi_courier(silver: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_
     The threshold applies before ranking; ranks are SQL ``rank()`` over the
     shipments count and over the rounded SLA %, both descending.
     """
-    agg = courier_aggregates(silver).where(F.col("shipments") >= F.lit(min_shipments))
+    # One row per courier, read by both ranks and the join back: computed once.
+    agg = materialize(courier_aggregates(silver).where(F.col("shipments") >= F.lit(min_shipments)))
     ranked = (agg.transform(lambda d: global_rank(d, "shipments", "volume_rank"))
               .transform(lambda d: global_rank(d, "sla_pct", "quality_rank")))
     return (ranked.withColumn("score", composite_score(F.col("volume_rank"), F.col("quality_rank")))

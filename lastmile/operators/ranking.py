@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastmile.functions.numeric import round2
+from lastmile.session import materialize
 
 DEFAULT_BUCKETS = 64
 SPLIT_ACCURACY = 10_000
@@ -35,8 +36,11 @@ def value_histogram(df: DataFrame, value: str) -> DataFrame:
 def cumulative_counts(hist: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``cum_le`` (rows with a value <= this one) and ``total`` to a histogram.
 
-    ``hist`` has one row per distinct value and a count column ``n``.
+    ``hist`` has one row per distinct value and a count column ``n``. It is
+    materialized first: the steps below read it several times, and its
+    lineage (the scan and aggregation of the large input) must run once.
     """
+    hist = materialize(hist)
     fractions = [i / buckets for i in range(1, buckets)]
     splits = hist.agg(
         F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), SPLIT_ACCURACY)
@@ -63,7 +67,8 @@ def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     """Add ``out`` = SQL ``rank()`` over ``value`` (ties share, gaps follow).
 
     Descending order puts nulls last, ascending puts them first (Spark's
-    defaults for ``desc`` and ``asc``).
+    defaults for ``desc`` and ``asc``). ``df`` is read three times (histogram,
+    null count, join back): pass a materialized frame when it is expensive.
     """
     hist = cumulative_counts(value_histogram(df, value), value, buckets)
     nulls = df.where(F.col(value).isNull()).agg(F.count(F.lit(1)).alias("_nulls"))

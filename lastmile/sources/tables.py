@@ -14,3 +14,4 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; filters and projections above it reach the scan."""
     return spark.read.parquet(table_path(sf_dir, name))
+
