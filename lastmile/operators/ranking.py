@@ -11,6 +11,10 @@ work is split into distributed steps:
    (at most ``B`` rows) give the count of rows before each bucket;
 4. inside a bucket a window partitioned by the bucket adds the running count.
 
+When the (materialized) histogram has few distinct values, steps 2-4 are one
+ordered window over it: the distinct count is checked first, so the single
+window task is bounded.
+
 Result: for every distinct value the exact number of rows ``<=`` it. Ranks
 and ``percentile_disc`` follow from that number; the ranks are joined back to
 the rows on the value (null-safe equality).
@@ -24,8 +28,9 @@ from pyspark.sql import functions as F
 from lastmile.functions.numeric import round2
 from lastmile.session import materialize
 
-DEFAULT_BUCKETS = 64
 SPLIT_ACCURACY = 10_000
+# Largest number of distinct values one window task may order.
+SINGLE_WINDOW_LIMIT = 100_000
 
 
 def value_histogram(df: DataFrame, value: str) -> DataFrame:
@@ -33,14 +38,26 @@ def value_histogram(df: DataFrame, value: str) -> DataFrame:
     return df.select(value).where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def cumulative_counts(hist: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def cumulative_counts(hist: DataFrame, value: str, buckets: int | None = None,
+                      window_limit: int = SINGLE_WINDOW_LIMIT) -> DataFrame:
     """Add ``cum_le`` (rows with a value <= this one) and ``total`` to a histogram.
 
     ``hist`` has one row per distinct value and a count column ``n``. It is
-    materialized first: the steps below read it several times, and its
+    materialized first: the steps below read it more than once, and its
     lineage (the scan and aggregation of the large input) must run once.
+    With at most ``window_limit`` distinct values (counted on the
+    materialized histogram) one ordered window does the prefix sum; above
+    that the values are cut into range buckets of about ``window_limit``
+    values each, so no task ever holds more than that.
     """
     hist = materialize(hist)
+    distinct = hist.count()
+    if buckets is None and distinct <= window_limit:
+        upto = Window.orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
+        return hist.select("*", F.sum("n").over(upto).alias("cum_le"),
+                           F.sum("n").over(Window.partitionBy()).alias("total"))
+    if buckets is None:
+        buckets = max(2, -(-distinct // window_limit) * 2)
     fractions = [i / buckets for i in range(1, buckets)]
     splits = hist.agg(
         F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), SPLIT_ACCURACY)
@@ -63,7 +80,7 @@ def cumulative_counts(hist: DataFrame, value: str, buckets: int = DEFAULT_BUCKET
 
 
 def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Add ``out`` = SQL ``rank()`` over ``value`` (ties share, gaps follow).
 
     Descending order puts nulls last, ascending puts them first (Spark's
@@ -87,7 +104,7 @@ def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
 
 
 def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quantile",
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """One-row frame with ``percentile_disc(q)`` of ``value`` (nulls ignored).
 
     The smallest value whose cumulative share of rows reaches ``q``.
