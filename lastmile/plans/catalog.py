@@ -254,5 +254,92 @@ def q_yield_rate(spark, sf_dir):
     return quality.yield_rate(_counts(spark, sf_dir))
 
 
+# --- sources, sinks and layers ------------------------------------------------
+
+@query("bronze_shipments")
+def q_bronze_shipments(spark, sf_dir):
+    """Audit stamp of the raw feed (the ingestion time is left out: it is per run)."""
+    stamped = files.audit_stamp(shipment_feed(spark, sf_dir), fixed.SHIPMENTS_SOURCE_SYSTEM,
+                                fixed.SHIPMENTS_SOURCE_FILE)
+    return stamped.drop("ingestion_timestamp")
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Raw shipments landed as CSV and read back with the explicit string schema."""
+    path = _scratch(spark, "landing-shipments")
+    files.write_shipments_csv(shipment_feed(spark, sf_dir), path)
+    return files.read_shipments_csv(spark, path)
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    """Raw couriers landed as JSON Lines and read back with the explicit schema."""
+    path = _scratch(spark, "landing-couriers")
+    files.write_couriers_json(courier_feed(spark, sf_dir), path)
+    return files.read_couriers_json(spark, path)
+
+
+@query("export_kpi_courier")
+def q_export_kpi_courier(spark, sf_dir):
+    """Courier KPIs exported as sorted CSV and read back (schema from the gold table)."""
+    gold = kpi.kpi_courier(silver(spark, sf_dir))
+    path = _scratch(spark, "export-kpi-courier")
+    layers.export_csv(gold, path, [F.col("score"), F.col("courier_id")])
+    return spark.read.schema(gold.schema).option("header", True).csv(path)
+
+
+@query("table_detail")
+def q_table_detail(spark, sf_dir):
+    """Format, name, file count and bytes of the written silver table."""
+    path = _scratch(spark, "silver-shipments")
+    layers.write_layer(silver(spark, sf_dir), path)
+    return layers.table_detail(spark, path, "parquet", "silver_shipments")
+
+
+@query("landing_inventory")
+def q_landing_inventory(spark, sf_dir):
+    """Files of a landing folder after the raw shipment feed was landed."""
+    path = _scratch(spark, "landing-inventory")
+    files.write_shipments_csv(shipment_feed(spark, sf_dir), path)
+    return layers.landing_inventory(spark, path, "*.csv").drop("modification_time")
+
+
+@query("preview_silver")
+def q_preview_silver(spark, sf_dir):
+    return layers.preview(silver(spark, sf_dir), fixed.PREVIEW_ROWS, KEYS)
+
+
+@query("latest_per_tracking_id")
+def q_latest_per_tracking_id(spark, sf_dir):
+    """Merge form of the feed: one row per tracking id, greatest pickup text wins."""
+    return latest_per_key(shipment_feed(spark, sf_dir), ["tracking_id"], order_by=["pickup_raw"])
+
+
+@query("layer_counts")
+def q_layer_counts(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return quality.layer_row_counts({
+        ("bronze", "shipments"): shipment_feed(spark, sf_dir),
+        ("bronze", "couriers"): courier_feed(spark, sf_dir),
+        ("silver", "shipments"): s,
+        ("silver", "couriers"): _couriers(spark, sf_dir),
+        ("gold", "kpi_daily_city"): kpi.kpi_daily_city(s),
+        ("gold", "kpi_courier"): kpi.kpi_courier(s),
+    })
+
+
+@query("kpi_daily_one_city")
+def q_kpi_daily_one_city(spark, sf_dir):
+    """Dashboard slicer: daily KPIs of one city."""
+    return kpi.filter_gold(kpi.kpi_daily_city(silver(spark, sf_dir)), city="Automobile")
+
+
+@query("kpi_courier_employees")
+def q_kpi_courier_employees(spark, sf_dir):
+    """Dashboard slicer: courier KPIs of employed couriers."""
+    return kpi.filter_gold(kpi.kpi_courier(silver(spark, sf_dir)), contract="EMPLOYEE")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -304,6 +304,28 @@ def sql_texts() -> dict[str, str]:
               union all select 3, 'impute_weight', in_range_rows, 0 from counts
               union all select 4, 'drop_duplicates', dedup_rows, in_range_rows - dedup_rows from counts
               union all select 5, 'courier_join', silver_rows, dedup_rows - silver_rows from counts"""),
+        "bronze_shipments": _q(body="select *, 'shipments.csv' as source_file, "
+                                    "'tracking_system_v1' as source_system from raw_shipments", base=feed),
+        "csv_roundtrip": _q(body="select * from raw_shipments", base=feed),
+        "json_roundtrip": _q(body="select * from raw_couriers", base=feed),
+        "export_kpi_courier": _q(COURIER_KPI, body="select * from kpi_courier"),
+        "preview_silver": _q(body=f"select * from silver order by {', '.join(k + ' nulls first' for k in KEYS.split(', '))} limit 5"),
+        "latest_per_tracking_id": _q(body="""select * exclude (rn) from (select *, row_number() over (
+              partition by tracking_id order by pickup_raw desc nulls last, delivery_raw desc nulls last,
+              city desc nulls last, zip desc nulls last, weight_raw desc nulls last, status desc nulls last,
+              courier_id desc nulls last, client_type desc nulls last, amount_raw desc nulls last) rn
+              from raw_shipments) where rn = 1""", base=feed),
+        "layer_counts": _q(COURIER_KPI, body="""
+              select 'bronze' as layer, 'shipments' as table_name, count(*) as rows from raw_shipments
+              union all select 'bronze', 'couriers', count(*) from raw_couriers
+              union all select 'silver', 'shipments', count(*) from silver
+              union all select 'silver', 'couriers', count(*) from couriers
+              union all select 'gold', 'kpi_daily_city', count(*) from (select distinct cast(pickup as date), city from silver)
+              union all select 'gold', 'kpi_courier', count(*) from kpi_courier"""),
+        "kpi_daily_one_city": _q(body=f"""select cast(pickup as date) as day, cast(year(pickup) as integer) as year,
+              cast(month(pickup) as integer) as month, city, {measures()}
+              from silver where city = 'Automobile' group by all"""),
+        "kpi_courier_employees": _q(COURIER_KPI, body="select * from kpi_courier where contract = 'EMPLOYEE'"),
         "yield_rate": _q(COUNTS, body=f"""select cast(raw_rows as bigint) as raw_rows,
               cast(silver_rows as bigint) as silver_rows, {ratio('silver_rows', 'raw_rows')} as yield_pct
               from counts"""),

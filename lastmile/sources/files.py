@@ -45,8 +45,13 @@ def ingest_couriers(spark: SparkSession, path: str, source_file: str | None = No
 
 
 def write_shipments_csv(df: DataFrame, path: str) -> None:
-    """Land raw shipments as CSV files with a header (overwrite)."""
-    df.select(*schemas.RAW_SHIPMENT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    """Land raw shipments as CSV files with a header (overwrite).
+
+    Surrounding spaces are part of the dirt and are kept (the writer trims
+    them by default).
+    """
+    (df.select(*schemas.RAW_SHIPMENT_COLUMNS).write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_couriers_json(df: DataFrame, path: str) -> None:

@@ -1,0 +1,91 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from lastmile.operators import clean, integrity
+from lastmile.sources.feed import courier_feed, shipment_feed
+from conftest import SF_SMALL, rows
+
+RAW_COLS = "tracking_id string, pickup_raw string, delivery_raw string, city string, zip string, " \
+           "weight_raw string, status string, courier_id string, client_type string, amount_raw string"
+
+
+def _raw(spark, data):
+    return spark.createDataFrame(data, RAW_COLS)
+
+
+def test_weight_range_bounds(spark):
+    df = spark.createDataFrame([(0.1,), (0.11,), (50.0,), (50.01,), (-5.0,), (None,)], "weight double")
+    assert [r[0] for r in rows(clean.filter_weight_range(df))] == [0.11, 50.0, None]
+
+
+def test_normalize_shipments(spark):
+    df = _raw(spark, [("T1", "05/03/2024 10:00:00", "2024-03-06 09:00:00", "  BILBAO ", "8045", "2,5",
+                       "DELIVERED", "REP-001", "PERSON", "4.5")])
+    out = clean.normalize_shipments(df)
+    assert rows(out, "pickup", "delivery", "city", "zip", "weight", "amount") == [
+        (dt.datetime(2024, 3, 5, 10), dt.datetime(2024, 3, 6, 9), "Bilbao", "08045", 2.5, 4.5)]
+
+
+def test_impute_median_exact_uses_rows_before_dedup(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 2.0), (4, 9.0), (5, None)], "id int, weight double")
+    out = clean.impute_median(df, "weight", "exact")
+    assert rows(out.orderBy("id"), "weight") == [(1.0,), (2.0,), (2.0,), (9.0,), (2.0,)]
+
+
+def test_impute_median_approx_returns_a_data_value(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)] + [(None,)], "weight double")
+    out = clean.impute_median(df, "weight", "approx")
+    assert out.where(F.col("weight").isNull()).count() == 0
+    filled = out.agg(F.sum("weight")).first()[0] - sum(range(1, 101))
+    assert filled in {float(i) for i in range(1, 101)}
+
+
+def test_dedup_twice_equals_once(spark):
+    raw = shipment_feed(spark, SF_SMALL)
+    once = clean.clean_shipments(raw, "exact")
+    twice = clean.drop_exact_duplicates(once)
+    assert once.count() == twice.count() == 5973
+
+
+def test_dedup_by_key_is_deterministic(spark):
+    df = spark.createDataFrame([("a", "z", 1), ("a", "b", 2), ("b", None, 3), ("b", "c", 4)], "k string, x string, y int")
+    assert sorted(rows(clean.dedup_by_key(df, ["k"]))) == [("a", "b", 2), ("b", None, 3)]
+
+
+def test_clean_couriers_rules(spark):
+    data = [("REP-1", " Ana ", "Ruiz ", "2020-01-31", "emp", " Bilbao ", "VAN", None),
+            ("REP-1", " Ana ", "Ruiz ", "2020-01-31", "emp", " Bilbao ", "VAN", None),
+            ("REP-2", "Luis", "Gil", "31/01/2020", "Contractor", "Madrid", "BIKE", "+34 600")]
+    df = spark.createDataFrame(data, "courier_id string, first_name string, last_name string, hire_date string, "
+                                     "contract string, assigned_city string, vehicle string, phone string")
+    out = sorted(rows(clean.clean_couriers(df)))
+    assert out == [("REP-1", "Ana", "Ruiz", dt.date(2020, 1, 31), "EMPLOYEE", "Bilbao", "VAN", None),
+                   ("REP-2", "Luis", "Gil", None, "CONTRACTOR", "Madrid", "BIKE", "+34 600")]
+
+
+def test_cleaning_is_idempotent(spark):
+    df = spark.createDataFrame([("  mAdRiD ",), ("8045",)], "c string")
+    from lastmile.functions import canonical_city, pad_zip
+    once = df.select(canonical_city(F.col("c")).alias("c"))
+    assert rows(once.select(canonical_city(F.col("c")))) == rows(once)
+    z = df.select(pad_zip(F.col("c")).alias("c"))
+    assert rows(z.select(pad_zip(F.col("c")))) == rows(z)
+
+
+def test_orphans_count_null_keys(spark):
+    ship = spark.createDataFrame([("t1", "REP-1"), ("t2", "REP-9"), ("t3", None)], "tracking_id string, courier_id string")
+    cour = spark.createDataFrame([("REP-1",), ("REP-2",)], "courier_id string")
+    assert sorted(rows(integrity.orphans(ship, cour), "tracking_id")) == [("t2",), ("t3",)]
+    marked = rows(integrity.mark_orphans(ship, cour).orderBy("tracking_id"), "is_orphan")
+    assert marked == [(False,), (True,), (True,)]
+
+
+def test_orphans_plus_enriched_equals_input(spark):
+    from lastmile.operators.enrich import enrich_with_courier
+    dedup = clean.clean_shipments(shipment_feed(spark, SF_SMALL), "exact")
+    cour = clean.clean_couriers(courier_feed(spark, SF_SMALL))
+    n_orphans = integrity.orphans(dedup, cour).count()
+    n_enriched = enrich_with_courier(dedup, cour).count()
+    assert (n_orphans, n_enriched) == (58, 5915)
+    assert n_orphans + n_enriched == dedup.count()
