@@ -47,3 +47,20 @@ def quarantine(normalized: DataFrame, couriers: DataFrame, key: str = "courier_i
     unknown = (orphans(normalized.where(weight_in_range(F.col("weight"))), couriers, key)
                .withColumn("reason", F.lit("orphan_courier")))
     return out_of_range.unionByName(unknown)
+
+
+def join_reconciliation(shipments: DataFrame, couriers: DataFrame, key: str = "courier_id") -> DataFrame:
+    """One row: rows before and after the enrichment join, orphans, and whether
+    ``pre - post == orphans`` can hold (the dimension key must be unique).
+
+    Computed as one left join with a per-key match count and one aggregate,
+    instead of counting the two sides and the anti join separately.
+    """
+    dim = couriers.groupBy(F.col(key).alias("_dim_key")).agg(F.count(F.lit(1)).alias("_matches"))
+    joined = shipments.join(dim, shipments[key] == dim["_dim_key"], "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("pre_join_rows"),
+        F.coalesce(F.sum("_matches"), F.lit(0)).cast("bigint").alias("post_join_rows"),
+        F.count_if(F.col("_matches").isNull()).alias("orphan_rows"),
+        F.coalesce(F.max("_matches") <= 1, F.lit(True)).alias("dimension_key_unique"),
+    ).withColumn("reconciled", F.col("pre_join_rows") - F.col("post_join_rows") == F.col("orphan_rows"))

@@ -140,3 +140,8 @@ def filter_gold(gold: DataFrame, city: str | None = None, contract: str | None =
     if contract is not None:
         out = out.where(F.col("contract") == F.lit(contract))
     return out
+
+
+def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
+    """Sorted list of the distinct values of one column (e.g. the cities after cleaning)."""
+    return df.select(column).distinct().orderBy(F.col(column).asc_nulls_first())

@@ -169,6 +169,11 @@ def q_quarantine(spark, sf_dir):
     return integrity.quarantine(clean.normalize_shipments(shipment_feed(spark, sf_dir)), _couriers(spark, sf_dir))
 
 
+@query("join_reconciliation")
+def q_join_reconciliation(spark, sf_dir):
+    return integrity.join_reconciliation(_dedup(spark, sf_dir), _couriers(spark, sf_dir))
+
+
 @query("enriched")
 def q_enriched(spark, sf_dir):
     return enrich.enrich_with_courier(_dedup(spark, sf_dir), _couriers(spark, sf_dir))
@@ -190,6 +195,18 @@ def q_time_dims(spark, sf_dir):
         "tracking_id", "courier_id", "pickup", "day", "year", "month", "weekday", "hour")
 
 
+@query("silver_cities")
+def q_silver_cities(spark, sf_dir):
+    """Distinct cities after cleaning, sorted (the expected-value check of the city rule)."""
+    return kpi.distinct_sorted(clean.normalize_shipments(shipment_feed(spark, sf_dir)), "city")
+
+
+@query("contract_values")
+def q_contract_values(spark, sf_dir):
+    """Distinct contract values of the clean courier table."""
+    return kpi.distinct_sorted(_couriers(spark, sf_dir), "contract")
+
+
 # --- gold ---------------------------------------------------------------------
 
 @query("kpi_daily")

@@ -267,6 +267,13 @@ def sql_texts() -> dict[str, str]:
               c.contract, c.assigned_city, c.vehicle from dedup d join couriers c on d.courier_id = c.courier_id""",
                        base=up_to_dedup),
         "silver": _q(body="select * from silver"),
+        "join_reconciliation": _q(body=f"""select *, pre_join_rows - post_join_rows = orphan_rows as reconciled from (
+              select count(*) as pre_join_rows, cast(coalesce(sum(m), 0) as bigint) as post_join_rows,
+                {count_if('m is null')} as orphan_rows, coalesce(max(m) <= 1, true) as dimension_key_unique
+              from dedup d left join (select courier_id as ck, count(*) as m from couriers group by courier_id) c
+                on d.courier_id = c.ck)""", base=up_to_dedup),
+        "silver_cities": _q(body="select distinct city from normalized", base=up_to_dedup),
+        "contract_values": _q(body="select distinct contract from couriers", base=up_to_couriers),
         "time_dims": _q(body="""select tracking_id, courier_id, pickup, cast(pickup as date) as day,
               cast(year(pickup) as integer) as year, cast(month(pickup) as integer) as month,
               cast(dayofweek(pickup) + 1 as integer) as weekday, cast(hour(pickup) as integer) as hour
