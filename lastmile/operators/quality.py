@@ -3,13 +3,12 @@
 Instead of one ``count()`` action per step (each re-running the lineage), the
 counts of a stage are conditional aggregates of a single pass:
 
-* stage A: the normalised raw rows (parse, city, zip, comma, range checks);
-* stage B: the deduplicated rows marked against the courier table
-  (duplicates, orphans, nulls left after imputation);
-* stage C: raw and clean couriers.
+* shipments: one pass that groups the rows like the dedup step, carrying
+  copy counts and per-row check sums, marks the groups against the courier
+  table and folds them into one row (:func:`shipment_counts`);
+* couriers: two small aggregates joined in as scalar subqueries.
 
-The three one-row results are combined with scalar subqueries (one struct
-each), then reshaped to one row per check.
+The result is reshaped to one row per check.
 """
 
 from __future__ import annotations
@@ -19,39 +18,60 @@ from pyspark.sql import functions as F
 
 from lastmile import fixed
 from lastmile.functions import count_where, pad_zip, ratio_pct
-from lastmile.operators.clean import clean_shipments, normalize_shipments, weight_in_range
+from lastmile.operators.clean import median_frame, normalize_shipments, weight_in_range
 from lastmile.operators.integrity import mark_orphans
 
 
-def _stage_raw(raw_shipments: DataFrame) -> DataFrame:
-    norm = normalize_shipments(raw_shipments.withColumns({"city_raw": F.col("city"), "zip_raw": F.col("zip")}))
+def _raw_flags(norm: DataFrame) -> dict[str, F.Column]:
+    """Per-row checks on the raw text next to its normalised value."""
     iso = F.try_to_timestamp(F.col("pickup_raw"), F.lit(fixed.TIMESTAMP_FORMATS[0]))
-    in_range = weight_in_range(F.col("weight"))
-    return norm.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        count_where(in_range).alias("in_range_rows"),
-        count_where(~in_range).alias("weight_out_of_range"),
-        count_where(F.col("pickup").isNull() & F.col("pickup_raw").isNotNull()).alias("unparsed_pickup"),
-        count_where(F.col("delivery").isNull() & F.col("delivery_raw").isNotNull()).alias("unparsed_delivery"),
-        count_where(iso.isNull() & F.col("pickup").isNotNull()).alias("european_pickup"),
-        count_where(F.col("city_raw") != F.col("city")).alias("city_fixed"),
-        count_where(F.length(F.col("zip_raw")) < F.lit(fixed.ZIP_WIDTH)).alias("short_zip_padded"),
-        count_where(F.length(pad_zip(F.col("zip_raw"))) != F.lit(fixed.ZIP_WIDTH)).alias("bad_zip_length"),
-        count_where(F.instr(F.col("weight_raw"), ",") > 0).alias("decimal_comma_weight"),
-        count_where(in_range & F.col("weight").isNull()).alias("null_weight_imputed"),
-    )
-
-
-def _stage_clean(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str) -> DataFrame:
+    return {
+        "unparsed_pickup": F.col("pickup").isNull() & F.col("pickup_raw").isNotNull(),
+        "unparsed_delivery": F.col("delivery").isNull() & F.col("delivery_raw").isNotNull(),
+        "european_pickup": iso.isNull() & F.col("pickup").isNotNull(),
+        "city_fixed": F.col("city_raw") != F.col("city"),
+        "short_zip_padded": F.length(F.col("zip_raw")) < F.lit(fixed.ZIP_WIDTH),
+        "bad_zip_length": F.length(pad_zip(F.col("zip_raw"))) != F.lit(fixed.ZIP_WIDTH),
+        "decimal_comma_weight": F.instr(F.col("weight_raw"), ",") > 0,
+        "null_weight_imputed": weight_in_range(F.col("weight")) & F.col("weight").isNull(),
+    }
+
+
+def shipment_counts(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "approx") -> DataFrame:
+    """Every shipment count of the silver stage in one pass over the raw rows.
+
+    The rows are grouped by the 10 cleaned business columns, as the dedup
+    step does, and each group carries its number of raw copies and the sums
+    of the per-row checks. Out-of-range rows go through the same grouping
+    and are only flagged (their weight is never null and never in range, so
+    a group is wholly in or out of range). The groups are then marked
+    against the courier table and folded into one row. Apart from the
+    median (its own pass over the weight column), the input is read once.
+    """
     keys = list(fixed.SHIPMENT_KEY_COLUMNS)
-    dedup = clean_shipments(raw_shipments, median_method, keys).select(*keys)
-    marked = mark_orphans(dedup, clean_couriers)
-    return marked.agg(F.struct(
-        F.count(F.lit(1)).alias("dedup_rows"),
-        count_where(F.col("is_orphan")).alias("orphan_shipments"),
-        count_where(F.col("weight").isNull()).alias("null_weight_left"),
-        count_where(F.col("delivery").isNull()).alias("null_delivery_kept"),
-    ).alias("s"))
+    norm = normalize_shipments(raw_shipments.withColumns({"city_raw": F.col("city"), "zip_raw": F.col("zip")}))
+    flags = _raw_flags(norm)
+    in_range = weight_in_range(F.col("weight"))
+    median = median_frame(norm.where(in_range), "weight", median_method).scalar()
+    rows = norm.select(
+        *[c for c in keys if c != "weight"],
+        F.when(in_range, F.coalesce(F.col("weight"), median)).otherwise(F.col("weight")).alias("weight"),
+        in_range.alias("_in_range"),
+        *[F.coalesce(cond, F.lit(False)).cast("int").alias(name) for name, cond in flags.items()])
+    groups = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_copies"), F.max("_in_range").alias("_in_range"),
+        *[F.sum(name).alias(name) for name in flags])
+    marked = mark_orphans(groups, clean_couriers)
+    kept = F.col("_in_range")
+    return marked.agg(
+        F.sum("_copies").alias("raw_rows"),
+        F.coalesce(F.sum(F.when(kept, F.col("_copies"))), F.lit(0)).alias("in_range_rows"),
+        F.coalesce(F.sum(F.when(~kept, F.col("_copies"))), F.lit(0)).alias("weight_out_of_range"),
+        count_where(kept).alias("dedup_rows"),
+        count_where(kept & F.col("is_orphan")).alias("orphan_shipments"),
+        count_where(kept & F.col("weight").isNull()).alias("null_weight_left"),
+        count_where(kept & F.col("delivery").isNull()).alias("null_delivery_kept"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in flags])
 
 
 def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,17 +90,11 @@ def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame) -> tuple
 
 def pipeline_counts(raw_shipments: DataFrame, raw_couriers: DataFrame, clean_couriers: DataFrame,
                     median_method: str = "approx") -> DataFrame:
-    """One row with every count of the silver stage."""
-    b = _stage_clean(raw_shipments, clean_couriers, median_method).scalar()
+    """One row with every count of the silver stage (shipments and couriers)."""
     c_raw, c_clean = _stage_couriers(raw_couriers, clean_couriers)
     craw, cclean = c_raw.scalar(), c_clean.scalar()
-    a = _stage_raw(raw_shipments)
-    return a.select(
+    return shipment_counts(raw_shipments, clean_couriers, median_method).select(
         "*",
-        b["dedup_rows"].alias("dedup_rows"),
-        b["orphan_shipments"].alias("orphan_shipments"),
-        b["null_weight_left"].alias("null_weight_left"),
-        b["null_delivery_kept"].alias("null_delivery_kept"),
         craw["courier_raw_rows"].alias("courier_raw_rows"),
         craw["contract_variants_fixed"].alias("contract_variants_fixed"),
         cclean["courier_rows"].alias("courier_rows"),
