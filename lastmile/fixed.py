@@ -6,6 +6,8 @@ value maps. Every operator takes them as keyword defaults so a caller can
 override them; the defaults below are what the KPI tables are defined with.
 """
 
+from dataclasses import dataclass, field
+
 # --- fixed values -----------------------------------------------------------
 # Timestamp formats tried in order: ISO first, then day/month/year.
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss")
@@ -49,4 +51,36 @@ PREVIEW_ROWS = 5
 # Length of the top lists.
 TOP_CITIES = 3
 TOP_COURIERS = 10
+# Field names of the courier JSON records, in the order of the raw courier columns.
+COURIER_FIELDS = ("courier_id", "first_name", "last_name", "hire_date",
+                  "contract", "assigned_city", "vehicle", "phone")
+# Vocabulary of feeds written in Spanish: status values, contract canon and
+# courier JSON field names (shipment CSV columns are read by position).
+SPANISH_STATUS = ("ENTREGADO", "INCIDENCIA", "DEVUELTO")
+SPANISH_CONTRACT_CANON = {
+    "EMPLEADO": ("EMPLEADO", "EMP"),
+    "AUTONOMO": ("AUTONOMO",),
+}
+SPANISH_COURIER_FIELDS = ("repartidor_id", "nombre", "apellido", "fecha_alta",
+                          "tipo_contrato", "ciudad_asignada", "vehiculo", "telefono")
 # --- end of fixed values ----------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """Values that name things in a feed: statuses, contract canon, JSON field names."""
+
+    delivered: str = STATUS_DELIVERED
+    incident: str = STATUS_INCIDENT
+    returned: str = STATUS_RETURNED
+    contract_canon: dict = field(default_factory=lambda: dict(CONTRACT_CANON))
+    courier_fields: tuple = COURIER_FIELDS
+
+    @property
+    def canonical_contracts(self) -> tuple:
+        return tuple(self.contract_canon)
+
+
+ENGLISH = Vocabulary()
+SPANISH = Vocabulary(*SPANISH_STATUS, contract_canon=dict(SPANISH_CONTRACT_CANON),
+                     courier_fields=SPANISH_COURIER_FIELDS)

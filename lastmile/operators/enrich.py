@@ -24,11 +24,12 @@ def enrich_with_courier(shipments: DataFrame, couriers: DataFrame, key: str = "c
     return shipments.join(courier_dimension(couriers), [key], "inner")
 
 
-def with_delivery_measures(df: DataFrame, sla_seconds: int = fixed.SLA_SECONDS) -> DataFrame:
+def with_delivery_measures(df: DataFrame, sla_seconds: int = fixed.SLA_SECONDS,
+                           delivered: str = fixed.STATUS_DELIVERED) -> DataFrame:
     """Add ``transit_hours`` (null unless delivered) and the 0/1 ``on_time`` flag."""
     return df.withColumns({
         "transit_hours": transit_hours(F.col("pickup"), F.col("delivery")),
-        "on_time": on_time_flag(F.col("status"), F.col("pickup"), F.col("delivery"), sla_seconds),
+        "on_time": on_time_flag(F.col("status"), F.col("pickup"), F.col("delivery"), sla_seconds, delivered),
     })
 
 
@@ -42,7 +43,7 @@ def silver_projection(enriched: DataFrame, audit: bool = False) -> DataFrame:
 
 
 def silver_shipments(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "approx",
-                     audit: bool = False) -> DataFrame:
+                     audit: bool = False, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """Raw shipments + clean couriers -> clean, enriched shipments (17 or 19 columns)."""
     keys = list(fixed.SHIPMENT_KEY_COLUMNS)
     shipments = clean_shipments(raw_shipments, median_method, keys)
@@ -51,5 +52,5 @@ def silver_shipments(raw_shipments: DataFrame, clean_couriers: DataFrame, median
     else:
         shipments = shipments.select(*keys)
     return (enrich_with_courier(shipments, clean_couriers)
-            .transform(with_delivery_measures)
+            .transform(lambda d: with_delivery_measures(d, delivered=vocab.delivered))
             .transform(lambda d: silver_projection(d, audit)))

@@ -19,35 +19,35 @@ def _status(value: str) -> Column:
     return count_where(F.col("status") == F.lit(value))
 
 
-def shipment_measures() -> list[Column]:
+def shipment_measures(vocab: fixed.Vocabulary = fixed.ENGLISH) -> list[Column]:
     """Volume, status split, SLA %, incident %, mean transit and revenue of a group."""
     total = F.count("tracking_id")
     return [
         total.alias("total_shipments"),
-        _status(fixed.STATUS_DELIVERED).alias("delivered"),
-        _status(fixed.STATUS_INCIDENT).alias("incidents"),
-        _status(fixed.STATUS_RETURNED).alias("returned"),
+        _status(vocab.delivered).alias("delivered"),
+        _status(vocab.incident).alias("incidents"),
+        _status(vocab.returned).alias("returned"),
         ratio_pct(F.sum("on_time"), total).alias("sla_pct"),
-        ratio_pct(_status(fixed.STATUS_INCIDENT), total).alias("incident_pct"),
+        ratio_pct(_status(vocab.incident), total).alias("incident_pct"),
         mean_rounded(F.col("transit_hours")).alias("avg_transit_h"),
         money_sum(F.col("amount")).alias("revenue"),
     ]
 
 
-def kpi_daily_city(silver: DataFrame) -> DataFrame:
+def kpi_daily_city(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """One row per pickup day and city (null day / city form their own group)."""
     return (with_time_dimensions(silver, "pickup")
             .groupBy("day", "year", "month", "city")
-            .agg(*shipment_measures())
+            .agg(*shipment_measures(vocab))
             .orderBy("day", "city"))
 
 
-def courier_aggregates(silver: DataFrame) -> DataFrame:
+def courier_aggregates(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     total = F.count("tracking_id")
     return silver.groupBy(*schemas.COURIER_KEYS).agg(
         total.alias("shipments"),
-        _status(fixed.STATUS_DELIVERED).alias("delivered"),
-        _status(fixed.STATUS_INCIDENT).alias("incidents"),
+        _status(vocab.delivered).alias("delivered"),
+        _status(vocab.incident).alias("incidents"),
         ratio_pct(F.sum("on_time"), total).alias("sla_pct"),
         mean_rounded(F.col("transit_hours")).alias("avg_transit_h"),
         money_sum(F.col("amount")).alias("revenue"),
@@ -60,14 +60,15 @@ KPI_COURIER_COLUMNS = (
 )
 
 
-def kpi_courier(silver: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_RANKING) -> DataFrame:
+def kpi_courier(silver: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_RANKING,
+                vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """Courier KPIs with volume and quality ranks and their mean as score.
 
     The threshold applies before ranking; ranks are SQL ``rank()`` over the
     shipments count and over the rounded SLA %, both descending.
     """
     # One row per courier, read by both ranks and the join back: computed once.
-    agg = materialize(courier_aggregates(silver).where(F.col("shipments") >= F.lit(min_shipments)))
+    agg = materialize(courier_aggregates(silver, vocab).where(F.col("shipments") >= F.lit(min_shipments)))
     ranked = (agg.transform(lambda d: global_rank(d, "shipments", "volume_rank"))
               .transform(lambda d: global_rank(d, "sla_pct", "quality_rank")))
     return (ranked.withColumn("score", composite_score(F.col("volume_rank"), F.col("quality_rank")))
@@ -75,20 +76,20 @@ def kpi_courier(silver: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_
             .orderBy("score", "courier_id"))
 
 
-def executive_summary(silver: DataFrame) -> DataFrame:
+def executive_summary(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """Headline KPIs over all shipments, with the status shares."""
     total = F.count("tracking_id")
     return silver.agg(
         total.alias("total_shipments"),
-        _status(fixed.STATUS_DELIVERED).alias("delivered"),
-        _status(fixed.STATUS_INCIDENT).alias("incidents"),
-        _status(fixed.STATUS_RETURNED).alias("returned"),
+        _status(vocab.delivered).alias("delivered"),
+        _status(vocab.incident).alias("incidents"),
+        _status(vocab.returned).alias("returned"),
         ratio_pct(F.sum("on_time"), total).alias("sla_pct"),
         mean_rounded(F.col("transit_hours")).alias("avg_transit_h"),
         money_sum(F.col("amount")).alias("revenue"),
-        ratio_pct(_status(fixed.STATUS_DELIVERED), total).alias("delivered_pct"),
-        ratio_pct(_status(fixed.STATUS_INCIDENT), total).alias("incident_pct"),
-        ratio_pct(_status(fixed.STATUS_RETURNED), total).alias("returned_pct"),
+        ratio_pct(_status(vocab.delivered), total).alias("delivered_pct"),
+        ratio_pct(_status(vocab.incident), total).alias("incident_pct"),
+        ratio_pct(_status(vocab.returned), total).alias("returned_pct"),
     )
 
 
@@ -118,17 +119,17 @@ def monthly_sla_city(silver: DataFrame) -> DataFrame:
                  ratio_pct(F.sum("on_time"), total).alias("sla_pct")))
 
 
-def kpi_by(silver: DataFrame, dimension: str) -> DataFrame:
+def kpi_by(silver: DataFrame, dimension: str, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """The shipment measures per value of one dimension (contract, vehicle, ...)."""
-    return silver.groupBy(dimension).agg(*shipment_measures())
+    return silver.groupBy(dimension).agg(*shipment_measures(vocab))
 
 
-def by_contract(silver: DataFrame) -> DataFrame:
-    return kpi_by(silver, "contract")
+def by_contract(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+    return kpi_by(silver, "contract", vocab)
 
 
-def by_vehicle(silver: DataFrame) -> DataFrame:
-    return kpi_by(silver, "vehicle")
+def by_vehicle(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+    return kpi_by(silver, "vehicle", vocab)
 
 
 def filter_gold(gold: DataFrame, city: str | None = None, contract: str | None = None,

@@ -74,11 +74,11 @@ def shipment_counts(raw_shipments: DataFrame, clean_couriers: DataFrame, median_
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in flags])
 
 
-def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    canonical = list(fixed.CONTRACT_CANON)
+def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame,
+                    canonical: tuple = tuple(fixed.CONTRACT_CANON)) -> tuple[DataFrame, DataFrame]:
     raw = raw_couriers.agg(F.struct(
         F.count(F.lit(1)).alias("courier_raw_rows"),
-        count_where(F.col("contract").isNotNull() & ~F.col("contract").isin(*canonical))
+        count_where(F.col("contract").isNotNull() & ~F.col("contract").isin(*list(canonical)))
         .alias("contract_variants_fixed"),
     ).alias("s"))
     clean = clean_couriers.agg(F.struct(
@@ -89,9 +89,9 @@ def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame) -> tuple
 
 
 def pipeline_counts(raw_shipments: DataFrame, raw_couriers: DataFrame, clean_couriers: DataFrame,
-                    median_method: str = "approx") -> DataFrame:
+                    median_method: str = "approx", vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """One row with every count of the silver stage (shipments and couriers)."""
-    c_raw, c_clean = _stage_couriers(raw_couriers, clean_couriers)
+    c_raw, c_clean = _stage_couriers(raw_couriers, clean_couriers, vocab.canonical_contracts)
     craw, cclean = c_raw.scalar(), c_clean.scalar()
     return shipment_counts(raw_shipments, clean_couriers, median_method).select(
         "*",

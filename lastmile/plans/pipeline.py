@@ -45,23 +45,25 @@ def land_feed(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
     files.write_couriers_json(courier_feed(spark, sf_dir), layout.landing_couriers)
 
 
-def run_bronze(spark: SparkSession, layout: Layout) -> dict[str, int]:
+def run_bronze(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int]:
     """Raw files -> bronze tables (no business change, audit columns added)."""
     counts = {}
     for name, frame in (("shipments", files.ingest_shipments(spark, layout.landing_shipments)),
-                        ("couriers", files.ingest_couriers(spark, layout.landing_couriers))):
+                        ("couriers", files.ingest_couriers(spark, layout.landing_couriers,
+                                                           field_names=vocab.courier_fields))):
         obs = Observation(f"bronze_{name}")
         layers.write_layer(frame.observe(obs, F.count(F.lit(1)).alias("rows")), layout.path("bronze", name))
         counts[name] = obs.get["rows"]
     return counts
 
 
-def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx") -> dict[str, int | float]:
+def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx",
+               vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int | float]:
     """Bronze -> clean couriers and clean, enriched shipments, with the step counts."""
     bronze_ship = layers.read_layer(spark, layout.path("bronze", "shipments"))
     bronze_cour = layers.read_layer(spark, layout.path("bronze", "couriers"))
 
-    couriers = clean.clean_couriers(bronze_cour)
+    couriers = clean.clean_couriers(bronze_cour, vocab.contract_canon)
     obs_cour = Observation("silver_couriers")
     layers.write_layer(couriers.observe(obs_cour, F.count(F.lit(1)).alias("rows"),
                                         count_where(F.col("phone").isNull()).alias("null_phone")),
@@ -86,7 +88,7 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
     obs_dedup = Observation("dedup")
     dedup = dedup.observe(obs_dedup, F.count(F.lit(1)).alias("dedup_rows"))
     silver = (enrich.enrich_with_courier(dedup, couriers)
-              .transform(enrich.with_delivery_measures)
+              .transform(lambda d: enrich.with_delivery_measures(d, delivered=vocab.delivered))
               .transform(lambda d: enrich.silver_projection(d, audit=True)))
     obs_silver = Observation("silver")
     layers.write_layer(silver.observe(obs_silver, F.count(F.lit(1)).alias("silver_rows")),
@@ -104,13 +106,13 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
     return metrics
 
 
-def run_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+def run_gold(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, DataFrame]:
     """Silver -> daily KPIs by city, courier KPIs with ranks, executive summary."""
     silver = layers.read_layer(spark, layout.path("silver", "shipments"))
     tables = {
-        "kpi_daily_city": kpi.kpi_daily_city(silver),
-        "kpi_courier": kpi.kpi_courier(silver),
-        "executive_summary": kpi.executive_summary(silver),
+        "kpi_daily_city": kpi.kpi_daily_city(silver, vocab),
+        "kpi_courier": kpi.kpi_courier(silver, vocab=vocab),
+        "executive_summary": kpi.executive_summary(silver, vocab),
         "monthly_sla_city": kpi.monthly_sla_city(silver),
     }
     for name, df in tables.items():
@@ -136,11 +138,18 @@ def layer_inventory(spark: SparkSession, layout: Layout) -> DataFrame:
     return layer_row_counts(tables)
 
 
-def run_all(spark: SparkSession, sf_dir: str, root: str, median_method: str = "approx") -> dict:
+def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
+               vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict:
+    """Bronze -> silver -> gold -> export for files already in ``root``/landing."""
     layout = Layout(root)
-    land_feed(spark, sf_dir, layout)
-    bronze = run_bronze(spark, layout)
-    silver = run_silver(spark, layout, median_method)
-    run_gold(spark, layout)
+    bronze = run_bronze(spark, layout, vocab)
+    silver = run_silver(spark, layout, median_method, vocab)
+    run_gold(spark, layout, vocab)
     run_export(spark, layout)
     return {"bronze": bronze, "silver": silver}
+
+
+def run_all(spark: SparkSession, sf_dir: str, root: str, median_method: str = "approx") -> dict:
+    """Land the feed derived from the test tables, then run every layer."""
+    land_feed(spark, sf_dir, Layout(root))
+    return run_layers(spark, root, median_method)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile import fixed, schemas
 
@@ -31,17 +32,26 @@ def read_shipments_csv(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
-def read_couriers_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines (one record per line), every field a string."""
-    return spark.read.schema(schemas.RAW_COURIERS).option("multiLine", False).json(path)
+def read_couriers_json(spark: SparkSession, path: str,
+                       field_names: tuple[str, ...] = fixed.COURIER_FIELDS) -> DataFrame:
+    """JSON Lines (one record per line), every field a string.
+
+    ``field_names`` are the record keys in the order of the raw courier
+    columns (e.g. ``fixed.SPANISH_COURIER_FIELDS``); they are renamed to the
+    pipeline's column names.
+    """
+    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in field_names])
+    df = spark.read.schema(schema).option("multiLine", False).json(path)
+    return df.select(*[F.col(src).alias(dst) for src, dst in zip(field_names, schemas.RAW_COURIER_COLUMNS)])
 
 
 def ingest_shipments(spark: SparkSession, path: str, source_file: str | None = None) -> DataFrame:
     return audit_stamp(read_shipments_csv(spark, path), fixed.SHIPMENTS_SOURCE_SYSTEM, source_file)
 
 
-def ingest_couriers(spark: SparkSession, path: str, source_file: str | None = None) -> DataFrame:
-    return audit_stamp(read_couriers_json(spark, path), fixed.COURIERS_SOURCE_SYSTEM, source_file)
+def ingest_couriers(spark: SparkSession, path: str, source_file: str | None = None,
+                    field_names: tuple[str, ...] = fixed.COURIER_FIELDS) -> DataFrame:
+    return audit_stamp(read_couriers_json(spark, path, field_names), fixed.COURIERS_SOURCE_SYSTEM, source_file)
 
 
 def write_shipments_csv(df: DataFrame, path: str) -> None:
