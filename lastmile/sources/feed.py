@@ -73,53 +73,62 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, (base, span) in reversed(list(SEGMENT_ZIP_BASE.items())):
         zip_num = F.when(seg == name, F.lit(base) + pk % span).otherwise(zip_num)
     base = b.select(
-        k.alias("k"), ok.alias("ok"), ln.alias("ln"), pk.alias("pk"), sk.alias("sk"), seg.alias("seg"),
+        k.alias("k"), pk.alias("pk"), sk.alias("sk"), seg.alias("seg"),
         _s(F.col("l_quantity") * 0.5).alias("w"),
         _s(F.col("l_extendedprice")).alias("amount_raw"),
         pickup.alias("pickup"), delivery.alias("delivery"),
         F.when(st < "d9", "DELIVERED").when(st < "f3", "INCIDENT").otherwise("RETURNED").alias("status"),
         F.when(_hex(k, "cl") < "b3", "PERSON").otherwise("COMPANY").alias("client_type"),
         F.lpad(_s(zip_num), 5, "0").alias("zip5"),
-        # copy numbers of this row: 0, plus 1 for a duplicated shipment
-        F.when(_hex(k, "dup", 4) < "051f", F.array(F.lit(0), F.lit(1)))
-         .otherwise(F.array(F.lit(0))).alias("copies"),
+        _hex(k, "wn").alias("h_wn"),
+        # one struct per copy (0, plus 1 for a duplicated shipment) holding the hash
+        # prefixes of that copy: every md5 runs once, and filters placed above the
+        # explode read struct fields instead of re-evaluating the hashes
+        F.when(_hex(k, "dup", 4) < "051f", F.array(_copy_hashes(k, 0), _copy_hashes(k, 1)))
+         .otherwise(F.array(_copy_hashes(k, 0))).alias("copies"),
     )
     # explode_outer: the arrays are never empty, and no size() filter is pushed to the scan
-    c = base.select("*", F.explode_outer("copies").alias("copy")).drop("copies")
-    kc = F.concat(F.col("k"), F.lit("#"), _s(F.col("copy")))
-    k = F.col("k")
+    c = base.select("*", F.explode_outer("copies").alias("h")).drop("copies")
     seg = F.col("seg")
+    h = F.col("h")
     absurd = F.col("pk") % 4
     weight = (
-        F.when(_hex(kc, "bad", 4) < "0148",
+        F.when(h["bad"] < "0148",
                F.when(absurd == 0, ABSURD_WEIGHTS[0]).when(absurd == 1, ABSURD_WEIGHTS[1])
                 .when(absurd == 2, ABSURD_WEIGHTS[2]).otherwise(ABSURD_WEIGHTS[3]))
-        .when(_hex(k, "wn") < "08", F.lit(None).cast("string"))
-        .when(_hex(kc, "com") < "04", F.replace(F.col("w"), F.lit("."), F.lit(",")))
+        .when(F.col("h_wn") < "08", F.lit(None).cast("string"))
+        .when(h["com"] < "04", F.replace(F.col("w"), F.lit("."), F.lit(",")))
         .otherwise(F.col("w"))
     )
     city = (
-        F.when(_hex(kc, "city") < "07", F.lower(seg))
-        .when(_hex(kc, "city") < "0e", F.concat(F.lit("  "), seg, F.lit("  ")))
+        F.when(h["city"] < "07", F.lower(seg))
+        .when(h["city"] < "0e", F.concat(F.lit("  "), seg, F.lit("  ")))
         .otherwise(F.concat(F.substring(seg, 1, 1), F.lower(F.expr("substring(seg, 2)"))))
     )
     return c.select(
-        k.alias("tracking_id"),
-        F.when(_hex(kc, "eu") < "1a", F.date_format("pickup", EU_FORMAT))
+        F.col("k").alias("tracking_id"),
+        F.when(h["eu"] < "1a", F.date_format("pickup", EU_FORMAT))
          .otherwise(F.date_format("pickup", ISO_FORMAT)).alias("pickup_raw"),
         F.when(F.col("status") == "DELIVERED", F.date_format("delivery", ISO_FORMAT)).alias("delivery_raw"),
         city.alias("city"),
-        F.when((_hex(kc, "zip") < "0b") & F.col("zip5").startswith("0"), F.expr("substring(zip5, 2)"))
+        F.when((h["zip"] < "0b") & F.col("zip5").startswith("0"), F.expr("substring(zip5, 2)"))
          .otherwise(F.col("zip5")).alias("zip"),
         weight.alias("weight_raw"),
         F.col("status"),
-        F.when(_hex(kc, "fk", 4) < "028f", F.concat(F.lit("REP-9"), F.lpad(_s(F.col("sk") % 100), 4, "0")))
+        F.when(h["fk"] < "028f", F.concat(F.lit("REP-9"), F.lpad(_s(F.col("sk") % 100), 4, "0")))
          .otherwise(F.concat(F.lit("REP-"), F.lpad(_s(F.col("sk")), 5, "0"))).alias("courier_id"),
         F.col("client_type"),
         F.col("amount_raw"),
     )
 
 
+def _copy_hashes(k: Column, copy: int) -> Column:
+    """Hash prefixes of one copy of a shipment (key ``k#copy``)."""
+    kc = F.concat(k, F.lit(f"#{copy}"))
+    return F.struct(*[_hex(kc, rule, digits).alias(rule) for rule, digits in
+                      (("eu", 2), ("city", 2), ("zip", 2), ("bad", 4), ("com", 2), ("fk", 4))])
+
+
 def courier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw courier records (all strings), like a JSON Lines export of the HR system."""
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
