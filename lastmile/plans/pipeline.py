@@ -103,6 +103,9 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
     metrics["courier_rows"] = obs_cour.get["rows"]
     metrics["null_phone_kept"] = obs_cour.get["null_phone"]
     metrics["yield_pct"] = round(100.0 * metrics["silver_rows"] / metrics["raw_rows"], 2) if metrics["raw_rows"] else 0.0
+    # A fixed, small set of numbers: stored next to the layers as a quality report.
+    report = spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "check string, value double")
+    layers.write_layer(report.coalesce(1), layout.path("gold", "silver_quality"))
     return metrics
 
 

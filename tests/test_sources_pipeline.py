@@ -92,3 +92,5 @@ def test_pipeline_end_to_end(spark, scratch_dir):
     assert inv[("silver", "shipments")] == 5915 and inv[("gold", "kpi_courier")] == 10
     exported = spark.read.option("header", True).csv(layout.path("export", "kpi_courier"))
     assert exported.count() == 10
+    report = dict(layers.read_layer(spark, layout.path("gold", "silver_quality")).collect())
+    assert report["silver_rows"] == 5915.0 and report["duplicates_removed"] == 116.0
