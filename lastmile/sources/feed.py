@@ -81,9 +81,11 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_hex(k, "cl") < "b3", "PERSON").otherwise("COMPANY").alias("client_type"),
         F.lpad(_s(zip_num), 5, "0").alias("zip5"),
         _hex(k, "wn").alias("h_wn"),
-        # one struct per copy (0, plus 1 for a duplicated shipment) holding the hash
-        # prefixes of that copy: every md5 runs once, and filters placed above the
-        # explode read struct fields instead of re-evaluating the hashes
+        # one struct per copy (0, plus 1 for a duplicated shipment) with the hash
+        # prefixes behind the columns that later filters read (weight range,
+        # known courier): those filters then read struct fields instead of
+        # re-evaluating the hashes; the other prefixes are computed after the
+        # explode, where column pruning drops them when unused
         F.when(_hex(k, "dup", 4) < "051f", F.array(_copy_hashes(k, 0), _copy_hashes(k, 1)))
          .otherwise(F.array(_copy_hashes(k, 0))).alias("copies"),
     )
@@ -91,6 +93,7 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = base.select("*", F.explode_outer("copies").alias("h")).drop("copies")
     seg = F.col("seg")
     h = F.col("h")
+    kc = F.concat(F.col("k"), F.lit("#"), _s(h["copy"]))
     absurd = F.col("pk") % 4
     weight = (
         F.when(h["bad"] < "0148",
@@ -101,17 +104,17 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("w"))
     )
     city = (
-        F.when(h["city"] < "07", F.lower(seg))
-        .when(h["city"] < "0e", F.concat(F.lit("  "), seg, F.lit("  ")))
+        F.when(_hex(kc, "city") < "07", F.lower(seg))
+        .when(_hex(kc, "city") < "0e", F.concat(F.lit("  "), seg, F.lit("  ")))
         .otherwise(F.concat(F.substring(seg, 1, 1), F.lower(F.expr("substring(seg, 2)"))))
     )
     return c.select(
         F.col("k").alias("tracking_id"),
-        F.when(h["eu"] < "1a", F.date_format("pickup", EU_FORMAT))
+        F.when(_hex(kc, "eu") < "1a", F.date_format("pickup", EU_FORMAT))
          .otherwise(F.date_format("pickup", ISO_FORMAT)).alias("pickup_raw"),
         F.when(F.col("status") == "DELIVERED", F.date_format("delivery", ISO_FORMAT)).alias("delivery_raw"),
         city.alias("city"),
-        F.when((h["zip"] < "0b") & F.col("zip5").startswith("0"), F.expr("substring(zip5, 2)"))
+        F.when((_hex(kc, "zip") < "0b") & F.col("zip5").startswith("0"), F.expr("substring(zip5, 2)"))
          .otherwise(F.col("zip5")).alias("zip"),
         weight.alias("weight_raw"),
         F.col("status"),
@@ -123,10 +126,10 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _copy_hashes(k: Column, copy: int) -> Column:
-    """Hash prefixes of one copy of a shipment (key ``k#copy``)."""
+    """Copy number and the filtered-on hash prefixes of one copy (key ``k#copy``)."""
     kc = F.concat(k, F.lit(f"#{copy}"))
-    return F.struct(*[_hex(kc, rule, digits).alias(rule) for rule, digits in
-                      (("eu", 2), ("city", 2), ("zip", 2), ("bad", 4), ("com", 2), ("fk", 4))])
+    return F.struct(F.lit(copy).alias("copy"),
+                    *[_hex(kc, rule, digits).alias(rule) for rule, digits in (("bad", 4), ("com", 2), ("fk", 4))])
 
 
 def courier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
