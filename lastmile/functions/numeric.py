@@ -17,8 +17,11 @@ def round2(value: Column, digits: int = 2) -> Column:
 
 
 def ratio_pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    """``numerator * 100 / denominator`` as a rounded percentage (double math)."""
-    return round2(numerator.cast("double") * F.lit(100.0) / denominator, digits)
+    """``numerator * 100 / denominator`` as a rounded percentage (double math).
+
+    An empty group (denominator 0) gives null, as without ANSI mode.
+    """
+    return round2(F.try_divide(numerator.cast("double") * F.lit(100.0), denominator), digits)
 
 
 def count_where(condition: Column) -> Column:
