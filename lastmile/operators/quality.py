@@ -92,14 +92,16 @@ def pipeline_counts(raw_shipments: DataFrame, raw_couriers: DataFrame, clean_cou
                     median_method: str = "approx", vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """One row with every count of the silver stage (shipments and couriers)."""
     c_raw, c_clean = _stage_couriers(raw_couriers, clean_couriers, vocab.canonical_contracts)
-    craw, cclean = c_raw.scalar(), c_clean.scalar()
+    # each subquery bound to one column first, so it runs once for both of its fields
     return shipment_counts(raw_shipments, clean_couriers, median_method).select(
-        "*",
-        craw["courier_raw_rows"].alias("courier_raw_rows"),
-        craw["contract_variants_fixed"].alias("contract_variants_fixed"),
-        cclean["courier_rows"].alias("courier_rows"),
-        cclean["null_phone_kept"].alias("null_phone_kept"),
+        "*", c_raw.scalar().alias("_craw"), c_clean.scalar().alias("_cclean"),
     ).select(
+        "*",
+        F.col("_craw.courier_raw_rows").alias("courier_raw_rows"),
+        F.col("_craw.contract_variants_fixed").alias("contract_variants_fixed"),
+        F.col("_cclean.courier_rows").alias("courier_rows"),
+        F.col("_cclean.null_phone_kept").alias("null_phone_kept"),
+    ).drop("_craw", "_cclean").select(
         "*",
         (F.col("in_range_rows") - F.col("dedup_rows")).alias("duplicates_removed"),
         (F.col("dedup_rows") - F.col("orphan_shipments")).alias("silver_rows"),

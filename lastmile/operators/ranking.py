@@ -40,6 +40,11 @@ def value_histogram(df: DataFrame, value: str) -> DataFrame:
 
 def cumulative_counts(hist: DataFrame, value: str, buckets: int | None = None,
                       window_limit: int = SINGLE_WINDOW_LIMIT) -> DataFrame:
+    return _cumulative_counts(hist, value, buckets, window_limit)[0]
+
+
+def _cumulative_counts(hist: DataFrame, value: str, buckets: int | None,
+                       window_limit: int) -> tuple[DataFrame, int]:
     """Add ``cum_le`` (rows with a value <= this one) and ``total`` to a histogram.
 
     ``hist`` has one row per distinct value and a count column ``n``. It is
@@ -55,7 +60,7 @@ def cumulative_counts(hist: DataFrame, value: str, buckets: int | None = None,
     if buckets is None and distinct <= window_limit:
         upto = Window.orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
         return hist.select("*", F.sum("n").over(upto).alias("cum_le"),
-                           F.sum("n").over(Window.partitionBy()).alias("total"))
+                           F.sum("n").over(Window.partitionBy()).alias("total")), distinct
     if buckets is None:
         buckets = max(2, -(-distinct // window_limit) * 2)
     fractions = [i / buckets for i in range(1, buckets)]
@@ -76,7 +81,7 @@ def cumulative_counts(hist: DataFrame, value: str, buckets: int | None = None,
     running = Window.partitionBy("_bucket").orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
     return (bucketed.join(F.broadcast(offsets), "_bucket")
             .withColumn("cum_le", F.col("_before") + F.sum("n").over(running))
-            .drop("_bucket", "_before"))
+            .drop("_bucket", "_before")), distinct
 
 
 def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
@@ -87,13 +92,16 @@ def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     defaults for ``desc`` and ``asc``). ``df`` is read three times (histogram,
     null count, join back): pass a materialized frame when it is expensive.
     """
-    hist = cumulative_counts(value_histogram(df, value), value, buckets)
+    hist, distinct = _cumulative_counts(value_histogram(df, value), value, buckets, SINGLE_WINDOW_LIMIT)
     nulls = df.where(F.col(value).isNull()).agg(F.count(F.lit(1)).alias("_nulls"))
     if descending:
         rank = F.lit(1) + F.col("total") - F.col("cum_le")
     else:
         rank = F.lit(1) + F.col("cum_le") - F.col("n") + nulls.scalar()
     ranks = hist.select(F.col(value).alias("_rank_value"), rank.cast("int").alias(out))
+    if distinct <= SINGLE_WINDOW_LIMIT:
+        # counted above: at most SINGLE_WINDOW_LIMIT (value, rank) rows, safe to broadcast
+        ranks = F.broadcast(ranks)
     joined = df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "left").drop("_rank_value")
     if descending:
         non_null = df.where(F.col(value).isNotNull()).agg(F.count(F.lit(1)).alias("_nn"))
