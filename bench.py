@@ -39,6 +39,7 @@ def main() -> None:
         f"local[{cpus}]", app_name="lastmile-bench", shuffle_partitions=max(8, 2 * cpus),
         extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
                "spark.local.dir": os.path.join(scratch, "local"),
+               "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
                "spark.driver.memory": "8g"})
     warm_dir = "/root/testdata/sf0.001"
     if os.path.isdir(warm_dir):

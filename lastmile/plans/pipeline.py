@@ -23,13 +23,24 @@ from lastmile.sources.feed import courier_feed, shipment_feed
 
 @dataclass(frozen=True)
 class Layout:
-    """Folder layout of one pipeline root (a shared folder on a cluster)."""
+    """Folder layout of one pipeline root (a shared folder on a cluster).
+
+    With ``register`` every written table is also exposed in the session
+    catalog as ``<layer>.<table>`` (external parquet table on the folder).
+    """
 
     root: str
+    register: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return layers.layer_path(self.root, layer, table)
 
+    def write(self, df: DataFrame, layer: str, table: str) -> None:
+        path = self.path(layer, table)
+        layers.write_layer(df, path)
+        if self.register:
+            layers.register_layer(df.sparkSession, layer, table, path)
+
     @property
     def landing_shipments(self) -> str:
         return self.path("landing", "shipments")
@@ -52,7 +63,7 @@ def run_bronze(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fi
                         ("couriers", files.ingest_couriers(spark, layout.landing_couriers,
                                                            field_names=vocab.courier_fields))):
         obs = Observation(f"bronze_{name}")
-        layers.write_layer(frame.observe(obs, F.count(F.lit(1)).alias("rows")), layout.path("bronze", name))
+        layout.write(frame.observe(obs, F.count(F.lit(1)).alias("rows")), "bronze", name)
         counts[name] = obs.get["rows"]
     return counts
 
@@ -65,9 +76,9 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
 
     couriers = clean.clean_couriers(bronze_cour, vocab.contract_canon)
     obs_cour = Observation("silver_couriers")
-    layers.write_layer(couriers.observe(obs_cour, F.count(F.lit(1)).alias("rows"),
-                                        count_where(F.col("phone").isNull()).alias("null_phone")),
-                       layout.path("silver", "couriers"))
+    layout.write(couriers.observe(obs_cour, F.count(F.lit(1)).alias("rows"),
+                                  count_where(F.col("phone").isNull()).alias("null_phone")),
+                 "silver", "couriers")
     couriers = layers.read_layer(spark, layout.path("silver", "couriers"))
 
     normalized = clean.normalize_shipments(bronze_ship)
@@ -91,8 +102,7 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
               .transform(lambda d: enrich.with_delivery_measures(d, delivered=vocab.delivered))
               .transform(lambda d: enrich.silver_projection(d, audit=True)))
     obs_silver = Observation("silver")
-    layers.write_layer(silver.observe(obs_silver, F.count(F.lit(1)).alias("silver_rows")),
-                       layout.path("silver", "shipments"))
+    layout.write(silver.observe(obs_silver, F.count(F.lit(1)).alias("silver_rows")), "silver", "shipments")
 
     metrics: dict[str, int | float] = {"median_weight": median}
     for obs in (obs_raw, obs_dedup, obs_silver):
@@ -105,7 +115,7 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
     metrics["yield_pct"] = round(100.0 * metrics["silver_rows"] / metrics["raw_rows"], 2) if metrics["raw_rows"] else 0.0
     # A fixed, small set of numbers: stored next to the layers as a quality report.
     report = spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "check string, value double")
-    layers.write_layer(report.coalesce(1), layout.path("gold", "silver_quality"))
+    layout.write(report.coalesce(1), "gold", "silver_quality")
     return metrics
 
 
@@ -119,7 +129,7 @@ def run_gold(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixe
         "monthly_sla_city": kpi.monthly_sla_city(silver),
     }
     for name, df in tables.items():
-        layers.write_layer(df, layout.path("gold", name))
+        layout.write(df, "gold", name)
     return {name: layers.read_layer(spark, layout.path("gold", name)) for name in tables}
 
 
@@ -142,9 +152,9 @@ def layer_inventory(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
-               vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict:
+               vocab: fixed.Vocabulary = fixed.ENGLISH, register: bool = False) -> dict:
     """Bronze -> silver -> gold -> export for files already in ``root``/landing."""
-    layout = Layout(root)
+    layout = Layout(root, register)
     bronze = run_bronze(spark, layout, vocab)
     silver = run_silver(spark, layout, median_method, vocab)
     run_gold(spark, layout, vocab)
@@ -152,7 +162,8 @@ def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
     return {"bronze": bronze, "silver": silver}
 
 
-def run_all(spark: SparkSession, sf_dir: str, root: str, median_method: str = "approx") -> dict:
+def run_all(spark: SparkSession, sf_dir: str, root: str, median_method: str = "approx",
+            register: bool = False) -> dict:
     """Land the feed derived from the test tables, then run every layer."""
     land_feed(spark, sf_dir, Layout(root))
-    return run_layers(spark, root, median_method)
+    return run_layers(spark, root, median_method, register=register)

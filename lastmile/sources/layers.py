@@ -26,6 +26,20 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def register_layer(spark: SparkSession, layer: str, table: str, path: str) -> str:
+    """Expose a written layer folder as the external table ``layer.table``.
+
+    The layer is a database of the session catalog, so ``spark.table("silver.shipments")``
+    and ``SHOW TABLES IN silver`` work; re-registering replaces the definition
+    and never deletes data (the table is external).
+    """
+    name = f"{layer}.{table}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    return name
+
+
 def export_csv(df: DataFrame, path: str, order: Sequence[Column] = (), single_file: bool = False) -> None:
     """CSV export with header, comma, UTF-8, LF, values unquoted unless needed.
 

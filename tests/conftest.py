@@ -14,7 +14,8 @@ def spark():
     from lastmile.session import build_session
     scratch = tempfile.mkdtemp(prefix="lastmile-tests-")
     session = build_session("local[4]", app_name="lastmile-tests", shuffle_partitions=8,
-                            extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+                            extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                                   "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
     yield session
     session.stop()
 

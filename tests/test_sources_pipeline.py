@@ -80,7 +80,7 @@ def test_streaming_ingest_appends_each_file_once(spark, scratch_dir):
 
 def test_pipeline_end_to_end(spark, scratch_dir):
     root = _dir(scratch_dir, "lake")
-    result = pipeline.run_all(spark, SF_SMALL, root, median_method="exact")
+    result = pipeline.run_all(spark, SF_SMALL, root, median_method="exact", register=True)
     assert result["bronze"] == {"shipments": 6119, "couriers": 10}
     s = result["silver"]
     assert (s["raw_rows"], s["in_range_rows"], s["dedup_rows"], s["silver_rows"]) == (6119, 6089, 5973, 5915)
@@ -92,5 +92,8 @@ def test_pipeline_end_to_end(spark, scratch_dir):
     assert inv[("silver", "shipments")] == 5915 and inv[("gold", "kpi_courier")] == 10
     exported = spark.read.option("header", True).csv(layout.path("export", "kpi_courier"))
     assert exported.count() == 10
+    # layers are also reachable by name, like catalog tables
+    assert spark.table("silver.shipments").count() == 5915
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN gold").collect()} >= {"kpi_courier", "kpi_daily_city"}
     report = dict(layers.read_layer(spark, layout.path("gold", "silver_quality")).collect())
     assert report["silver_rows"] == 5915.0 and report["duplicates_removed"] == 116.0
