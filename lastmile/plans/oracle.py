@@ -40,6 +40,11 @@ def hm(h: str, m: str) -> str:
     return f"(to_hours(cast({h} as int)) + to_minutes(cast({m} as int)))"
 
 
+def courier_key(sk: str) -> str:
+    return (f"concat('REP-', case when length(cast({sk} as varchar)) < 5 "
+            f"then lpad(cast({sk} as varchar), 5, '0') else cast({sk} as varchar) end)")
+
+
 def h2(key: str, rule: str, digits: int = 2) -> str:
     return f"substr(md5(concat({key}, ':{rule}')), 1, {digits})"
 
@@ -77,14 +82,14 @@ raw_shipments AS (
          when {h2('k', 'wn')} < '08' then null
          when {h2('kc', 'com')} < '04' then replace(w,'.',',') else w end as weight_raw,
     status,
-    case when {h2('kc', 'fk', 4)} < '028f' then concat('REP-9',lpad(cast(sk%100 as varchar),4,'0'))
-         else concat('REP-',lpad(cast(sk as varchar),5,'0')) end as courier_id,
+    case when {h2('kc', 'fk', 4)} < '028f' then concat('REP-X',lpad(cast(sk%100 as varchar),4,'0'))
+         else {courier_key('sk')} end as courier_id,
     client_type, amount_raw
   from fc)"""
 
 FEED_COURIERS = f"""
 cb AS (
-  select concat('REP-',lpad(cast(s_suppkey as varchar),5,'0')) as k, s_suppkey sk, s_name, s_nationkey nk from supplier),
+  select {courier_key('s_suppkey')} as k, s_suppkey sk, s_name, s_nationkey nk from supplier),
 cs AS (
   select k as courier_id,
     case when sk%7=0 then concat(' ',s_name,' ') else s_name end as first_name,

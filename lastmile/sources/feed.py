@@ -45,6 +45,17 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _courier_key(sk: Column) -> Column:
+    """``REP-`` + the supplier key left-padded to at least 5 digits (never cut)."""
+    digits = _s(sk)
+    return F.concat(F.lit("REP-"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
+
+
+def _unknown_courier_key(sk: Column) -> Column:
+    """An id no courier can have (real ids are all digits after ``REP-``)."""
+    return F.concat(F.lit("REP-X"), F.lpad(_s(sk % 100), 4, "0"))
+
+
 def _after(ts: Column, hours: Column, minutes: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), hours.cast("int"), minutes.cast("int"), F.lit(0))
 
@@ -118,8 +129,8 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("zip5")).alias("zip"),
         weight.alias("weight_raw"),
         F.col("status"),
-        F.when(h["fk"] < "028f", F.concat(F.lit("REP-9"), F.lpad(_s(F.col("sk") % 100), 4, "0")))
-         .otherwise(F.concat(F.lit("REP-"), F.lpad(_s(F.col("sk")), 5, "0"))).alias("courier_id"),
+        F.when(h["fk"] < "028f", _unknown_courier_key(F.col("sk")))
+         .otherwise(_courier_key(F.col("sk"))).alias("courier_id"),
         F.col("client_type"),
         F.col("amount_raw"),
     )
@@ -136,7 +147,7 @@ def courier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw courier records (all strings), like a JSON Lines export of the HR system."""
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     sk = F.col("s_suppkey")
-    k = F.concat(F.lit("REP-"), F.lpad(_s(sk), 5, "0"))
+    k = _courier_key(sk)
     variant = (F.when(sk % 5 < 3,
                       F.when(sk % 3 == 0, "employee").when(sk % 3 == 1, "Employee").otherwise("EMP"))
                .otherwise("contractor"))
