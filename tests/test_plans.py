@@ -29,3 +29,30 @@ def test_dedup_is_partial_aggregate(spark):
     plan = _plan(catalog.QUERIES["dedup_shipments"](spark, SF_SMALL))
     # map-side (partial) aggregate before the shuffle, final aggregate after it
     assert plan.count("HashAggregate") >= 2
+
+
+def _single_partition_children(plan: str) -> list[str]:
+    """The operator right below each ``Exchange SinglePartition`` of a plan string."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line and i + 1 < len(lines):
+            out.append(lines[i + 1].strip(" :+-"))
+    return out
+
+
+def test_no_single_partition_exchange_over_courier_rows(spark):
+    plan = _plan(catalog.QUERIES["kpi_courier"](spark, SF_SMALL))
+    children = _single_partition_children(plan)
+    assert children, "expected bounded single-partition steps (global aggregates, histogram windows)"
+    for child in children:
+        # either a partial global aggregate (one row per task) or a scan of a materialized
+        # histogram (one row per distinct value, counted before the window)
+        assert child.startswith("HashAggregate(keys=[], functions=[partial_") or \
+            (child.startswith("Scan ExistingRDD[") and ",n#" in child), child
+
+
+def test_quality_metrics_scan_the_fact_table_once(spark):
+    plan = _plan(catalog.QUERIES["quality"](spark, SF_SMALL))
+    # the median's histogram was materialized before; the counts are one pass
+    assert plan.count("lineitem.parquet") == 1
