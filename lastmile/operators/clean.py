@@ -18,7 +18,7 @@ from lastmile.functions import (
     canonical_city, canonical_contract, fix_decimal_comma, pad_zip, parse_date,
     parse_mixed_timestamp, to_double,
 )
-from lastmile.operators.ranking import approx_quantile, exact_quantile
+from lastmile.operators.ranking import approx_quantile, approx_quantile_value, exact_quantile
 
 
 def normalize_shipments(raw: DataFrame, formats: Sequence[str] = fixed.TIMESTAMP_FORMATS,
@@ -55,9 +55,9 @@ def median_frame(df: DataFrame, column: str = "weight", method: str = "approx",
                  q: float = fixed.MEDIAN_QUANTILE) -> DataFrame:
     """One-row frame ``median`` over the non-null values of ``column``.
 
-    ``approx``: ``percentile_approx`` (sketch, relative error as given);
-    ``exact``: ``percentile_disc`` semantics, computed without collecting the
-    distinct values into one task.
+    ``approx``: ``stat.approxQuantile`` (tree-merged sketch, relative error as
+    given; one number); ``exact``: ``percentile_disc`` semantics, computed
+    without collecting the distinct values into one task.
     """
     if method == "approx":
         return approx_quantile(df, column, q, relative_error, out="median")
@@ -68,12 +68,18 @@ def median_frame(df: DataFrame, column: str = "weight", method: str = "approx",
 
 def impute_median(df: DataFrame, column: str = "weight", method: str = "approx",
                   relative_error: float = fixed.MEDIAN_RELATIVE_ERROR) -> DataFrame:
-    """Replace nulls of ``column`` by its median, computed in the same plan.
+    """Replace nulls of ``column`` by its median.
 
-    The median is a one-row aggregate used as a scalar subquery: no driver
-    round trip between the two steps and no join.
+    ``exact``: the median is a one-row aggregate over a materialized
+    histogram, used as a scalar subquery (no join). ``approx``: one number
+    from ``stat.approxQuantile``, used as a literal (as the batch notebook did).
     """
-    median = median_frame(df, column, method, relative_error).scalar()
+    if method == "approx":
+        found = approx_quantile_value(df.where(F.col(column).isNotNull()), column,
+                                      fixed.MEDIAN_QUANTILE, relative_error)
+        median = F.lit(found).cast("double")
+    else:
+        median = median_frame(df, column, method, relative_error).scalar()
     return df.withColumn(column, F.coalesce(F.col(column), median))
 
 

@@ -5,10 +5,10 @@ work is split into distributed steps:
 
 1. histogram: ``groupBy(value).count()`` (partial aggregation, so a value
    held by a third of all rows costs one row per map task);
-2. bucket bounds: ``percentile_approx`` over the distinct values gives
-   ``B - 1`` split points (a mergeable sketch, one small row);
-3. each distinct value gets the bucket ``#splits < value``; per-bucket totals
-   (at most ``B`` rows) give the count of rows before each bucket;
+2. range buckets: ``repartitionByRange`` over the distinct values (sampled
+   bounds, binary search per value); the partition id is the bucket;
+3. per-bucket totals (at most ``B`` rows) give the count of rows before
+   each bucket;
 4. inside a bucket a window partitioned by the bucket adds the running count.
 
 When the (materialized) histogram has few distinct values, steps 2-4 are one
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from lastmile.functions.numeric import round2
 from lastmile.session import materialize
 
-SPLIT_ACCURACY = 10_000
 # Largest number of distinct values one window task may order.
 SINGLE_WINDOW_LIMIT = 100_000
 
@@ -63,14 +62,12 @@ def _cumulative_counts(hist: DataFrame, value: str, buckets: int | None,
                            F.sum("n").over(Window.partitionBy()).alias("total")), distinct
     if buckets is None:
         buckets = max(2, -(-distinct // window_limit) * 2)
-    fractions = [i / buckets for i in range(1, buckets)]
-    splits = hist.agg(
-        F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), SPLIT_ACCURACY)
-        .alias("splits"))
+    # Range buckets: Spark's range partitioner samples the values and places each
+    # one by binary search; equal values share a partition and partition ids follow
+    # the value order. The partition id is pinned as the bucket by materializing.
+    bucketed = materialize(hist.repartitionByRange(buckets, F.col(value))
+                           .withColumn("_bucket", F.spark_partition_id()))
     v = F.col(value)
-    bucketed = (hist.withColumn("_splits", splits.scalar())
-                .withColumn("_bucket", F.size(F.filter("_splits", lambda s: s < v)))
-                .drop("_splits"))
     # At most `buckets` rows: safe to order globally and to broadcast.
     totals = bucketed.groupBy("_bucket").agg(F.sum("n").alias("_bucket_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,12 +119,24 @@ def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quanti
             .agg(F.min(value).alias(out)))
 
 
+def approx_quantile_value(df: DataFrame, value: str, q: float = 0.5,
+                          relative_error: float = 0.01) -> float | None:
+    """Greenwald-Khanna quantile of the non-null values (a value of the data).
+
+    ``stat.approxQuantile`` merges the per-task sketches with a tree
+    aggregation, so no single task receives every partial sketch (a global
+    ``percentile_approx`` merges them all in one task). The result is one
+    number returned to the driver.
+    """
+    found = df.stat.approxQuantile(value, [q], relative_error)
+    return found[0] if found else None
+
+
 def approx_quantile(df: DataFrame, value: str, q: float = 0.5, relative_error: float = 0.01,
                     out: str = "quantile") -> DataFrame:
-    """One-row frame with ``percentile_approx``; accuracy = 1 / relative error."""
-    accuracy = max(1, int(round(1.0 / relative_error)))
-    return df.where(F.col(value).isNotNull()).agg(
-        F.percentile_approx(value, q, accuracy).alias(out))
+    """One-row frame with :func:`approx_quantile_value`."""
+    found = approx_quantile_value(df, value, q, relative_error)
+    return df.sparkSession.createDataFrame([(None if found is None else float(found),)], f"{out} double")
 
 
 def composite_score(rank_a: Column, rank_b: Column) -> Column:
