@@ -19,12 +19,16 @@ from lastmile.operators.merge import latest_per_key
 from lastmile.sources import layers
 
 
-def _landing_stream(spark: SparkSession, landing_dir: str, kind: str) -> DataFrame:
+def _landing_stream(spark: SparkSession, landing_dir: str, kind: str,
+                    max_files_per_trigger: int | None) -> DataFrame:
+    stream = spark.readStream
+    if max_files_per_trigger:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
     if kind == "shipments":
-        reader = spark.readStream.schema(schemas.RAW_SHIPMENTS).option("header", True).csv(landing_dir)
+        reader = stream.schema(schemas.RAW_SHIPMENTS).option("header", True).csv(landing_dir)
         system = fixed.SHIPMENTS_SOURCE_SYSTEM
     elif kind == "couriers":
-        reader = spark.readStream.schema(schemas.RAW_COURIERS).json(landing_dir)
+        reader = stream.schema(schemas.RAW_COURIERS).json(landing_dir)
         system = fixed.COURIERS_SOURCE_SYSTEM
     else:
         raise ValueError(f"unknown feed kind: {kind}")
@@ -36,9 +40,13 @@ def _landing_stream(spark: SparkSession, landing_dir: str, kind: str) -> DataFra
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
-                     kind: str = "shipments") -> int:
-    """Append every landing file not ingested yet to ``bronze_dir``; return rows appended."""
-    query = (_landing_stream(spark, landing_dir, kind).writeStream
+                     kind: str = "shipments", max_files_per_trigger: int | None = None) -> int:
+    """Append every landing file not ingested yet to ``bronze_dir``; return rows appended.
+
+    ``max_files_per_trigger`` cuts a large backlog into bounded micro-batches
+    (``availableNow`` still stops when the backlog is done).
+    """
+    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger).writeStream
              .format("parquet")
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append")

@@ -71,8 +71,8 @@ def test_streaming_ingest_appends_each_file_once(spark, scratch_dir):
     assert ingest_available(spark, landing + "/*", bronze, ckpt) == first.count()
     assert ingest_available(spark, landing + "/*", bronze, ckpt) == 0          # nothing new: no duplicates
     second = feed.where(F.col("status") != "DELIVERED")
-    files.write_shipments_csv(second, os.path.join(landing, "batch2"))
-    ingest_available(spark, landing + "/*", bronze, ckpt)
+    files.write_shipments_csv(second.repartition(3), os.path.join(landing, "batch2"))
+    assert ingest_available(spark, landing + "/*", bronze, ckpt, max_files_per_trigger=1) == second.count()
     total = layers.read_layer(spark, bronze)
     assert total.count() == feed.count()
     assert current_bronze(spark, bronze).count() == feed.dropDuplicates().count()
