@@ -39,11 +39,6 @@ def value_histogram(df: DataFrame, value: str) -> DataFrame:
 
 def cumulative_counts(hist: DataFrame, value: str, buckets: int | None = None,
                       window_limit: int = SINGLE_WINDOW_LIMIT) -> DataFrame:
-    return _cumulative_counts(hist, value, buckets, window_limit)[0]
-
-
-def _cumulative_counts(hist: DataFrame, value: str, buckets: int | None,
-                       window_limit: int) -> tuple[DataFrame, int]:
     """Add ``cum_le`` (rows with a value <= this one) and ``total`` to a histogram.
 
     ``hist`` has one row per distinct value and a count column ``n``. It is
@@ -54,6 +49,12 @@ def _cumulative_counts(hist: DataFrame, value: str, buckets: int | None,
     that the values are cut into range buckets of about ``window_limit``
     values each, so no task ever holds more than that.
     """
+    return _cumulative_counts(hist, value, buckets, window_limit)[0]
+
+
+def _cumulative_counts(hist: DataFrame, value: str, buckets: int | None,
+                       window_limit: int) -> tuple[DataFrame, int]:
+    """:func:`cumulative_counts` plus the number of distinct values."""
     hist = materialize(hist)
     distinct = hist.count()
     if buckets is None and distinct <= window_limit:

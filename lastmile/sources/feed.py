@@ -17,8 +17,7 @@ Shares of each defect (fixed values of the feed):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lastmile.sources.tables import read_table
 
@@ -37,31 +36,40 @@ ASSIGNED_CITIES = ("Automobile", "Building", "Furniture", "Household", " Machine
 # --- end of fixed values ----------------------------------------------------
 
 
-def _hex(key: Column, rule: str, digits: int = 2) -> Column:
-    return F.substring(F.md5(F.concat(key, F.lit(":" + rule))), 1, digits)
+def _hex(key: str, rule: str, digits: int = 2) -> str:
+    """SQL text: the first ``digits`` hex characters of ``md5(key || ':rule')``."""
+    return f"substring(md5(concat({key}, ':{rule}')), 1, {digits})"
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _courier_key(sk: str) -> str:
+    """SQL text: ``REP-`` + the supplier key left-padded to at least 5 digits (never cut)."""
+    return (f"concat('REP-', if(length(cast({sk} as string)) < 5, "
+            f"lpad(cast({sk} as string), 5, '0'), cast({sk} as string)))")
 
 
-def _courier_key(sk: Column) -> Column:
-    """``REP-`` + the supplier key left-padded to at least 5 digits (never cut)."""
-    digits = _s(sk)
-    return F.concat(F.lit("REP-"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
+def _unknown_courier_key(sk: str) -> str:
+    """SQL text: an id no courier can have (real ids are all digits after ``REP-``)."""
+    return f"concat('REP-X', lpad(cast({sk} % 100 as string), 4, '0'))"
 
 
-def _unknown_courier_key(sk: Column) -> Column:
-    """An id no courier can have (real ids are all digits after ``REP-``)."""
-    return F.concat(F.lit("REP-X"), F.lpad(_s(sk % 100), 4, "0"))
+def _after(ts: str, hours: str, minutes: str) -> str:
+    return f"{ts} + make_dt_interval(0, cast({hours} as int), cast({minutes} as int), 0)"
 
 
-def _after(ts: Column, hours: Column, minutes: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), hours.cast("int"), minutes.cast("int"), F.lit(0))
+def _copy_hashes(copy: int) -> str:
+    """SQL text: copy number and the filtered-on hash prefixes of one copy (key ``k#copy``)."""
+    kc = f"concat(k, '#{copy}')"
+    fields = ", ".join(f"'{rule}', {_hex(kc, rule, digits)}"
+                       for rule, digits in (("bad", 4), ("com", 2), ("fk", 4)))
+    return f"named_struct('copy', {copy}, {fields})"
 
 
 def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw shipment rows (all strings), like a CSV export of the tracking system."""
+    """Raw shipment rows (all strings), like a CSV export of the tracking system.
+
+    The row expressions are SQL text (``selectExpr``): the plan is the same as
+    with Column objects, built with a few calls instead of hundreds.
+    """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_quantity", "l_extendedprice", "l_shipdate")
@@ -74,100 +82,71 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "c_mktsegment")
     b = li.join(order_seg.hint("merge"), li.l_orderkey == order_seg.o_orderkey)
 
-    ok, ln, pk, sk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    seg = F.col("c_mktsegment")
-    k = F.concat_ws("-", _s(ok), _s(ln), _s(pk), _s(sk), _s(F.to_date(F.col("l_shipdate"))))
-    pickup = _after(F.col("l_shipdate"), F.lit(8) + ok % 11, pk % 60)
-    delivery = _after(pickup, F.lit(4) + (pk * 7 + ln) % 33, ok % 60)
-    st = _hex(k, "st")
-    zip_num = F.lit(OTHER_ZIP_BASE[0]) + pk % OTHER_ZIP_BASE[1]
-    for name, (base, span) in reversed(list(SEGMENT_ZIP_BASE.items())):
-        zip_num = F.when(seg == name, F.lit(base) + pk % span).otherwise(zip_num)
-    base = b.select(
-        k.alias("k"), pk.alias("pk"), sk.alias("sk"), seg.alias("seg"),
-        _s(F.col("l_quantity") * 0.5).alias("w"),
-        _s(F.col("l_extendedprice")).alias("amount_raw"),
-        pickup.alias("pickup"), delivery.alias("delivery"),
-        F.when(st < "d9", "DELIVERED").when(st < "f3", "INCIDENT").otherwise("RETURNED").alias("status"),
-        F.when(_hex(k, "cl") < "b3", "PERSON").otherwise("COMPANY").alias("client_type"),
-        F.lpad(_s(zip_num), 5, "0").alias("zip5"),
-        _hex(k, "wn").alias("h_wn"),
+    zip_case = " ".join(f"when '{seg}' then {base} + pk % {span}" for seg, (base, span) in SEGMENT_ZIP_BASE.items())
+    keyed = b.selectExpr(
+        "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), cast(l_partkey as string), "
+        "cast(l_suppkey as string), cast(to_date(l_shipdate) as string)) as k",
+        "l_orderkey as ok", "l_linenumber as ln", "l_partkey as pk", "l_suppkey as sk", "c_mktsegment as seg",
+        "cast(l_quantity * 0.5D as string) as w",
+        "cast(l_extendedprice as string) as amount_raw",
+        _after("l_shipdate", "8 + l_orderkey % 11", "l_partkey % 60") + " as pickup")
+    base = keyed.selectExpr(
+        "k", "pk", "sk", "seg", "w", "amount_raw", "pickup",
+        _after("pickup", "4 + (pk * 7 + ln) % 33", "ok % 60") + " as delivery",
+        f"case when {_hex('k', 'st')} < 'd9' then 'DELIVERED' when {_hex('k', 'st')} < 'f3' then 'INCIDENT' "
+        "else 'RETURNED' end as status",
+        f"case when {_hex('k', 'cl')} < 'b3' then 'PERSON' else 'COMPANY' end as client_type",
+        f"lpad(cast(case seg {zip_case} else {OTHER_ZIP_BASE[0]} + pk % {OTHER_ZIP_BASE[1]} end as string), "
+        "5, '0') as zip5",
+        f"{_hex('k', 'wn')} as h_wn",
         # one struct per copy (0, plus 1 for a duplicated shipment) with the hash
         # prefixes behind the columns that later filters read (weight range,
         # known courier): those filters then read struct fields instead of
         # re-evaluating the hashes; the other prefixes are computed after the
         # explode, where column pruning drops them when unused
-        F.when(_hex(k, "dup", 4) < "051f", F.array(_copy_hashes(k, 0), _copy_hashes(k, 1)))
-         .otherwise(F.array(_copy_hashes(k, 0))).alias("copies"),
-    )
+        f"if({_hex('k', 'dup', 4)} < '051f', array({_copy_hashes(0)}, {_copy_hashes(1)}), "
+        f"array({_copy_hashes(0)})) as copies")
     # explode_outer: the arrays are never empty, and no size() filter is pushed to the scan
-    c = base.select("*", F.explode_outer("copies").alias("h")).drop("copies")
-    seg = F.col("seg")
-    h = F.col("h")
-    kc = F.concat(F.col("k"), F.lit("#"), _s(h["copy"]))
-    absurd = F.col("pk") % 4
-    weight = (
-        F.when(h["bad"] < "0148",
-               F.when(absurd == 0, ABSURD_WEIGHTS[0]).when(absurd == 1, ABSURD_WEIGHTS[1])
-                .when(absurd == 2, ABSURD_WEIGHTS[2]).otherwise(ABSURD_WEIGHTS[3]))
-        .when(F.col("h_wn") < "08", F.lit(None).cast("string"))
-        .when(h["com"] < "04", F.replace(F.col("w"), F.lit("."), F.lit(",")))
-        .otherwise(F.col("w"))
-    )
-    city = (
-        F.when(_hex(kc, "city") < "07", F.lower(seg))
-        .when(_hex(kc, "city") < "0e", F.concat(F.lit("  "), seg, F.lit("  ")))
-        .otherwise(F.concat(F.substring(seg, 1, 1), F.lower(F.expr("substring(seg, 2)"))))
-    )
-    return c.select(
-        F.col("k").alias("tracking_id"),
-        F.when(_hex(kc, "eu") < "1a", F.date_format("pickup", EU_FORMAT))
-         .otherwise(F.date_format("pickup", ISO_FORMAT)).alias("pickup_raw"),
-        F.when(F.col("status") == "DELIVERED", F.date_format("delivery", ISO_FORMAT)).alias("delivery_raw"),
-        city.alias("city"),
-        F.when((_hex(kc, "zip") < "0b") & F.col("zip5").startswith("0"), F.expr("substring(zip5, 2)"))
-         .otherwise(F.col("zip5")).alias("zip"),
-        weight.alias("weight_raw"),
-        F.col("status"),
-        F.when(h["fk"] < "028f", _unknown_courier_key(F.col("sk")))
-         .otherwise(_courier_key(F.col("sk"))).alias("courier_id"),
-        F.col("client_type"),
-        F.col("amount_raw"),
+    c = base.selectExpr("*", "explode_outer(copies) as h").drop("copies")
+    kc = "concat(k, '#', cast(h.copy as string))"
+    absurd = " ".join(f"when {i} then '{v}'" for i, v in enumerate(ABSURD_WEIGHTS))
+    return c.selectExpr(
+        "k as tracking_id",
+        f"if({_hex(kc, 'eu')} < '1a', date_format(pickup, '{EU_FORMAT}'), "
+        f"date_format(pickup, '{ISO_FORMAT}')) as pickup_raw",
+        f"if(status = 'DELIVERED', date_format(delivery, '{ISO_FORMAT}'), null) as delivery_raw",
+        f"case when {_hex(kc, 'city')} < '07' then lower(seg) "
+        f"when {_hex(kc, 'city')} < '0e' then concat('  ', seg, '  ') "
+        "else concat(substring(seg, 1, 1), lower(substring(seg, 2))) end as city",
+        f"if({_hex(kc, 'zip')} < '0b' and startswith(zip5, '0'), substring(zip5, 2), zip5) as zip",
+        f"case when h.bad < '0148' then case pk % 4 {absurd} end "
+        "when h_wn < '08' then cast(null as string) "
+        "when h.com < '04' then replace(w, '.', ',') else w end as weight_raw",
+        "status",
+        f"if(h.fk < '028f', {_unknown_courier_key('sk')}, {_courier_key('sk')}) as courier_id",
+        "client_type",
+        "amount_raw",
     )
 
 
-def _copy_hashes(k: Column, copy: int) -> Column:
-    """Copy number and the filtered-on hash prefixes of one copy (key ``k#copy``)."""
-    kc = F.concat(k, F.lit(f"#{copy}"))
-    return F.struct(F.lit(copy).alias("copy"),
-                    *[_hex(kc, rule, digits).alias(rule) for rule, digits in (("bad", 4), ("com", 2), ("fk", 4))])
-
-
 def courier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw courier records (all strings), like a JSON Lines export of the HR system."""
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    sk = F.col("s_suppkey")
-    k = _courier_key(sk)
-    variant = (F.when(sk % 5 < 3,
-                      F.when(sk % 3 == 0, "employee").when(sk % 3 == 1, "Employee").otherwise("EMP"))
-               .otherwise("contractor"))
-    contract = (F.when(_hex(k, "cv") < "10", variant)
-                .when(sk % 5 < 3, "EMPLOYEE").otherwise("CONTRACTOR"))
-    city = F.lit(ASSIGNED_CITIES[4])
-    for i in (3, 2, 1, 0):
-        city = F.when(sk % 5 == i, ASSIGNED_CITIES[i]).otherwise(city)
-    rows = sup.select(
-        k.alias("courier_id"),
-        F.when(sk % 7 == 0, F.concat(F.lit(" "), F.col("s_name"), F.lit(" "))).otherwise(F.col("s_name"))
-         .alias("first_name"),
-        F.concat(F.lit("Family "), _s(F.col("s_nationkey"))).alias("last_name"),
-        F.concat_ws("-", _s(F.lit(2019) + sk % 5), F.lpad(_s(F.lit(1) + sk % 12), 2, "0"),
-                    F.lpad(_s(F.lit(1) + sk % 28), 2, "0")).alias("hire_date"),
-        contract.alias("contract"),
-        city.alias("assigned_city"),
-        F.when(sk % 20 < 10, "VAN").when(sk % 20 < 17, "MOTO").otherwise("BIKE").alias("vehicle"),
-        F.when(_hex(k, "ph") < "1a", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("+34 6"), F.lpad(_s(sk), 8, "0"))).alias("phone"),
-        F.when(_hex(k, "dup") < "0d", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("copies"),
-    )
-    return rows.select("*", F.explode_outer("copies").alias("_copy")).drop("copies", "_copy")
+    keyed = sup.selectExpr(f"{_courier_key('s_suppkey')} as k", "s_suppkey as sk", "s_name", "s_nationkey as nk")
+    city = " ".join(f"when {i} then '{c}'" for i, c in enumerate(ASSIGNED_CITIES[:-1]))
+    rows = keyed.selectExpr(
+        "k as courier_id",
+        "if(sk % 7 = 0, concat(' ', s_name, ' '), s_name) as first_name",
+        "concat('Family ', cast(nk as string)) as last_name",
+        "concat_ws('-', cast(2019 + sk % 5 as string), lpad(cast(1 + sk % 12 as string), 2, '0'), "
+        "lpad(cast(1 + sk % 28 as string), 2, '0')) as hire_date",
+        f"case when {_hex('k', 'cv')} < '10' then "
+        "case when sk % 5 < 3 then case sk % 3 when 0 then 'employee' when 1 then 'Employee' else 'EMP' end "
+        "else 'contractor' end "
+        "when sk % 5 < 3 then 'EMPLOYEE' else 'CONTRACTOR' end as contract",
+        f"case sk % 5 {city} else '{ASSIGNED_CITIES[-1]}' end as assigned_city",
+        "case when sk % 20 < 10 then 'VAN' when sk % 20 < 17 then 'MOTO' else 'BIKE' end as vehicle",
+        f"if({_hex('k', 'ph')} < '1a', cast(null as string), concat('+34 6', lpad(cast(sk as string), 8, '0'))) "
+        "as phone",
+        f"if({_hex('k', 'dup')} < '0d', array(0, 1), array(0)) as copies")
+    return rows.selectExpr("*", "explode_outer(copies) as _copy").drop("copies", "_copy")
