@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lastmile import fixed, schemas
 from lastmile.functions import count_where, mean_rounded, money_sum, ratio_pct, with_time_dimensions
-from lastmile.operators.ranking import composite_score, global_rank, top_k
+from lastmile.operators.ranking import composite_score, global_ranks, top_k
 from lastmile.session import materialize
 
 
@@ -69,8 +69,7 @@ def kpi_courier(silver: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_
     """
     # One row per courier, read by both ranks and the join back: computed once.
     agg = materialize(courier_aggregates(silver, vocab).where(F.col("shipments") >= F.lit(min_shipments)))
-    ranked = (agg.transform(lambda d: global_rank(d, "shipments", "volume_rank"))
-              .transform(lambda d: global_rank(d, "sla_pct", "quality_rank")))
+    ranked = global_ranks(agg, [("shipments", "volume_rank", True), ("sla_pct", "quality_rank", True)])
     return (ranked.withColumn("score", composite_score(F.col("volume_rank"), F.col("quality_rank")))
             .select(*KPI_COURIER_COLUMNS)
             .orderBy("score", "courier_id"))

@@ -22,8 +22,11 @@ the rows on the value (null-safe equality).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile.functions.numeric import round2
 from lastmile.session import materialize
@@ -109,6 +112,58 @@ def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     return joined.withColumn(out, F.when(F.col(value).isNull(), null_rank).otherwise(F.col(out)))
 
 
+def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str, bool]],
+                 window_limit: int = SINGLE_WINDOW_LIMIT) -> DataFrame:
+    """Several ``rank()`` columns at once: ``specs`` = [(value, out, descending), ...].
+
+    For numeric columns one tagged histogram serves all of them (values as
+    double, exact for integers below 2**53): one materialization, one
+    per-tag count (at most ``len(specs)`` rows) and one null-count aggregate.
+    Each tag's prefix sums are one window partitioned by the tag, bounded by
+    the per-tag count checked first; each rank table is broadcast back on its
+    value. Other column types, or a histogram above ``window_limit`` values,
+    go through :func:`global_rank` one column at a time.
+    """
+    numeric = all(isinstance(df.schema[v].dataType, T.NumericType) for v, _, _ in specs)
+    if len(specs) < 2 or not numeric:
+        return _ranks_one_by_one(df, specs)
+    tagged = (df.select(F.explode(F.array(*[
+                F.struct(F.lit(i).alias("_tag"), F.col(v).cast("double").alias("_v"))
+                for i, (v, _, _) in enumerate(specs)])).alias("_t"))
+              .select("_t._tag", "_t._v").where(F.col("_v").isNotNull()))
+    hist = materialize(tagged.groupBy("_tag", "_v").agg(F.count(F.lit(1)).alias("n")))
+    per_tag = {r["_tag"]: r["count"] for r in hist.groupBy("_tag").count().collect()}
+    if per_tag and max(per_tag.values()) > window_limit:
+        return _ranks_one_by_one(df, specs)
+    upto = Window.partitionBy("_tag").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = hist.select("*", F.sum("n").over(upto).alias("cum_le"),
+                      F.sum("n").over(Window.partitionBy("_tag")).alias("total"))
+    counts = df.agg(F.struct(*[F.count(v).alias(f"nn{i}") for i, (v, _, _) in enumerate(specs)],
+                             *[F.count_if(F.col(v).isNull()).alias(f"nulls{i}")
+                               for i, (v, _, _) in enumerate(specs)]).alias("c")).scalar()
+    out = df
+    for i, (value, name, descending) in enumerate(specs):
+        if descending:
+            rank = F.lit(1) + F.col("total") - F.col("cum_le")
+            null_rank = F.lit(1) + counts[f"nn{i}"]
+        else:
+            rank = F.lit(1) + F.col("cum_le") - F.col("n") + counts[f"nulls{i}"]
+            null_rank = F.lit(1)
+        key = f"_rank_value_{i}"
+        # at most `window_limit` rows per tag (counted above): safe to broadcast
+        ranks = F.broadcast(cum.where(F.col("_tag") == i)
+                            .select(F.col("_v").alias(key), rank.cast("int").alias(name)))
+        out = (out.join(ranks, out[value].cast("double").eqNullSafe(ranks[key]), "left").drop(key)
+               .withColumn(name, F.when(F.col(value).isNull(), null_rank.cast("int")).otherwise(F.col(name))))
+    return out
+
+
+def _ranks_one_by_one(df: DataFrame, specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    for value, name, descending in specs:
+        df = global_rank(df, value, name, descending)
+    return df
+
+
 def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quantile",
                    buckets: int | None = None) -> DataFrame:
     """One-row frame with ``percentile_disc(q)`` of ``value`` (nulls ignored).

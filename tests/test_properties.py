@@ -41,3 +41,19 @@ def test_exact_quantile_equals_percentile_disc(spark, values, q, buckets):
     df = spark.createDataFrame([(v,) for v in values], "v long")
     want = df.selectExpr(f"percentile_disc({q}) within group (order by v) as p").first().p
     assert exact_quantile(df, "v", q, buckets=buckets).first()[0] == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(min_value=0, max_value=9)),
+                          st.one_of(st.none(), st.sampled_from([0.5, 1.25, 2.0, 40.63, 99.99]))),
+                min_size=1, max_size=50),
+       st.booleans(), st.booleans())
+def test_global_ranks_equal_window_ranks(spark, pairs, desc_a, desc_b):
+    from lastmile.operators.ranking import global_ranks
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "id long, a long, b double")
+    oa = F.col("a").desc() if desc_a else F.col("a").asc()
+    ob = F.col("b").desc() if desc_b else F.col("b").asc()
+    want = {r.id: (r.ra, r.rb) for r in df.select(
+        "id", F.rank().over(Window.orderBy(oa)).alias("ra"), F.rank().over(Window.orderBy(ob)).alias("rb")).collect()}
+    got = {r.id: (r.ra, r.rb) for r in global_ranks(df, [("a", "ra", desc_a), ("b", "rb", desc_b)]).collect()}
+    assert got == want
