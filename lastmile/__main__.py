@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--vocab", choices=("en", "es"), default="en")
     parser.add_argument("--median", choices=("approx", "exact"), default="approx")
     parser.add_argument("--master", default=None)
+    parser.add_argument("--incremental", action="store_true",
+                        help="append new landing files to bronze (streaming, exactly once) instead of rebuilding it")
     parser.add_argument("--register", action="store_true",
                         help="expose every layer table in the catalog as <layer>.<table>")
     args = parser.parse_args(argv)
@@ -31,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.feed:
         land_feed(spark, args.feed, Layout(args.root))
     vocab = fixed.SPANISH if args.vocab == "es" else fixed.ENGLISH
-    result = run_layers(spark, args.root, args.median, vocab, register=args.register)
+    result = run_layers(spark, args.root, args.median, vocab, register=args.register,
+                        incremental=args.incremental)
     print(json.dumps(result, default=str))
 
 

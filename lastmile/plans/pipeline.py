@@ -68,6 +68,22 @@ def run_bronze(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fi
     return counts
 
 
+def run_bronze_incremental(spark: SparkSession, layout: Layout,
+                           vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int]:
+    """Append the landing files not ingested yet to bronze (Structured Streaming,
+    ``availableNow``): each file is ingested exactly once across runs, the stream
+    checkpoints live under the pipeline root."""
+    from lastmile.streaming.incremental import ingest_available
+    counts = {}
+    for kind, landing in (("shipments", layout.landing_shipments), ("couriers", layout.landing_couriers)):
+        counts[kind] = ingest_available(
+            spark, landing, layout.path("bronze", kind), layout.path("_checkpoints", f"bronze_{kind}"),
+            kind=kind, courier_fields=vocab.courier_fields)
+        if layout.register:
+            layers.register_layer(spark, "bronze", kind, layout.path("bronze", kind))
+    return counts
+
+
 def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx",
                vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int | float]:
     """Bronze -> clean couriers and clean, enriched shipments, with the step counts."""
@@ -152,10 +168,16 @@ def layer_inventory(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
-               vocab: fixed.Vocabulary = fixed.ENGLISH, register: bool = False) -> dict:
-    """Bronze -> silver -> gold -> export for files already in ``root``/landing."""
+               vocab: fixed.Vocabulary = fixed.ENGLISH, register: bool = False,
+               incremental: bool = False) -> dict:
+    """Bronze -> silver -> gold -> export for files already in ``root``/landing.
+
+    ``incremental``: bronze is appended with the landing files not seen before
+    (the rows returned are the rows appended by this run) instead of rebuilt;
+    silver and gold are rebuilt from the whole bronze either way.
+    """
     layout = Layout(root, register)
-    bronze = run_bronze(spark, layout, vocab)
+    bronze = run_bronze_incremental(spark, layout, vocab) if incremental else run_bronze(spark, layout, vocab)
     silver = run_silver(spark, layout, median_method, vocab)
     run_gold(spark, layout, vocab)
     run_export(spark, layout)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile import fixed, schemas
 from lastmile.operators.merge import latest_per_key
@@ -20,15 +21,20 @@ from lastmile.sources import layers
 
 
 def _landing_stream(spark: SparkSession, landing_dir: str, kind: str,
-                    max_files_per_trigger: int | None) -> DataFrame:
-    stream = spark.readStream
+                    max_files_per_trigger: int | None,
+                    courier_fields: tuple[str, ...] = fixed.COURIER_FIELDS) -> DataFrame:
+    # batches may land in sub-folders of the landing folder
+    stream = spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
     if kind == "shipments":
         reader = stream.schema(schemas.RAW_SHIPMENTS).option("header", True).csv(landing_dir)
         system = fixed.SHIPMENTS_SOURCE_SYSTEM
     elif kind == "couriers":
-        reader = stream.schema(schemas.RAW_COURIERS).json(landing_dir)
+        schema = T.StructType([T.StructField(f, T.StringType(), True) for f in courier_fields])
+        reader = stream.schema(schema).json(landing_dir).select(
+            *[F.col(src).alias(dst) for src, dst in zip(courier_fields, schemas.RAW_COURIER_COLUMNS)],
+            "_metadata")
         system = fixed.COURIERS_SOURCE_SYSTEM
     else:
         raise ValueError(f"unknown feed kind: {kind}")
@@ -40,13 +46,14 @@ def _landing_stream(spark: SparkSession, landing_dir: str, kind: str,
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
-                     kind: str = "shipments", max_files_per_trigger: int | None = None) -> int:
+                     kind: str = "shipments", max_files_per_trigger: int | None = None,
+                     courier_fields: tuple[str, ...] = fixed.COURIER_FIELDS) -> int:
     """Append every landing file not ingested yet to ``bronze_dir``; return rows appended.
 
     ``max_files_per_trigger`` cuts a large backlog into bounded micro-batches
     (``availableNow`` still stops when the backlog is done).
     """
-    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger).writeStream
+    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger, courier_fields).writeStream
              .format("parquet")
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append")

@@ -97,3 +97,20 @@ def test_pipeline_end_to_end(spark, scratch_dir):
     assert {r.tableName for r in spark.sql("SHOW TABLES IN gold").collect()} >= {"kpi_courier", "kpi_daily_city"}
     report = dict(layers.read_layer(spark, layout.path("gold", "silver_quality")).collect())
     assert report["silver_rows"] == 5915.0 and report["duplicates_removed"] == 116.0
+
+
+def test_incremental_pipeline_appends_new_files_once(spark, scratch_dir):
+    root = _dir(scratch_dir, "inc")
+    layout = pipeline.Layout(root)
+    feed = shipment_feed(spark, SF_SMALL)
+    files.write_shipments_csv(feed.where(F.col("status") == "DELIVERED"), os.path.join(layout.landing_shipments, "b1"))
+    files.write_couriers_json(courier_feed(spark, SF_SMALL), os.path.join(layout.landing_couriers, "b1"))
+    first = pipeline.run_layers(spark, root, "exact", incremental=True)
+    n_delivered = feed.where(F.col("status") == "DELIVERED").count()
+    assert first["bronze"] == {"shipments": n_delivered, "couriers": 10}
+    again = pipeline.run_layers(spark, root, "exact", incremental=True)
+    assert again["bronze"] == {"shipments": 0, "couriers": 0}      # nothing new, nothing appended
+    assert again["silver"]["raw_rows"] == n_delivered
+    files.write_shipments_csv(feed.where(F.col("status") != "DELIVERED"), os.path.join(layout.landing_shipments, "b2"))
+    last = pipeline.run_layers(spark, root, "exact", incremental=True)
+    assert last["silver"]["raw_rows"] == 6119 and last["silver"]["silver_rows"] == 5915
