@@ -10,10 +10,13 @@ def round2(value: Column, digits: int = 2) -> Column:
     """Round half-up to ``digits`` decimals through an exact decimal.
 
     Spark rounds a double half-up on its shortest decimal text; going through
-    ``decimal(38,8)`` first makes the tie rule explicit and keeps aggregates
+    ``decimal(18,8)`` first makes the tie rule explicit and keeps aggregates
     whose last bits depend on the summation order on the same side of a tie.
+    Precision 18 keeps the decimal in a 64-bit long (no BigDecimal per row);
+    it holds every value rounded here: hours between two valid timestamps
+    (< 1e8), percentages, ranks and means.
     """
-    return F.round(value.cast("decimal(38,8)"), digits).cast("double")
+    return F.round(value.cast("decimal(18,8)"), digits).cast("double")
 
 
 def ratio_pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:

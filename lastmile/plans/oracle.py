@@ -3,7 +3,7 @@
 Each text runs on the test tables registered as views (``lineitem``,
 ``orders``, ``customer``, ``supplier``, ...). The SQL is composed from the
 CTE blocks below: the dirty feed, the cleaning chain and the KPIs. Rounding
-goes through ``decimal(38,8)`` like the Spark side, so ties round the same
+goes through ``decimal(18,8)`` like the Spark side, so ties round the same
 way in both engines.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 
 def round2(x: str) -> str:
-    return f"cast(round(cast({x} as decimal(38,8)), 2) as double)"
+    return f"cast(round(cast({x} as decimal(18,8)), 2) as double)"
 
 
 def ratio(num: str, den: str) -> str:
