@@ -55,9 +55,9 @@ def median_frame(df: DataFrame, column: str = "weight", method: str = "approx",
                  q: float = fixed.MEDIAN_QUANTILE) -> DataFrame:
     """One-row frame ``median`` over the non-null values of ``column``.
 
-    ``approx``: ``stat.approxQuantile`` (tree-merged sketch, relative error as
-    given; one number); ``exact``: ``percentile_disc`` semantics, computed
-    without collecting the distinct values into one task.
+    ``approx``: KLL sketches merged in two levels (rank error about the
+    relative error given; one number); ``exact``: ``percentile_disc``
+    semantics, computed without collecting the distinct values into one task.
     """
     if method == "approx":
         return approx_quantile(df, column, q, relative_error, out="median")
@@ -72,7 +72,7 @@ def impute_median(df: DataFrame, column: str = "weight", method: str = "approx",
 
     ``exact``: the median is a one-row aggregate over a materialized
     histogram, used as a scalar subquery (no join). ``approx``: one number
-    from ``stat.approxQuantile``, used as a literal (as the batch notebook did).
+    from a two-level KLL sketch merge, used as a literal.
     """
     if method == "approx":
         found = approx_quantile_value(df.where(F.col(column).isNotNull()), column,

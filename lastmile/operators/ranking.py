@@ -176,16 +176,27 @@ def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quanti
 
 
 def approx_quantile_value(df: DataFrame, value: str, q: float = 0.5,
-                          relative_error: float = 0.01) -> float | None:
-    """Greenwald-Khanna quantile of the non-null values (a value of the data).
-
-    ``stat.approxQuantile`` merges the per-task sketches with a tree
-    aggregation, so no single task receives every partial sketch (a global
-    ``percentile_approx`` merges them all in one task). The result is one
-    number returned to the driver.
+                          relative_error: float = 0.01, fan_in: int = 1024) -> float | None:
+    """Approximate quantile of the non-null values: a value of the data whose rank
+    is within about ``relative_error`` of ``q``.
+
+    KLL sketches merged in two levels: one sketch per scan partition, merged in
+    ``fan_in`` groups across the cluster, then at most ``fan_in`` sketches merged
+    into one. A single global sketch aggregate (``percentile_approx``, and
+    ``stat.approxQuantile``, which Spark plans the same way) would send every
+    task's partial sketch to one task instead. The result is one number returned to the driver.
     """
-    found = df.stat.approxQuantile(value, [q], relative_error)
-    return found[0] if found else None
+    k = int(min(65535, max(8, -(-4 // relative_error))))
+    per_group = (df.where(F.col(value).isNotNull())
+                 .groupBy((F.spark_partition_id() % F.lit(fan_in)).alias("_group"))
+                 .agg(F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("_sketch")))
+    merged = per_group.agg(F.kll_merge_agg_double("_sketch", k).alias("_sketch"),
+                           F.count(F.lit(1)).alias("_groups"))
+    # no input rows: no group, and no sketch to read a quantile from
+    row = merged.select(F.when(F.col("_groups") > 0,
+                               F.kll_sketch_get_quantile_double("_sketch", F.lit(float(q))))
+                        .alias("q")).first()
+    return None if row is None else row["q"]
 
 
 def approx_quantile(df: DataFrame, value: str, q: float = 0.5, relative_error: float = 0.01,

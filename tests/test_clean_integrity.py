@@ -89,3 +89,14 @@ def test_orphans_plus_enriched_equals_input(spark):
     n_enriched = enrich_with_courier(dedup, cour).count()
     assert (n_orphans, n_enriched) == (58, 5915)
     assert n_orphans + n_enriched == dedup.count()
+
+
+def test_approx_median_is_close_to_exact(spark):
+    from lastmile.operators.ranking import approx_quantile_value, exact_quantile
+    weights = clean.filter_weight_range(clean.normalize_shipments(shipment_feed(spark, SF_SMALL)))
+    exact = exact_quantile(weights, "weight", 0.5).first()[0]
+    approx = approx_quantile_value(weights, "weight", 0.5, 0.01)
+    values = weights.where(F.col("weight").isNotNull())
+    n = values.count()
+    rank_of = lambda v: values.where(F.col("weight") <= v).count() / n
+    assert exact == 13.0 and abs(rank_of(approx) - rank_of(exact)) <= 0.02
