@@ -1,3 +1,5 @@
+import pytest
+
 from lastmile.plans import catalog
 from conftest import SF_SMALL
 
@@ -56,3 +58,14 @@ def test_quality_metrics_scan_the_fact_table_once(spark):
     plan = _plan(catalog.QUERIES["quality"](spark, SF_SMALL))
     # the median's histogram was materialized before; the counts are one pass
     assert plan.count("lineitem.parquet") == 1
+
+
+WRITES_FILES = {"csv_roundtrip", "json_roundtrip", "table_detail", "landing_inventory", "export_kpi_courier"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - WRITES_FILES))
+def test_every_query_has_only_bounded_single_partition_steps(spark, name):
+    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    for child in _single_partition_children(plan):
+        assert child.startswith("HashAggregate(keys=[], functions=[partial_") or \
+            (child.startswith("Scan ExistingRDD[") and ",n#" in child), (name, child)
