@@ -17,6 +17,7 @@ from lastmile import fixed
 from lastmile.functions import count_where
 from lastmile.operators import clean, enrich, kpi
 from lastmile.operators.clean import weight_in_range
+from lastmile.operators.merge import latest_per_key
 from lastmile.sources import files, layers
 from lastmile.sources.feed import courier_feed, shipment_feed
 
@@ -85,10 +86,16 @@ def run_bronze_incremental(spark: SparkSession, layout: Layout,
 
 
 def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx",
-               vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int | float]:
-    """Bronze -> clean couriers and clean, enriched shipments, with the step counts."""
+               vocab: fixed.Vocabulary = fixed.ENGLISH, latest_couriers: bool = False) -> dict[str, int | float]:
+    """Bronze -> clean couriers and clean, enriched shipments, with the step counts.
+
+    ``latest_couriers``: bronze was appended over several runs, so a courier
+    sent again keeps its most recently ingested record.
+    """
     bronze_ship = layers.read_layer(spark, layout.path("bronze", "shipments"))
     bronze_cour = layers.read_layer(spark, layout.path("bronze", "couriers"))
+    if latest_couriers:
+        bronze_cour = latest_per_key(bronze_cour, ["courier_id"], ["ingestion_timestamp"])
 
     couriers = clean.clean_couriers(bronze_cour, vocab.contract_canon)
     obs_cour = Observation("silver_couriers")
@@ -178,7 +185,7 @@ def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
     """
     layout = Layout(root, register)
     bronze = run_bronze_incremental(spark, layout, vocab) if incremental else run_bronze(spark, layout, vocab)
-    silver = run_silver(spark, layout, median_method, vocab)
+    silver = run_silver(spark, layout, median_method, vocab, latest_couriers=incremental)
     run_gold(spark, layout, vocab)
     run_export(spark, layout)
     return {"bronze": bronze, "silver": silver}

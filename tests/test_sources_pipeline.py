@@ -114,3 +114,20 @@ def test_incremental_pipeline_appends_new_files_once(spark, scratch_dir):
     files.write_shipments_csv(feed.where(F.col("status") != "DELIVERED"), os.path.join(layout.landing_shipments, "b2"))
     last = pipeline.run_layers(spark, root, "exact", incremental=True)
     assert last["silver"]["raw_rows"] == 6119 and last["silver"]["silver_rows"] == 5915
+
+
+def test_incremental_pipeline_keeps_the_latest_courier_record(spark, scratch_dir):
+    root = _dir(scratch_dir, "inc-couriers")
+    layout = pipeline.Layout(root)
+    couriers = courier_feed(spark, SF_SMALL)
+    files.write_shipments_csv(shipment_feed(spark, SF_SMALL), os.path.join(layout.landing_shipments, "b1"))
+    files.write_couriers_json(couriers, os.path.join(layout.landing_couriers, "b1"))
+    pipeline.run_layers(spark, root, "exact", incremental=True)
+    changed = couriers.where(F.col("courier_id") == "REP-00001").withColumn("vehicle", F.lit("E-BIKE"))
+    files.write_couriers_json(changed, os.path.join(layout.landing_couriers, "b2"))
+    result = pipeline.run_layers(spark, root, "exact", incremental=True)
+    assert result["bronze"]["couriers"] == 1
+    silver_couriers = layers.read_layer(spark, layout.path("silver", "couriers"))
+    assert silver_couriers.count() == 10
+    assert silver_couriers.where(F.col("courier_id") == "REP-00001").first().vehicle == "E-BIKE"
+    assert result["silver"]["silver_rows"] == 5915
