@@ -57,3 +57,26 @@ def test_global_ranks_equal_window_ranks(spark, pairs, desc_a, desc_b):
         "id", F.rank().over(Window.orderBy(oa)).alias("ra"), F.rank().over(Window.orderBy(ob)).alias("rb")).collect()}
     got = {r.id: (r.ra, r.rb) for r in global_ranks(df, [("a", "ra", desc_a), ("b", "rb", desc_b)]).collect()}
     assert got == want
+
+
+TEXT = st.text(alphabet=st.sampled_from(list("abcXYZ áÉñ\t-0")), max_size=12)
+
+
+def _initcap_trim(s):
+    """The city rule in plain Python: strip spaces only, lowercase, capitalise after each space."""
+    s = s.strip(" ").lower()
+    return " ".join(w[:1].upper() + w[1:] for w in s.split(" "))
+
+
+def _lpad5(s):
+    return s[:5] if len(s) >= 5 else "0" * (5 - len(s)) + s
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), TEXT), min_size=1, max_size=30))
+def test_city_and_zip_rules_match_their_statement(spark, values):
+    from lastmile.functions import canonical_city, pad_zip
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = df.orderBy("i").select(canonical_city(F.col("s")), pad_zip(F.col("s"))).collect()
+    want = [(None, None) if v is None else (_initcap_trim(v), _lpad5(v)) for v in values]
+    assert [tuple(r) for r in got] == want
