@@ -184,6 +184,19 @@ def q_silver(spark, sf_dir):
     return silver(spark, sf_dir)
 
 
+@query("transit_hours")
+def q_transit_hours(spark, sf_dir):
+    """Hours from pickup to delivery of every clean shipment (null when not delivered)."""
+    return silver(spark, sf_dir).select("tracking_id", "courier_id", "status", "pickup", "delivery",
+                                        "transit_hours")
+
+
+@query("on_time")
+def q_on_time(spark, sf_dir):
+    """SLA flag of every clean shipment: delivered within 24 h (bound included)."""
+    return silver(spark, sf_dir).select("tracking_id", "courier_id", "status", "pickup", "delivery", "on_time")
+
+
 @query("silver_approx_median")
 def q_silver_approx(spark, sf_dir):
     return silver(spark, sf_dir, median_method="approx")

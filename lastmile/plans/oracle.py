@@ -272,6 +272,8 @@ def sql_texts() -> dict[str, str]:
               c.contract, c.assigned_city, c.vehicle from dedup d join couriers c on d.courier_id = c.courier_id""",
                        base=up_to_dedup),
         "silver": _q(body="select * from silver"),
+        "transit_hours": _q(body="select tracking_id, courier_id, status, pickup, delivery, transit_hours from silver"),
+        "on_time": _q(body="select tracking_id, courier_id, status, pickup, delivery, on_time from silver"),
         "join_reconciliation": _q(body=f"""select *, pre_join_rows - post_join_rows = orphan_rows as reconciled from (
               select count(*) as pre_join_rows, cast(coalesce(sum(m), 0) as bigint) as post_join_rows,
                 {count_if('m is null')} as orphan_rows, coalesce(max(m) <= 1, true) as dimension_key_unique
