@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lastmile.llm import chat, mixing, url_filter
+from lastmile.llm import chat, mixing, packing, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_packing": packing.op1_packing,
         "op3_url_filter": url_filter.op3_url_filter,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op10_mixing": mixing.op10_mixing,
