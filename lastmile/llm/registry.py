@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lastmile.llm import chat, mixing, packing, url_filter
+from lastmile.llm import chat, jaccard_join, mixing, packing, url_filter
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_packing": packing.op1_packing,
         "op3_url_filter": url_filter.op3_url_filter,
         "op8_chat_formatting": chat.op8_chat_formatting,
+        "op9_jaccard_join": jaccard_join.op9_jaccard_join,
         "op10_mixing": mixing.op10_mixing,
     }
 
