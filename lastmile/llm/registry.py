@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from lastmile.llm import chat, jaccard_join, mixing, packing, url_filter
+from lastmile.llm import chat, jaccard_join, mixing, order_minhash, packing, quality, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_order_minhash": order_minhash.op2_order_minhash,
         "op3_url_filter": url_filter.op3_url_filter,
+        "op4_quality": quality.op4_quality,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_jaccard_join": jaccard_join.op9_jaccard_join,
         "op10_mixing": mixing.op10_mixing,

@@ -1,0 +1,94 @@
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from lastmile.llm import order_minhash as om
+
+SCHEMA = "doc_id long, text string, source string, key long"
+
+
+def by_id(frame):
+    return {r.doc_id: r for r in om.fingerprint_edits(frame).collect()}
+
+
+def test_edited_texts_and_neighbours(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = by_id(docs)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = sorted(texts)
+    fingerprints = {}
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        q = len(texts[i]) // 4
+        edited = texts[i][: len(texts[i]) - q] + texts[j][:q]
+        assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and got[i].n_chars == len(texts[i])
+        assert 0 <= got[i].near_edited <= 1 and len(got[i].fingerprint) == 256
+        assert fingerprints.setdefault(texts[i], got[i].fingerprint) == got[i].fingerprint
+        a, b = got[i].fingerprint, got[j].fingerprint
+        cut = [(a[k : k + 8], b[k : k + 8]) for k in range(0, 256, 8)]
+        used = [(x, y) for x, y in cut if (x, y) != ("-" * 8,) * 2]
+        assert abs(got[i].near_next - (sum(x == y for x, y in used) / len(used) if used else 1.0)) < 1e-12
+    long = [r for r in got.values() if r.n_chars > 500]
+    assert sum(r.near_edited > r.near_next for r in long) > 0.95 * len(long)
+
+
+def model(text, k=3, sketches=32, keep=2, spark=None):
+    """The method by hand, on hashes that Spark gives for the same inputs."""
+    import re
+
+    words = re.findall(r"\S{1,16}", text)
+    h = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()] if words else []
+    n = len(h)
+    kmers = [tuple(h[i : i + k]) for i in range(max(1, n - k + 1) if n else 0)]
+    return kmers
+
+
+def test_minimal_kmers_keep_text_order(spark):
+    """Slots against a plain Python version over the same hash function."""
+    rng = random.Random(4)
+    text = " ".join(rng.choice(["a", "b", "c", "dd", "ee"]) for _ in range(120))
+    kmers = model(text, spark=spark)
+    frame = spark.createDataFrame([(i, *k) for i, k in enumerate(kmers)], "i int, a long, b long, c long")
+    whole = {r.i: r.h for r in frame.select("i", F.xxhash64("a", "b", "c").alias("h")).collect()}
+    low = {i: h % (1 << 40) for i, h in whole.items()}
+    seen, numbered = {}, []
+    for i in range(len(kmers)):
+        numbered.append((i, low[i], seen.get(low[i], 0)))
+        seen[low[i]] = numbered[-1][2] + 1
+    mixed = spark.createDataFrame(numbered, "i int, h long, o int").select("i", F.xxhash64("h", "o").alias("m")).collect()
+    packed = {r.i: (r.m % (1 << 40)) for r in mixed}
+    slots = {}
+    for i, m in packed.items():
+        slots.setdefault(m >> 35, []).append((m if m < 1 << 39 else m - (1 << 40), i))
+    got = spark.createDataFrame([(text,)], "text string").select(om.slots(F.col("text")).alias("s")).first().s
+    for slot in range(32):
+        if slot not in slots:
+            assert got[slot] is None
+            continue
+        places = sorted(i for _, i in sorted(slots[slot])[:2])
+        want = spark.createDataFrame([([whole[i] for i in places],)], "x array<long>").select(F.hash("x").alias("h")).first().h
+        assert got[slot] == want
+
+
+def test_order_and_repetition_matter(spark):
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(words), " ".join(words[100:] + words[:100]), " ".join(words + words[:40]), " ".join(words[:199] + ["z"]), " ".join(f"v{k}" for k in range(200))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").select(om.slots(F.col("text"), keep=3).alias("s"))
+    rows = [r.s for r in frame.collect()]
+    like = [sum(a == b for a, b in zip(rows[0], r)) / 32 for r in rows]
+    assert like[0] == 1 and like[4] == 0
+    assert like[3] > 0.8  # one word changed
+    assert like[1] < like[3]  # halves swapped: same words, other order
+
+
+def test_edges(spark):
+    odd = [(3, None, None, 1), (1, "", None, 1), (2, "é", None, 1), (5, "x" * 70_000, None, 1), (9, "Ab " * 40_000, None, 1), (None, "null id", None, 1), (7, "same", "a", 1), (7, "same", "a", 1), (7, "other", "a", 1)]
+    frame = spark.createDataFrame(odd, SCHEMA)
+    rows = om.fingerprint_edits(frame).collect()
+    assert len(rows) == len(odd)
+    sha = {r.doc_id: r.edited_sha256 for r in rows}
+    assert sha[None] == hashlib.sha256(b"null id"[:6]).hexdigest()  # the next text is empty
+    assert sha[3] == hashlib.sha256(b"").hexdigest()
+    one = om.fingerprint_edits(spark.createDataFrame([(1, "a b c d", None, None)], SCHEMA)).first()
+    assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"a b c a").hexdigest()
+    assert om.fingerprint_edits(frame.limit(0)).count() == 0
