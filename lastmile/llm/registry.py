@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lastmile.llm import chat, jaccard_join, mixing, order_minhash, packing, quality, toxicity, url_filter
+from lastmile.llm import chat, jaccard_join, mixing, multi_index, order_minhash, packing, quality, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_order_minhash": order_minhash.op2_order_minhash,
         "op3_url_filter": url_filter.op3_url_filter,
         "op4_quality": quality.op4_quality,
+        "op5_multi_index": multi_index.op5_multi_index,
         "op6_toxicity": toxicity.op6_toxicity,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_jaccard_join": jaccard_join.op9_jaccard_join,
