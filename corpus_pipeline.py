@@ -1,11 +1,81 @@
-"""The corpus pipeline (stages are added as their operators are written)."""
+"""The corpus pipeline: raw documents to packed training sequences.
 
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
+last return the columns of ``docs``. ``run`` writes every stage's result as Parquet
+in the shared checkpoint folder and hands it, read again, to the next one, so a
+lost executor costs no more than the running stage.
+
+1. ``quality``: documents that the quality classifier rejects go.
+2. ``near_duplicates``: of the documents that near copies link, the one with the
+   smallest id stays. Near copies share 80 % of their five-word shingles.
+3. ``private_data``: personal data get surrogates.
+4. ``mixing``: sources are taken to their target weights, some documents twice.
+5. ``packing``: one row a piece of a document and its place in a sequence.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lastmile.llm import jaccard_join, mixing, packing, pii, quality
+from lastmile.llm.common import shared_folder, table
+
+#: SQL cannot express the classifier, the join and the packing; the tests compare
+#: every stage with a brute-force version instead.
 ORACLE_SQL = None
-STAGES = []
+#: Words of a shingle, and the similarity (a fraction) that makes two documents near copies.
+SHINGLE, SIMILARITY = 5, (80, 100)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of at least ``quality.KEEP_FROM``."""
+    scored = quality.score_quality(docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.where(F.col("score") >= quality.KEEP_FROM).select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id.
+
+    Documents without words and rows with a null id stay; of rows that share an
+    id with a group's first document all stay that have its text's shingles."""
+    groups = jaccard_join.jaccard_components(docs, SHINGLE, *SIMILARITY)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def private_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced."""
+    return pii.pseudonymise(docs).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each time that a document is taken."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the mixed documents and its place in a sequence."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicates_stage),
+    ("private_data", private_data_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the result of the last one."""
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -15,18 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def frozen(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which driver and executors share.
 
-    Used for frames without texts that several branches read. The folder is
-    ``spark.checkpoint.dir``; only where that is unset (tests) a folder beside
-    the warehouse, which a cluster shares as well, is set.
-    """
-    spark = df.sparkSession
+    It is ``spark.checkpoint.dir``; only where that is unset (tests) a folder
+    beside the warehouse, which a cluster shares as well, is set."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir().rstrip("/")
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    Used for frames without texts that several branches read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

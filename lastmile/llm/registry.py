@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lastmile.llm import chat, jaccard_join, mixing, multi_index, order_minhash, packing, quality, toxicity, url_filter
+from lastmile.llm import chat, jaccard_join, mixing, multi_index, order_minhash, packing, pii, quality, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_quality": quality.op4_quality,
         "op5_multi_index": multi_index.op5_multi_index,
         "op6_toxicity": toxicity.op6_toxicity,
+        "op7_pii": pii.op7_pii,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_jaccard_join": jaccard_join.op9_jaccard_join,
         "op10_mixing": mixing.op10_mixing,
