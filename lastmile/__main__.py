@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="pipeline root folder (shared on a cluster)")
     parser.add_argument("--feed", help="derive the raw feed from the test tables in this folder")
     parser.add_argument("--vocab", choices=("en", "es"), default="en")
-    parser.add_argument("--median", choices=("approx", "exact"), default="approx")
+    parser.add_argument("--median", choices=("approx", "exact"), default="exact")
     parser.add_argument("--master", default=None)
     parser.add_argument("--incremental", action="store_true",
                         help="append new landing files to bronze (streaming, exactly once) instead of rebuilding it")

@@ -41,11 +41,10 @@ SHIPMENT_KEY_COLUMNS = (
     "tracking_id", "pickup", "delivery", "city", "zip",
     "weight", "status", "courier_id", "client_type", "amount",
 )
-# Audit literals of the two raw sources.
+# Audit literals of the two raw sources: the names of their systems.
 SHIPMENTS_SOURCE_FILE = "shipments.csv"
-SHIPMENTS_SOURCE_SYSTEM = "tracking_system_v1"
-COURIERS_SOURCE_FILE = "couriers.json"
-COURIERS_SOURCE_SYSTEM = "hr_system_v2"
+SHIPMENTS_SOURCE_SYSTEM = "shipment_tracking"
+COURIERS_SOURCE_SYSTEM = "courier_registry"
 # Number of rows shown by a preview.
 PREVIEW_ROWS = 5
 # Length of the top lists.
@@ -54,8 +53,11 @@ TOP_COURIERS = 10
 # Field names of the courier JSON records, in the order of the raw courier columns.
 COURIER_FIELDS = ("courier_id", "first_name", "last_name", "hire_date",
                   "contract", "assigned_city", "vehicle", "phone")
-# Vocabulary of feeds written in Spanish: status values, contract canon and
-# courier JSON field names (shipment CSV columns are read by position).
+# Header names of the shipment CSV, in the order of the raw shipment columns.
+SHIPMENT_FIELDS = ("tracking_id", "pickup_raw", "delivery_raw", "city", "zip",
+                   "weight_raw", "status", "courier_id", "client_type", "amount_raw")
+# Vocabulary of feeds written in Spanish: status values, contract canon, field
+# names and the names of the source systems.
 SPANISH_STATUS = ("ENTREGADO", "INCIDENCIA", "DEVUELTO")
 SPANISH_CONTRACT_CANON = {
     "EMPLEADO": ("EMPLEADO", "EMP"),
@@ -63,18 +65,24 @@ SPANISH_CONTRACT_CANON = {
 }
 SPANISH_COURIER_FIELDS = ("repartidor_id", "nombre", "apellido", "fecha_alta",
                           "tipo_contrato", "ciudad_asignada", "vehiculo", "telefono")
+SPANISH_SHIPMENT_FIELDS = ("tracking_id", "fecha_recogida", "fecha_entrega", "ciudad", "codigo_postal",
+                           "peso_kg", "estado", "repartidor_id", "cliente_tipo", "importe_envio")
+SPANISH_SOURCE_SYSTEMS = ("sistema_tracking_v1", "sistema_rrhh_v2")
 # --- end of fixed values ----------------------------------------------------
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Values that name things in a feed: statuses, contract canon, JSON field names."""
+    """Values that name things in a feed: statuses, contract canon, field names, source systems."""
 
     delivered: str = STATUS_DELIVERED
     incident: str = STATUS_INCIDENT
     returned: str = STATUS_RETURNED
     contract_canon: dict = field(default_factory=lambda: dict(CONTRACT_CANON))
     courier_fields: tuple = COURIER_FIELDS
+    shipment_fields: tuple = SHIPMENT_FIELDS
+    shipments_system: str = SHIPMENTS_SOURCE_SYSTEM
+    couriers_system: str = COURIERS_SOURCE_SYSTEM
 
     @property
     def canonical_contracts(self) -> tuple:
@@ -83,4 +91,5 @@ class Vocabulary:
 
 ENGLISH = Vocabulary()
 SPANISH = Vocabulary(*SPANISH_STATUS, contract_canon=dict(SPANISH_CONTRACT_CANON),
-                     courier_fields=SPANISH_COURIER_FIELDS)
+                     courier_fields=SPANISH_COURIER_FIELDS, shipment_fields=SPANISH_SHIPMENT_FIELDS,
+                     shipments_system=SPANISH_SOURCE_SYSTEMS[0], couriers_system=SPANISH_SOURCE_SYSTEMS[1])

@@ -13,10 +13,12 @@ def round2(value: Column, digits: int = 2) -> Column:
     ``decimal(18,8)`` first makes the tie rule explicit and keeps aggregates
     whose last bits depend on the summation order on the same side of a tie.
     Precision 18 keeps the decimal in a 64-bit long (no BigDecimal per row);
-    it holds every value rounded here: hours between two valid timestamps
-    (< 1e8), percentages, ranks and means.
+    values from 1e9 on, which it might not hold, and non-finite ones are
+    rounded as doubles.
     """
-    return F.round(value.cast("decimal(18,8)"), digits).cast("double")
+    number = value.cast("double")
+    exact = F.round(value.try_cast("decimal(18,8)"), digits).cast("double")
+    return F.when(F.abs(number) < F.lit(1e9), exact).otherwise(F.round(number, digits))
 
 
 def ratio_pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:
@@ -32,9 +34,22 @@ def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
+#: Amounts from here on, in either direction, cannot be summed exactly.
+MONEY_LIMIT = 1e18
+
+
+def summable(amount: Column) -> Column:
+    """True for a finite amount that an exact sum can hold."""
+    return F.coalesce(~F.isnan(amount) & (F.abs(amount) < F.lit(MONEY_LIMIT)), F.lit(False))
+
+
 def money_sum(amount: Column, digits: int = 2) -> Column:
-    """Exact decimal sum of an amount, rounded half-up, returned as double."""
-    return F.round(F.sum(amount.cast("decimal(24,6)")), digits).cast("double")
+    """Exact decimal sum of an amount, rounded half-up, returned as double.
+
+    Amounts that are not :func:`summable` stay out of the sum; the quality table
+    counts them (``amount_not_summable``)."""
+    kept = F.when(summable(amount.cast("double")), amount.try_cast("decimal(24,6)"))
+    return F.round(F.try_sum(kept), digits).cast("double")
 
 
 def mean_rounded(value: Column, digits: int = 2) -> Column:

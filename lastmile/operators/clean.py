@@ -50,14 +50,15 @@ def filter_weight_range(df: DataFrame, column: str = "weight",
     return df.where(weight_in_range(F.col(column), low, high))
 
 
-def median_frame(df: DataFrame, column: str = "weight", method: str = "approx",
+def median_frame(df: DataFrame, column: str = "weight", method: str = "exact",
                  relative_error: float = fixed.MEDIAN_RELATIVE_ERROR,
                  q: float = fixed.MEDIAN_QUANTILE) -> DataFrame:
     """One-row frame ``median`` over the non-null values of ``column``.
 
-    ``approx``: KLL sketches merged in two levels (rank error about the
-    relative error given; one number); ``exact``: ``percentile_disc``
-    semantics, computed without collecting the distinct values into one task.
+    ``exact`` (default): ``percentile_disc`` semantics, computed without
+    collecting the distinct values into one task; equal at every run.
+    ``approx``: KLL sketches merged in two levels, a value whose rank error is
+    about the relative error given and which may differ between runs.
     """
     if method == "approx":
         return approx_quantile(df, column, q, relative_error, out="median")
@@ -66,7 +67,7 @@ def median_frame(df: DataFrame, column: str = "weight", method: str = "approx",
     raise ValueError(f"unknown median method: {method}")
 
 
-def impute_median(df: DataFrame, column: str = "weight", method: str = "approx",
+def impute_median(df: DataFrame, column: str = "weight", method: str = "exact",
                   relative_error: float = fixed.MEDIAN_RELATIVE_ERROR) -> DataFrame:
     """Replace nulls of ``column`` by its median.
 
@@ -107,7 +108,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .select(*df.columns))
 
 
-def clean_shipments(raw: DataFrame, median_method: str = "approx",
+def clean_shipments(raw: DataFrame, median_method: str = "exact",
                     keys: Sequence[str] = fixed.SHIPMENT_KEY_COLUMNS) -> DataFrame:
     """normalise -> range filter -> impute weight -> drop exact duplicates."""
     return (raw.transform(normalize_shipments)
@@ -118,7 +119,11 @@ def clean_shipments(raw: DataFrame, median_method: str = "approx",
 
 def clean_couriers(raw: DataFrame, canon: Mapping[str, Sequence[str]] = fixed.CONTRACT_CANON,
                    date_format: str = fixed.HIRE_DATE_FORMAT) -> DataFrame:
-    """Contract canon -> one row per courier id -> trimmed names/city -> hire date."""
+    """Contract canon -> one row per courier id -> trimmed names/city -> hire date.
+
+    The result is rebalanced: without an exchange between the aggregation by
+    courier id and a join on it, adaptive execution could not split the
+    shipments of a hot courier."""
     return (raw.withColumn("contract", canonical_contract(F.col("contract"), canon))
             .transform(lambda d: dedup_by_key(d, ["courier_id"]))
             .withColumns({
@@ -126,4 +131,5 @@ def clean_couriers(raw: DataFrame, canon: Mapping[str, Sequence[str]] = fixed.CO
                 "last_name": F.trim(F.col("last_name")),
                 "assigned_city": F.trim(F.col("assigned_city")),
                 "hire_date": parse_date(F.col("hire_date"), date_format),
-            }))
+            })
+            .hint("rebalance"))

@@ -42,7 +42,7 @@ def silver_projection(enriched: DataFrame, audit: bool = False) -> DataFrame:
     return enriched.select(*cols)
 
 
-def silver_shipments(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "approx",
+def silver_shipments(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "exact",
                      audit: bool = False, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """Raw shipments + clean couriers -> clean, enriched shipments (17 or 19 columns)."""
     keys = list(fixed.SHIPMENT_KEY_COLUMNS)

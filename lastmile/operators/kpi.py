@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lastmile import fixed, schemas
 from lastmile.functions import count_where, mean_rounded, money_sum, ratio_pct, with_time_dimensions
+from lastmile.operators.enrich import enrich_with_courier
 from lastmile.operators.ranking import composite_score, global_ranks, top_k
 from lastmile.session import materialize
 
@@ -42,16 +43,32 @@ def kpi_daily_city(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -
             .orderBy("day", "city"))
 
 
-def courier_aggregates(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+def _courier_measures(vocab: fixed.Vocabulary) -> list[Column]:
     total = F.count("tracking_id")
-    return silver.groupBy(*schemas.COURIER_KEYS).agg(
+    return [
         total.alias("shipments"),
         _status(vocab.delivered).alias("delivered"),
         _status(vocab.incident).alias("incidents"),
         ratio_pct(F.sum("on_time"), total).alias("sla_pct"),
         mean_rounded(F.col("transit_hours")).alias("avg_transit_h"),
         money_sum(F.col("amount")).alias("revenue"),
-    )
+    ]
+
+
+def courier_aggregates(silver: DataFrame, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+    """One row per courier of the written silver table."""
+    return silver.groupBy(*schemas.COURIER_KEYS).agg(*_courier_measures(vocab))
+
+
+def courier_aggregates_before_join(shipments: DataFrame, couriers: DataFrame,
+                                   vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+    """The same from clean shipments (with their delivery measures) and couriers.
+
+    Shipments are aggregated by courier id first (combined on the map side),
+    so the join sees one row per courier and no hot one."""
+    per_id = shipments.where(F.col("courier_id").isNotNull()).groupBy("courier_id").agg(*_courier_measures(vocab))
+    joined = enrich_with_courier(per_id, couriers)
+    return joined.select(*schemas.COURIER_KEYS, *[c for c in per_id.columns if c != "courier_id"])
 
 
 KPI_COURIER_COLUMNS = (
@@ -67,8 +84,13 @@ def kpi_courier(silver: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_
     The threshold applies before ranking; ranks are SQL ``rank()`` over the
     shipments count and over the rounded SLA %, both descending.
     """
+    return rank_couriers(courier_aggregates(silver, vocab), min_shipments)
+
+
+def rank_couriers(aggregates: DataFrame, min_shipments: int = fixed.MIN_SHIPMENTS_FOR_RANKING) -> DataFrame:
+    """Ranks and score of courier aggregates, couriers below the threshold left out."""
     # One row per courier, read by both ranks and the join back: computed once.
-    agg = materialize(courier_aggregates(silver, vocab).where(F.col("shipments") >= F.lit(min_shipments)))
+    agg = materialize(aggregates.where(F.col("shipments") >= F.lit(min_shipments)))
     ranked = global_ranks(agg, [("shipments", "volume_rank", True), ("sla_pct", "quality_rank", True)])
     return (ranked.withColumn("score", composite_score(F.col("volume_rank"), F.col("quality_rank")))
             .select(*KPI_COURIER_COLUMNS)

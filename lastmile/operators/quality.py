@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile import fixed
-from lastmile.functions import count_where, pad_zip, ratio_pct
+from lastmile.functions import count_where, pad_zip, ratio_pct, summable
 from lastmile.operators.clean import median_frame, normalize_shipments, weight_in_range
 from lastmile.operators.integrity import mark_orphans
 
@@ -33,11 +33,12 @@ def _raw_flags(norm: DataFrame) -> dict[str, F.Column]:
         "short_zip_padded": F.length(F.col("zip_raw")) < F.lit(fixed.ZIP_WIDTH),
         "bad_zip_length": F.length(pad_zip(F.col("zip_raw"))) != F.lit(fixed.ZIP_WIDTH),
         "decimal_comma_weight": F.instr(F.col("weight_raw"), ",") > 0,
+        "amount_not_summable": F.col("amount_raw").isNotNull() & ~summable(F.col("amount")),
         "null_weight_imputed": weight_in_range(F.col("weight")) & F.col("weight").isNull(),
     }
 
 
-def shipment_counts(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "approx") -> DataFrame:
+def shipment_counts(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "exact") -> DataFrame:
     """Every shipment count of the silver stage in one pass over the raw rows.
 
     The rows are grouped by the 10 cleaned business columns, as the dedup
@@ -89,7 +90,7 @@ def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame,
 
 
 def pipeline_counts(raw_shipments: DataFrame, raw_couriers: DataFrame, clean_couriers: DataFrame,
-                    median_method: str = "approx", vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+                    median_method: str = "exact", vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
     """One row with every count of the silver stage (shipments and couriers)."""
     c_raw, c_clean = _stage_couriers(raw_couriers, clean_couriers, vocab.canonical_contracts)
     # each subquery bound to one column first, so it runs once for both of its fields
@@ -111,7 +112,7 @@ def pipeline_counts(raw_shipments: DataFrame, raw_couriers: DataFrame, clean_cou
 
 QUALITY_CHECKS = (
     "raw_rows", "unparsed_pickup", "unparsed_delivery", "european_pickup", "city_fixed",
-    "short_zip_padded", "bad_zip_length", "decimal_comma_weight", "weight_out_of_range",
+    "short_zip_padded", "bad_zip_length", "decimal_comma_weight", "amount_not_summable", "weight_out_of_range",
     "null_weight_imputed", "duplicates_removed", "orphan_shipments", "null_weight_left",
     "null_delivery_kept", "silver_rows", "courier_raw_rows", "courier_duplicates_removed",
     "contract_variants_fixed", "null_phone_kept", "courier_rows",

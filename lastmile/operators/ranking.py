@@ -1,23 +1,19 @@
 """Global ranks and exact quantiles without a single-partition window.
 
 ``rank().over(Window.orderBy(...))`` moves every row to one task. Here the
-work is split into distributed steps:
+work is split into distributed steps, the same ones at every size:
 
 1. histogram: ``groupBy(value).count()`` (partial aggregation, so a value
    held by a third of all rows costs one row per map task);
 2. range buckets: ``repartitionByRange`` over the distinct values (sampled
    bounds, binary search per value); the partition id is the bucket;
-3. per-bucket totals (at most ``B`` rows) give the count of rows before
+3. per-bucket totals (one row a partition) give the count of rows before
    each bucket;
 4. inside a bucket a window partitioned by the bucket adds the running count.
 
-When the (materialized) histogram has few distinct values, steps 2-4 are one
-ordered window over it: the distinct count is checked first, so the single
-window task is bounded.
-
-Result: for every distinct value the exact number of rows ``<=`` it. Ranks
-and ``percentile_disc`` follow from that number; the ranks are joined back to
-the rows on the value (null-safe equality).
+Result: for every distinct value, in its own type, the exact number of rows up
+to it. Ranks and ``percentile_disc`` follow from that number; the ranks are
+joined back to the rows on the value (null-safe equality).
 """
 
 from __future__ import annotations
@@ -26,63 +22,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lastmile.functions.numeric import round2
 from lastmile.session import materialize
 
-# Largest number of distinct values one window task may order.
-SINGLE_WINDOW_LIMIT = 100_000
+# Largest KLL sketch parameter; a finer error bound goes to the exact path.
+KLL_MAX_K = 65535
 
 
 def value_histogram(df: DataFrame, value: str) -> DataFrame:
-    """One row per distinct non-null value with its row count ``n``."""
-    return df.select(value).where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    """One row per distinct value (null included) with its row count ``n``."""
+    return df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def cumulative_counts(hist: DataFrame, value: str, buckets: int | None = None,
-                      window_limit: int = SINGLE_WINDOW_LIMIT) -> DataFrame:
-    """Add ``cum_le`` (rows with a value <= this one) and ``total`` to a histogram.
+def cumulative_counts(hist: DataFrame, order: Column, buckets: int | None = None) -> DataFrame:
+    """Add ``cum_le`` (rows up to this value in ``order``) and ``total`` to a histogram.
 
-    ``hist`` has one row per distinct value and a count column ``n``. It is
-    materialized first: the steps below read it more than once, and its
-    lineage (the scan and aggregation of the large input) must run once.
-    With at most ``window_limit`` distinct values (counted on the
-    materialized histogram) one ordered window does the prefix sum; above
-    that the values are cut into range buckets of about ``window_limit``
-    values each, so no task ever holds more than that.
+    ``hist`` has one row per distinct value and a count column ``n``. It is cut
+    into range buckets (``spark.sql.shuffle.partitions`` of them unless given)
+    and materialized with its bucket: the totals and the running counts must
+    see the same buckets, and the scan and aggregation behind the histogram run
+    once. No task holds more than the distinct values of its bucket.
     """
-    return _cumulative_counts(hist, value, buckets, window_limit)[0]
-
-
-def _cumulative_counts(hist: DataFrame, value: str, buckets: int | None,
-                       window_limit: int) -> tuple[DataFrame, int]:
-    """:func:`cumulative_counts` plus the number of distinct values."""
-    hist = materialize(hist)
-    distinct = hist.count()
-    if buckets is None and distinct <= window_limit:
-        upto = Window.orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
-        return hist.select("*", F.sum("n").over(upto).alias("cum_le"),
-                           F.sum("n").over(Window.partitionBy()).alias("total")), distinct
-    if buckets is None:
-        buckets = max(2, -(-distinct // window_limit) * 2)
-    # Range buckets: Spark's range partitioner samples the values and places each
-    # one by binary search; equal values share a partition and partition ids follow
-    # the value order. The partition id is pinned as the bucket by materializing.
-    bucketed = materialize(hist.repartitionByRange(buckets, F.col(value))
-                           .withColumn("_bucket", F.spark_partition_id()))
-    v = F.col(value)
-    # At most `buckets` rows: safe to order globally and to broadcast.
+    ranged = hist.repartitionByRange(buckets, order) if buckets else hist.repartitionByRange(order)
+    bucketed = materialize(ranged.withColumn("_bucket", F.spark_partition_id()))
     totals = bucketed.groupBy("_bucket").agg(F.sum("n").alias("_bucket_n"))
+    # one row a bucket
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_bucket",
         F.coalesce(F.sum("_bucket_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_bucket_n").over(Window.partitionBy()).alias("total"))
-    running = Window.partitionBy("_bucket").orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
-    return (bucketed.join(F.broadcast(offsets), "_bucket")
-            .withColumn("cum_le", F.col("_before") + F.sum("n").over(running))
-            .drop("_bucket", "_before")), distinct
+    running = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    counted = bucketed.withColumn("_running", F.sum("n").over(running))
+    return (counted.join(offsets, "_bucket")
+            .withColumn("cum_le", F.col("_before") + F.col("_running"))
+            .drop("_bucket", "_before", "_running"))
 
 
 def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
@@ -90,77 +65,21 @@ def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     """Add ``out`` = SQL ``rank()`` over ``value`` (ties share, gaps follow).
 
     Descending order puts nulls last, ascending puts them first (Spark's
-    defaults for ``desc`` and ``asc``). ``df`` is read three times (histogram,
-    null count, join back): pass a materialized frame when it is expensive.
+    defaults for ``desc`` and ``asc``). ``df`` is read twice (histogram and join
+    back): pass a materialized frame when it is expensive.
     """
-    hist, distinct = _cumulative_counts(value_histogram(df, value), value, buckets, SINGLE_WINDOW_LIMIT)
-    nulls = df.where(F.col(value).isNull()).agg(F.count(F.lit(1)).alias("_nulls"))
-    if descending:
-        rank = F.lit(1) + F.col("total") - F.col("cum_le")
-    else:
-        rank = F.lit(1) + F.col("cum_le") - F.col("n") + nulls.scalar()
-    ranks = hist.select(F.col(value).alias("_rank_value"), rank.cast("int").alias(out))
-    if distinct <= SINGLE_WINDOW_LIMIT:
-        # counted above: at most SINGLE_WINDOW_LIMIT (value, rank) rows, safe to broadcast
-        ranks = F.broadcast(ranks)
-    joined = df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "left").drop("_rank_value")
-    if descending:
-        non_null = df.where(F.col(value).isNotNull()).agg(F.count(F.lit(1)).alias("_nn"))
-        null_rank = (F.lit(1) + non_null.scalar()).cast("int")
-    else:
-        null_rank = F.lit(1)
-    return joined.withColumn(out, F.when(F.col(value).isNull(), null_rank).otherwise(F.col(out)))
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+    cum = cumulative_counts(value_histogram(df, value), order, buckets)
+    ranks = cum.select(F.col(value).alias("_rank_value"),
+                       (F.col("cum_le") - F.col("n") + 1).cast("int").alias(out))
+    return df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "left").drop("_rank_value")
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str, bool]],
-                 window_limit: int = SINGLE_WINDOW_LIMIT) -> DataFrame:
-    """Several ``rank()`` columns at once: ``specs`` = [(value, out, descending), ...].
-
-    For numeric columns one tagged histogram serves all of them (values as
-    double, exact for integers below 2**53): one materialization, one
-    per-tag count (at most ``len(specs)`` rows) and one null-count aggregate.
-    Each tag's prefix sums are one window partitioned by the tag, bounded by
-    the per-tag count checked first; each rank table is broadcast back on its
-    value. Other column types, or a histogram above ``window_limit`` values,
-    go through :func:`global_rank` one column at a time.
-    """
-    numeric = all(isinstance(df.schema[v].dataType, T.NumericType) for v, _, _ in specs)
-    if len(specs) < 2 or not numeric:
-        return _ranks_one_by_one(df, specs)
-    tagged = (df.select(F.explode(F.array(*[
-                F.struct(F.lit(i).alias("_tag"), F.col(v).cast("double").alias("_v"))
-                for i, (v, _, _) in enumerate(specs)])).alias("_t"))
-              .select("_t._tag", "_t._v").where(F.col("_v").isNotNull()))
-    hist = materialize(tagged.groupBy("_tag", "_v").agg(F.count(F.lit(1)).alias("n")))
-    per_tag = {r["_tag"]: r["count"] for r in hist.groupBy("_tag").count().collect()}
-    if per_tag and max(per_tag.values()) > window_limit:
-        return _ranks_one_by_one(df, specs)
-    upto = Window.partitionBy("_tag").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = hist.select("*", F.sum("n").over(upto).alias("cum_le"),
-                      F.sum("n").over(Window.partitionBy("_tag")).alias("total"))
-    counts = df.agg(F.struct(*[F.count(v).alias(f"nn{i}") for i, (v, _, _) in enumerate(specs)],
-                             *[F.count_if(F.col(v).isNull()).alias(f"nulls{i}")
-                               for i, (v, _, _) in enumerate(specs)]).alias("c")).scalar()
-    out = df
-    for i, (value, name, descending) in enumerate(specs):
-        if descending:
-            rank = F.lit(1) + F.col("total") - F.col("cum_le")
-            null_rank = F.lit(1) + counts[f"nn{i}"]
-        else:
-            rank = F.lit(1) + F.col("cum_le") - F.col("n") + counts[f"nulls{i}"]
-            null_rank = F.lit(1)
-        key = f"_rank_value_{i}"
-        # at most `window_limit` rows per tag (counted above): safe to broadcast
-        ranks = F.broadcast(cum.where(F.col("_tag") == i)
-                            .select(F.col("_v").alias(key), rank.cast("int").alias(name)))
-        out = (out.join(ranks, out[value].cast("double").eqNullSafe(ranks[key]), "left").drop(key)
-               .withColumn(name, F.when(F.col(value).isNull(), null_rank.cast("int")).otherwise(F.col(name))))
-    return out
-
-
-def _ranks_one_by_one(df: DataFrame, specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
+    """Several ``rank()`` columns: ``specs`` = [(value, out, descending), ...]."""
     for value, name, descending in specs:
-        df = global_rank(df, value, name, descending)
+        df = global_rank(df, value, name, descending, buckets)
     return df
 
 
@@ -170,11 +89,21 @@ def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quanti
 
     The smallest value whose cumulative share of rows reaches ``q``.
     """
-    hist = cumulative_counts(value_histogram(df, value), value, buckets)
-    return (hist.where(F.col("cum_le") >= F.lit(q) * F.col("total"))
+    hist = value_histogram(df.select(value).where(F.col(value).isNotNull()), value)
+    cum = cumulative_counts(hist, F.col(value).asc(), buckets)
+    return (cum.where(F.col("cum_le") >= F.lit(q) * F.col("total"))
             .agg(F.min(value).alias(out)))
 
 
+def quantile_share(df: DataFrame, value: str, found: float | None) -> DataFrame:
+    """One row: ``below`` and ``upto``, the shares of the non-null values below and
+    up to ``found`` (null without values). A quantile's rank error follows from them."""
+    rows = df.where(F.col(value).isNotNull())
+    share = lambda cond: F.try_divide(F.count_if(cond), F.count(F.lit(1)))
+    at = F.lit(found).cast("double")
+    return rows.agg(share(F.col(value) < at).alias("below"), share(F.col(value) <= at).alias("upto"))
+
+
 def approx_quantile_value(df: DataFrame, value: str, q: float = 0.5,
                           relative_error: float = 0.01, fan_in: int = 1024) -> float | None:
     """Approximate quantile of the non-null values: a value of the data whose rank
@@ -185,8 +114,14 @@ def approx_quantile_value(df: DataFrame, value: str, q: float = 0.5,
     into one. A single global sketch aggregate (``percentile_approx``, and
     ``stat.approxQuantile``, which Spark plans the same way) would send every
     task's partial sketch to one task instead. The result is one number returned to the driver.
+
+    A sketch compacts with random bits, so the value can differ between runs
+    (within the bound). An error bound finer than a sketch can hold, 0
+    included, is met by the exact quantile.
     """
-    k = int(min(65535, max(8, -(-4 // relative_error))))
+    if relative_error * KLL_MAX_K < 4:
+        return exact_quantile(df, value, q).first()["quantile"]
+    k = int(max(8, -(-4 // relative_error)))
     per_group = (df.where(F.col(value).isNotNull())
                  .groupBy((F.spark_partition_id() % F.lit(fan_in)).alias("_group"))
                  .agg(F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("_sketch")))

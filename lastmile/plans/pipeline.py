@@ -19,6 +19,7 @@ from lastmile.operators import clean, enrich, kpi
 from lastmile.operators.clean import weight_in_range
 from lastmile.operators.merge import latest_per_key
 from lastmile.sources import files, layers
+from lastmile.streaming.incremental import current_bronze, ingest_available
 from lastmile.sources.feed import courier_feed, shipment_feed
 
 
@@ -60,9 +61,12 @@ def land_feed(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
 def run_bronze(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int]:
     """Raw files -> bronze tables (no business change, audit columns added)."""
     counts = {}
-    for name, frame in (("shipments", files.ingest_shipments(spark, layout.landing_shipments)),
-                        ("couriers", files.ingest_couriers(spark, layout.landing_couriers,
-                                                           field_names=vocab.courier_fields))):
+    for name in ("shipments", "couriers"):
+        path = layout.path("bronze", name)
+        if layers.is_stream_table(spark, path):
+            raise ValueError(f"{path} is appended by the incremental job; rebuild it in a root of its own")
+    for name, frame in (("shipments", files.ingest_shipments(spark, layout.landing_shipments, vocab=vocab)),
+                        ("couriers", files.ingest_couriers(spark, layout.landing_couriers, vocab=vocab))):
         obs = Observation(f"bronze_{name}")
         layout.write(frame.observe(obs, F.count(F.lit(1)).alias("rows")), "bronze", name)
         counts[name] = obs.get["rows"]
@@ -74,27 +78,30 @@ def run_bronze_incremental(spark: SparkSession, layout: Layout,
     """Append the landing files not ingested yet to bronze (Structured Streaming,
     ``availableNow``): each file is ingested exactly once across runs, the stream
     checkpoints live under the pipeline root."""
-    from lastmile.streaming.incremental import ingest_available
     counts = {}
     for kind, landing in (("shipments", layout.landing_shipments), ("couriers", layout.landing_couriers)):
         counts[kind] = ingest_available(
             spark, landing, layout.path("bronze", kind), layout.path("_checkpoints", f"bronze_{kind}"),
-            kind=kind, courier_fields=vocab.courier_fields)
+            kind=kind, vocab=vocab)
         if layout.register:
             layers.register_layer(spark, "bronze", kind, layout.path("bronze", kind))
     return counts
 
 
-def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx",
-               vocab: fixed.Vocabulary = fixed.ENGLISH, latest_couriers: bool = False) -> dict[str, int | float]:
+def run_silver(spark: SparkSession, layout: Layout, median_method: str = "exact",
+               vocab: fixed.Vocabulary = fixed.ENGLISH, appended: bool = False) -> dict[str, int | float]:
     """Bronze -> clean couriers and clean, enriched shipments, with the step counts.
 
-    ``latest_couriers``: bronze was appended over several runs, so a courier
-    sent again keeps its most recently ingested record.
+    ``appended``: bronze was appended over several runs, so a courier sent
+    again keeps its most recently ingested record and a resent shipment file
+    counts once. The counts are observed while the layers are written; a map
+    task that is rerun after the loss of an executor can count twice there, so
+    the rows of the written tables are what the yield is taken from.
     """
-    bronze_ship = layers.read_layer(spark, layout.path("bronze", "shipments"))
+    bronze_ship = (current_bronze(spark, layout.path("bronze", "shipments")) if appended
+                   else layers.read_layer(spark, layout.path("bronze", "shipments")))
     bronze_cour = layers.read_layer(spark, layout.path("bronze", "couriers"))
-    if latest_couriers:
+    if appended:
         bronze_cour = latest_per_key(bronze_cour, ["courier_id"], ["ingestion_timestamp"])
 
     couriers = clean.clean_couriers(bronze_cour, vocab.contract_canon)
@@ -118,7 +125,8 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
     keys = list(fixed.SHIPMENT_KEY_COLUMNS)
     imputed = (clean.filter_weight_range(observed)
                .withColumn("weight", F.coalesce(F.col("weight"), F.lit(median))))
-    dedup = clean.drop_exact_duplicates(imputed.select(*keys, "ingestion_timestamp"), keys)
+    # of exact copies the first ingestion counts, whatever the order of tasks
+    dedup = imputed.groupBy(*keys).agg(F.min("ingestion_timestamp").alias("ingestion_timestamp"))
     obs_dedup = Observation("dedup")
     dedup = dedup.observe(obs_dedup, F.count(F.lit(1)).alias("dedup_rows"))
     silver = (enrich.enrich_with_courier(dedup, couriers)
@@ -130,6 +138,7 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "approx
     metrics: dict[str, int | float] = {"median_weight": median}
     for obs in (obs_raw, obs_dedup, obs_silver):
         metrics.update(obs.get)
+    metrics["silver_rows"] = layers.row_count(spark, layout.path("silver", "shipments"))
     metrics["in_range_rows"] = metrics["raw_rows"] - metrics["weight_out_of_range"]
     metrics["duplicates_removed"] = metrics["in_range_rows"] - metrics["dedup_rows"]
     metrics["orphan_shipments"] = metrics["dedup_rows"] - metrics["silver_rows"]
@@ -174,7 +183,7 @@ def layer_inventory(spark: SparkSession, layout: Layout) -> DataFrame:
     return layer_row_counts(tables)
 
 
-def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
+def run_layers(spark: SparkSession, root: str, median_method: str = "exact",
                vocab: fixed.Vocabulary = fixed.ENGLISH, register: bool = False,
                incremental: bool = False) -> dict:
     """Bronze -> silver -> gold -> export for files already in ``root``/landing.
@@ -185,13 +194,13 @@ def run_layers(spark: SparkSession, root: str, median_method: str = "approx",
     """
     layout = Layout(root, register)
     bronze = run_bronze_incremental(spark, layout, vocab) if incremental else run_bronze(spark, layout, vocab)
-    silver = run_silver(spark, layout, median_method, vocab, latest_couriers=incremental)
+    silver = run_silver(spark, layout, median_method, vocab, appended=incremental)
     run_gold(spark, layout, vocab)
     run_export(spark, layout)
     return {"bronze": bronze, "silver": silver}
 
 
-def run_all(spark: SparkSession, sf_dir: str, root: str, median_method: str = "approx",
+def run_all(spark: SparkSession, sf_dir: str, root: str, median_method: str = "exact",
             register: bool = False) -> dict:
     """Land the feed derived from the test tables, then run every layer."""
     land_feed(spark, sf_dir, Layout(root))

@@ -17,8 +17,14 @@ RAW_COURIER_COLUMNS = (
 )
 AUDIT_COLUMNS = ("ingestion_timestamp", "source_file", "source_system")
 
-RAW_SHIPMENTS = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_SHIPMENT_COLUMNS])
-RAW_COURIERS = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COURIER_COLUMNS])
+
+def text_schema(names) -> T.StructType:
+    """Every column a nullable string."""
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+
+
+RAW_SHIPMENTS = text_schema(RAW_SHIPMENT_COLUMNS)
+RAW_COURIERS = text_schema(RAW_COURIER_COLUMNS)
 
 # Column order of the clean, enriched shipment table (without the two audit columns).
 SILVER_SHIPMENT_COLUMNS = (

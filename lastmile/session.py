@@ -12,9 +12,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
@@ -55,19 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a local session (tests, single-machine runs) gets a private
-    scratch folder when the setting is missing; a cluster session without it
-    is an error, since a machine-local folder would not survive the loss of
-    an executor.
+    is. Where it is unset (tests, single-machine runs) a folder of the
+    warehouse is used, which driver and executors share as well; never a
+    machine-local temporary folder.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
-        configured = tempfile.mkdtemp(prefix="lastmile-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 

@@ -1,16 +1,17 @@
 """Raw file sources: shipments as CSV with header, couriers as JSON Lines.
 
-Both are read with an explicit all-string schema (no inference job, no
-``_corrupt_record`` column, stable column order) and stamped with audit
-columns. ``source_file`` is the real file name from the scan metadata unless
-a literal is given.
+Every column is read as a string (no inference of types, no ``_corrupt_record``
+column, stable column order) and stamped with audit columns. Landing folders are
+read with their sub-folders. CSV columns are found by their header names: the
+order is taken from a file of the folder, and a file whose header differs from it
+makes the read fail instead of swapping columns. ``source_file`` is the real file
+name from the scan metadata unless a literal is given.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lastmile import fixed, schemas
 
@@ -25,11 +26,34 @@ def audit_stamp(df: DataFrame, source_system: str, source_file: str | None = Non
     })
 
 
-def read_shipments_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header, UTF-8, every column a string; empty field -> null."""
-    return (spark.read.schema(schemas.RAW_SHIPMENTS)
-            .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-            .csv(path))
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Header of a landing folder of CSV files (the first line of one file is read).
+
+    An empty folder is an error: it must not replace a layer by nothing."""
+    return spark.read.options(**CSV_OPTIONS).csv(path).columns
+
+
+#: Header line, UTF-8, sub-folders too; a differing header fails the read.
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "mode": "PERMISSIVE", "recursiveFileLookup": "true", "enforceSchema": "false"}
+
+
+def _checked_header(found: list[str], wanted: tuple[str, ...]) -> list[str]:
+    missing = [c for c in wanted if c not in found]
+    if missing:
+        raise ValueError(f"the CSV header lacks {missing}; it has {found}")
+    return found
+
+
+def read_shipments_csv(spark: SparkSession, path: str,
+                       field_names: tuple[str, ...] = fixed.SHIPMENT_FIELDS) -> DataFrame:
+    """Shipments by header name, every column a string; empty field -> null.
+
+    ``field_names`` are the header names in the order of the raw shipment
+    columns (e.g. ``fixed.SPANISH_SHIPMENT_FIELDS``); further columns are left out.
+    """
+    header = _checked_header(csv_header(spark, path), field_names)
+    df = spark.read.schema(schemas.text_schema(header)).options(**CSV_OPTIONS).csv(path)
+    return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in zip(field_names, schemas.RAW_SHIPMENT_COLUMNS)])
 
 
 def read_couriers_json(spark: SparkSession, path: str,
@@ -40,18 +64,19 @@ def read_couriers_json(spark: SparkSession, path: str,
     columns (e.g. ``fixed.SPANISH_COURIER_FIELDS``); they are renamed to the
     pipeline's column names.
     """
-    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in field_names])
-    df = spark.read.schema(schema).option("multiLine", False).json(path)
+    df = (spark.read.schema(schemas.text_schema(field_names)).option("multiLine", False)
+          .option("recursiveFileLookup", True).json(path))
     return df.select(*[F.col(src).alias(dst) for src, dst in zip(field_names, schemas.RAW_COURIER_COLUMNS)])
 
 
-def ingest_shipments(spark: SparkSession, path: str, source_file: str | None = None) -> DataFrame:
-    return audit_stamp(read_shipments_csv(spark, path), fixed.SHIPMENTS_SOURCE_SYSTEM, source_file)
+def ingest_shipments(spark: SparkSession, path: str, source_file: str | None = None,
+                     vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+    return audit_stamp(read_shipments_csv(spark, path, vocab.shipment_fields), vocab.shipments_system, source_file)
 
 
 def ingest_couriers(spark: SparkSession, path: str, source_file: str | None = None,
-                    field_names: tuple[str, ...] = fixed.COURIER_FIELDS) -> DataFrame:
-    return audit_stamp(read_couriers_json(spark, path, field_names), fixed.COURIERS_SOURCE_SYSTEM, source_file)
+                    vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
+    return audit_stamp(read_couriers_json(spark, path, vocab.courier_fields), vocab.couriers_system, source_file)
 
 
 def write_shipments_csv(df: DataFrame, path: str) -> None:

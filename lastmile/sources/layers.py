@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from lastmile import fixed
 
 
+#: Most rows of an export into a single file.
+SINGLE_FILE_ROWS = 1_000_000
+
+
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
@@ -40,14 +44,33 @@ def register_layer(spark: SparkSession, layer: str, table: str, path: str) -> st
     return name
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file exists, in any file system that Spark reads."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def is_stream_table(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is written by a stream (its sink keeps a log there)."""
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+
+
+def row_count(spark: SparkSession, path: str) -> int:
+    """Rows of a layer table; 0 where there is none yet."""
+    return read_layer(spark, path).count() if path_exists(spark, path) else 0
+
+
 def export_csv(df: DataFrame, path: str, order: Sequence[Column] = (), single_file: bool = False) -> None:
     """CSV export with header, comma, UTF-8, LF, values unquoted unless needed.
 
-    A global sort keeps the order across the part files; ``single_file``
-    is meant for KPI tables that are small by construction.
+    A global sort keeps the order across the part files. ``single_file`` is
+    for KPI tables that are small by construction; more than
+    ``SINGLE_FILE_ROWS`` rows are an error rather than one huge task.
     """
     out = df.orderBy(*order) if order else df
     if single_file:
+        if not df.offset(SINGLE_FILE_ROWS).isEmpty():
+            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: export them as several files")
         out = out.coalesce(1)
     (out.write.mode("overwrite").option("header", True).option("quoteAll", False)
      .option("lineSep", "\n").option("encoding", "UTF-8").csv(path))

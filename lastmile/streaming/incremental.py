@@ -13,63 +13,67 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lastmile import fixed, schemas
-from lastmile.operators.merge import latest_per_key
-from lastmile.sources import layers
+from lastmile.sources import files, layers
 
 
 def _landing_stream(spark: SparkSession, landing_dir: str, kind: str,
-                    max_files_per_trigger: int | None,
-                    courier_fields: tuple[str, ...] = fixed.COURIER_FIELDS) -> DataFrame:
+                    max_files_per_trigger: int | None, vocab: fixed.Vocabulary) -> DataFrame:
     # batches may land in sub-folders of the landing folder
     stream = spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
     if kind == "shipments":
-        reader = stream.schema(schemas.RAW_SHIPMENTS).option("header", True).csv(landing_dir)
-        system = fixed.SHIPMENTS_SOURCE_SYSTEM
+        header = files._checked_header(files.csv_header(spark, landing_dir), vocab.shipment_fields)
+        reader = stream.schema(schemas.text_schema(header)).options(**files.CSV_OPTIONS).csv(landing_dir)
+        names, columns, system = vocab.shipment_fields, schemas.RAW_SHIPMENT_COLUMNS, vocab.shipments_system
     elif kind == "couriers":
-        schema = T.StructType([T.StructField(f, T.StringType(), True) for f in courier_fields])
-        reader = stream.schema(schema).json(landing_dir).select(
-            *[F.col(src).alias(dst) for src, dst in zip(courier_fields, schemas.RAW_COURIER_COLUMNS)],
-            "_metadata")
-        system = fixed.COURIERS_SOURCE_SYSTEM
+        reader = stream.schema(schemas.text_schema(vocab.courier_fields)).json(landing_dir)
+        names, columns, system = vocab.courier_fields, schemas.RAW_COURIER_COLUMNS, vocab.couriers_system
     else:
         raise ValueError(f"unknown feed kind: {kind}")
-    return reader.withColumns({
-        "ingestion_timestamp": F.current_timestamp(),
-        "source_file": F.col("_metadata.file_name"),
-        "source_system": F.lit(system),
-    })
+    return reader.select(
+        *[F.col(f"`{src}`").alias(dst) for src, dst in zip(names, columns)],
+        F.current_timestamp().alias("ingestion_timestamp"), F.col("_metadata.file_name").alias("source_file"),
+        F.lit(system).alias("source_system"))
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
                      kind: str = "shipments", max_files_per_trigger: int | None = None,
-                     courier_fields: tuple[str, ...] = fixed.COURIER_FIELDS) -> int:
+                     vocab: fixed.Vocabulary = fixed.ENGLISH) -> int:
     """Append every landing file not ingested yet to ``bronze_dir``; return rows appended.
 
     ``max_files_per_trigger`` cuts a large backlog into bounded micro-batches
-    (``availableNow`` still stops when the backlog is done).
+    (``availableNow`` still stops when the backlog is done). The rows are counted
+    in the committed table (from its footers), however many batches there were.
+    A table that the batch job wrote is refused: its rows are not in the sink's
+    log, and readers would lose them.
     """
-    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger, courier_fields).writeStream
+    if layers.path_exists(spark, bronze_dir) and not layers.is_stream_table(spark, bronze_dir):
+        raise ValueError(f"{bronze_dir} was written by the batch job; append to a root of its own")
+    before = layers.row_count(spark, bronze_dir)
+    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger, vocab).writeStream
              .format("parquet")
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append")
              .trigger(availableNow=True)
              .start(bronze_dir))
     query.awaitTermination()
-    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+    return layers.row_count(spark, bronze_dir) - before
 
 
 def current_bronze(spark: SparkSession, bronze_dir: str,
                    keys=schemas.RAW_SHIPMENT_COLUMNS) -> DataFrame:
-    """Bronze as appended, one row per raw record (the latest ingestion wins).
+    """Bronze as appended, each raw record as often as in the last file that holds it.
 
-    A file landed twice (a resend) then counts once. Exact copies inside one
-    feed collapse too, which the silver stage would remove anyway (equal raw
-    rows are equal after cleaning).
+    A file landed twice (a resend) then counts once, while copies inside one
+    file stay (the funnel counts them). Both steps are aggregates combined on
+    the map side.
     """
+    keys = list(keys)
     bronze = layers.read_layer(spark, bronze_dir)
-    return latest_per_key(bronze.drop("source_file"), keys, order_by=["ingestion_timestamp"])
+    per_file = bronze.groupBy(*keys, "ingestion_timestamp", "source_file", "source_system").agg(F.count(F.lit(1)).alias("n"))
+    last = per_file.groupBy(*keys).agg(F.max(F.struct("ingestion_timestamp", "source_file", "source_system", "n")).alias("last"))
+    return last.select(*keys, "last.ingestion_timestamp", "last.source_file", "last.source_system",
+                       F.explode(F.sequence(F.lit(1), F.col("last.n"))).alias("copy")).drop("copy")

@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
-from lastmile.fixed import SHIPMENT_KEY_COLUMNS  # noqa: E402
+from lastmile.plans import catalog  # noqa: E402
 
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = {name: text for name, text in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -43,25 +44,13 @@ def test_entry_runs(spark):
     assert df.columns[:4] == ["day", "year", "month", "city"]
 
 
-def test_every_query_is_registered_with_oracle_or_known_exception(spark):
-    no_sql = set(entry.queries()) - set(SQL)
-    assert no_sql <= {"median_weight_approx", "impute_median_approx", "silver_approx_median",
-                      "table_detail", "landing_inventory"}
+def test_every_query_is_registered_with_oracle():
+    assert set(QUERIES) == set(SQL) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
-def test_queries_without_sql_run_with_a_stable_schema(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    rows = df.collect()
-    assert len(rows) >= 1
-    expected = {
-        "median_weight_approx": ["median"],
-        "impute_median_approx": list(SHIPMENT_KEY_COLUMNS),
-        "table_detail": ["format", "name", "num_files", "size_in_bytes"],
-        "landing_inventory": ["path", "length"],
-    }
-    if name in expected:
-        assert df.columns == expected[name]
-    if name == "silver_approx_median":
-        from lastmile.schemas import SILVER_SHIPMENT_COLUMNS
-        assert df.columns == list(SILVER_SHIPMENT_COLUMNS)
+@pytest.mark.parametrize("name,columns", [
+    ("kpi_daily", ["day", "city"]), ("silver_cities", ["city"]), ("contract_values", ["contract"]),
+    ("kpi_courier", ["score", "courier_id"]), ("export_kpi_courier", ["score", "courier_id"])])
+def test_sorted_queries_are_sorted(spark, name, columns):
+    got = [tuple((v is not None, v) for v in r) for r in QUERIES[name](spark, SF_SMALL).select(*columns).collect()]
+    assert got == sorted(got) and got

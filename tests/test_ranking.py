@@ -45,3 +45,42 @@ def test_top_k_tie_break(spark):
     df = spark.createDataFrame([("b", 3), ("a", 3), ("c", 5), ("d", 1)], "k string, n long")
     got = [r.k for r in top_k(df, 3, F.desc("n"), F.asc("k")).collect()]
     assert got == ["c", "a", "b"]
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_ranks_keep_the_type_of_the_value(spark, buckets):
+    """Longs above 2^53 and decimals that would tie as doubles."""
+    from decimal import Decimal
+
+    from lastmile.operators.ranking import global_ranks
+    big = 2**53
+    df = spark.createDataFrame([(big + k, Decimal(big) + Decimal(k) / 100) for k in range(6)] + [(None, None), (big, None)], "a long, b decimal(20,2)")
+    got = global_ranks(df, [("a", "ra", True), ("b", "rb", False)], buckets).collect()
+    for r in got:
+        others = [x.a for x in got if x.a is not None]
+        assert r.ra == (1 + sum(x > r.a for x in others) if r.a is not None else 1 + len(others))
+        low = [x.b for x in got]
+        assert r.rb == (1 if r.b is None else 1 + sum(x is None or x < r.b for x in low))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranks_against_sql_on_random_values(spark, seed):
+    rnd = random.Random(seed)
+    df = spark.createDataFrame([(k, rnd.choice([None, 1.5, float("nan"), 2.0, -0.0, 0.0, rnd.random()])) for k in range(200)], "id long, v double")
+    for descending in (True, False):
+        order = F.desc("v") if descending else F.asc("v")
+        want = {r.id: r.w for r in df.select("id", F.rank().over(Window.orderBy(order)).alias("w")).collect()}
+        assert {r.id: r.rk for r in global_rank(df, "v", "rk", descending).collect()} == want
+
+
+def test_fine_error_bounds_are_exact(spark):
+    from lastmile.operators.ranking import approx_quantile_value
+    df = spark.range(1, 1002).select(F.col("id").cast("double").alias("v"))
+    assert approx_quantile_value(df, "v", 0.5, 0) == 501.0 == approx_quantile_value(df, "v", 0.5, 1e-6)
+    assert abs(approx_quantile_value(df, "v", 0.5, 0.01) - 501) <= 15
+
+
+def test_building_a_quantile_reads_its_input_once(spark):
+    """Two calls on the same rows give the same value."""
+    df = _data(spark)
+    assert len({exact_quantile(df, "v").first()[0] for _ in range(3)}) == 1

@@ -81,3 +81,46 @@ def test_hot_key_dedup_and_merge(spark):
     hot = [(v, x) for k, v, x in rows if k == "HOT"]
     assert latest["HOT"] == max(hot) and smallest["HOT"] == min(hot)
     assert len(latest) == len(smallest) == 1 + len([i for i in range(900) if i % 3])
+
+
+def _hot_tables(spark, n=6000):
+    """Raw-like couriers (through the cleaning step) and shipments, a third on one id."""
+    raw = spark.range(41).selectExpr(
+        "if(id = 0, 'REP-HOT', concat('REP-', lpad(cast(id as string), 3, '0'))) as courier_id", "'N' as first_name", "'L' as last_name",
+        "'2020-01-02' as hire_date", "'employee' as contract", "'Madrid' as assigned_city", "'VAN' as vehicle", "'1' as phone")
+    ship = spark.range(n).selectExpr(
+        "concat('T', id) as tracking_id", "timestamp'2024-01-01 08:00:00' as pickup",
+        "timestamp'2024-01-01 08:00:00' + make_interval(0, 0, 0, 0, cast(5 + id % 30 as int)) as delivery", "'Madrid' as city", "'28001' as zip",
+        "cast(1 + id % 7 as double) as weight", "if(id % 5 = 0, 'INCIDENT', 'DELIVERED') as status",
+        "if(id % 3 = 0, 'REP-HOT', if(id % 97 = 1, 'REP-NONE', concat('REP-', lpad(cast(1 + id % 40 as string), 3, '0')))) as courier_id",
+        "'PERSON' as client_type", "10.0D as amount")
+    return ship, clean.clean_couriers(raw)
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_level_joins_split_a_hot_courier(spark):
+    ship, couriers = _hot_tables(spark)
+    with no_broadcast(spark):
+        for frame in (enrich.enrich_with_courier(ship, couriers), integrity.orphans(ship, couriers), integrity.mark_orphans(ship, couriers),
+                      integrity.quarantine(ship, couriers), integrity.join_reconciliation(ship, couriers),
+                      kpi.kpi_daily_city(enrich.enrich_with_courier(ship, couriers).transform(enrich.with_delivery_measures))):
+            assert "skew=true" in _final_plan(frame)
+
+
+def test_courier_aggregates_and_orphan_ids_join_one_row_per_courier(spark):
+    ship, couriers = _hot_tables(spark)
+    measured = enrich.with_delivery_measures(ship)
+    before = kpi.courier_aggregates_before_join(measured, couriers)
+    silver = enrich.enrich_with_courier(ship, couriers).transform(enrich.with_delivery_measures)
+    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, kpi.courier_aggregates(silver).select(before.columns).collect()))
+    with no_broadcast(spark):
+        for frame in (before, integrity.orphan_ids(ship, couriers)):
+            lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            join = next(k for k, line in enumerate(lines) if "Join" in line)
+            left = next(line for line in lines[join + 1:] if "Aggregate" in line or "Range" in line)
+            assert "Aggregate" in left  # shipments are aggregated below the join
+        assert [r.courier_id for r in integrity.orphan_ids(ship, couriers).collect()] == ["REP-NONE"]
