@@ -18,8 +18,9 @@ corpus, is drawn again with the next attempt number for all but one of them, unt
 none is left. Entities that needed another attempt are joined to the documents
 that mention them; all others are computed where they are found.
 
-Scale. Texts are scanned twice and not shuffled (unless entities were drawn again:
-then documents meet their few exceptions in an ordinary join). The entity table is
+Scale. Texts are scanned twice. Documents meet their exceptions, if there are any,
+in a join whose small side is a written table of known size: Spark broadcasts it
+below its threshold, and shuffles the texts once beyond it. The entity table is
 aggregated before its shuffle, so an address in a third of all documents is one
 row a task.
 
@@ -34,13 +35,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import frozen, table, with_text
+from lastmile.llm.common import frozen, shared_folder, table, with_text
 
 KEY = "surrogates"
 FOUND = "doc_id long, type string, value string"
@@ -338,12 +340,15 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
         return pa.array(out, pa.struct([("text", pa.string()), ("entities", pa.list_(pa.struct([("type", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))]))
 
     rewritten = F.arrow_udf(rewrite, f"struct<text:string,entities:{SPANS}>")
-    exception = F.struct("type", "value", "attempt")
     if again.isEmpty():
-        other = F.lit(None).cast("array<struct<type:string,value:string,attempt:int>>")
-        joined = docs.withColumn("__other", other)
+        joined = docs.withColumn("__other", F.lit(None).cast("array<struct<type:string,value:string,attempt:int>>"))
     else:
-        lists = found.join(again, ["type", "value"]).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(exception).alias("__other"))
+        # written, so that Spark knows its size and shuffles texts only if it is large
+        path = f"{shared_folder(docs.sparkSession)}/exceptions-{uuid.uuid4().hex}"
+        lists = found.join(again, ["type", "value"]).groupBy(F.col("doc_id").alias("__id")).agg(
+            F.collect_list(F.struct("type", "value", "attempt")).alias("__other"))
+        lists.write.parquet(path)
+        lists = docs.sparkSession.read.parquet(path)
         joined = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
     done = joined.withColumn("__new", rewritten(F.col("text").cast("string"), F.col("__other"))).withColumn("entities", F.col("__new.entities"))
     changed = with_text(done, F.col("__new.text"))
