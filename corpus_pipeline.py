@@ -3,7 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 last return the columns of ``docs``. ``run`` writes every stage's result as Parquet
 in the shared checkpoint folder and hands it, read again, to the next one, so a
-lost executor costs no more than the running stage.
+lost executor costs no more than the running stage; files of a stage are removed
+when the next one's are complete.
 
 1. ``quality``: documents that the quality classifier rejects go.
 2. ``near_duplicates``: of the documents that near copies link, the one with the
@@ -74,8 +75,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of the last one."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # a stage's result goes once the next one's is written
+            done = spark._jvm.org.apache.hadoop.fs.Path(before)
+            done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
+        before = path
     return docs
