@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile.llm import jaccard_join, mixing, packing, pii, quality
-from lastmile.llm.common import shared_folder, table
+from lastmile.llm.common import ready, shared_folder, table
 
 #: SQL cannot express the classifier, the join and the packing; the tests compare
 #: every stage with a brute-force version instead.
@@ -63,11 +63,11 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality", quality_stage),
-    ("near_duplicates", near_duplicates_stage),
-    ("private_data", private_data_stage),
-    ("mixing", mixing_stage),
-    ("packing", packing_stage),
+    ("quality", ready(quality_stage)),
+    ("near_duplicates", ready(near_duplicates_stage)),
+    ("private_data", ready(private_data_stage)),
+    ("mixing", ready(mixing_stage)),
+    ("packing", ready(packing_stage)),
 ]
 
 

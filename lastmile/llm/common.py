@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import lastmile
+
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed
 #: and carriage return (Java regular expression).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,6 +22,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package, wherever they run.
+
+    The zipped sources go to the shared folder, from where Spark hands them to
+    every executor, once an application. A package that was itself sent to the
+    driver as a zip is known to the workers."""
+    context = spark.sparkContext
+    root = Path(lastmile.__file__).parent
+    if context.applicationId in _sent or not root.is_dir():
+        return
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lastmile.zip")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    stream.write(held.getvalue())
+    stream.close()
+    context.addPyFile(path.toString())
+    _sent.add(context.applicationId)
+
+
+def ready(query):
+    """``query`` with the package sent to the workers before it runs."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest):
+        send_package(spark)
+        return query(spark, *rest)
+
+    return run
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder, which driver and executors share.
 

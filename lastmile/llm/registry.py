@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from lastmile.llm import chat, jaccard_join, mixing, multi_index, order_minhash, packing, pii, quality, toxicity, url_filter
+from lastmile.llm.common import ready
 
 
 def queries() -> dict:
-    return {
+    found = {
         "op1_packing": packing.op1_packing,
         "op2_order_minhash": order_minhash.op2_order_minhash,
         "op3_url_filter": url_filter.op3_url_filter,
@@ -18,11 +19,11 @@ def queries() -> dict:
         "op9_jaccard_join": jaccard_join.op9_jaccard_join,
         "op10_mixing": mixing.op10_mixing,
     }
+    return {name: ready(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict:
     return {
         "op3_url_filter": url_filter.OP3_SQL,
-        
         "op10_mixing": mixing.OP10_SQL,
     }
