@@ -43,8 +43,8 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Documents without words and rows with a null id stay; of rows that share an
     id with a group's first document all stay that have its text's shingles."""
     groups = jaccard_join.jaccard_components(docs, SHINGLE, *SIMILARITY)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def private_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import io
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -70,6 +71,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 

@@ -35,14 +35,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import frozen, shared_folder, table, with_text
+from lastmile.llm.common import frozen, scratch, table, with_text
 
 KEY = "surrogates"
 FOUND = "doc_id long, type string, value string"
@@ -344,7 +343,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
         joined = docs.withColumn("__other", F.lit(None).cast("array<struct<type:string,value:string,attempt:int>>"))
     else:
         # written, so that Spark knows its size and shuffles texts only if it is large
-        path = f"{shared_folder(docs.sparkSession)}/exceptions-{uuid.uuid4().hex}"
+        path = scratch(docs.sparkSession, "exceptions")
         lists = found.join(again, ["type", "value"]).groupBy(F.col("doc_id").alias("__id")).agg(
             F.collect_list(F.struct("type", "value", "attempt")).alias("__other"))
         lists.write.parquet(path)

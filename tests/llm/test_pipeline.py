@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline as cp
@@ -102,7 +103,7 @@ def test_edges(spark, tmp_path):
     odd = [(1, None, None, None, None, 1), (2, "", "en", "s", 0, 1), (None, "a b c d e f", None, "s", None, 1), (3, "one two three " * 20_000, "en", "s", 9, 1), (4, "a b c d e f", "en", "t", 9, 1), (4, "a b c d e f", "en", "t", 9, 1)]
     labels = spark.createDataFrame([(3, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
-    frame = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long, score int")
+    frame = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long, score int").withColumn("gone", F.lit(1)).withColumn("doc", F.lit("d"))
     for empty in (False, True):
         docs = frame.limit(0) if empty else frame
         for k, (name, stage) in enumerate(cp.STAGES):
