@@ -74,7 +74,10 @@ def _counts(spark, sf_dir) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder beside the checkpoints; its files go when the session ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()
 
 
 # --- raw feeds ----------------------------------------------------------------
