@@ -335,12 +335,14 @@ def block_links(frame: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _cluster_links(runs: DataFrame, sets: DataFrame, clusters: DataFrame, num: int, den: int) -> DataFrame:
+def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int) -> DataFrame:
     """Links inside the clusters of long runs, block pair by block pair."""
-    held = sets.join(clusters, "node").withColumn("n", F.size("tokens"))
-    sizes = clusters.join(sets.select("node", F.size("tokens").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-    sizes = sizes.select(F.col("cluster").alias("of"), F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    dealt = held.join(sizes, F.col("cluster") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    counted = clusters.join(sets.select("node", F.size("tokens").alias("n")), "node")
+    sizes = counted.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("total")).select(
+        F.col("cluster").alias("of"), F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    # clusters learn their number of blocks without their sets, which are only dealt by node
+    named = clusters.join(sizes, F.col("cluster") == F.col("of")).drop("of")
+    dealt = sets.join(named, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     partner = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     grouped = partner.select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -379,7 +381,7 @@ def jaccard_links(docs: DataFrame, width=4, num=85, den=100) -> tuple[DataFrame,
         checked = checked.join(sets.select(F.col("node").alias(x), F.col("tokens").alias(f"t{x}")), x)
     common = F.size(F.array_intersect("ta", "tb"))
     checked = checked.where(common * den >= (F.size("ta") + F.size("tb") - common) * num).select("a", "b")
-    return signed, nodes, checked.unionByName(_cluster_links(long_runs, sets, clusters, num, den))
+    return signed, nodes, checked.unionByName(_cluster_links(sets, clusters, num, den))
 
 
 def jaccard_components(docs: DataFrame, width=4, num=85, den=100) -> DataFrame:
