@@ -58,15 +58,32 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, rf"([<\[])\\(\\*)({_TAIL})", r"$1$2$3")
 
 
-def _numbered(conversations: DataFrame) -> DataFrame:
+def _turns(conversations: DataFrame) -> DataFrame:
+    """The four columns; null roles and texts are empty."""
+    return conversations.select(
+        F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _piece_text(role: Column, text: Column) -> Column:
+    """A turn in the template."""
+    return F.concat(_opening(role), escape(text), F.lit(END + "\n"))
+
+
+def _heads(rows: DataFrame) -> DataFrame:
+    """System turns that open a conversation, formatted (one row a conversation)."""
+    first = rows.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("first")).where("first.role = 'system'")
+    return first.select(
+        F.col("conv_id").alias("head_conv"), _piece_text(F.col("first.role"), F.col("first.text")).alias("head_text"),
+        (F.regexp_count("first.text", F.lit(TOKEN)) + TURN_TOKENS).alias("head_tokens"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
     """Rows with ``pos`` (0, 1, ...), ``tokens`` and ``before``, the tokens of
     earlier rows of the conversation, its system turn left out."""
-    rows = conversations.select(
-        F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumns({"block": F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))),
                              "tokens": F.regexp_count("text", F.lit(TOKEN)) + TURN_TOKENS})
     order = (F.col("turn").asc_nulls_first(), F.col("role"), F.col("text"))
-    first = F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("turn"), "role", "tokens", "text")
+    first = F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("turn"), "role", "tokens")
     blocks = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("sum"), F.min(first).alias("first"))
     along = Window.partitionBy("conv_id").orderBy("block")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -92,23 +109,25 @@ def format_conversations(conversations: DataFrame, budget=1024, history=128, res
     ``formatted``: the escaped assistant texts to learn) and ``tokens``.
     """
     step = F.greatest(F.lit(MIN_STEP), F.lit(budget - history - reserve) - F.col("head"))
-    turns = _numbered(conversations).withColumn("step", step).withColumn("window", F.floor(F.col("before") / F.col("step")))
+    rows = _turns(conversations)
+    turns = _numbered(rows).withColumn("step", step).withColumn("window", F.floor(F.col("before") / F.col("step")))
     opening = _opening(F.col("role"))
     body = escape(F.col("text"))
     learnt = F.col("role") == "assistant"
     piece = F.struct(
-        F.col("pos"), F.lit(False).alias("repeat"), F.concat(opening, body, F.lit(END + "\n")).alias("text"),
+        F.col("pos"), F.lit(False).alias("repeat"), _piece_text(F.col("role"), F.col("text")).alias("text"),
         F.length(opening).alias("skip"), F.when(learnt, F.length(body)).alias("learn"), F.col("tokens").alias("tokens"))
-    turns = turns.withColumns({"piece": piece, "is_head": (F.col("pos") == 0) & (F.col("role") == "system")})
-    own = turns.select("conv_id", "window", "piece")
-    # the next window repeats a turn if what lies between its start and the boundary fits
-    fits = ~F.col("is_head") & ((F.col("window") + 1) * F.col("step") - F.col("before") <= history) & (F.col("before") + F.col("tokens") <= (F.col("window") + 1) * F.col("step"))
-    again = turns.where(fits).select("conv_id", (F.col("window") + 1).alias("window"), F.col("piece").withField("repeat", F.lit(True)).withField("learn", F.lit(None).cast("int")).alias("piece"))
-    windows = own.unionByName(again).groupBy("conv_id", "window").agg(
+    # a turn goes to its own window, and to the next one if it and what lies between it and the boundary fit
+    boundary = (F.col("window") + 1) * F.col("step")
+    is_head = (F.col("pos") == 0) & (F.col("role") == "system")
+    fits = ~is_head & (boundary - F.col("before") <= history) & (F.col("before") + F.col("tokens") <= boundary)
+    again = F.when(fits, F.struct((F.col("window") + 1).alias("window"), F.col("piece").withField("repeat", F.lit(True)).withField("learn", F.lit(None).cast("int")).alias("piece")))
+    places = F.filter(F.array(F.struct("window", "piece"), again), lambda place: place.isNotNull())
+    placed = turns.withColumn("piece", piece).select("conv_id", F.explode(places).alias("place")).select("conv_id", "place.window", "place.piece")
+    windows = placed.groupBy("conv_id", "window").agg(
         F.array_sort(F.collect_list("piece")).alias("pieces"), F.count_if(~F.col("piece.repeat")).alias("own"))
-    heads = turns.where("is_head").select(F.col("conv_id").alias("head_conv"), F.col("piece.text").alias("head_text"), F.col("tokens").alias("head_tokens"))
     windows = windows.where("own > 0").join(
-        heads, F.col("conv_id").eqNullSafe(F.col("head_conv")) & (F.col("window") > 0), "left")
+        _heads(rows), F.col("conv_id").eqNullSafe(F.col("head_conv")) & (F.col("window") > 0), "left")
     head = F.coalesce("head_text", F.lit(""))
     start = F.struct(F.length(head).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("loss"))
 
