@@ -19,21 +19,26 @@ SCHEMA = "part int, counts binary"
 
 
 def parts_of(counts: np.ndarray) -> pa.RecordBatch:
-    """The parts of a task's counts (unsigned 64-bit) that are not zero."""
+    """The parts of a task's counts (unsigned 32-bit) that are not zero."""
     rows = [(k, zlib.compress(counts[at : at + PART].tobytes(), 1)) for k, at in enumerate(range(0, len(counts), PART)) if counts[at : at + PART].any()]
     return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "counts"])
 
 
-def _add(frame: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(zlib.decompress(x), np.uint64) for x in frame["counts"])
-    return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+def _adder(kind):
+    """Sums the parts of a group, whose numbers are of ``kind``, as 64-bit numbers."""
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(x), kind).astype(np.uint64) for x in frame["counts"])
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+    return add
 
 
 def total(counted: DataFrame, size: int) -> np.ndarray:
-    """Sum of what the tasks of ``counted`` (``SCHEMA``) have counted."""
-    some = counted.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("part", "some").applyInPandas(_add, SCHEMA)
+    """Sum of what the tasks of ``counted`` (``SCHEMA``) have counted, 64-bit numbers."""
+    some = counted.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("part", "some").applyInPandas(_adder(np.uint32), SCHEMA)
     out = np.zeros(size, np.uint64)
-    for row in some.groupBy("part").applyInPandas(_add, SCHEMA).collect():
+    for row in some.groupBy("part").applyInPandas(_adder(np.uint64), SCHEMA).collect():
         part = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
         out[row["part"] * PART : row["part"] * PART + len(part)] = part
     return out

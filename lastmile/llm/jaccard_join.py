@@ -49,12 +49,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm import words
+from lastmile.llm import counters, words
 from lastmile.llm.common import frozen, table
 from lastmile.llm.components import components
 
-#: Bits of the hashed token counters, and of the part that one row holds.
-COUNTER_BITS, PART_BITS = 22, 14
+#: Bits of the hashed token counters.
+COUNTER_BITS = 22
 #: Level (twice the binary logarithm of the excess) from which a token is frequent.
 FREQUENT = 16
 #: Nodes of a run up to which its pairs become rows.
@@ -75,43 +75,17 @@ def _tokens(texts: pa.Array, width: int):
 
 def token_levels(docs: DataFrame, width: int) -> np.ndarray:
     """Level of each counter (one byte each, 4 MB): all documents are counted."""
-    parts = 1 << (COUNTER_BITS - PART_BITS)
 
     def count(batches):
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
-        held, size = [], 0
-
-        def add():
-            nonlocal held, size
-            if held:
-                counts[:] += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
-            held, size = [], 0
-
         for batch in batches:
             for _, token, _ in _tokens(batch.column(0), width):
-                held.append((token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
-                size += len(token)
-                if size > 1 << 21:
-                    add()
-        add()
-        rows = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(np.split(counts, parts)) if part.any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "counts"])
-
-    def add_up(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(1 << PART_BITS, np.uint32)
-        for x in frame["counts"]:
-            total += np.frombuffer(zlib.decompress(x), np.uint32)
-        return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
-
-    counted = docs.select("text").mapInArrow(count, "part int, counts binary").withColumn("some", F.pmod(F.spark_partition_id(), F.lit(16)))
-    some = counted.groupBy("part", "some").applyInPandas(add_up, "part int, counts binary")
-    whole = some.groupBy("part").applyInPandas(add_up, "part int, counts binary")
-    totals = np.zeros((parts, 1 << PART_BITS), np.uint32)
-    for row in whole.collect():  # at most 256 rows, 16 MB
-        totals[row.part] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
+                np.add.at(counts, (token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
+        yield counters.parts_of(counts)
+
+    totals = counters.total(docs.select("text").mapInArrow(count, counters.SCHEMA), 1 << COUNTER_BITS)
     usual = np.median(totals)
-    excess = np.maximum(0, totals.ravel() - (usual + 3 * np.sqrt(usual)))
+    excess = np.maximum(0, totals - (usual + 3 * np.sqrt(usual)))
     return np.floor(2 * np.log2(1 + excess)).astype(np.uint8)
 
 

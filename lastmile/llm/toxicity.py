@@ -60,13 +60,13 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     """Letter trigrams of all texts (blanks and other signs are boundaries)."""
 
     def count(batches):
-        counts = np.zeros(TRIGRAMS, np.uint64)
+        counts = np.zeros(TRIGRAMS, np.uint32)
         for batch in batches:
             for span in words.spans(batch.column(0)):
                 if len(span.data) < 3:
                     continue
                 s = _SYMBOL[words.LOWER[span.data]].astype(np.int32)
-                counts += np.bincount((s[:-2] << 12) | (s[1:-1] << 6) | s[2:], minlength=TRIGRAMS).astype(np.uint64)
+                counts += np.bincount((s[:-2] << 12) | (s[1:-1] << 6) | s[2:], minlength=TRIGRAMS).astype(np.uint32)
         yield counters.parts_of(counts)
 
     return counters.total(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, counters.SCHEMA), TRIGRAMS)
