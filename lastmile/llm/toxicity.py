@@ -7,8 +7,9 @@
    single letters ("s t u p i d", joined before decoding).
 3. Decoding. A suspicious word spans a lattice: a letter stays itself, or is
    dropped where it repeats the one before; a sign becomes one of the letters it
-   stands for, or is dropped. Viterbi search finds the path of most probability
-   under the channel costs and the language model.
+   stands for, or is dropped; a blank between single letters falls out, or stays and
+   ends a word. Viterbi search finds the path of most probability under the channel
+   costs and the language model, in time linear in the length of a word or run.
 4. Score. The restored text's words (their letters only) and word beginnings are
    binary features of a Naive Bayes support vector model fitted on labels.
 
@@ -17,8 +18,8 @@ of labelled rows, one pass to count, one to score, no shuffle of texts.
 
 Defined results: null and empty texts have no features and get the score of the
 bias alone; without labels of both classes every score is 0.5; words of over
-``LONGEST`` letters are not decoded but scored as they are; repeated rows score
-alike; an empty table gives no rows; other columns pass through, one named
+``LONGEST`` letters are not decoded but scored as they are, runs of single letters
+are decoded whatever their length; repeated rows score alike; an empty table gives no rows; other columns pass through, one named
 ``score`` is replaced.
 """
 
@@ -83,34 +84,53 @@ def language_model(counts: np.ndarray) -> np.ndarray:
     return -np.log(p3).astype(np.float32)
 
 
-def decode(word: bytes, costs: np.ndarray) -> bytes:
-    """Most probable letters of a word (folded), by Viterbi search."""
-    best: dict[tuple[int, int], tuple[float, bytes]] = {(0, 0): (0.0, b"")}
+def search(elements: list[bytes], costs: np.ndarray) -> tuple[float, bytes]:
+    """Least cost and its letters (folded), by Viterbi search.
+
+    Between two elements a blank falls out, or stays and ends a word."""
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     run, before = 0, -1
-    for byte in word.translate(_FOLD):
-        run = run + 1 if byte == before else 1
-        before = byte
-        if _LETTER[byte]:
-            options = [(byte, 0.0)]
-            if run > 1:
-                options.append((None, MERGE_RUN if run > 2 else MERGE))
-        elif _SIGN[byte]:
-            options = [(ord(c), READ) for c in STANDS_FOR[chr(byte)]] + [(None, DROP)]
-        else:
-            continue
-        following: dict[tuple[int, int], tuple[float, bytes]] = {}
-        for (a, b), (cost, text) in best.items():
-            for letter, price in options:
-                if letter is None:
-                    state, total, out = (a, b), cost + price, text
-                else:
-                    c = int(_SYMBOL[letter])
-                    state, total, out = (b, c), cost + price + float(costs[a, b, c]), text + bytes([letter])
-                if state not in following or total < following[state][0]:
-                    following[state] = (total, out)
-        best = following
+    for k, element in enumerate(elements):
+        if k:
+            for (a, b), (cost, path) in list(best.items()):
+                if b:
+                    state, total = (b, 0), cost + float(costs[a, b, 0])
+                    if state not in best or total < best[state][0]:
+                        best[state] = (total, (path, 32))
+        for byte in element.translate(_FOLD):
+            run = run + 1 if byte == before else 1
+            before = byte
+            if _LETTER[byte]:
+                options = [(byte, 0.0)]
+                if run > 1:
+                    options.append((None, MERGE_RUN if run > 2 else MERGE))
+            elif _SIGN[byte]:
+                options = [(ord(c), READ) for c in STANDS_FOR[chr(byte)]] + [(None, DROP)]
+            else:
+                continue
+            following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (cost, path) in best.items():
+                for letter, price in options:
+                    if letter is None:
+                        state, total, out = (a, b), cost + price, path
+                    else:
+                        c = int(_SYMBOL[letter])
+                        state, total, out = (b, c), cost + price + float(costs[a, b, c]), (path, letter)
+                    if state not in following or total < following[state][0]:
+                        following[state] = (total, out)
+            best = following
     # a boundary ends the word
-    return min((cost + float(costs[a, b, 0]), text) for (a, b), (cost, text) in best.items())[1]
+    cost, path = min(((cost + float(costs[a, b, 0]), path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])
+    out = bytearray()
+    while path:
+        path, letter = path
+        out.append(letter)
+    return cost, bytes(out[::-1])
+
+
+def decode(word: bytes, costs: np.ndarray) -> bytes:
+    """Most probable letters of a word (folded)."""
+    return search([word], costs)[1]
 
 
 _FOLD = bytes(words.LOWER)
@@ -163,9 +183,9 @@ def restored_features(span: words.Span, costs: np.ndarray) -> tuple[np.ndarray,
     if len(runs):
         breaks = np.flatnonzero(np.concatenate([[True], (np.diff(runs) > 1) | (np.diff(span.doc[runs]) > 0), [True]]))
         for i, j in zip(breaks[:-1], breaks[1:]):
-            if j - i <= LONGEST:
-                texts.append(decode(span.data[span.first[runs[i:j]]].tobytes(), costs))
-                of.append(row[runs[i]])
+            decoded = search([bytes([c]) for c in span.data[span.first[runs[i:j]]].tolist()], costs)[1].split()
+            texts += decoded
+            of += [row[runs[i]]] * len(decoded)
     if texts:
         size = np.array([len(t) for t in texts])
         last = np.cumsum(size)
@@ -216,7 +236,7 @@ def restore(text: str, costs: np.ndarray) -> str:
             j = k
             while j < len(joined) and joined[j]:
                 j += 1
-            out.append(decode(span.data[span.first[k:j]].tobytes(), costs).decode("utf-8", "replace"))
+            out.append(search([bytes([c]) for c in span.data[span.first[k:j]].tolist()], costs)[1].decode("utf-8", "replace"))
             k = j
             continue
         raw = span.data[span.first[k] : span.end[k]].tobytes()

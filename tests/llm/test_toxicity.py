@@ -106,3 +106,18 @@ def test_edges(spark):
     assert len(out) == len(odd) and all(0 <= r.score <= 1 for r in out)
     assert {r.score for r in tx.score_toxicity(docs, marked.limit(0)).collect()} == {0.5}
     assert tx.score_toxicity(docs.limit(0), marked).count() == 0
+
+
+def spaced(text):
+    return " ".join(text.replace(" ", ""))
+
+
+def test_long_runs_of_single_letters_are_scored(spark, costs):
+    long = "you are a stupid idiot and a pathetic loser the worthless clown"
+    assert {"stupid", "idiot", "pathetic", "loser", "clown"} <= set(tx.restore(spaced(long), costs).split())
+    rows, labels = corpus()
+    clean = "the time of day when people read things and walk home with old friends near river"
+    bad = "the time of day when stupid people read idiot things and walk home loser pathetic"
+    extra = [(1000, spaced(clean), "s", None), (1001, spaced(bad), "s", None), (1002, spaced(bad * 200), "s", None), (1003, "", "s", None)]
+    out = {r.doc_id: r.score for r in tx.score_toxicity(spark.createDataFrame(rows + extra, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
+    assert min(out[1001], out[1002]) >= 0.5 > out[1000] and out[1001] != out[1003]
