@@ -4,11 +4,11 @@
    all texts: 64 symbols, 2^18 counters whatever the corpus.
 2. Suspicious words are found with numpy on the raw bytes: digits or signs that
    stand for letters beside a letter, a letter three times in a row, and runs of
-   single letters ("s t u p i d", joined before decoding).
+   single letters, digits and signs that hold a letter ("s t u p 1 d").
 3. Decoding. A suspicious word spans a lattice: a letter stays itself, or is
    dropped where it repeats the one before; a sign becomes one of the letters it
-   stands for, or is dropped; a blank between single letters falls out, or stays and
-   ends a word. Viterbi search finds the path of most probability under the channel
+   stands for, or is dropped; in a run of single signs it may stand for itself as
+   well, and a blank between them falls out, or stays and ends a word. Viterbi search finds the path of most probability under the channel
    costs and the language model, in time linear in the length of a word or run.
 4. Score. The restored text's words (their letters only) and word beginnings are
    binary features of a Naive Bayes support vector model fitted on labels.
@@ -43,8 +43,9 @@ TOXIC_FROM = 0.5
 #: Letters that a digit or sign may stand for (fixed values).
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "*": "", "#": "", "%": ""}
 #: Channel costs (natural logarithms): a sign read as a letter, a sign dropped, a
-#: repeated letter dropped, once and from the third time on.
-READ, DROP, MERGE, MERGE_RUN = 0.7, 8.0, 6.0, 0.5
+#: repeated letter dropped, once and from the third time on, a sign that stands for
+#: itself (a boundary to the language model).
+READ, DROP, MERGE, MERGE_RUN, ITSELF = 0.7, 8.0, 6.0, 0.5, 4.0
 
 _SYMBOL = np.zeros(256, np.uint8)
 _SYMBOL[97:123] = np.arange(1, 27)
@@ -106,6 +107,8 @@ def search(elements: list[bytes], costs: np.ndarray) -> tuple[float, bytes]:
                     options.append((None, MERGE_RUN if run > 2 else MERGE))
             elif _SIGN[byte]:
                 options = [(ord(c), READ) for c in STANDS_FOR[chr(byte)]] + [(None, DROP)]
+                if len(elements) > 1:
+                    options.append((32, ITSELF))
             else:
                 continue
             following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -156,16 +159,36 @@ def suspicious(span: words.Span) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum(letter, out=letters[1:])
     own = letters[end] - letters[first]
     marked = (sums[end] > sums[first]) & (end - first <= LONGEST) & (3 * own >= end - first) & (own > 1)
-    single = (end - first == 1) & letter[first] if len(first) else np.zeros(0, bool)
+    # one byte, or the two bytes of a Latin, Greek or Cyrillic letter
+    size = end - first
+    pair = (size == 2) & (data[first] >= 0xC3) & (data[first] < 0xD4)
+    single = ((size == 1) & (letter | sign)[first]) | pair
     joined = np.zeros(len(first), bool)
     if len(first) >= 3:
         three = single[2:] & single[1:-1] & single[:-2] & (span.doc[2:] == span.doc[:-2])
         joined[2:] |= three
         joined[1:-1] |= three
         joined[:-2] |= three
+    # runs of signs and digits alone are no words
+    for i, j in _runs(span, joined):
+        if not letter[first[i:j]].any():
+            joined[i:j] = False
     return marked, joined
 
 
+def _runs(span: words.Span, joined: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of words, each a run of single signs inside a document."""
+    at = np.flatnonzero(joined)
+    if not len(at):
+        return []
+    new = (np.diff(at) > 1) | (np.diff(span.doc[at]) > 0)
+    return list(zip(at[np.concatenate([[True], new])].tolist(), (at[np.concatenate([new, [True]])] + 1).tolist()))
+
+
+def _elements(span: words.Span, i: int, j: int) -> list[bytes]:
+    return [span.data[a:b].tobytes() for a, b in zip(span.first[i:j], span.end[i:j])]
+
+
 def restored_features(span: words.Span, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row inside the span, dimension) pairs of the restored text."""
     marked, joined = suspicious(span)
@@ -179,13 +202,10 @@ def restored_features(span: words.Span, costs: np.ndarray) -> tuple[np.ndarray,
     for k in np.flatnonzero(marked):
         texts.append(decode(span.data[span.first[k] : span.end[k]].tobytes(), costs))
         of.append(row[k])
-    runs = np.flatnonzero(joined)
-    if len(runs):
-        breaks = np.flatnonzero(np.concatenate([[True], (np.diff(runs) > 1) | (np.diff(span.doc[runs]) > 0), [True]]))
-        for i, j in zip(breaks[:-1], breaks[1:]):
-            decoded = search([bytes([c]) for c in span.data[span.first[runs[i:j]]].tolist()], costs)[1].split()
-            texts += decoded
-            of += [row[runs[i]]] * len(decoded)
+    for i, j in _runs(span, joined):
+        decoded = search(_elements(span, i, j), costs)[1].split()
+        texts += decoded
+        of += [row[i]] * len(decoded)
     if texts:
         size = np.array([len(t) for t in texts])
         last = np.cumsum(size)
@@ -230,14 +250,12 @@ def restore(text: str, costs: np.ndarray) -> str:
     if span is None:
         return ""
     marked, joined = suspicious(span)
+    run = dict(_runs(span, joined))
     out, k = [], 0
     while k < len(marked):
-        if joined[k]:
-            j = k
-            while j < len(joined) and joined[j]:
-                j += 1
-            out.append(search([bytes([c]) for c in span.data[span.first[k:j]].tolist()], costs)[1].decode("utf-8", "replace"))
-            k = j
+        if k in run:
+            out.append(search(_elements(span, k, run[k]), costs)[1].decode("utf-8", "replace"))
+            k = run[k]
             continue
         raw = span.data[span.first[k] : span.end[k]].tobytes()
         out.append((decode(raw, costs) if marked[k] else raw.translate(_FOLD)).decode("utf-8", "replace"))

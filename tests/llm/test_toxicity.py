@@ -121,3 +121,15 @@ def test_long_runs_of_single_letters_are_scored(spark, costs):
     extra = [(1000, spaced(clean), "s", None), (1001, spaced(bad), "s", None), (1002, spaced(bad * 200), "s", None), (1003, "", "s", None)]
     out = {r.doc_id: r.score for r in tx.score_toxicity(spark.createDataFrame(rows + extra, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
     assert min(out[1001], out[1002]) >= 0.5 > out[1000] and out[1001] != out[1003]
+
+
+def test_runs_hold_signs_and_keep_boundaries(spark, costs):
+    for seen, meant in (("such a s t u p i d thing", "such a stupid thing"), ("such s t u p 1 d thing", "such stupid thing"), ("$ t u p i d", "stupid"),
+                        ("s t u p i d i d i o t", "stupid idiot"), ("5 7 u p 1 d 1 d 1 0 t", "stupid idiot"), ("т у п о й", "тупой"), ("1 2 3 4 5", "1 2 3 4 5")):
+        assert tx.restore(seen, costs) == meant
+    rows, labels = corpus()
+    base = "the time of day when people read things and walk home with "
+    bad = [base + x for x in ("a s t u p i d", "s t u p 1 d", "$ t u p i d", "s t u p i d i d i o t")]
+    extra = [(1000 + k, x, "s", None) for k, x in enumerate([base, *bad])]
+    out = {r.doc_id: r.score for r in tx.score_toxicity(spark.createDataFrame(rows + extra, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
+    assert out[1000] < 0.5 and all(out[1001 + k] >= 0.5 for k in range(len(bad)))
