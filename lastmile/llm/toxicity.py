@@ -2,14 +2,16 @@
 
 1. Language model. Letter trigrams (UTF-8 bytes, A-Z folded) are counted over
    all texts: 64 symbols, 2^18 counters whatever the corpus.
-2. Suspicious words are found with numpy on the raw bytes: digits or signs that
-   stand for letters beside a letter, a letter three times in a row, and runs of
+2. Suspicious words are found with numpy on the raw bytes: words that hold both
+   letters and digits or signs, a letter three times in a row, and runs of
    single letters, digits and signs that hold a letter ("s t u p 1 d").
 3. Decoding. A suspicious word spans a lattice: a letter stays itself, or is
    dropped where it repeats the one before; a sign becomes one of the letters it
    stands for, or is dropped; in a run of single signs it may stand for itself as
-   well, and a blank between them falls out, or stays and ends a word. Viterbi search finds the path of most probability under the channel
-   costs and the language model, in time linear in the length of a word or run.
+   well, and a blank between them falls out, or stays and ends a word. Viterbi
+   search finds the path of most probability under the channel costs and the
+   language model, in time linear in the length of a word or run. A word whose
+   signs cost less left as they are keeps its plain letters.
 4. Score. The restored text's words (their letters only) and word beginnings are
    binary features of a Naive Bayes support vector model fitted on labels.
 
@@ -17,14 +19,14 @@ Scale, fitting and calibration are as in the quality classifier: a bounded sampl
 of labelled rows, one pass to count, one to score, no shuffle of texts.
 
 Defined results: null and empty texts have no features and get the score of the
-bias alone; without labels of both classes every score is 0.5; words of over
-``LONGEST`` letters are not decoded but scored as they are, runs of single letters
-are decoded whatever their length; repeated rows score alike; an empty table gives no rows; other columns pass through, one named
-``score`` is replaced.
+bias alone; without labels of both classes every score is 0.5; words and runs are
+decoded whatever their length; repeated rows score alike; an empty table gives no
+rows; other columns pass through, one named ``score`` is replaced.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -38,7 +40,6 @@ from lastmile.llm.common import table
 
 SYMBOLS = 64
 TRIGRAMS = SYMBOLS**3
-LONGEST = 40
 TOXIC_FROM = 0.5
 #: Letters that a digit or sign may stand for (fixed values).
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "*": "", "#": "", "%": ""}
@@ -54,8 +55,15 @@ _LETTER = _SYMBOL > 0
 _LETTER[65:91] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in STANDS_FOR]] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
+#: Bytes that may open and close a disguised word; others are punctuation there.
+_OPENS, _CLOSES = _LETTER | _SIGN, _LETTER | _SIGN
+_OPENS[[ord(c) for c in "*#%"]] = False
+_CLOSES[[ord(c) for c in "*#%!"]] = False
+#: What a sign may become, and its price: read, left as it is, or either.
+_READ = {ord(sign): [(ord(c), READ) for c in letters] + [(None, DROP)] for sign, letters in STANDS_FOR.items()}
+_LEFT = {sign: [(32, ITSELF)] for sign in _READ}
+_EITHER = {sign: _READ[sign] + _LEFT[sign] for sign in _READ}
+_STRETCHED = re.compile(rb"([a-z])\1{3,}")
 
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
@@ -85,10 +93,10 @@ def language_model(counts: np.ndarray) -> np.ndarray:
     return -np.log(p3).astype(np.float32)
 
 
-def search(elements: list[bytes], costs: np.ndarray) -> tuple[float, bytes]:
+def search(elements: list[bytes], costs: np.ndarray, signs=_READ) -> tuple[float, bytes]:
     """Least cost and its letters (folded), by Viterbi search.
 
-    Between two elements a blank falls out, or stays and ends a word."""
+    ``signs`` has what a sign may become, and its price. Between two elements a blank falls out, or stays and ends a word."""
     best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     run, before = 0, -1
     for k, element in enumerate(elements):
@@ -106,9 +114,7 @@ def search(elements: list[bytes], costs: np.ndarray) -> tuple[float, bytes]:
                 if run > 1:
                     options.append((None, MERGE_RUN if run > 2 else MERGE))
             elif _SIGN[byte]:
-                options = [(ord(c), READ) for c in STANDS_FOR[chr(byte)]] + [(None, DROP)]
-                if len(elements) > 1:
-                    options.append((32, ITSELF))
+                options = signs[byte]
             else:
                 continue
             following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -136,29 +142,41 @@ def decode(word: bytes, costs: np.ndarray) -> bytes:
     return search([word], costs)[1]
 
 
+def decoded_or_plain(word: bytes, costs: np.ndarray) -> bytes:
+    """Letters of a word, its signs read or left out, whichever costs less."""
+    # letters beyond the third cost every path the same
+    word = _STRETCHED.sub(rb"\1\1\1", word.translate(_FOLD))
+    read = search([word], costs)
+    if not any(byte in _READ for byte in word):
+        return read[1]
+    left = search([word], costs, _LEFT)
+    return (read[1] if read[0] <= left[0] else left[1]).replace(b" ", b"")
+
+
 _FOLD = bytes(words.LOWER)
 
 
-def suspicious(span: words.Span) -> tuple[np.ndarray, np.ndarray]:
-    """Masks over the span's words: to be decoded, and single letters in a run."""
+def suspicious(span: words.Span) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Masks over the span's words: to be decoded, and single signs in a run; and
+    where a word to be decoded begins and ends without punctuation."""
     data, first, end = span.data, span.first, span.end
-    letter, sign, digit = _LETTER[data], _SIGN[data], _DIGIT[data]
-    left, right = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    left[1:], right[:-1] = letter[:-1], letter[1:]
-    odd = (sign & left & right) | (digit & (left | right))
+    n = len(data)
+    letter, sign = _LETTER[data], _SIGN[data]
+    at = np.arange(n)
+    begin = np.append(np.minimum.accumulate(np.where(_OPENS[data], at, n)[::-1])[::-1], n)[first]
+    stop = np.append(-1, np.maximum.accumulate(np.where(_CLOSES[data], at, -1)))[end] + 1
+
+    def within(mask):
+        sums = np.zeros(n + 1, np.int64)
+        np.cumsum(mask, out=sums[1:])
+        return (begin < stop) & (sums[np.maximum(begin, stop)] > sums[begin])
+
     folded = words.LOWER[data]
-    same = np.zeros(len(data), bool)
+    same = np.zeros(n, bool)
     same[1:] = (folded[1:] == folded[:-1]) & letter[1:] & (data[1:] < 128)
-    odd[2:] |= same[2:] & same[1:-1]
-    # a sign in front of a letter, as in "$tupid"
-    opens = first[first + 1 < len(data)]
-    odd[opens[sign[opens] & letter[np.minimum(opens + 1, len(data) - 1)]]] = True
-    sums = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(odd, out=sums[1:])
-    letters = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(letter, out=letters[1:])
-    own = letters[end] - letters[first]
-    marked = (sums[end] > sums[first]) & (end - first <= LONGEST) & (3 * own >= end - first) & (own > 1)
+    third = np.zeros(n, bool)
+    third[2:] = same[2:] & same[1:-1]
+    marked = within(letter) & (within(sign) | within(third))
     # one byte, or the two bytes of a Latin, Greek or Cyrillic letter
     size = end - first
     pair = (size == 2) & (data[first] >= 0xC3) & (data[first] < 0xD4)
@@ -173,7 +191,7 @@ def suspicious(span: words.Span) -> tuple[np.ndarray, np.ndarray]:
     for i, j in _runs(span, joined):
         if not letter[first[i:j]].any():
             joined[i:j] = False
-    return marked, joined
+    return marked & ~joined, joined, begin, stop
 
 
 def _runs(span: words.Span, joined: np.ndarray) -> list[tuple[int, int]]:
@@ -191,19 +209,22 @@ def _elements(span: words.Span, i: int, j: int) -> list[bytes]:
 
 def restored_features(span: words.Span, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row inside the span, dimension) pairs of the restored text."""
-    marked, joined = suspicious(span)
+    marked, joined, begin, stop = suspicious(span)
     row = span.doc - span.rows.start
     plain = ~marked & ~joined
     letter = _LETTER[span.data]
     at = np.zeros(len(span.data) + 1, np.int64)
     np.cumsum(letter, out=at[1:])
     keys = [_word_keys(words.LOWER[span.data[letter]], at[span.first[plain]], at[span.end[plain]], row[plain])]
-    texts, of = [], []
+    texts, of, known = [], [], {}
     for k in np.flatnonzero(marked):
-        texts.append(decode(span.data[span.first[k] : span.end[k]].tobytes(), costs))
+        word = span.data[begin[k] : stop[k]].tobytes()
+        if word not in known:
+            known[word] = decoded_or_plain(word, costs)
+        texts.append(known[word])
         of.append(row[k])
     for i, j in _runs(span, joined):
-        decoded = search(_elements(span, i, j), costs)[1].split()
+        decoded = search(_elements(span, i, j), costs, _EITHER)[1].split()
         texts += decoded
         of += [row[i]] * len(decoded)
     if texts:
@@ -249,16 +270,19 @@ def restore(text: str, costs: np.ndarray) -> str:
     span = next(words.spans(pa.array([text])), None)
     if span is None:
         return ""
-    marked, joined = suspicious(span)
+    marked, joined, begin, stop = suspicious(span)
     run = dict(_runs(span, joined))
     out, k = [], 0
     while k < len(marked):
         if k in run:
-            out.append(search(_elements(span, k, run[k]), costs)[1].decode("utf-8", "replace"))
+            out.append(search(_elements(span, k, run[k]), costs, _EITHER)[1].decode("utf-8", "replace"))
             k = run[k]
             continue
-        raw = span.data[span.first[k] : span.end[k]].tobytes()
-        out.append((decode(raw, costs) if marked[k] else raw.translate(_FOLD)).decode("utf-8", "replace"))
+        if marked[k]:
+            word = decoded_or_plain(span.data[begin[k] : stop[k]].tobytes(), costs)
+        else:
+            word = span.data[span.first[k] : span.end[k]].tobytes().translate(_FOLD)
+        out.append(word.decode("utf-8", "replace"))
         k += 1
     return " ".join(out)
 

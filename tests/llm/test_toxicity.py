@@ -133,3 +133,17 @@ def test_runs_hold_signs_and_keep_boundaries(spark, costs):
     extra = [(1000 + k, x, "s", None) for k, x in enumerate([base, *bad])]
     out = {r.doc_id: r.score for r in tx.score_toxicity(spark.createDataFrame(rows + extra, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
     assert out[1000] < 0.5 and all(out[1001 + k] >= 0.5 for k in range(len(bad)))
+
+
+def test_heavily_disguised_words_are_decoded():
+    counts = np.zeros(tx.TRIGRAMS, np.uint64)
+    for span in words.spans(pa.array([(ENGLISH + " shit asshole bitch -- 1999 2000 12, ") * 20])):
+        s = tx._SYMBOL[words.LOWER[span.data]].astype(np.int32)
+        counts += np.bincount((s[:-2] << 12) | (s[1:-1] << 6) | s[2:], minlength=tx.TRIGRAMS).astype(np.uint64)
+    found = tx.language_model(counts)
+    for seen, meant in (("5h17", "shit"), ("1d107,", "idiot"), ("4$$h0l3", "asshole"), ("@$$h0l3!!", "asshole"), ("b!+ch", "bitch"), ("st" + "u" * 60 + "pid", "stupid"), ("100,000", "100,000"), ("stupid!", "stupid!")):
+        assert tx.restore(seen, found) == meant
+    # signs that no likely word explains stay out, as in the plain form
+    assert tx.decoded_or_plain(b"clown1999", found) == b"clown" and tx.decoded_or_plain(b"qxq7777", found) == b"qxq"
+    dimensions = [tx.quality.text_features(pa.array([t]), lambda span: tx.restored_features(span, found))[0].tolist() for t in ("the 5h17 1d107", "the shit idiot")]
+    assert dimensions[0] == dimensions[1]
