@@ -12,6 +12,11 @@ from a keyed stream. A mention's normal form decides its surrogate (digits of a
 number, lower case of an address, each part of a name by itself), so all mentions
 of an entity agree in every document, "Mr. Smith" and "John Smith" included.
 
+A person is found by a title, or by a given name of the lists before another
+capitalised word; initials may stand between. All other capitalised mentions of
+that given or family name in the same document are replaced as well ("Smith paid");
+a name that is both there is taken as its first mention has it. Initials stay.
+
 Collision check. All distinct entities of the corpus are gathered as a table; a
 surrogate that two entities of a type share, or that is itself an entity of the
 corpus, is drawn again with the next attempt number for all but one of them, until
@@ -78,7 +83,12 @@ _ENTITY = re.compile(
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))")
-_PERSON = re.compile(rf"(?:\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? (?P<one>{_NAME})(?: (?P<two>{_NAME}))?)|\b(?P<given>{_NAME})(?= (?P<family>{_NAME}))")
+_INITIALS = rf"(?: [{_UPPER}]\.)*"
+_PERSON = re.compile(rf"(?:\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?{_INITIALS} (?P<one>{_NAME})(?:{_INITIALS} (?P<two>{_NAME}))?)|\b(?P<given>{_NAME})(?={_INITIALS} (?P<family>{_NAME}))")
+_BARE = re.compile(rf"(?<![^\W\d_]){_NAME}")
+_PART = re.compile(r"[^-'’]+")
+#: Words that a sentence opens with and that are no names when they stand alone or after an initial.
+_NO_NAME = set("the an and but or if in on at to of for from with by as is it he she we you they this that these those there then when who what der die das und el la los las les le il elle et".split())
 _HINT = re.compile(r"[@]|\d[\d .()-]{5}|AKIA|[=:]")
 
 
@@ -108,6 +118,31 @@ def script_of(name: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _after_initial(text: str, m: re.Match, part: str) -> bool:
+    """Whether an initial ends a sentence, and ``part`` only opens the next."""
+    return text[m.start(part) - 2] == "." and m[part].casefold() in _NO_NAME
+
+
+def _bare(text: str, found: list[Mention]) -> list[Mention]:
+    """Capitalised mentions of the given and family names of the persons found."""
+    names: dict[str, str] = {}
+    for m in found:
+        if m.type == "family" or m.type.startswith("given-"):
+            names.setdefault(m.value, m.type)
+    for name in _NO_NAME:
+        names.pop(name, None)
+    out = []
+    for m in _BARE.finditer(text) if names else ():
+        whole = m[0].casefold()
+        if whole in names:
+            out.append(Mention(names[whole], whole, *m.span()))
+        else:
+            for part in _PART.finditer(text, *m.span()):
+                if (value := part[0].casefold()) in names:
+                    out.append(Mention(names[value], value, *part.span()))
+    return out
+
+
 def find(text: str) -> list[Mention]:
     """Mentions of a text, in order and without overlaps."""
     out = []
@@ -136,17 +171,20 @@ def find(text: str) -> list[Mention]:
     taken = 0
     for m in _PERSON.finditer(text):
         if m["title"]:
+            if _after_initial(text, m, "one"):
+                continue
             gender = TITLES[m["title"]]
-            parts = [("one", "two")] if m["two"] else [(None, "one")]
-            given, family = parts[0]
+            pair = m["two"] and not _after_initial(text, m, "two")
+            given, family = ("one", "two") if pair else (None, "one")
             if given:
                 known = _LEXICON.get(m[given].casefold())
                 sex = gender or (known[1] if known else "m")
                 out.append(Mention(f"given-{sex}", m[given].casefold(), *m.span(given)))
             out.append(Mention("family", m[family].casefold(), *m.span(family)))
-        elif (known := _LEXICON.get(m["given"].casefold())) is not None:
+        elif (known := _LEXICON.get(m["given"].casefold())) is not None and not _after_initial(text, m, "family"):
             out.append(Mention(f"given-{known[1]}", m["given"].casefold(), *m.span("given")))
             out.append(Mention("family", m["family"].casefold(), *m.span("family")))
+    out += _bare(text, out)
     result = []
     for mention in sorted(out, key=lambda x: (x.start, -x.end)):
         if mention.start >= taken:

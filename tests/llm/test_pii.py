@@ -47,6 +47,32 @@ def test_coreference_gender_and_script():
     assert pii.replace("a.b@c.com", "one")[0] != pii.replace("a.b@c.com", "two")[0]
 
 
+def test_bare_mentions_and_initials():
+    new, _ = pii.replace("John A. Smith called. Smith paid, Laura Jones said. Then LAURA and John's aunt, Smith-Weber, left. Dr. J. R. Khan saw Khan")
+    assert not re.search("john|smith|laura|jones|khan", new.lower()) and " A. " in new and "Dr. J. R. " in new
+    given, family, again = re.match(r"(\w+) A\. (\w+) called\. (\w+) paid", new).groups()
+    assert family == again and f"{given}'s aunt, {family}-Weber" in new
+    assert re.search(r"(\w+) \w+ said\. Then (\w+)", new)[1].upper() == re.search(r"Then (\w+)", new)[1]
+    new, spans = pii.replace("Mr. Smith met Laura Smith. Laura said: SMITH")
+    assert "Laura" not in new and "SMITH" not in new and len(spans) == 5
+    for text in ("King James I. The war. The end of James", "Dr. B. The end", "Smith paid. Laura said"):
+        assert pii.replace(text) == (text, [])
+
+
+#: Full names of several origins, for the recall that the README gives.
+PEOPLE = """Aisha Khan,John A. Smith,Mary Jones,Wei Chen,Fatima Hassan,Robert Brown,Olga Smirnova,Анна Петрова,Дмитрий Иванов,Владислав Орлов,Γεώργιος Παπαδόπουλος,
+Σπύρος Λάμπρου,Jürgen Weber,Hans Müller,François Dubois,Chloé Martin,Carlos García,Alejandra Ruiz,Priya Patel,Kenji Tanaka,Linda Taylor,Emily Clark,Michael O. Young,
+Noah Wilson,Sofia Rossi,Thomas Wright,Barbara Hill,Ahmed Ali,Peter Novak,Ingrid Larsen,Jennifer Lee,Kevin White,David Kim,Grace Okafor,Camille Laurent,Diego Torres,
+Екатерина Волкова,Tatiana Popova,Ελένη Νικολάου,Omar Farouk""".replace("\n", "").split(",")
+
+
+def test_recall_of_names():
+    def found(text, name):
+        return all(any(m.start <= text.index(part, len(text) - len(name)) < m.end for m in pii.find(text)) for part in (name.split()[0], name.split()[-1]))
+
+    assert sum(found(n, n) for n in PEOPLE) == 19 and sum(found(f"Dr. {n}", n) for n in PEOPLE) == len(PEOPLE) == 40
+
+
 def test_number_surrogates_are_permutations():
     assert len({pii.permuted(f"{k:03d}", "k", "t") for k in range(1000)}) == 1000
     phones = {pii.surrogate("phone", f"+1{200 + k // 100}555{k % 100:04d}") for k in range(3000)}
