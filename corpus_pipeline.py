@@ -7,8 +7,8 @@ lost executor costs no more than the running stage; files of a stage are removed
 when the next one's are complete.
 
 1. ``quality``: documents that the quality classifier rejects go.
-2. ``near_duplicates``: of the documents that near copies link, the one with the
-   smallest id stays. Near copies share 80 % of their five-word shingles.
+2. ``near_duplicates``: of the rows that near copies link, the one with the
+   smallest id stays (null last). Near copies share 80 % of their five-word shingles.
 3. ``private_data``: personal data get surrogates.
 4. ``mixing``: sources are taken to their target weights, some documents twice.
 5. ``packing``: one row a piece of a document and its place in a sequence.
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile.llm import jaccard_join, mixing, packing, pii, quality
-from lastmile.llm.common import ready, shared_folder, table
+from lastmile.llm.common import ready, scratch, shared_folder, table
 
 #: SQL cannot express the classifier, the join and the packing; the tests compare
 #: every stage with a brute-force version instead.
@@ -38,13 +38,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id.
-
-    Documents without words and rows with a null id stay; of rows that share an
-    id with a group's first document all stay that have its text's shingles."""
-    groups = jaccard_join.jaccard_components(docs, SHINGLE, *SIMILARITY)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One row of each group of near copies, the one with the smallest id.
+
+    Null ids come last, ties fall to the smallest hash of the text, then of the
+    row. Documents without words stay. Where ids are null or shared, rows are
+    written once with numbers of their own, and the join links those."""
+    ids = docs.groupBy("doc_id").count()
+    if ids.where("count > 1 or doc_id is null").isEmpty():
+        groups = jaccard_join.jaccard_components(docs, SHINGLE, *SIMILARITY)
+        gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    path = scratch(spark, "rows")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    groups = jaccard_join.jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"), SHINGLE, *SIMILARITY)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.xxhash64(F.to_json(F.struct(*docs.columns))), F.col("__row"))
+    named = groups.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", order.alias("order")), "__row")
+    stays = named.groupBy("component_id").agg(F.min("order")["__row"].alias("__row")).select("__row")
+    return rows.join(stays, "__row", "left_semi").select(*docs.columns)
 
 
 def private_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,3 +113,15 @@ def test_edges(spark, tmp_path):
             out.write.parquet(f"{tmp_path}/{empty}-{name}")
             docs = spark.read.parquet(f"{tmp_path}/{empty}-{name}")
         assert (docs.count() == 0) == empty
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    same, near = "a b c d e f g h i j k l m n o p q r s t u v w x y z", "a b c d e f g h i j k l m n o p q r s t u v w x y zz"
+    null, alone = "one two three four five six seven", "un deux trois quatre cinq six sept"
+    data = [(1, same, "s"), (1, same, "s"), (1, near, "s"), (None, same, "s"), (2, near, "s"), (None, null, "s"), (None, null, "s"), (2, alone, "s"), (3, "", "s"), (None, None, "s")]
+    docs = spark.createDataFrame([(d, t, "en", s, 0) for d, t, s in data], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.near_duplicates_stage(spark, docs.repartition(4), SF).collect()
+    assert kept[0].__fields__ == COLUMNS
+    got = Counter((r.doc_id, r.text) for r in kept)
+    first = [(1, t) for t in (same, near) if got[1, t]]
+    assert len(first) == 1 and got == Counter([*first, (None, null), (2, alone), (3, ""), (None, None)])
