@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lastmile.llm import chat, jaccard_join, mixing, multi_index, order_minhash, packing, pii, quality, toxicity, url_filter
+from lastmile.llm import chat, divergence, hard_negatives, jaccard_join, max_score, mixing, multi_index, order_minhash, packing, pii, quality, toxicity, url_filter
 from lastmile.llm.common import ready
 
 
@@ -18,6 +18,9 @@ def queries() -> dict:
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_jaccard_join": jaccard_join.op9_jaccard_join,
         "op10_mixing": mixing.op10_mixing,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_divergence": divergence.op12_divergence,
+        "op13_max_score": max_score.op13_max_score,
     }
     return {name: ready(query) for name, query in found.items()}
 
@@ -26,4 +29,7 @@ def oracle_sql() -> dict:
     return {
         "op3_url_filter": url_filter.OP3_SQL,
         "op10_mixing": mixing.OP10_SQL,
+        "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op12_divergence": divergence.OP12_SQL,
+        "op13_max_score": max_score.OP13_SQL,
     }

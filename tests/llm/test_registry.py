@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_an_operator():
-    assert [int(name[2:].split("_")[0]) for name in sorted(registry.queries(), key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in sorted(registry.queries(), key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert set(registry.queries()) | {"pipeline"} <= set(entry.queries())
 
 
