@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import io
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,17 +51,36 @@ def send_package(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
+#: Bytes of an Arrow batch that a Python worker holds at once (Spark's own bound counts
+#: rows, and ten thousand long texts are many megabytes).
+BATCH_BYTES = 4 << 20
+
+
 def ready(query):
-    """``query`` with the package sent to the workers before it runs."""
+    """``query`` with the package sent to the workers before it runs, and Arrow batches bounded."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, *rest):
         send_package(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         return query(spark, *rest)
 
     return run
 
 
+def trimmed(work):
+    """``work`` on a task's Arrow batches, after which a worker, which lives on, hands
+    back the memory that it has freed."""
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder, which driver and executors share.
 

@@ -36,6 +36,7 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from functools import lru_cache
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import frozen, table
+from lastmile.llm.common import frozen, table, trimmed
 
 SIZE = 2048
 GRID = 8
@@ -56,25 +57,38 @@ LONG_RUN = 2000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-@lru_cache(maxsize=2)
-def _encoder(vocabulary: str | None, ranks: str | None):
-    """Function from a text to its ids, an array of unsigned 32-bit numbers."""
+@lru_cache(maxsize=1)
+def _quick(vocabulary: str, ranks: str):
+    """The rank file's encoding, with the vocabulary's added tokens."""
     import public_tokenizers
     import tiktoken
+
+    with open(vocabulary, encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    with open(ranks, "rb") as lines:
+        table_of = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table_of, special_tokens=added)
+
+
+def _encoder(vocabulary: str | None, ranks: str | None):
+    """Function from a text to its ids, an array of unsigned 32-bit numbers.
+
+    Texts with a long unbroken run go to the second encoder, which is loaded for
+    the first of them and lives no longer than the task."""
+    import public_tokenizers
     from tokenizers import Tokenizer
 
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
-    with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
-        table_of = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    quick = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table_of, special_tokens={})
-    steady = Tokenizer.from_file(vocabulary)
-    steady.encode_special_tokens = True
+    quick = _quick(vocabulary, ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
     run = re.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN))
+    steady: list = []
 
     def encode(text: str) -> np.ndarray:
         if len(text) >= LONG_RUN and run.search(text):
-            return np.array(steady.encode(text, add_special_tokens=False).ids, "<u4")
-        return quick.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            if not steady:
+                steady.append(Tokenizer.from_file(vocabulary))
+            return np.array(steady[0].encode(text, add_special_tokens=False).ids, "<u4")
+        return quick.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
     return encode
 
@@ -96,7 +110,7 @@ def token_pieces(docs: DataFrame, size=SIZE, vocabulary: str | None = None, rank
             columns = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(cut), PIECES)
 
 
 def best_pattern(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

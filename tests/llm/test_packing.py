@@ -15,7 +15,6 @@ SCHEMA = "doc_id long, text string, source string, n_chars long"
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -48,6 +47,13 @@ def test_small_table(spark, reference):
     assert padded < 1.05 * tokens
 
 
+def test_added_tokens_are_read_as_the_vocabulary_says(reference):
+    encode = packing._encoder(None, None)
+    for text in ("<|endoftext|>", "<|endoftext|> hi", "a<|endoftext|><|endoftext|>\n", "<|endoftext", "x" * 3000 + "<|endoftext|>"):
+        assert encode(text).tolist() == reference(text)[:-1]
+    assert encode("<|endoftext|>").tolist() == [50256]
+
+
 def test_edges(spark, reference):
     texts = {1: None, 2: "", 3: "x" * 30_000, 4: "<|endoftext|> é中\U0001f600\r\n\t ", 5: " " * 5000, 6: "word " * 9000, 7: "word " * 9000}
     docs = spark.createDataFrame([(d, t, None, None) for d, t in texts.items()], SCHEMA).selectExpr("*", "1 as start", "2 as class", "3 as rank")
