@@ -19,8 +19,8 @@ from lastmile.operators import clean, enrich, integrity, kpi, quality
 from lastmile.operators.merge import latest_per_key, upsert
 from lastmile.operators.ranking import approx_quantile_value, quantile_share
 from lastmile.session import ensure_checkpoint_dir
-from lastmile.sources import files, layers
-from lastmile.sources.feed import courier_feed, shipment_feed
+from lastmile.sources import files, layers, rejects
+from lastmile.sources.feed import broken_courier_lines, broken_shipment_lines, courier_feed, shipment_feed
 from lastmile.functions import parse_mixed_timestamp, with_time_dimensions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -341,6 +341,43 @@ def q_ingest_couriers(spark, sf_dir):
     return _stamped(files.ingest_couriers(spark, path), r"^part-.*\.json$")
 
 
+def _broken_landing(spark, sf_dir) -> tuple[str, str]:
+    """Folders of landed shipments and couriers with broken lines among the records."""
+    shipments, couriers = _scratch(spark, "broken-shipments"), _scratch(spark, "broken-couriers")
+    feed, records = shipment_feed(spark, sf_dir), courier_feed(spark, sf_dir)
+    files.write_shipments_csv(feed, f"{shipments}/batch-1")
+    files.write_lines(broken_shipment_lines(feed).select("line"), f"{shipments}/batch-2", ",".join(fixed.SHIPMENT_FIELDS))
+    files.write_couriers_json(records, f"{couriers}/batch-1")
+    broken_courier_lines(records).select("line").write.text(f"{couriers}/batch-2")
+    return shipments, couriers
+
+
+@query("rejected_shipments")
+def q_rejected_shipments(spark, sf_dir):
+    """CSV lines that are no shipments, with the reason (short, long, unclosed quote)."""
+    return _stamped(files.rejected_shipments(spark, _broken_landing(spark, sf_dir)[0]), r"^part-.*\.csv$")
+
+
+@query("rejected_couriers")
+def q_rejected_couriers(spark, sf_dir):
+    """JSON lines that are no couriers, with the reason (broken, no object, no key)."""
+    return _stamped(files.rejected_couriers(spark, _broken_landing(spark, sf_dir)[1]), r"^part-.*\.txt$")
+
+
+@query("landing_quality")
+def q_landing_quality(spark, sf_dir):
+    """Lines of a landing folder by outcome: accepted, or why not."""
+    shipments, couriers = _broken_landing(spark, sf_dir)
+    return rejects.line_counts(files.marked_lines(spark, shipments, "shipments"), "shipments").unionByName(
+        rejects.line_counts(files.marked_lines(spark, couriers, "couriers"), "couriers"))
+
+
+@query("ingest_among_broken_lines")
+def q_ingest_among_broken_lines(spark, sf_dir):
+    """The shipments of a folder with broken lines: all of them, and nothing else."""
+    return files.read_shipments_csv(spark, _broken_landing(spark, sf_dir)[0])
+
+
 @query("layer_roundtrip")
 def q_layer_roundtrip(spark, sf_dir):
     """Silver written as a layer, registered in the catalog and read by its name."""

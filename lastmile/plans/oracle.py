@@ -107,6 +107,25 @@ raw_couriers AS (
   union all
   select * from cs where {h2('courier_id', 'dup')} < '0d')"""
 
+BROKEN_SHIPMENTS = f"""
+bs AS (select *, {h2('tracking_id', 'broken')} as h from raw_shipments),
+broken_shipments AS (
+  select case when h < '02' then concat_ws(',', tracking_id, pickup_raw, status, courier_id)
+              when h < '04' then concat_ws(',', tracking_id, pickup_raw, 'x', 'X', '00000', '1', status, courier_id, client_type, amount_raw, 'surplus')
+              else concat(tracking_id, ',"', pickup_raw, ',x,X,00000,1,', status, ',', courier_id, ',', client_type, ',', amount_raw) end as line,
+    case when h < '02' then 'short_line' when h < '04' then 'long_line' else 'unclosed_quote' end as reason
+  from bs where h < '06')"""
+
+BROKEN_COURIERS = f"""
+bc AS (select *, {h2('courier_id', 'broken')} as h from raw_couriers),
+broken_couriers AS (
+  select case when h < '20' then concat('{{"courier_id":"', courier_id, '","first_name":')
+              when h < '40' then concat(courier_id, ';', vehicle)
+              when h < '60' then concat('["', courier_id, '"]')
+              else concat('{{"vehicle":"', vehicle, '"}}') end as line,
+    case when h < '40' then 'broken_json' when h < '60' then 'not_an_object' else 'no_key' end as reason
+  from bc where h < '80')"""
+
 KEYS = "tracking_id, pickup, delivery, city, zip, weight, status, courier_id, client_type, amount"
 
 CLEAN_COURIERS = f"""
@@ -349,6 +368,16 @@ def sql_texts() -> dict[str, str]:
         "ingest_couriers": _q(body="select *, true as source_file, 'courier_registry' as source_system "
                                    "from raw_couriers", base=feed),
         "layer_roundtrip": _q(body="select * from silver"),
+        "rejected_shipments": _q(BROKEN_SHIPMENTS, body="select *, true as source_file, 'shipment_tracking' as source_system "
+                                                        "from broken_shipments", base=feed),
+        "rejected_couriers": _q(BROKEN_COURIERS, body="select *, true as source_file, 'courier_registry' as source_system "
+                                                      "from broken_couriers", base=feed),
+        "landing_quality": _q(BROKEN_SHIPMENTS, BROKEN_COURIERS, body="""
+              select 'shipments' as kind, 'accepted' as outcome, count(*) as lines from raw_shipments
+              union all select 'shipments', reason, count(*) from broken_shipments group by reason
+              union all select 'couriers', 'accepted', count(*) from raw_couriers
+              union all select 'couriers', reason, count(*) from broken_couriers group by reason""", base=feed),
+        "ingest_among_broken_lines": _q(body="select * from raw_shipments", base=feed),
         "layer_counts": _q(COURIER_KPI, body="""
               select 'bronze' as layer, 'shipments' as table_name, count(*) as rows from raw_shipments
               union all select 'bronze', 'couriers', count(*) from raw_couriers

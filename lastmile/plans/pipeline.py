@@ -59,17 +59,21 @@ def land_feed(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
 
 
 def run_bronze(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, int]:
-    """Raw files -> bronze tables (no business change, audit columns added)."""
+    """Raw files -> bronze tables (no business change, audit columns added).
+
+    Lines that are no records go to ``bronze/<kind>_rejected``. Returns the rows of the
+    written tables."""
     counts = {}
-    for name in ("shipments", "couriers"):
+    landings = {"shipments": layout.landing_shipments, "couriers": layout.landing_couriers}
+    for name in landings:
         path = layout.path("bronze", name)
         if layers.is_stream_table(spark, path):
             raise ValueError(f"{path} is appended by the incremental job; rebuild it in a root of its own")
-    for name, frame in (("shipments", files.ingest_shipments(spark, layout.landing_shipments, vocab=vocab)),
-                        ("couriers", files.ingest_couriers(spark, layout.landing_couriers, vocab=vocab))):
-        obs = Observation(f"bronze_{name}")
-        layout.write(frame.observe(obs, F.count(F.lit(1)).alias("rows")), "bronze", name)
-        counts[name] = obs.get["rows"]
+    for name, landing in landings.items():
+        marked = files.marked_lines(spark, landing, name, vocab)
+        layout.write(files.stamped_records(marked, name, vocab), "bronze", name)
+        layout.write(files.stamped_rejects(marked, name, vocab), "bronze", f"{name}_rejected")
+        counts[name] = layers.row_count(spark, layout.path("bronze", name))
     return counts
 
 
@@ -83,8 +87,12 @@ def run_bronze_incremental(spark: SparkSession, layout: Layout,
         counts[kind] = ingest_available(
             spark, landing, layout.path("bronze", kind), layout.path("_checkpoints", f"bronze_{kind}"),
             kind=kind, vocab=vocab)
+        rejected = f"{kind}_rejected"
+        ingest_available(spark, landing, layout.path("bronze", rejected), layout.path("_checkpoints", f"bronze_{rejected}"),
+                         kind=kind, vocab=vocab, rejected=True)
         if layout.register:
-            layers.register_layer(spark, "bronze", kind, layout.path("bronze", kind))
+            for name in (kind, rejected):
+                layers.register_layer(spark, "bronze", name, layout.path("bronze", name))
     return counts
 
 
@@ -144,6 +152,8 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "exact"
     metrics["orphan_shipments"] = metrics["dedup_rows"] - metrics["silver_rows"]
     metrics["courier_rows"] = obs_cour.get["rows"]
     metrics["null_phone_kept"] = obs_cour.get["null_phone"]
+    for kind in ("shipments", "couriers"):
+        metrics[f"rejected_{kind}"] = layers.row_count(spark, layout.path("bronze", f"{kind}_rejected"))
     metrics["yield_pct"] = round(100.0 * metrics["silver_rows"] / metrics["raw_rows"], 2) if metrics["raw_rows"] else 0.0
     # A fixed, small set of numbers: stored next to the layers as a quality report.
     report = spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "check string, value double")

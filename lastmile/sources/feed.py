@@ -150,3 +150,25 @@ def courier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "as phone",
         f"if({_hex('k', 'dup')} < '0d', array(0, 1), array(0)) as copies")
     return rows.selectExpr("*", "explode_outer(copies) as _copy").drop("copies", "_copy")
+
+
+def broken_shipment_lines(shipments: DataFrame) -> DataFrame:
+    """``line`` and ``reason``: CSV lines that are no shipments, six of 256 rows' worth."""
+    h = _hex("tracking_id", "broken")
+    picked = shipments.selectExpr("*", f"{h} as h").where("h < '06'")
+    return picked.selectExpr(
+        "case when h < '02' then concat_ws(',', tracking_id, pickup_raw, status, courier_id) "
+        "when h < '04' then concat_ws(',', tracking_id, pickup_raw, 'x', 'X', '00000', '1', status, courier_id, client_type, amount_raw, 'surplus') "
+        "else concat(tracking_id, ',\"', pickup_raw, ',x,X,00000,1,', status, ',', courier_id, ',', client_type, ',', amount_raw) end as line",
+        "case when h < '02' then 'short_line' when h < '04' then 'long_line' else 'unclosed_quote' end as reason")
+
+
+def broken_courier_lines(couriers: DataFrame) -> DataFrame:
+    """``line`` and ``reason``: JSON lines that are no couriers, for half of the rows."""
+    picked = couriers.selectExpr("*", f"{_hex('courier_id', 'broken')} as h").where("h < '80'")
+    return picked.selectExpr(
+        "case when h < '20' then concat('{\"courier_id\":\"', courier_id, '\",\"first_name\":') "
+        "when h < '40' then concat(courier_id, ';', vehicle) "
+        "when h < '60' then concat('[\"', courier_id, '\"]') "
+        "else concat('{\"vehicle\":\"', vehicle, '\"}') end as line",
+        "case when h < '40' then 'broken_json' when h < '60' then 'not_an_object' else 'no_key' end as reason")

@@ -19,41 +19,30 @@ from lastmile.sources import files, layers
 
 
 def _landing_stream(spark: SparkSession, landing_dir: str, kind: str,
-                    max_files_per_trigger: int | None, vocab: fixed.Vocabulary) -> DataFrame:
-    # batches may land in sub-folders of the landing folder
-    stream = spark.readStream.option("recursiveFileLookup", True)
+                    max_files_per_trigger: int | None, vocab: fixed.Vocabulary, rejected: bool) -> DataFrame:
+    stream = spark.readStream
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-    if kind == "shipments":
-        header = files._checked_header(files.csv_header(spark, landing_dir), vocab.shipment_fields)
-        reader = stream.schema(schemas.text_schema(header)).options(**files.CSV_OPTIONS).csv(landing_dir)
-        names, columns, system = vocab.shipment_fields, schemas.RAW_SHIPMENT_COLUMNS, vocab.shipments_system
-    elif kind == "couriers":
-        reader = stream.schema(schemas.text_schema(vocab.courier_fields)).json(landing_dir)
-        names, columns, system = vocab.courier_fields, schemas.RAW_COURIER_COLUMNS, vocab.couriers_system
-    else:
-        raise ValueError(f"unknown feed kind: {kind}")
-    return reader.select(
-        *[F.col(f"`{src}`").alias(dst) for src, dst in zip(names, columns)],
-        F.current_timestamp().alias("ingestion_timestamp"), F.col("_metadata.file_name").alias("source_file"),
-        F.lit(system).alias("source_system"))
+    marked = files.marked_lines(spark, landing_dir, kind, vocab, stream)
+    return files.stamped_rejects(marked, kind, vocab) if rejected else files.stamped_records(marked, kind, vocab)
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
                      kind: str = "shipments", max_files_per_trigger: int | None = None,
-                     vocab: fixed.Vocabulary = fixed.ENGLISH) -> int:
+                     vocab: fixed.Vocabulary = fixed.ENGLISH, rejected: bool = False) -> int:
     """Append every landing file not ingested yet to ``bronze_dir``; return rows appended.
 
     ``max_files_per_trigger`` cuts a large backlog into bounded micro-batches
     (``availableNow`` still stops when the backlog is done). The rows are counted
     in the committed table (from its footers), however many batches there were.
     A table that the batch job wrote is refused: its rows are not in the sink's
-    log, and readers would lose them.
+    log, and readers would lose them. ``rejected``: the lines that are no records
+    are appended instead of the records.
     """
     if layers.path_exists(spark, bronze_dir) and not layers.is_stream_table(spark, bronze_dir):
         raise ValueError(f"{bronze_dir} was written by the batch job; append to a root of its own")
     before = layers.row_count(spark, bronze_dir)
-    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger, vocab).writeStream
+    query = (_landing_stream(spark, landing_dir, kind, max_files_per_trigger, vocab, rejected).writeStream
              .format("parquet")
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append")
