@@ -13,7 +13,7 @@ import argparse
 import json
 
 from lastmile import fixed
-from lastmile.plans.pipeline import Layout, land_feed, run_layers
+from lastmile.plans.pipeline import Layout, land_feed, run_layers, run_maintained
 from lastmile.session import build_session
 
 
@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master", default=None)
     parser.add_argument("--incremental", action="store_true",
                         help="append new landing files to bronze (streaming, exactly once) instead of rebuilding it")
+    parser.add_argument("--maintain", action="store_true",
+                        help="merge only new landing files into the store under ROOT/store and finish gold from it")
     parser.add_argument("--register", action="store_true",
                         help="expose every layer table in the catalog as <layer>.<table>")
     args = parser.parse_args(argv)
@@ -33,8 +35,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.feed:
         land_feed(spark, args.feed, Layout(args.root))
     vocab = fixed.SPANISH if args.vocab == "es" else fixed.ENGLISH
-    result = run_layers(spark, args.root, args.median, vocab, register=args.register,
-                        incremental=args.incremental)
+    if args.maintain:
+        result = run_maintained(spark, args.root, vocab, args.register)
+    else:
+        result = run_layers(spark, args.root, args.median, vocab, register=args.register,
+                            incremental=args.incremental)
     print(json.dumps(result, default=str))
 
 

@@ -90,6 +90,12 @@ def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quanti
     The smallest value whose cumulative share of rows reaches ``q``.
     """
     hist = value_histogram(df.select(value).where(F.col(value).isNotNull()), value)
+    return quantile_of_histogram(hist, value, q, out, buckets)
+
+
+def quantile_of_histogram(hist: DataFrame, value: str, q: float = 0.5, out: str = "quantile",
+                          buckets: int | None = None) -> DataFrame:
+    """The same from the values' counts (``value`` once each, not null, and ``n``)."""
     cum = cumulative_counts(hist, F.col(value).asc(), buckets)
     return (cum.where(F.col("cum_le") >= F.lit(q) * F.col("total"))
             .agg(F.min(value).alias(out)))

@@ -18,10 +18,12 @@ from lastmile import fixed
 from lastmile.operators import clean, enrich, integrity, kpi, quality
 from lastmile.operators.merge import latest_per_key, upsert
 from lastmile.operators.ranking import approx_quantile_value, quantile_share
+from lastmile.operators import cube
 from lastmile.session import ensure_checkpoint_dir
 from lastmile.sources import files, layers, rejects
 from lastmile.sources.feed import broken_courier_lines, broken_shipment_lines, courier_feed, shipment_feed
 from lastmile.functions import parse_mixed_timestamp, with_time_dimensions
+from lastmile.streaming import maintain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -380,10 +382,11 @@ def q_ingest_among_broken_lines(spark, sf_dir):
 
 @query("layer_roundtrip")
 def q_layer_roundtrip(spark, sf_dir):
-    """Silver written as a layer, registered in the catalog and read by its name."""
+    """Silver published over an earlier version, and read back through the current one."""
     path = _scratch(spark, "layer-silver")
-    layers.write_layer(silver(spark, sf_dir), path)
-    return spark.table(layers.register_layer(spark, "silver", f"shipments_{uuid.uuid4().hex[:12]}", path))
+    layers.publish(shipment_feed(spark, sf_dir).select("tracking_id"), path)
+    layers.publish(silver(spark, sf_dir), path)
+    return layers.read_layer(spark, path)
 
 
 @query("csv_roundtrip")
@@ -435,6 +438,45 @@ def q_upsert_resent(spark, sf_dir):
     return upsert(parsed, again, ["tracking_id"], order_by=["pickup"])
 
 
+def _maintained(spark, sf_dir) -> str:
+    """Root of a store that took the feed in two batches.
+
+    The second brings a third of the tracking ids, sends a ninth of the first batch
+    again as it was, brings every fifth courier for the first time and corrects
+    the vehicle of others."""
+    root = _scratch(spark, "store")
+    third, ninth = F.pmod(F.crc32("tracking_id"), F.lit(3)), F.pmod(F.crc32("tracking_id"), F.lit(9))
+    number = F.crc32("courier_id")
+    feed, couriers = shipment_feed(spark, sf_dir), courier_feed(spark, sf_dir)
+
+    def stamped(rows, name, at):
+        return rows.select("*", F.lit(at).cast("timestamp").alias("ingestion_timestamp"), F.lit(name).alias("source_file"), F.lit("feed").alias("source_system"))
+
+    early = couriers.where(number % 5 != 0).withColumn("vehicle", F.when(number % 5 == 1, F.lit("BIKE")).otherwise(F.col("vehicle")))
+    maintain.apply_batch(spark, root, stamped(feed.where(third != 0), "s1", "2024-01-01 00:00:00"), stamped(early, "c1", "2024-01-01 00:00:00"), batch_id=0)
+    late = couriers.where(number % 5 <= 1)
+    maintain.apply_batch(spark, root, stamped(feed.where((third == 0) | (ninth == 1)), "s2", "2024-01-02 00:00:00"), stamped(late, "c2", "2024-01-02 00:00:00"), batch_id=1)
+    return root
+
+
+@query("incremental_equals_rebuild")
+def q_incremental_equals_rebuild(spark, sf_dir):
+    """Daily KPIs from the states of a store that took the feed in two batches, with a resend."""
+    return cube.kpi_daily_city(maintain.read_cube(spark, _maintained(spark, sf_dir)))
+
+
+@query("incremental_kpi_courier")
+def q_incremental_kpi_courier(spark, sf_dir):
+    """Courier KPIs from the same states."""
+    return cube.kpi_courier(maintain.read_cube(spark, _maintained(spark, sf_dir)))
+
+
+@query("incremental_silver")
+def q_incremental_silver(spark, sf_dir):
+    """Silver of that store: its median and its couriers are those of both batches."""
+    return maintain.read_silver(spark, _maintained(spark, sf_dir))
+
+
 @query("layer_counts")
 def q_layer_counts(spark, sf_dir):
     # silver feeds three of the counts: written once as the pipeline does, then read back

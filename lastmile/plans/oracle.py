@@ -318,6 +318,11 @@ def sql_texts() -> dict[str, str]:
               cast(month(pickup) as integer) as month, city, {measures()}
               from silver group by all"""),
         "kpi_courier": _q(COURIER_KPI, body="select * from kpi_courier"),
+        "incremental_equals_rebuild": _q(body=f"""select cast(pickup as date) as day, cast(year(pickup) as integer) as year,
+              cast(month(pickup) as integer) as month, city, {measures()}
+              from silver group by all"""),
+        "incremental_kpi_courier": _q(COURIER_KPI, body="select * from kpi_courier"),
+        "incremental_silver": _q(body="select * from silver"),
         "summary": _q(body=f"""select count(tracking_id) as total_shipments,
               {count_if("status = 'DELIVERED'")} as delivered,
               {count_if("status = 'INCIDENT'")} as incidents,

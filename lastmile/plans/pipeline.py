@@ -1,6 +1,6 @@
 """Bronze -> silver -> gold -> export on paths.
 
-Each layer is written once (full overwrite, parquet) and the next layer reads
+Each layer is written once (a new version of its table, parquet) and the next layer reads
 it back, which also cuts the lineage between stages. Step counts are taken
 with ``DataFrame.observe`` while the writes run, instead of one ``count()``
 action per step.
@@ -13,12 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile import fixed
+from lastmile import fixed, schemas
 from lastmile.functions import count_where
-from lastmile.operators import clean, enrich, kpi
+from lastmile.operators import clean, cube, enrich
 from lastmile.operators.clean import weight_in_range
 from lastmile.operators.merge import latest_per_key
 from lastmile.sources import files, layers
+from lastmile.streaming import maintain
 from lastmile.streaming.incremental import current_bronze, ingest_available
 from lastmile.sources.feed import courier_feed, shipment_feed
 
@@ -39,7 +40,7 @@ class Layout:
 
     def write(self, df: DataFrame, layer: str, table: str) -> None:
         path = self.path(layer, table)
-        layers.write_layer(df, path)
+        layers.publish(df, path)
         if self.register:
             layers.register_layer(df.sparkSession, layer, table, path)
 
@@ -161,20 +162,44 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "exact"
     return metrics
 
 
-def run_gold(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, DataFrame]:
-    """Silver -> daily KPIs by city, courier KPIs with ranks, executive summary."""
-    silver = layers.read_layer(spark, layout.path("silver", "shipments"))
-    tables = {
-        "kpi_daily_city": kpi.kpi_daily_city(silver, vocab),
-        "kpi_courier": kpi.kpi_courier(silver, vocab=vocab),
-        "executive_summary": kpi.executive_summary(silver, vocab),
-        "monthly_sla_city": kpi.monthly_sla_city(silver),
-    }
+#: States by day, city and courier, from which the gold tables are finished.
+CUBE = "delivery_cube"
+
+
+def _publish_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    tables = cube.gold_tables(layers.read_layer(spark, layout.path("gold", CUBE)))
     for name, df in tables.items():
         layout.write(df, "gold", name)
     return {name: layers.read_layer(spark, layout.path("gold", name)) for name in tables}
 
 
+def run_gold(spark: SparkSession, layout: Layout, vocab: fixed.Vocabulary = fixed.ENGLISH) -> dict[str, DataFrame]:
+    """Silver -> daily KPIs by city, courier KPIs with ranks, summary, monthly SLA, volumes and splits.
+
+    Silver is read once, into the states by day, city and courier; every table is
+    finished from those."""
+    silver = layers.read_layer(spark, layout.path("silver", "shipments"))
+    layout.write(cube.delivery_states(silver, (*cube.DAY, *schemas.COURIER_KEYS), vocab), "gold", CUBE)
+    return _publish_gold(spark, layout)
+
+
+def run_maintained(spark: SparkSession, root: str, vocab: fixed.Vocabulary = fixed.ENGLISH, register: bool = False) -> dict:
+    """Landing -> bronze (appended) -> store -> gold, where each step takes only what is new.
+
+    The store (``ROOT/store``) merges the appended rows into the buckets that they touch;
+    gold is finished from its states. Silver is read from the store
+    (``maintain.read_silver``); no step reads all shipments."""
+    layout = Layout(root, register)
+    bronze = run_bronze_incremental(spark, layout, vocab)
+    store = layout.path("store", "delivery")
+    merged = {kind: maintain.maintain_available(spark, layout.path("bronze", kind), kind, store, layout.path("_checkpoints", f"store_{kind}"), vocab)
+              for kind in ("couriers", "shipments")}
+    layout.write(maintain.read_cube(spark, store, vocab), "gold", CUBE)
+    _publish_gold(spark, layout)
+    run_export(spark, layout)
+    return {"bronze": bronze, "merged_batches": merged}
+
+
 def run_export(spark: SparkSession, layout: Layout) -> None:
     """CSV exports of the gold tables for BI tools (sorted, header, UTF-8, LF)."""
     couriers = layers.read_layer(spark, layout.path("gold", "kpi_courier"))
