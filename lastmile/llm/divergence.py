@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import scratch, table
+from lastmile.llm.common import scratch, table, trimmed
 from lastmile.llm.words import LOWER
 
 #: Bytes of text that are counted at once, term ids of a slab, groups of a block.
@@ -191,7 +191,7 @@ def audit(docs: DataFrame, min_docs=3, top=200) -> DataFrame:
     spark = docs.sparkSession
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     path = scratch(spark, "words")
-    read.mapInArrow(count_words, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).write.parquet(f"{path}/all")
+    read.mapInArrow(trimmed(count_words), COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).write.parquet(f"{path}/all")
     every = spark.read.schema(COUNTS).parquet(f"{path}/all")
     every.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs").write.parquet(f"{path}/terms")
     terms = spark.read.schema("lang string, term string, lang_n long").parquet(f"{path}/terms")

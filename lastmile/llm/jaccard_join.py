@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lastmile.llm import counters, words
-from lastmile.llm.common import frozen, table
+from lastmile.llm.common import frozen, table, trimmed
 from lastmile.llm.components import components
 
 #: Bits of the hashed token counters.
@@ -83,7 +83,7 @@ def token_levels(docs: DataFrame, width: int) -> np.ndarray:
                 np.add.at(counts, (token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
         yield counters.parts_of(counts)
 
-    totals = counters.total(docs.select("text").mapInArrow(count, counters.SCHEMA), 1 << COUNTER_BITS)
+    totals = counters.total(docs.select("text").mapInArrow(trimmed(count), counters.SCHEMA), 1 << COUNTER_BITS)
     usual = np.median(totals)
     excess = np.maximum(0, totals - (usual + 3 * np.sqrt(usual)))
     return np.floor(2 * np.log2(1 + excess)).astype(np.uint8)
@@ -193,7 +193,7 @@ def signed_documents(docs: DataFrame, levels: np.ndarray, width: int, num: int,
                 [batch.column(0), pa.array(n), pa.array(c1), pa.array(c2), _lists(sigs), _lists(maps)],
                 names=["doc_id", "n", "c1", "c2", "sigs", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, SIGNED)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(sign), SIGNED)
 
 
 def _linkable(a: str, b: str, num: int, den: int):
@@ -262,7 +262,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame, levels: np.
                 names=["node", "c1", "c2", "tokens"])
 
     at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    read_back = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", at.alias("at")).mapInArrow(read, "node long, c1 long, c2 long, tokens array<long>")
+    read_back = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", at.alias("at")).mapInArrow(trimmed(read), "node long, c1 long, c2 long, tokens array<long>")
     named = nodes.select("node", "c1", "c2").join(wanted.select("node").distinct(), "node", "left_semi")
     return frozen(read_back.join(named, ["node", "c1", "c2"], "left_semi"))
 

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import frozen, scratch, table, with_text
+from lastmile.llm.common import frozen, scratch, table, trimmed, with_text
 
 KEY = "surrogates"
 FOUND = "doc_id long, type string, value string"
@@ -332,7 +332,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
             ids, kinds, values = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["doc_id", "type", "value"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, FOUND)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(scan), FOUND)
 
 
 def checked_surrogates(entities: DataFrame, key: str = KEY, draw=surrogate) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm import counters, quality, words
-from lastmile.llm.common import table
+from lastmile.llm.common import table, trimmed
 
 SYMBOLS = 64
 TRIGRAMS = SYMBOLS**3
@@ -79,7 +79,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
                 counts += np.bincount((s[:-2] << 12) | (s[1:-1] << 6) | s[2:], minlength=TRIGRAMS).astype(np.uint32)
         yield counters.parts_of(counts)
 
-    return counters.total(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, counters.SCHEMA), TRIGRAMS)
+    return counters.total(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(trimmed(count), counters.SCHEMA), TRIGRAMS)
 
 
 def language_model(counts: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import frozen, scratch
+from lastmile.llm.common import frozen, scratch, trimmed
 
 ROWS = 4096
 QUERIES = 4096
@@ -68,7 +68,7 @@ def integer_rows(vectors: DataFrame, scale: int, label: str | None = None) -> Da
                     [pa.array(ids, pa.int64()), pa.array(labels, pa.int64()), pa.array(np.full(len(ids), matrix.shape[1], np.int32)),
                      pa.array([v.tobytes() for v in matrix], pa.binary())], names=["vec_id", "label", "width", "vector"])
 
-    return _slim(vectors, label).mapInArrow(convert, ROW)
+    return _slim(vectors, label).mapInArrow(trimmed(convert), ROW)
 
 
 def packs(vectors: DataFrame, scale: int, label: str | None = None) -> DataFrame:
@@ -101,7 +101,7 @@ def packs(vectors: DataFrame, scale: int, label: str | None = None) -> DataFrame
             yield from emit(own)
 
     path = scratch(vectors.sparkSession, "packs")
-    _slim(vectors, label).mapInArrow(cut, PACK).write.parquet(path)
+    _slim(vectors, label).mapInArrow(trimmed(cut), PACK).write.parquet(path)
     return vectors.sparkSession.read.schema(PACK).parquet(path)
 
 

@@ -41,12 +41,15 @@ _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of both bases; kept between calls up to the length of an ordinary span."""
     global _powers, _inverses
     if len(_powers) < n:
         def table(base):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1
             return np.multiply.accumulate(steps)
+        if n > 2 * SPAN:  # one very long document
+            return table(BASE), table(INVERSE)
         _powers, _inverses = table(BASE), table(INVERSE)
     return _powers[:n], _inverses[:n]
 
