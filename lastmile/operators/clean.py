@@ -18,7 +18,7 @@ from lastmile.functions import (
     canonical_city, canonical_contract, fix_decimal_comma, pad_zip, parse_date,
     parse_mixed_timestamp, to_double,
 )
-from lastmile.operators.ranking import approx_quantile, approx_quantile_value, exact_quantile
+from lastmile.operators.ranking import quantile_value
 
 
 def normalize_shipments(raw: DataFrame, formats: Sequence[str] = fixed.TIMESTAMP_FORMATS,
@@ -50,38 +50,59 @@ def filter_weight_range(df: DataFrame, column: str = "weight",
     return df.where(weight_in_range(F.col(column), low, high))
 
 
+def median_value(df: DataFrame, column: str = "weight", method: str = "exact",
+                 relative_error: float = fixed.MEDIAN_RELATIVE_ERROR, q: float = fixed.MEDIAN_QUANTILE, weight: str | None = None):
+    """Median of the non-null values of ``column``; null without values.
+
+    ``exact`` (default): ``percentile_disc`` semantics. ``approx``: a value of the data
+    whose rank error is within the relative error given. Either is the same at
+    every run, without collecting the distinct values into one task.
+    """
+    if method not in ("exact", "approx"):
+        raise ValueError(f"unknown median method: {method}")
+    return quantile_value(df, column, q, relative_error if method == "approx" else 0.0, weight)
+
+
 def median_frame(df: DataFrame, column: str = "weight", method: str = "exact",
                  relative_error: float = fixed.MEDIAN_RELATIVE_ERROR,
                  q: float = fixed.MEDIAN_QUANTILE) -> DataFrame:
-    """One-row frame ``median`` over the non-null values of ``column``.
-
-    ``exact`` (default): ``percentile_disc`` semantics, computed without
-    collecting the distinct values into one task; equal at every run.
-    ``approx``: KLL sketches merged in two levels, a value whose rank error is
-    about the relative error given and which may differ between runs.
-    """
-    if method == "approx":
-        return approx_quantile(df, column, q, relative_error, out="median")
-    if method == "exact":
-        return exact_quantile(df, column, q, out="median")
-    raise ValueError(f"unknown median method: {method}")
+    """One-row frame ``median`` with :func:`median_value`."""
+    found = median_value(df, column, method, relative_error, q)
+    return df.sparkSession.createDataFrame([(found,)], f"median {df.schema[column].dataType.simpleString()}")
 
 
 def impute_median(df: DataFrame, column: str = "weight", method: str = "exact",
                   relative_error: float = fixed.MEDIAN_RELATIVE_ERROR) -> DataFrame:
-    """Replace nulls of ``column`` by its median.
+    """Replace nulls of ``column`` by its median, one number used as a literal."""
+    found = median_value(df, column, method, relative_error)
+    return df.withColumn(column, F.coalesce(F.col(column), F.lit(found).cast(df.schema[column].dataType)))
 
-    ``exact``: the median is a one-row aggregate over a materialized
-    histogram, used as a scalar subquery (no join). ``approx``: one number
-    from a two-level KLL sketch merge, used as a literal.
-    """
-    if method == "approx":
-        found = approx_quantile_value(df.where(F.col(column).isNotNull()), column,
-                                      fixed.MEDIAN_QUANTILE, relative_error)
-        median = F.lit(found).cast("double")
-    else:
-        median = median_frame(df, column, method, relative_error).scalar()
-    return df.withColumn(column, F.coalesce(F.col(column), median))
+
+def fill_and_merge(groups: DataFrame, median, keys: Sequence[str], sums: Sequence[str] = (), column: str = "weight", rest: Sequence[str] = ()) -> DataFrame:
+    """Distinct rows by ``keys`` with the nulls of ``column`` filled, distinct again.
+
+    Only rows without a value can become equal to another row, and only to one that
+    has the median: those two kinds are grouped once more (``sums`` added up, the smallest of
+    ``rest``), all others pass as they are."""
+    filled = F.coalesce(F.col(column), F.lit(median).cast("double"))
+    open_ = F.col(column).isNull() | (F.col(column) == F.lit(median).cast("double"))
+    meet = groups.where(F.coalesce(open_, F.lit(False))).withColumn(column, filled)
+    merged = meet.groupBy(*keys).agg(F.count(F.lit(1)).alias("_met"), *[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in rest])
+    others = groups.where(~F.coalesce(open_, F.lit(False)))
+    return others.select(*keys, *sums, *rest).unionByName(merged.select(*keys, *sums, *rest))
+
+
+def distinct_in_range(raw: DataFrame, keys: Sequence[str] = fixed.SHIPMENT_KEY_COLUMNS) -> DataFrame:
+    """Clean shipments before imputation: normalised, in range, exact duplicates once with
+    their number ``n``, missing weights null. Written once, it gives the median (weighted by
+    ``n``) and, filled, the clean shipments: the raw rows are read a single time."""
+    in_range = filter_weight_range(normalize_shipments(raw))
+    return in_range.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def clean_from_distinct(distinct: DataFrame, median_method: str = "exact", keys: Sequence[str] = fixed.SHIPMENT_KEY_COLUMNS) -> DataFrame:
+    """Clean shipments (``keys``) from the written result of :func:`distinct_in_range`."""
+    return fill_and_merge(distinct, median_value(distinct, "weight", median_method, weight="n"), keys)
 
 
 def drop_exact_duplicates(df: DataFrame, keys: Sequence[str] = fixed.SHIPMENT_KEY_COLUMNS) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lastmile import fixed, schemas
 from lastmile.functions import on_time_flag, transit_hours
 from lastmile.operators.clean import clean_shipments
+from lastmile.operators.skewjoin import salted_join
 
 
 def courier_dimension(couriers: DataFrame) -> DataFrame:
@@ -15,13 +16,17 @@ def courier_dimension(couriers: DataFrame) -> DataFrame:
     return couriers.select(*[F.col(src).alias(dst) for src, dst in schemas.COURIER_DIMENSION.items()])
 
 
-def enrich_with_courier(shipments: DataFrame, couriers: DataFrame, key: str = "courier_id") -> DataFrame:
+def enrich_with_courier(shipments: DataFrame, couriers: DataFrame, key: str = "courier_id", salts: dict | None = None) -> DataFrame:
     """Inner join on the courier id (USING form: one key column kept).
 
     Orphans and null keys drop out here; Spark adds the ``isnotnull`` filter
     on both sides and chooses broadcast or sort-merge from the measured size.
+    ``salts`` (``skewjoin.salts_of``) deals the shipments of hot couriers.
     """
-    return shipments.join(courier_dimension(couriers), [key], "inner")
+    dimension = courier_dimension(couriers)
+    if salts:
+        return salted_join(shipments.where(F.col(key).isNotNull()), dimension, key, salts, [c for c in ("tracking_id", "pickup", "amount") if c in shipments.columns])
+    return shipments.join(dimension, [key], "inner")
 
 
 def with_delivery_measures(df: DataFrame, sla_seconds: int = fixed.SLA_SECONDS,
@@ -51,6 +56,12 @@ def silver_shipments(raw_shipments: DataFrame, clean_couriers: DataFrame, median
         shipments = shipments.select(*keys, "ingestion_timestamp")
     else:
         shipments = shipments.select(*keys)
-    return (enrich_with_courier(shipments, clean_couriers)
+    return silver_of_clean(shipments, clean_couriers, audit, vocab)
+
+
+def silver_of_clean(shipments: DataFrame, clean_couriers: DataFrame, audit: bool = False,
+                    vocab: fixed.Vocabulary = fixed.ENGLISH, salts: dict | None = None) -> DataFrame:
+    """Silver from clean shipments and clean couriers."""
+    return (enrich_with_courier(shipments, clean_couriers, salts=salts)
             .transform(lambda d: with_delivery_measures(d, delivered=vocab.delivered))
             .transform(lambda d: silver_projection(d, audit)))

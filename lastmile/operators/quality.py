@@ -3,9 +3,9 @@
 Instead of one ``count()`` action per step (each re-running the lineage), the
 counts of a stage are conditional aggregates of a single pass:
 
-* shipments: one pass that groups the rows like the dedup step, carrying
-  copy counts and per-row check sums, marks the groups against the courier
-  table and folds them into one row (:func:`shipment_counts`);
+* shipments: one pass groups the rows like the dedup step, carrying copy counts
+  and per-row check sums (:func:`checked_groups`); the written groups give the median,
+  are marked against the courier table and folded into one row (:func:`shipment_counts`);
 * couriers: two small aggregates joined in as scalar subqueries.
 
 The result is reshaped to one row per check.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lastmile import fixed
 from lastmile.functions import count_where, pad_zip, ratio_pct, summable
-from lastmile.operators.clean import median_frame, normalize_shipments, weight_in_range
+from lastmile.operators.clean import fill_and_merge, median_value, normalize_shipments, weight_in_range
 from lastmile.operators.integrity import mark_orphans
 
 
@@ -38,36 +38,47 @@ def _raw_flags(norm: DataFrame) -> dict[str, F.Column]:
     }
 
 
-def shipment_counts(raw_shipments: DataFrame, clean_couriers: DataFrame, median_method: str = "exact") -> DataFrame:
-    """Every shipment count of the silver stage in one pass over the raw rows.
+def checked_groups(raw_shipments: DataFrame, stamped: bool = False) -> DataFrame:
+    """The raw rows grouped by the 10 cleaned business columns, in one pass.
 
-    The rows are grouped by the 10 cleaned business columns, as the dedup
-    step does, and each group carries its number of raw copies and the sums
-    of the per-row checks. Out-of-range rows go through the same grouping
-    and are only flagged (their weight is never null and never in range, so
-    a group is wholly in or out of range). The groups are then marked
-    against the courier table and folded into one row. Apart from the
-    median (its own pass over the weight column), the input is read once.
-    """
+    Each group carries its number of raw copies ``n`` and the sums of the per-row
+    checks; missing weights are still null. Out-of-range rows are groups too (their
+    weight is never null and never in range, so a group is wholly in or out).
+    Written once, it gives the median and every count. ``stamped``: with the first
+    ingestion time of each group."""
     keys = list(fixed.SHIPMENT_KEY_COLUMNS)
     norm = normalize_shipments(raw_shipments.withColumns({"city_raw": F.col("city"), "zip_raw": F.col("zip")}))
     flags = _raw_flags(norm)
+    times = ["ingestion_timestamp"] if stamped else []
+    rows = norm.select(*keys, *times, *[F.coalesce(cond, F.lit(False)).cast("int").alias(name) for name, cond in flags.items()])
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in flags], *[F.min(t).alias(t) for t in times])
+
+
+def group_counts(groups: DataFrame) -> DataFrame:
+    """One row: the counts of written groups that need neither the median nor the couriers."""
+    flags = [c for c in groups.columns if c not in (*fixed.SHIPMENT_KEY_COLUMNS, "n", "ingestion_timestamp")]
+    zero = lambda x: F.coalesce(x, F.lit(0))
+    return groups.agg(zero(F.sum("n")).alias("raw_rows"), zero(F.sum(F.when(~weight_in_range(F.col("weight")), F.col("n")))).alias("weight_out_of_range"),
+                      *[zero(F.sum(c)).alias(c) for c in flags])
+
+
+def shipment_counts(groups: DataFrame, clean_couriers: DataFrame, median_method: str = "exact") -> DataFrame:
+    """Every shipment count of the silver stage from the written :func:`checked_groups`.
+
+    Groups that imputation makes equal are merged, all are marked against the courier table
+    and folded into one row. The raw rows are not read again."""
+    keys = list(fixed.SHIPMENT_KEY_COLUMNS)
+    flags = [c for c in groups.columns if c not in (*keys, "n")]
     in_range = weight_in_range(F.col("weight"))
-    median = median_frame(norm.where(in_range), "weight", median_method).scalar()
-    rows = norm.select(
-        *[c for c in keys if c != "weight"],
-        F.when(in_range, F.coalesce(F.col("weight"), median)).otherwise(F.col("weight")).alias("weight"),
-        in_range.alias("_in_range"),
-        *[F.coalesce(cond, F.lit(False)).cast("int").alias(name) for name, cond in flags.items()])
-    groups = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), F.max("_in_range").alias("_in_range"),
-        *[F.sum(name).alias(name) for name in flags])
-    marked = mark_orphans(groups, clean_couriers)
+    median = median_value(groups.where(in_range), "weight", median_method, weight="n")
+    # the median is in range, so merging never mixes rows in and out of range
+    filled = fill_and_merge(groups.withColumn("_in_range", in_range), median, keys, ("n", *flags), rest=("_in_range",))
+    marked = mark_orphans(filled, clean_couriers)
     kept = F.col("_in_range")
     return marked.agg(
-        F.sum("_copies").alias("raw_rows"),
-        F.coalesce(F.sum(F.when(kept, F.col("_copies"))), F.lit(0)).alias("in_range_rows"),
-        F.coalesce(F.sum(F.when(~kept, F.col("_copies"))), F.lit(0)).alias("weight_out_of_range"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
+        F.coalesce(F.sum(F.when(kept, F.col("n"))), F.lit(0)).alias("in_range_rows"),
+        F.coalesce(F.sum(F.when(~kept, F.col("n"))), F.lit(0)).alias("weight_out_of_range"),
         count_where(kept).alias("dedup_rows"),
         count_where(kept & F.col("is_orphan")).alias("orphan_shipments"),
         count_where(kept & F.col("weight").isNull()).alias("null_weight_left"),
@@ -90,11 +101,16 @@ def _stage_couriers(raw_couriers: DataFrame, clean_couriers: DataFrame,
 
 
 def pipeline_counts(raw_shipments: DataFrame, raw_couriers: DataFrame, clean_couriers: DataFrame,
-                    median_method: str = "exact", vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:
-    """One row with every count of the silver stage (shipments and couriers)."""
+                    median_method: str = "exact", vocab: fixed.Vocabulary = fixed.ENGLISH,
+                    groups: DataFrame | None = None) -> DataFrame:
+    """One row with every count of the silver stage (shipments and couriers).
+
+    ``groups``: the written :func:`checked_groups` of the raw shipments, which then are not
+    read again."""
+    groups = checked_groups(raw_shipments) if groups is None else groups
     c_raw, c_clean = _stage_couriers(raw_couriers, clean_couriers, vocab.canonical_contracts)
     # each subquery bound to one column first, so it runs once for both of its fields
-    return shipment_counts(raw_shipments, clean_couriers, median_method).select(
+    return shipment_counts(groups, clean_couriers, median_method).select(
         "*", c_raw.scalar().alias("_craw"), c_clean.scalar().alias("_cclean"),
     ).select(
         "*",

@@ -1,4 +1,4 @@
-"""Global ranks and exact quantiles without a single-partition window.
+"""Global ranks and quantiles without a single-partition window.
 
 ``rank().over(Window.orderBy(...))`` moves every row to one task. Here the
 work is split into distributed steps, the same ones at every size:
@@ -12,8 +12,15 @@ work is split into distributed steps, the same ones at every size:
 4. inside a bucket a window partitioned by the bucket adds the running count.
 
 Result: for every distinct value, in its own type, the exact number of rows up
-to it. Ranks and ``percentile_disc`` follow from that number; the ranks are
-joined back to the rows on the value (null-safe equality).
+to it. Several ranks share one tagged histogram, range partitioning and
+checkpoint; they are joined back to the rows on the value (null-safe equality).
+
+Quantiles of numbers take one aggregate instead: values fall into logarithmic
+buckets (128 an octave, an order-preserving function of the value), and each
+bucket keeps its count, smallest and largest value. Such states merge in any
+order, so the result does not depend on the partitioning. The bucket that holds the
+quantile is the answer if it holds one value, or few enough rows for the error
+allowed; else its values alone go through the histogram above.
 """
 
 from __future__ import annotations
@@ -22,12 +29,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile.functions.numeric import round2
 from lastmile.session import materialize
 
-# Largest KLL sketch parameter; a finer error bound goes to the exact path.
-KLL_MAX_K = 65535
+#: Logarithmic buckets of an octave, and what lifts the exponents of doubles above zero.
+OCTAVE, LIFT, NOT_A_NUMBER = 128, 1 << 18, 1 << 20
 
 
 def value_histogram(df: DataFrame, value: str) -> DataFrame:
@@ -68,34 +76,83 @@ def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     defaults for ``desc`` and ``asc``). ``df`` is read twice (histogram and join
     back): pass a materialized frame when it is expensive.
     """
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    cum = cumulative_counts(value_histogram(df, value), order, buckets)
-    ranks = cum.select(F.col(value).alias("_rank_value"),
-                       (F.col("cum_le") - F.col("n") + 1).cast("int").alias(out))
-    return df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "left").drop("_rank_value")
+    return global_ranks(df, [(value, out, descending)], buckets)
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str, bool]],
                  buckets: int | None = None) -> DataFrame:
-    """Several ``rank()`` columns: ``specs`` = [(value, out, descending), ...]."""
-    for value, name, descending in specs:
-        df = global_rank(df, value, name, descending, buckets)
+    """Several ``rank()`` columns: ``specs`` = [(value, out, descending), ...].
+
+    One histogram of (rank number, value) serves all of them, whatever the values' types."""
+    names = [f"_v{k}" for k in range(len(specs))]
+    orders = [F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_first() for n, (_, _, descending) in zip(names, specs)]
+
+    def tagged(k: int) -> Column:
+        values = [F.col(v) if j == k else F.lit(None).cast(df.schema[v].dataType) for j, (v, _, _) in enumerate(specs)]
+        return F.struct(F.lit(k).alias("_tag"), *[v.alias(n) for v, n in zip(values, names)])
+
+    hist = df.select(F.explode(F.array(*[tagged(k) for k in range(len(specs))])).alias("_t")).select("_t.*")
+    hist = hist.groupBy("_tag", *names).agg(F.count(F.lit(1)).alias("n"))
+    ranged = hist.repartitionByRange(buckets, "_tag", *orders) if buckets else hist.repartitionByRange("_tag", *orders)
+    bucketed = materialize(ranged.withColumn("_bucket", F.spark_partition_id()))
+    totals = bucketed.groupBy("_bucket", "_tag").agg(F.sum("n").alias("_bucket_n"))  # one row a bucket and rank
+    before = Window.partitionBy("_tag").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", "_tag", F.coalesce(F.sum("_bucket_n").over(before), F.lit(0)).alias("_before"))
+    running = Window.partitionBy("_bucket", "_tag").orderBy(*orders).rowsBetween(Window.unboundedPreceding, 0)
+    counted = bucketed.withColumn("_running", F.sum("n").over(running)).join(offsets, ["_bucket", "_tag"])
+    counted = counted.withColumn("_rank", (F.col("_before") + F.col("_running") - F.col("n") + 1).cast("int"))
+    for k, (value, out, _) in enumerate(specs):
+        ranks = counted.where(F.col("_tag") == k).select(F.col(names[k]).alias("_rank_value"), F.col("_rank").alias(out))
+        df = df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "left").drop("_rank_value")
     return df
 
 
+def order_bucket(value: Column) -> Column:
+    """Number of a value's logarithmic bucket; larger values never have a smaller one."""
+    x = value.cast("double")
+    size = F.floor(F.log2(F.least(F.abs(x), F.lit(1.7e308))) * OCTAVE) + LIFT
+    return F.when(F.isnan(x), F.lit(NOT_A_NUMBER)).when(x == 0, F.lit(0)).otherwise(F.when(x > 0, size).otherwise(-size)).cast("int")
+
+
+def quantile_value(df: DataFrame, value: str, q: float = 0.5, relative_error: float = 0.0, weight: str | None = None):
+    """The smallest value whose cumulative share of rows reaches ``q`` (nulls ignored);
+    null without values. With ``relative_error``, a value of the data at most that share of
+    rows before it. ``weight``: a column with the number of rows that a row stands for.
+
+    One aggregate over logarithmic buckets; only where the bucket that holds the
+    quantile has several values and too many rows are its values counted one by one.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value), (F.col(weight) if weight else F.lit(1)).alias("n"))
+    states = rows.withColumn("_bucket", order_bucket(F.col(value))).groupBy("_bucket").agg(
+        F.sum("n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+    order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)  # one row a bucket
+    running = states.select("*", F.sum("n").over(order).alias("upto"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    reached = running.where(F.col("upto") >= F.lit(q) * F.col("total"))
+    found = reached.agg(F.min(F.struct("_bucket", "n", "low", "high", "upto", "total")).alias("at")).first()["at"]
+    if found is None:
+        return None
+    if found["_bucket"] == NOT_A_NUMBER or found["low"] == found["high"] or found["n"] <= relative_error * found["total"]:
+        return found["low"]
+    inside = rows.where(order_bucket(F.col(value)) == found["_bucket"]).groupBy(value).agg(F.sum("n").alias("n"))
+    before = found["upto"] - found["n"]
+    cum = cumulative_counts(inside, F.col(value).asc())
+    return cum.where(F.col("cum_le") + before >= F.lit(q) * found["total"]).agg(F.min(value).alias("v")).first()["v"]
+
+
+def _one_row(df: DataFrame, value: str, out: str, found) -> DataFrame:
+    return df.sparkSession.createDataFrame([(found,)], T.StructType([T.StructField(out, df.schema[value].dataType)]))
+
+
 def exact_quantile(df: DataFrame, value: str, q: float = 0.5, out: str = "quantile",
                    buckets: int | None = None) -> DataFrame:
     """One-row frame with ``percentile_disc(q)`` of ``value`` (nulls ignored).
 
-    The smallest value whose cumulative share of rows reaches ``q``.
+    The smallest value whose cumulative share of rows reaches ``q``. Numbers take
+    :func:`quantile_value`; other types, or a given number of range ``buckets``, the histogram.
     """
+    if buckets is None and isinstance(df.schema[value].dataType, T.NumericType):
+        return _one_row(df, value, out, quantile_value(df, value, q))
     hist = value_histogram(df.select(value).where(F.col(value).isNotNull()), value)
-    return quantile_of_histogram(hist, value, q, out, buckets)
-
-
-def quantile_of_histogram(hist: DataFrame, value: str, q: float = 0.5, out: str = "quantile",
-                          buckets: int | None = None) -> DataFrame:
-    """The same from the values' counts (``value`` once each, not null, and ``n``)."""
     cum = cumulative_counts(hist, F.col(value).asc(), buckets)
     return (cum.where(F.col("cum_le") >= F.lit(q) * F.col("total"))
             .agg(F.min(value).alias(out)))
@@ -110,41 +167,16 @@ def quantile_share(df: DataFrame, value: str, found: float | None) -> DataFrame:
     return rows.agg(share(F.col(value) < at).alias("below"), share(F.col(value) <= at).alias("upto"))
 
 
-def approx_quantile_value(df: DataFrame, value: str, q: float = 0.5,
-                          relative_error: float = 0.01, fan_in: int = 1024) -> float | None:
-    """Approximate quantile of the non-null values: a value of the data whose rank
-    is within about ``relative_error`` of ``q``.
-
-    KLL sketches merged in two levels: one sketch per scan partition, merged in
-    ``fan_in`` groups across the cluster, then at most ``fan_in`` sketches merged
-    into one. A single global sketch aggregate (``percentile_approx``, and
-    ``stat.approxQuantile``, which Spark plans the same way) would send every
-    task's partial sketch to one task instead. The result is one number returned to the driver.
-
-    A sketch compacts with random bits, so the value can differ between runs
-    (within the bound). An error bound finer than a sketch can hold, 0
-    included, is met by the exact quantile.
-    """
-    if relative_error * KLL_MAX_K < 4:
-        return exact_quantile(df, value, q).first()["quantile"]
-    k = int(max(8, -(-4 // relative_error)))
-    per_group = (df.where(F.col(value).isNotNull())
-                 .groupBy((F.spark_partition_id() % F.lit(fan_in)).alias("_group"))
-                 .agg(F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("_sketch")))
-    merged = per_group.agg(F.kll_merge_agg_double("_sketch", k).alias("_sketch"),
-                           F.count(F.lit(1)).alias("_groups"))
-    # no input rows: no group, and no sketch to read a quantile from
-    row = merged.select(F.when(F.col("_groups") > 0,
-                               F.kll_sketch_get_quantile_double("_sketch", F.lit(float(q))))
-                        .alias("q")).first()
-    return None if row is None else row["q"]
+def approx_quantile_value(df: DataFrame, value: str, q: float = 0.5, relative_error: float = 0.01):
+    """Approximate quantile of the non-null values: a value of the data whose rank is
+    within ``relative_error`` of ``q``, the same one at every run and partitioning."""
+    return quantile_value(df, value, q, relative_error)
 
 
 def approx_quantile(df: DataFrame, value: str, q: float = 0.5, relative_error: float = 0.01,
                     out: str = "quantile") -> DataFrame:
     """One-row frame with :func:`approx_quantile_value`."""
-    found = approx_quantile_value(df, value, q, relative_error)
-    return df.sparkSession.createDataFrame([(None if found is None else float(found),)], f"{out} double")
+    return _one_row(df, value, out, quantile_value(df, value, q, relative_error))
 
 
 def composite_score(rank_a: Column, rank_b: Column) -> Column:

@@ -15,10 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile import fixed
-from lastmile.operators import clean, enrich, integrity, kpi, quality
+from lastmile.operators import clean, cube, enrich, integrity, kpi, quality, skewjoin
 from lastmile.operators.merge import latest_per_key, upsert
-from lastmile.operators.ranking import approx_quantile_value, quantile_share
-from lastmile.operators import cube
 from lastmile.session import ensure_checkpoint_dir
 from lastmile.sources import files, layers, rejects
 from lastmile.sources.feed import broken_courier_lines, broken_shipment_lines, courier_feed, shipment_feed
@@ -56,12 +54,16 @@ def _imputed(spark, sf_dir, method="exact") -> DataFrame:
     return clean.impute_median(_in_range(spark, sf_dir), "weight", method)
 
 
-def _dedup(spark, sf_dir) -> DataFrame:
-    return clean.drop_exact_duplicates(_imputed(spark, sf_dir).select(*KEYS))
+def _dedup(spark, sf_dir, median_method="exact") -> DataFrame:
+    """Clean shipments. The feed, with its join of line items and orders, runs once: its
+    distinct rows are written, give the median, and are read back filled."""
+    path = _scratch(spark, "distinct-shipments")
+    clean.distinct_in_range(shipment_feed(spark, sf_dir)).write.parquet(path)
+    return clean.clean_from_distinct(spark.read.parquet(path), median_method)
 
 
 def silver(spark, sf_dir, median_method="exact") -> DataFrame:
-    return enrich.silver_shipments(shipment_feed(spark, sf_dir), _couriers(spark, sf_dir), median_method)
+    return enrich.silver_of_clean(_dedup(spark, sf_dir, median_method), _couriers(spark, sf_dir))
 
 
 def _courier_kpis(spark, sf_dir) -> DataFrame:
@@ -71,8 +73,9 @@ def _courier_kpis(spark, sf_dir) -> DataFrame:
 
 
 def _counts(spark, sf_dir) -> DataFrame:
-    return quality.pipeline_counts(shipment_feed(spark, sf_dir), courier_feed(spark, sf_dir),
-                                   _couriers(spark, sf_dir), median_method="exact")
+    path, raw = _scratch(spark, "checked-shipments"), shipment_feed(spark, sf_dir)
+    quality.checked_groups(raw).write.parquet(path)
+    return quality.pipeline_counts(raw, courier_feed(spark, sf_dir), _couriers(spark, sf_dir), groups=spark.read.parquet(path))
 
 
 def _scratch(spark: SparkSession, label: str) -> str:
@@ -139,20 +142,10 @@ def q_median_weight_exact(spark, sf_dir):
     return clean.median_frame(_in_range(spark, sf_dir), "weight", "exact")
 
 
-def _approx_within_bound(spark, sf_dir) -> DataFrame:
-    """One row ``within``: the sketch's median lies within the relative error by rank.
-
-    The value itself may differ between runs; this may not."""
-    rows = _in_range(spark, sf_dir)
-    found = approx_quantile_value(rows, "weight", fixed.MEDIAN_QUANTILE, fixed.MEDIAN_RELATIVE_ERROR)
-    low, high = fixed.MEDIAN_QUANTILE - fixed.MEDIAN_RELATIVE_ERROR, fixed.MEDIAN_QUANTILE + fixed.MEDIAN_RELATIVE_ERROR
-    share = quantile_share(rows, "weight", found)
-    return share.select(((F.col("below") <= high) & (F.col("upto") >= low)).alias("within"))
-
-
 @query("median_weight_approx")
 def q_median_weight_approx(spark, sf_dir):
-    return _approx_within_bound(spark, sf_dir)
+    """The median within the relative error: of these weights, the median itself."""
+    return clean.median_frame(_in_range(spark, sf_dir), "weight", "approx")
 
 
 @query("impute_median_exact")
@@ -162,11 +155,8 @@ def q_impute_median_exact(spark, sf_dir):
 
 @query("impute_median_approx")
 def q_impute_median_approx(spark, sf_dir):
-    """Imputation by the sketch's median: which weights were filled, and that each is in range."""
-    rows = _in_range(spark, sf_dir)
-    filled = clean.impute_median(rows.withColumn("given", F.col("weight")), "weight", "approx")
-    return filled.select(*[k for k in KEYS if k != "weight"], F.col("given").isNull().alias("imputed"),
-                         clean.weight_in_range(F.col("weight")).alias("in_range"), F.col("given").alias("weight_given"))
+    """Imputation by the approximate median, the imputed weights included."""
+    return _imputed(spark, sf_dir, "approx").select(*KEYS)
 
 
 @query("dedup_shipments")
@@ -206,6 +196,14 @@ def q_enriched(spark, sf_dir):
     return enrich.enrich_with_courier(_dedup(spark, sf_dir), _couriers(spark, sf_dir))
 
 
+@query("enriched_hot_couriers")
+def q_enriched_hot_couriers(spark, sf_dir):
+    """The enrichment join with the shipments of hot couriers dealt over salts."""
+    shipments = _dedup(spark, sf_dir)
+    hot = skewjoin.hot_keys(shipments.select("courier_id"), "courier_id")
+    return enrich.enrich_with_courier(shipments, _couriers(spark, sf_dir), salts=skewjoin.salts_of(hot))
+
+
 @query("silver")
 def q_silver(spark, sf_dir):
     return silver(spark, sf_dir)
@@ -226,8 +224,8 @@ def q_on_time(spark, sf_dir):
 
 @query("silver_approx_median")
 def q_silver_approx(spark, sf_dir):
-    """Silver by the sketch's median, without the weights that it decides."""
-    return silver(spark, sf_dir, median_method="approx").drop("weight")
+    """Silver by the approximate median."""
+    return silver(spark, sf_dir, median_method="approx")
 
 
 @query("time_dims")

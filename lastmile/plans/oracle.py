@@ -300,6 +300,9 @@ def sql_texts() -> dict[str, str]:
         "enriched": _q(body="""select d.*, c.first_name as courier_first_name, c.last_name as courier_last_name,
               c.contract, c.assigned_city, c.vehicle from dedup d join couriers c on d.courier_id = c.courier_id""",
                        base=up_to_dedup),
+        "enriched_hot_couriers": _q(body="""select d.*, c.first_name as courier_first_name, c.last_name as courier_last_name,
+              c.contract, c.assigned_city, c.vehicle from dedup d join couriers c on d.courier_id = c.courier_id""",
+                                    base=up_to_dedup),
         "silver": _q(body="select * from silver"),
         "transit_hours": _q(body="select tracking_id, courier_id, status, pickup, delivery, transit_hours from silver"),
         "on_time": _q(body="select tracking_id, courier_id, status, pickup, delivery, on_time from silver"),
@@ -364,10 +367,9 @@ def sql_texts() -> dict[str, str]:
                             body=latest("""select * from parsed union all
               select * replace ('RETURNED' as status, case when upper(trim(city)) < 'F' then pickup + interval 1 day
                 else pickup - interval 1 day end as pickup) from parsed where length(amount_raw) % 7 = 0"""), base=feed),
-        "median_weight_approx": "select true as within",
-        "impute_median_approx": _q(body=f"""select {', '.join(k for k in KEYS.split(', ') if k != 'weight')},
-              weight is null as imputed, true as in_range, weight as weight_given from in_range""", base=up_to_dedup),
-        "silver_approx_median": _q(body="select * exclude (weight) from silver"),
+        "median_weight_approx": _q(body="select median from median", base=up_to_dedup),
+        "impute_median_approx": _q(body=f"select {KEYS} from imputed", base=up_to_dedup),
+        "silver_approx_median": _q(body="select * from silver"),
         "ingest_shipments": _q(body="select *, true as source_file, 'shipment_tracking' as source_system "
                                     "from raw_shipments", base=feed),
         "ingest_couriers": _q(body="select *, true as source_file, 'courier_registry' as source_system "

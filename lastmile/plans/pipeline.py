@@ -1,22 +1,20 @@
 """Bronze -> silver -> gold -> export on paths.
 
 Each layer is written once (a new version of its table, parquet) and the next layer reads
-it back, which also cuts the lineage between stages. Step counts are taken
-with ``DataFrame.observe`` while the writes run, instead of one ``count()``
-action per step.
+it back, which also cuts the lineage between stages. Step counts come from the
+written tables, instead of one ``count()`` action per step over the raw rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile import fixed, schemas
 from lastmile.functions import count_where
-from lastmile.operators import clean, cube, enrich
-from lastmile.operators.clean import weight_in_range
+from lastmile.operators import clean, cube, enrich, quality, skewjoin
 from lastmile.operators.merge import latest_per_key
 from lastmile.sources import files, layers
 from lastmile.streaming import maintain
@@ -103,9 +101,10 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "exact"
 
     ``appended``: bronze was appended over several runs, so a courier sent
     again keeps its most recently ingested record and a resent shipment file
-    counts once. The counts are observed while the layers are written; a map
-    task that is rerun after the loss of an executor can count twice there, so
-    the rows of the written tables are what the yield is taken from.
+    counts once. Bronze is read once, into ``silver/shipments_checked`` (distinct cleaned rows
+    with their copies and the sums of the per-row checks). The median, silver and all
+    counts come from that table and the tables written after it: counts belong to
+    committed files, so a task that runs twice counts once.
     """
     bronze_ship = (current_bronze(spark, layout.path("bronze", "shipments")) if appended
                    else layers.read_layer(spark, layout.path("bronze", "shipments")))
@@ -113,51 +112,33 @@ def run_silver(spark: SparkSession, layout: Layout, median_method: str = "exact"
     if appended:
         bronze_cour = latest_per_key(bronze_cour, ["courier_id"], ["ingestion_timestamp"])
 
-    couriers = clean.clean_couriers(bronze_cour, vocab.contract_canon)
-    obs_cour = Observation("silver_couriers")
-    layout.write(couriers.observe(obs_cour, F.count(F.lit(1)).alias("rows"),
-                                  count_where(F.col("phone").isNull()).alias("null_phone")),
-                 "silver", "couriers")
+    layout.write(clean.clean_couriers(bronze_cour, vocab.contract_canon), "silver", "couriers")
     couriers = layers.read_layer(spark, layout.path("silver", "couriers"))
+    layout.write(quality.checked_groups(bronze_ship, stamped=True), "silver", "shipments_checked")
+    checked = layers.read_layer(spark, layout.path("silver", "shipments_checked"))
 
-    normalized = clean.normalize_shipments(bronze_ship)
-    in_range = clean.filter_weight_range(normalized)
-    # The median is one value: computed first (a pass over the weight column only).
-    median = clean.median_frame(in_range, "weight", median_method).first()["median"]
-
-    obs_raw = Observation("raw")
-    observed = normalized.observe(
-        obs_raw, F.count(F.lit(1)).alias("raw_rows"),
-        count_where(~weight_in_range(F.col("weight"))).alias("weight_out_of_range"),
-        count_where(weight_in_range(F.col("weight")) & F.col("weight").isNull()).alias("null_weight_imputed"),
-        count_where(F.col("pickup").isNull() & F.col("pickup_raw").isNotNull()).alias("unparsed_pickup"))
-    keys = list(fixed.SHIPMENT_KEY_COLUMNS)
-    imputed = (clean.filter_weight_range(observed)
-               .withColumn("weight", F.coalesce(F.col("weight"), F.lit(median))))
+    in_range = clean.filter_weight_range(checked)
+    median = clean.median_value(in_range, "weight", median_method, weight="n")
     # of exact copies the first ingestion counts, whatever the order of tasks
-    dedup = imputed.groupBy(*keys).agg(F.min("ingestion_timestamp").alias("ingestion_timestamp"))
-    obs_dedup = Observation("dedup")
-    dedup = dedup.observe(obs_dedup, F.count(F.lit(1)).alias("dedup_rows"))
-    silver = (enrich.enrich_with_courier(dedup, couriers)
-              .transform(lambda d: enrich.with_delivery_measures(d, delivered=vocab.delivered))
-              .transform(lambda d: enrich.silver_projection(d, audit=True)))
-    obs_silver = Observation("silver")
-    layout.write(silver.observe(obs_silver, F.count(F.lit(1)).alias("silver_rows")), "silver", "shipments")
+    dedup = clean.fill_and_merge(in_range, median, fixed.SHIPMENT_KEY_COLUMNS, rest=("ingestion_timestamp",))
+    salts = skewjoin.salts_of(skewjoin.hot_keys(checked.select("courier_id"), "courier_id"))
+    silver = enrich.silver_of_clean(dedup, couriers, audit=True, vocab=vocab, salts=salts)
+    layout.write(silver, "silver", "shipments")
 
     metrics: dict[str, int | float] = {"median_weight": median}
-    for obs in (obs_raw, obs_dedup, obs_silver):
-        metrics.update(obs.get)
+    metrics |= quality.group_counts(checked).first().asDict()
+    metrics["dedup_rows"] = dedup.count()
     metrics["silver_rows"] = layers.row_count(spark, layout.path("silver", "shipments"))
     metrics["in_range_rows"] = metrics["raw_rows"] - metrics["weight_out_of_range"]
     metrics["duplicates_removed"] = metrics["in_range_rows"] - metrics["dedup_rows"]
     metrics["orphan_shipments"] = metrics["dedup_rows"] - metrics["silver_rows"]
-    metrics["courier_rows"] = obs_cour.get["rows"]
-    metrics["null_phone_kept"] = obs_cour.get["null_phone"]
+    kept = couriers.agg(F.count(F.lit(1)).alias("rows"), count_where(F.col("phone").isNull()).alias("null_phone")).first()
+    metrics["courier_rows"], metrics["null_phone_kept"] = kept["rows"], kept["null_phone"]
     for kind in ("shipments", "couriers"):
         metrics[f"rejected_{kind}"] = layers.row_count(spark, layout.path("bronze", f"{kind}_rejected"))
     metrics["yield_pct"] = round(100.0 * metrics["silver_rows"] / metrics["raw_rows"], 2) if metrics["raw_rows"] else 0.0
     # A fixed, small set of numbers: stored next to the layers as a quality report.
-    report = spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "check string, value double")
+    report = spark.createDataFrame([(k, None if v is None else float(v)) for k, v in metrics.items()], "check string, value double")
     layout.write(report.coalesce(1), "gold", "silver_quality")
     return metrics
 

@@ -37,7 +37,7 @@ from lastmile import fixed, schemas
 from lastmile.operators import clean, cube, enrich
 from lastmile.operators.clean import weight_in_range
 from lastmile.operators.merge import latest_per_key
-from lastmile.operators.ranking import quantile_of_histogram
+from lastmile.operators.ranking import quantile_value
 from lastmile.sources import layers
 
 #: Hash buckets of a store; a bucket should hold about as much as a task reads.
@@ -199,7 +199,7 @@ def apply_batch(spark: SparkSession, root: str, shipments: DataFrame | None = No
 
 def median_weight(store: Store) -> float | None:
     """The median that fills missing weights, from the weights' counts."""
-    return quantile_of_histogram(store.read("weights"), "weight", fixed.MEDIAN_QUANTILE, "median").first()["median"]
+    return quantile_value(store.read("weights"), "weight", fixed.MEDIAN_QUANTILE, weight="n")
 
 
 def clean_couriers(store: Store, vocab: fixed.Vocabulary = fixed.ENGLISH) -> DataFrame:

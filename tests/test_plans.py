@@ -8,16 +8,50 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _tables_read(spark, query, table="lineitem.parquet"):
+    """How often the jobs of a query scan a table: the plans of all tables that it writes, and its own."""
+    from pyspark.sql import DataFrameWriter
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, path, *rest, **more):
+        plans.append(_plan(self._df))
+        return write(self, path, *rest, **more)
+
+    DataFrameWriter.parquet = noted
+    try:
+        plans.append(_plan(catalog.QUERIES[query](spark, SF_SMALL)))
+    finally:
+        DataFrameWriter.parquet = write
+    return plans
+
+
 def test_scan_reads_only_needed_columns(spark):
-    plan = _plan(catalog.QUERIES["summary"](spark, SF_SMALL))
+    plan = "".join(_tables_read(spark, "summary"))
     assert "l_comment" not in plan and "l_tax" not in plan and "l_discount" not in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
 def test_fact_join_is_sort_merge_and_dimension_join_is_sized_by_spark(spark):
-    plan = _plan(catalog.QUERIES["silver"](spark, SF_SMALL))
-    assert "SortMergeJoin" in plan
-    assert "BroadcastHashJoin" in plan       # courier dimension is small here (size-checked by Spark)
+    plans = _tables_read(spark, "silver")
+    assert any("SortMergeJoin" in plan for plan in plans)
+    assert "BroadcastHashJoin" in plans[-1]       # courier dimension is small here (size-checked by Spark)
+
+
+@pytest.mark.parametrize("name", ["silver", "kpi_daily", "summary", "kpi_courier", "top_cities", "monthly_sla_city", "quality"])
+def test_facts_are_scanned_and_joined_once(spark, name):
+    """Median and clean rows come from one pass over line items and orders."""
+    plans = _tables_read(spark, name)
+    assert sum(plan.count("lineitem.parquet") for plan in plans) == 1
+    assert sum(plan.count("orders.parquet") for plan in plans) == 1
+    assert sum("SortMergeJoin" in plan for plan in plans) == 1
+
+
+def test_ranks_share_one_range_exchange(spark, monkeypatch):
+    from lastmile.operators import ranking
+    frozen, made = ranking.materialize, []
+    monkeypatch.setattr(ranking, "materialize", lambda df: made.append(_plan(df)) or frozen(df))
+    catalog.QUERIES["kpi_courier"](spark, SF_SMALL)
+    assert sum(plan.count("rangepartitioning") for plan in made) == 1
 
 
 def test_courier_ranking_has_no_window_over_the_courier_rows(spark):
@@ -56,12 +90,6 @@ def test_no_single_partition_exchange_over_courier_rows(spark):
         assert _bounded(child), child
 
 
-def test_quality_metrics_scan_the_fact_table_once(spark):
-    plan = _plan(catalog.QUERIES["quality"](spark, SF_SMALL))
-    # the median's histogram was materialized before; the counts are one pass
-    assert plan.count("lineitem.parquet") == 1
-
-
 WRITES_FILES = {"csv_roundtrip", "json_roundtrip", "ingest_shipments", "ingest_couriers", "layer_roundtrip", "export_kpi_courier"}
 
 

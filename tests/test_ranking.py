@@ -84,3 +84,47 @@ def test_building_a_quantile_reads_its_input_once(spark):
     """Two calls on the same rows give the same value."""
     df = _data(spark)
     assert len({exact_quantile(df, "v").first()[0] for _ in range(3)}) == 1
+
+
+def _values(seed, n=500):
+    rnd = random.Random(seed)
+    kinds = [lambda: rnd.gauss(0, 1), lambda: rnd.choice([0.0, -0.0, 1.5, -1.5]), lambda: rnd.lognormvariate(0, 20) * rnd.choice([1, -1]), lambda: None,
+             lambda: float("inf") * rnd.choice([1, -1]), lambda: float("nan"), lambda: 7.0, lambda: 7.0 + rnd.random() * 1e-3]
+    return [(rnd.choice(kinds)(),) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bucket_quantiles_equal_percentile_disc(spark, seed):
+    from lastmile.operators.ranking import quantile_value
+    df = spark.createDataFrame(_values(seed), "v double")
+    for q in (0.01, 0.25, 0.5, 0.77, 1.0):
+        want = df.selectExpr(f"percentile_disc({q}) within group (order by v) as p").first().p
+        got = quantile_value(df, "v", q)
+        assert got == want or (got != got and want != want)
+
+
+def test_bucket_order_follows_the_value(spark):
+    from lastmile.operators.ranking import order_bucket
+    values = sorted({v for v, in _values(1) + _values(2) if v is not None and v == v} | {5e-324, -5e-324, 1.7976931348623157e308})
+    got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", order_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert got == sorted(got)
+
+
+def test_approximate_quantile_is_within_its_error_at_every_partitioning(spark):
+    from lastmile.operators.ranking import approx_quantile_value
+    rnd = random.Random(5)
+    values = [rnd.lognormvariate(3, 1) for _ in range(3000)] + [12.5] * 300
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for q in (0.1, 0.5, 0.9):
+        found = {approx_quantile_value(df.repartition(n), "v", q, 0.01) for n in (1, 3, 8)}
+        assert len(found) == 1
+        at = found.pop()
+        assert at in values
+        assert sum(v < at for v in values) / len(values) <= q + 0.01 and sum(v <= at for v in values) / len(values) >= q - 0.01
+
+
+def test_weighted_quantile(spark):
+    from lastmile.operators.ranking import quantile_value
+    df = spark.createDataFrame([(1.0, 5), (2.0, 1), (3.0, 5), (None, 100)], "v double, n long")
+    assert [quantile_value(df, "v", q, weight="n") for q in (0.4, 0.5, 0.9)] == [1.0, 2.0, 3.0]
+    assert quantile_value(df.limit(0), "v", weight="n") is None

@@ -124,3 +124,30 @@ def test_courier_aggregates_and_orphan_ids_join_one_row_per_courier(spark):
             left = next(line for line in lines[join + 1:] if "Aggregate" in line or "Range" in line)
             assert "Aggregate" in left  # shipments are aggregated below the join
         assert [r.courier_id for r in integrity.orphan_ids(ship, couriers).collect()] == ["REP-NONE"]
+
+
+def test_salted_join_deals_a_hot_courier_without_adaptive_splitting(spark):
+    from lastmile.operators import skewjoin
+    n = 6000
+    facts = spark.range(n).select(F.col("id").cast("string").alias("tracking_id"),
+                                  F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 97 == 1, F.lit(None)).otherwise(F.concat(F.lit("C"), F.col("id") % 500)).alias("courier_id"))
+    dimension = spark.createDataFrame([("HOT", 1)] + [(f"C{k}", k) for k in range(400)], "courier_id string, x int")
+    hot = skewjoin.hot_keys(facts, "courier_id", 0.05)
+    assert set(hot) == {"HOT"} and abs(hot["HOT"] - 1 / 3) < 0.001
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = skewjoin.salted_join(facts, dimension, "courier_id", skewjoin.salts_of(hot, 0.005))
+        assert "skew=true" not in joined._jdf.queryExecution().executedPlan().toString()
+        sizes = sorted(r.n for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+        assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            got = skewjoin.salted_join(facts, dimension, "courier_id", skewjoin.salts_of(hot, 0.005), how=how)
+            want = facts.join(dimension, ["courier_id"], how)
+            assert got.columns == want.columns
+            assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
