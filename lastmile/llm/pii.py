@@ -13,15 +13,22 @@ number, lower case of an address, each part of a name by itself), so all mention
 of an entity agree in every document, "Mr. Smith" and "John Smith" included.
 
 A person is found by a title, or by a given name of the lists before another
-capitalised word; initials may stand between. All other capitalised mentions of
-that given or family name in the same document are replaced as well ("Smith paid");
-a name that is both there is taken as its first mention has it. Initials stay.
+capitalised word that names no place; initials may stand between. All other
+capitalised mentions of that given or family name in the same document are replaced
+as well ("Smith paid"), unless the document has the word in small letters too
+("the stone. Stone Age"); a name that is both there is taken as its first mention
+has it. Initials stay.
+
+Gender. In a document a given name has the gender that its titles say most often,
+else that of the lists, else none (its surrogate then has no gendered form). Over the
+corpus the gender that more documents give a name holds everywhere, so one given name
+has one surrogate: documents that see it otherwise learn it as an exception.
 
 Collision check. All distinct entities of the corpus are gathered as a table; a
 surrogate that two entities of a type share, or that is itself an entity of the
 corpus, is drawn again with the next attempt number for all but one of them, until
-none is left. Entities that needed another attempt are joined to the documents
-that mention them; all others are computed where they are found.
+none is left. Entities that needed another attempt or another gender are joined to the
+documents that mention them; all others are computed where they are found.
 
 Scale. Texts are scanned twice. Documents meet their exceptions, if there are any,
 in a join whose small side is a written table of known size: Spark broadcasts it
@@ -41,15 +48,16 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from dataclasses import replace as replace_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import frozen, scratch, table, trimmed, with_text
+from lastmile.llm.common import frozen, scratch, table, trimmed
 
 KEY = "surrogates"
-FOUND = "doc_id long, type string, value string"
+FOUND = "doc_id long, type string, value string, gender string"
 SPANS = "array<struct<type:string,start:int,end:int>>"
 
 # Titles by gender, given names by script and gender, and
@@ -63,6 +71,17 @@ GIVEN = {
     ("greek", "f"): "Ελένη Αικατερίνη Βασιλική Σοφία Γεωργία".split(),
     ("greek", "m"): "Γεώργιος Δημήτριος Κωνσταντίνος Νικόλαος Παναγιώτης".split(),
 }
+#: Given names that surrogates are drawn from; none of those above, which corpora hold.
+POOL = {
+    ("latin", "f"): "Adelheid Amalia Annika Apollonia Beatrix Benedicta Birgitta Celestina Clementine Constanza Cordula Cosima Daphne Delphine Dorothea Edwina Eleonora Elfriede Ernestina Esmeralda Eugenia Felicitas Florentina Friederike Georgina Gwendolyn Henrietta Hermine Hildegard Ignacia Isadora Josefina Kunigunde Leocadia Leopoldina Lucinda Ludmilla Magdalena Marcelina Melisande Minerva Octavia Odette Ottilie Philippa Philomena Rosalinde Rosamund Sabina Seraphina Sibylla Theodora Thusnelda Ulrike Ursula Valentina Verena Wilhelmina Winifred Zenobia".split(),
+    ("latin", "m"): "Adalbert Alaric Ambrosio Anselm Archibald Aurelio Balthasar Barnaby Bartholomew Benedikt Bonifacio Casimir Cedric Clemente Cornelius Dagobert Desmond Egbert Eleazar Emeric Erasmus Eusebio Everard Fabrizio Ferdinand Florian Fridolin Gaspard Gerhardt Gottfried Hadrian Hartmut Horatio Ignatius Isidor Jocelyn Kasimir Konstantin Lambert Leander Leopold Ludovico Lysander Marcellus Maximilian Nepomuk Norbert Octavio Orlando Percival Quentin Rainier Roderick Rupert Sebastian Sigismund Tancredo Thaddeus Ulrich Wendelin".split(),
+    ("cyrillic", "f"): "Аглая Антонина Варвара Василиса Виолетта Евдокия Зинаида Клавдия Лукерья Пелагея Прасковья Серафима Ульяна Федосья".split(),
+    ("cyrillic", "m"): "Аполлон Аристарх Валерьян Вениамин Игнат Иннокентий Лаврентий Мефодий Мстислав Никодим Порфирий Савелий Тихон Фаддей".split(),
+    ("greek", "f"): "Ευανθία Θεοδώρα Καλλιόπη Πηνελόπη Ραλλού Φιλίππα Χαρίκλεια".split(),
+    ("greek", "m"): "Αλκιβιάδης Θεόφιλος Λεωνίδας Μιλτιάδης Περικλής Σωκράτης Φίλιππος".split(),
+}
+#: What a capitalised word after a given name names, if it is no family name.
+PLACES = set("river lake street road avenue boulevard square bridge county city town university college school church cathedral hospital station airport bay island mountain mount valley park hall house castle prize award day age".split())
 SYLLABLES = {
     "latin": "bar bel bor cal cor dal dor fal fen gar gil hal hol kel kir lam lor mar mel nor pel ral rim sal sel tal tor val ver wil".split(),
     "cyrillic": "бар бел вол гор дал зор кар лан мар нов пет рам сол тар фед".split(),
@@ -100,6 +119,7 @@ class Mention:
     value: str
     start: int
     end: int
+    gender: str = ""
 
 
 def luhn_digit(digits: str) -> str:
@@ -127,10 +147,11 @@ def _bare(text: str, found: list[Mention]) -> list[Mention]:
     """Capitalised mentions of the given and family names of the persons found."""
     names: dict[str, str] = {}
     for m in found:
-        if m.type == "family" or m.type.startswith("given-"):
+        if m.type in ("family", "given"):
             names.setdefault(m.value, m.type)
-    for name in _NO_NAME:
-        names.pop(name, None)
+    if names:  # words that the text also writes small are words
+        small = {w for w in re.findall(r"[^\W\d_]+", text) if w.islower()}
+        names = {n: kind for n, kind in names.items() if n not in small and n not in _NO_NAME}
     out = []
     for m in _BARE.finditer(text) if names else ():
         whole = m[0].casefold()
@@ -143,6 +164,16 @@ def _bare(text: str, found: list[Mention]) -> list[Mention]:
     return out
 
 
+def _gendered(found: list[Mention]) -> list[Mention]:
+    """Given names with the gender that the document gives them, the same for each of their mentions."""
+    votes: dict[str, list[str]] = {}
+    for m in found:
+        if m.type == "given":
+            votes.setdefault(m.value, []).extend(m.gender)
+    of = {n: max("fm", key=v.count) if v.count("f") != v.count("m") else _LEXICON.get(n, ("", v[0] if v else ""))[1] for n, v in votes.items()}
+    return [replace_(m, gender=of[m.value]) if m.type == "given" else m for m in found]
+
+
 def find(text: str) -> list[Mention]:
     """Mentions of a text, in order and without overlaps."""
     out = []
@@ -177,12 +208,10 @@ def find(text: str) -> list[Mention]:
             pair = m["two"] and not _after_initial(text, m, "two")
             given, family = ("one", "two") if pair else (None, "one")
             if given:
-                known = _LEXICON.get(m[given].casefold())
-                sex = gender or (known[1] if known else "m")
-                out.append(Mention(f"given-{sex}", m[given].casefold(), *m.span(given)))
+                out.append(Mention("given", m[given].casefold(), *m.span(given), gender))
             out.append(Mention("family", m[family].casefold(), *m.span(family)))
-        elif (known := _LEXICON.get(m["given"].casefold())) is not None and not _after_initial(text, m, "family"):
-            out.append(Mention(f"given-{known[1]}", m["given"].casefold(), *m.span("given")))
+        elif m["given"].casefold() in _LEXICON and m["family"].casefold() not in PLACES and not _after_initial(text, m, "family"):
+            out.append(Mention("given", m["given"].casefold(), *m.span("given")))
             out.append(Mention("family", m["family"].casefold(), *m.span("family")))
     out += _bare(text, out)
     result = []
@@ -190,7 +219,7 @@ def find(text: str) -> list[Mention]:
         if mention.start >= taken:
             result.append(mention)
             taken = mention.end
-    return result
+    return _gendered(result)
 
 
 def _random(key: str, *what) -> int:
@@ -234,21 +263,21 @@ def _same_class(value: str, key: str, tweak: str) -> str:
     return "".join(out)
 
 
-def _name(kind: str, value: str, key: str, attempt: int) -> str:
+def _name(kind: str, value: str, key: str, attempt: int, gender: str) -> str:
     script = script_of(value)
     drawn = _random(key, kind, value, attempt)
-    if kind != "family" and attempt == 0:
-        names = GIVEN[script, kind[-1]]
+    if gender and attempt < 8:  # a list may run out of names; syllables do not
+        names = POOL[script, gender]
         return names[drawn % len(names)]
     parts = SYLLABLES[script]
     out = ""
-    for _ in range(3 + attempt):
+    for _ in range(3 + attempt // 8):
         drawn, at = divmod(drawn, len(parts))
         out += parts[at]
-    return (out + ("" if kind == "family" else ENDINGS[script, kind[-1]])).capitalize()
+    return (out + (ENDINGS[script, gender] if gender else "")).capitalize()
 
 
-def surrogate(kind: str, value: str, key: str = KEY, attempt: int = 0) -> str:
+def surrogate(kind: str, value: str, key: str = KEY, attempt: int = 0, gender: str = "") -> str:
     """Replacement of an entity, in its normal form."""
     tweak = f"{kind}/{attempt}"
     if kind == "phone":
@@ -293,7 +322,7 @@ def surrogate(kind: str, value: str, key: str = KEY, attempt: int = 0) -> str:
         return f"{_same_class(local, key, f'{tweak}/{domain}')}@{host.strip('-') or 'mail'}.example.{end}"
     if kind == "secret":
         return _same_class(value, key, tweak)
-    return _name(kind, value, key, attempt)
+    return _name(kind, value, key, attempt, gender)
 
 
 def dressed(mention: str, normal: str) -> str:
@@ -310,11 +339,12 @@ def dressed(mention: str, normal: str) -> str:
     return normal
 
 
-def replace(text: str, key: str = KEY, attempts: dict[tuple[str, str], int] | None = None) -> tuple[str, list[tuple[str, int, int]]]:
-    """Text with surrogates, and where they lie in it."""
+def replace(text: str, key: str = KEY, others: dict[tuple[str, str], tuple[int, str]] | None = None) -> tuple[str, list[tuple[str, int, int]]]:
+    """Text with surrogates, and where they lie in it. ``others``: attempt and gender of
+    entities that the corpus decides."""
     out, spans, last, length = [], [], 0, 0
     for m in find(text):
-        new = dressed(text[m.start : m.end], surrogate(m.type, m.value, key, (attempts or {}).get((m.type, m.value), 0)))
+        new = dressed(text[m.start : m.end], surrogate(m.type, m.value, key, *(others or {}).get((m.type, m.value), (0, m.gender))))
         out += [text[last : m.start], new]
         length += m.start - last
         spans.append((m.type, length, length + len(new)))
@@ -324,26 +354,34 @@ def replace(text: str, key: str = KEY, attempts: dict[tuple[str, str], int] | No
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``type`` and normal ``value`` of the entities, once a document row."""
+    """``doc_id``, ``type``, normal ``value`` and the document's ``gender`` of the entities, once a document row."""
 
     def scan(batches):
         for batch in batches:
-            rows = [(d, k, v) for d, t in zip(batch.column(0).to_pylist(), batch.column(1)) for k, v in dict.fromkeys((m.type, m.value) for m in find(t.as_py() or ""))]
-            ids, kinds, values = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["doc_id", "type", "value"])
+            rows = [(d, *e) for d, t in zip(batch.column(0).to_pylist(), batch.column(1)) for e in dict.fromkeys((m.type, m.value, m.gender) for m in find(t.as_py() or ""))]
+            ids, *texts = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, pa.string()) for c in texts]], names=["doc_id", "type", "value", "gender"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(scan), FOUND)
 
 
+def decided_genders(found: DataFrame) -> DataFrame:
+    """Distinct entities (type, value) with the gender that more documents give each; none
+    where no document gives one, the female form where as many give either."""
+    votes = found.groupBy("type", "value").agg(F.count_if(F.col("gender") == "f").alias("f"), F.count_if(F.col("gender") == "m").alias("m"))
+    gender = F.when(F.col("f") + F.col("m") == 0, F.lit("")).when(F.col("f") >= F.col("m"), F.lit("f")).otherwise(F.lit("m"))
+    return votes.select("type", "value", gender.alias("gender"))
+
+
 def checked_surrogates(entities: DataFrame, key: str = KEY, draw=surrogate) -> DataFrame:
-    """``type``, ``value``, ``attempt``, ``surrogate`` of distinct entities (type, value):
+    """``type``, ``value``, ``gender``, ``attempt``, ``surrogate`` of distinct entities (type, value, gender):
     no two of a type share one, and none is an entity of that type itself."""
-    def drawn(kinds: pa.Array, values: pa.Array, attempts: pa.Array) -> pa.Array:
-        return pa.array([draw(k, v, key, a) for k, v, a in zip(kinds.to_pylist(), values.to_pylist(), attempts.to_pylist())], pa.string())
+    def drawn(kinds: pa.Array, values: pa.Array, attempts: pa.Array, genders: pa.Array) -> pa.Array:
+        return pa.array([draw(k, v, key, a, g) for k, v, a, g in zip(kinds.to_pylist(), values.to_pylist(), attempts.to_pylist(), genders.to_pylist())], pa.string())
 
     drawn = F.arrow_udf(drawn, "string")
-    given = entities.groupBy("type", "value").agg(F.lit(0).alias("attempt"))
-    now = frozen(given.withColumn("surrogate", drawn("type", "value", "attempt")))
+    given = entities.groupBy("type", "value").agg(F.max("gender").alias("gender"), F.lit(0).alias("attempt"))
+    now = frozen(given.withColumn("surrogate", drawn("type", "value", "attempt", "gender")))
     while True:
         real = now.select(F.col("type").alias("real_type"), F.lower("value").alias("real"))
         same = Window.partitionBy("type", F.lower("surrogate")).orderBy("attempt", "value")
@@ -355,15 +393,16 @@ def checked_surrogates(entities: DataFrame, key: str = KEY, draw=surrogate) -> D
             return now
         marked = now.join(again, ["type", "value"], "left")
         now = frozen(marked.select(
-            "type", "value", F.coalesce("next", "attempt").alias("attempt"),
+            "type", "value", "gender", F.coalesce("next", "attempt").alias("attempt"),
             F.when(F.col("next").isNull(), F.col("surrogate")).alias("old")).withColumn(
-                "surrogate", F.coalesce("old", drawn("type", "value", "attempt"))).drop("old"))
+                "surrogate", F.coalesce("old", drawn("type", "value", "attempt", "gender"))).drop("old"))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text`` and their places in ``entities``."""
     found = frozen(find_entities(docs).distinct())
-    again = frozen(checked_surrogates(found, key).where("attempt > 0").select("type", "value", "attempt"))
+    decided = frozen(checked_surrogates(decided_genders(found), key).select("type", "value", F.col("gender").alias("right"), "attempt"))
+    kind = docs.sparkSession.createDataFrame([], "other array<struct<type:string,value:string,attempt:int,gender:string>>").schema["other"].dataType
 
     def rewrite(texts: pa.Array, exceptions: pa.Array) -> pa.Array:
         out = []
@@ -372,24 +411,32 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
             if text is None:
                 out.append(None)
                 continue
-            new, spans = replace(text, key, {(e["type"], e["value"]): e["attempt"] for e in other or ()})
+            new, spans = replace(text, key, {(e["type"], e["value"]): (e["attempt"], e["gender"]) for e in other or ()})
             out.append({"text": new, "entities": [{"type": k, "start": a, "end": b} for k, a, b in spans]})
         return pa.array(out, pa.struct([("text", pa.string()), ("entities", pa.list_(pa.struct([("type", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))]))
 
     rewritten = F.arrow_udf(rewrite, f"struct<text:string,entities:{SPANS}>")
+    # the input row travels in one struct, so no column of it can clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    again = decided.where("attempt > 0").select("type", "value").unionByName(
+        found.join(decided, ["type", "value"]).where(F.col("gender") != F.col("right")).select("type", "value"))
+    again = frozen(decided.join(again.distinct(), ["type", "value"]))
     if again.isEmpty():
-        joined = docs.withColumn("__other", F.lit(None).cast("array<struct<type:string,value:string,attempt:int>>"))
+        joined = rows.withColumn("other", F.lit(None).cast(kind))
     else:
         # written, so that Spark knows its size and shuffles texts only if it is large
         path = scratch(docs.sparkSession, "exceptions")
-        lists = found.join(again, ["type", "value"]).groupBy(F.col("doc_id").alias("__id")).agg(
-            F.collect_list(F.struct("type", "value", "attempt")).alias("__other"))
+        lists = found.select("doc_id", "type", "value").distinct().join(again, ["type", "value"]).groupBy(F.col("doc_id").alias("id")).agg(
+            F.collect_list(F.struct("type", "value", "attempt", F.col("right").alias("gender"))).alias("other"))
         lists.write.parquet(path)
         lists = docs.sparkSession.read.parquet(path)
-        joined = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
-    done = joined.withColumn("__new", rewritten(F.col("text").cast("string"), F.col("__other"))).withColumn("entities", F.col("__new.entities"))
-    changed = with_text(done, F.col("__new.text"))
-    return changed.select(*docs.columns, *(["entities"] if "entities" not in docs.columns else []))
+        joined = rows.join(lists, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")), "left")
+    done = joined.select("row", rewritten(F.col("row.text").cast("string"), F.col("other")).alias("new"))
+    changed = {"text": F.col("new.text"), "entities": F.col("new.entities")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("new.text").cast(docs.schema["n_chars"].dataType)
+    columns = [*docs.columns, *(["entities"] if "entities" not in docs.columns else [])]
+    return done.select(*[changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in columns])
 
 
 def op7_pii(spark, sf_dir) -> DataFrame:

@@ -39,7 +39,8 @@ def test_coreference_gender_and_script():
         got.setdefault(k, []).append(new[a:b])
     family = got["family"]
     assert family[0] == family[1] and family[2] != family[0] and family[3] == family[4]
-    assert got["given-f"][0] in pii.GIVEN["latin", "f"] and got["given-f"][-1] in pii.GIVEN["cyrillic", "f"] and got["given-m"][0] in pii.GIVEN["cyrillic", "m"]
+    laura, again, anna, ivan = got["given"]
+    assert laura == again and laura in pii.POOL["latin", "f"] and anna in pii.POOL["cyrillic", "f"] and ivan in pii.POOL["cyrillic", "m"]
     assert pii.script_of(family[3]) == "cyrillic"
     same = [pii.replace(t)[0] for t in ("x +1 (988) 555-2485", "x +1 988-555-2485", "x +1.988.555.2485")]
     assert len({re.sub(r"\D", "", t) for t in same}) == 1 and len(set(same)) == 3
@@ -55,6 +56,9 @@ def test_bare_mentions_and_initials():
     assert re.search(r"(\w+) \w+ said\. Then (\w+)", new)[1].upper() == re.search(r"Then (\w+)", new)[1]
     new, spans = pii.replace("Mr. Smith met Laura Smith. Laura said: SMITH")
     assert "Laura" not in new and "SMITH" not in new and len(spans) == 5
+    new, _ = pii.replace("Mr. Stone left. The stone. Stone Age. Charles River, Charles Dickens")
+    assert "The stone. Stone Age." in new and "Stone left" not in new and "Dickens" not in new
+    assert pii.replace("Charles River and Mary Lake") == ("Charles River and Mary Lake", [])
     for text in ("King James I. The war. The end of James", "Dr. B. The end", "Smith paid. Laura said"):
         assert pii.replace(text) == (text, [])
 
@@ -82,15 +86,15 @@ def test_number_surrogates_are_permutations():
 
 
 def test_collision_checks_keep_entities_apart(spark):
-    def clash(kind, value, key, attempt):
+    def clash(kind, value, key, attempt, gender):
         """A poor generator: three surrogates at first, one of which is a real entity."""
         return ["e1", "s1", "s2"][int(value[1:]) % 3] if attempt == 0 else f"t{(int(value[1:]) * 7 + attempt) % 50}"
 
-    entities = spark.createDataFrame([("x", f"e{k}") for k in range(20)] * 2, "type string, value string")
+    entities = spark.createDataFrame([("x", f"e{k}", "") for k in range(20)] * 2, "type string, value string, gender string")
     rows = pii.checked_surrogates(entities, draw=clash).collect()
     assert len(rows) == 20 and len({r.surrogate for r in rows}) == 20
     assert not {r.surrogate for r in rows} & {r.value for r in rows}
-    assert any(r.attempt > 0 for r in rows) and all(r.surrogate == clash("x", r.value, "", r.attempt) for r in rows)
+    assert any(r.attempt > 0 for r in rows) and all(r.surrogate == clash("x", r.value, "", r.attempt, "") for r in rows)
 
 
 def test_names_beyond_the_lists_stay_distinct_across_documents(spark):
@@ -122,6 +126,54 @@ def test_contract_query(spark):
     assert len(set(seen.values())) == len(seen)
 
 
+def brute(rows, key=pii.KEY):
+    """The whole query over texts in memory: genders by majority of documents, then
+    surrogates drawn again, smaller values first, until all are distinct and none is real."""
+    found = {d: pii.find(t or "") for d, t in rows}
+    votes, genders = {}, {}
+    for mentions in found.values():
+        for kind, value, gender in {(m.type, m.value, m.gender) for m in mentions}:
+            votes.setdefault((kind, value), []).append(gender)
+    for entity, v in votes.items():
+        genders[entity] = "" if not v.count("f") + v.count("m") else "f" if v.count("f") >= v.count("m") else "m"
+    attempt = dict.fromkeys(votes, 0)
+    while True:
+        drawn = {e: pii.surrogate(*e, key, attempt[e], genders[e]).lower() for e in votes}
+        taken, again = set(), []
+        for e in sorted(votes, key=lambda e: (attempt[e], e[1])):
+            if (e[0], drawn[e]) in taken or any(k == e[0] and v.lower() == drawn[e] for k, v in votes):
+                again.append(e)
+            taken.add((e[0], drawn[e]))
+        if not again:
+            break
+        for e in again:
+            attempt[e] += 1
+    return {d: None if t is None else pii.replace(t, key, {e: (attempt[e], genders[e]) for e in votes})[0] for d, t in rows}
+
+
+def test_query_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    assert {r.doc_id: r.text for r in pii.op7_pii(spark, "/root/testdata/sf0.001").collect()} == brute(docs)
+
+
+def test_gender_holds_across_the_corpus(spark):
+    texts = {1: "Dr. Aisha Khan met Mrs. Aisha Khan.", 2: "Prof. Aisha Khan wrote.", 3: "Mr. Aisha Khan", 4: "Ms. Aisha Smith", 5: "Dr. Kim Lee", 6: "Dr. Laura Khan and Mr. Wei Khan", 7: None}
+    frame = spark.createDataFrame([(d, t, None, None, 0) for d, t in texts.items()], DOCS)
+    got = {r.doc_id: r.text for r in pii.pseudonymise(frame).collect()}
+    assert got == brute(list(texts.items()))
+    one, two = re.match(r"Dr\. (\w+) \w+ met Mrs\. (\w+) \w+\.", got[1]).groups()
+    assert one == two and one in pii.POOL["latin", "f"]
+    assert all(got[d].split()[1] == one for d in (2, 3, 4))
+    assert re.match(r"Dr\. (\w+) ", got[5])[1] not in pii.POOL["latin", "f"] + pii.POOL["latin", "m"]
+    assert got[6].split()[1] in pii.POOL["latin", "f"] and got[6].split()[5] in pii.POOL["latin", "m"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    frame = spark.createDataFrame([(1, "a@b.com", "x", None, 3)], DOCS).selectExpr("*", "7 as __other", "8 as other", "9 as row", "10 as id", "11 as new", "12 as __new")
+    row = pii.pseudonymise(frame).first()
+    assert (row["__other"], row.other, row.row, row.id, row.new, row["__new"], row.source) == (7, 8, 9, 10, 11, 12, "x") and "a@b.com" not in row.text
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_edges(spark, empty):
     odd = [(1, None, None, "x", None), (2, "", None, "x", 0), (None, "a@b.com", None, "x", 7), (None, None, None, None, None), (3, "a@b.com " * 20_000, "s", "x", 5), (4, "a@b.com", None, None, 7), (4, "a@b.com", None, None, 7)]
