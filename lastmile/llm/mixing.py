@@ -1,12 +1,16 @@
 """Operator 10: mixing sources to target weights by weighted fair queueing.
 
 Every source is a queue of its documents in a keyed shuffle, the whole queue
-repeated up to ``most`` times. A queued copy starts at the virtual time
-``words before it in its source / target words of the source`` and finishes at
-``(words before it + its own) / target``. The mix serves all queues in order of
-virtual finish time; since the targets share the total budget, the budget is
-used up exactly at virtual time 1, where each queue is cut, inside a document
-if need be (at most one document of a source).
+repeated up to ``most`` times. A queued copy has as its virtual finish time the words of
+its source up to its end, divided by the source's target. The mix serves all queues in order
+of virtual finish time until the total budget (the whole words of all targets) is used up:
+copies are range-partitioned by finish time, a prefix sum over the partitions' words and a
+running sum inside each find where the budget ends, and what lies beyond is cut off.
+
+A copy that runs past its source's target is queued as two units, its words up to the
+target (which finish at virtual time 1) and the rest (later). So no source is served
+beyond its target before all others have reached theirs, and every source takes the whole
+words of its target, inside a document if need be (at most one document of a source).
 
 Targets come from water-filling: sources share the budget by weight, none gets
 more than ``most`` times its own size, and what is left is shared again by
@@ -17,7 +21,9 @@ Scale. Running totals of a source never sit in one task: documents fall into
 (source, bucket) and only those totals (at most 4096 rows a source) are summed
 along the source. Source names, one row each, are ranked in one small window.
 The join back is on (source, bucket), so a source with a third of all rows is
-spread over 4096 keys. Text is carried only when the caller selects it.
+spread over 4096 keys. The global order is found on units of a few numbers each; the
+driver learns one row, the last unit within the budget, against which every copy is
+compared where it lies. Texts are carried only when the caller selects them.
 
 Defined results: null sources form a source of their own, ranked last; null
 or empty texts have size 0 and are taken 0 times; rows repeated in full are
@@ -31,14 +37,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.common import WORD, word_count
+from lastmile.llm.common import WORD, frozen, word_count
 
 #: Leading hexadecimal digits of the shuffle key that choose a bucket.
 BUCKET_DIGITS = 3
 
 
 def source_targets(sources: DataFrame, weights=(5, 2, 1), share=1.5, most=2.0) -> DataFrame:
-    """``target`` words of each source of ``sources`` (source, source_size).
+    """``rank`` and ``target`` words of each source of ``sources`` (source, source_size).
 
     Ranked by code point, null last, the sources take ``weights`` in turn.
     One row a source; the windows run over that table alone.
@@ -55,17 +61,12 @@ def source_targets(sources: DataFrame, weights=(5, 2, 1), share=1.5, most=2.0) -
     levels = capped.withColumns({"level": level, "step": F.row_number().over(filling)})
     open_level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("step", "level"))).over(everything)
     target = F.least(F.col("cap"), F.coalesce(open_level["level"] * F.col("weight"), F.col("cap")))
-    return levels.withColumn("target", target).select("source", "source_size", "target")
-
+    return levels.withColumn("target", target).select("source", "rank", "source_size", "target")
 
-def mix_plan(docs: DataFrame, weights=(5, 2, 1), share=1.5, most=2, seed="mix") -> DataFrame:
-    """What the mix takes of each document of ``docs`` (doc_id, text, source).
 
-    Returns ``doc`` (the input row), ``size``, ``source_size``, ``target``,
-    ``taken`` (words, repeats counted) and ``copies``, an array of
-    ``(finish, words)`` for each copy that the mix takes, ``words`` being less
-    than ``size`` only for the copy at which the source's target is reached.
-    """
+def _queued(docs: DataFrame, weights, share: float, most: int, seed: str) -> DataFrame:
+    """Every document (``doc``) with its size, its source's rank, size and target, and the
+    words ``begin`` of its source that are queued before it."""
     key = F.md5(F.concat(F.lit(f"{seed}/"), F.col("doc_id").cast("string")))
     slim = docs.select(
         F.struct(*docs.columns).alias("doc"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("shuffle"),
@@ -81,15 +82,64 @@ def mix_plan(docs: DataFrame, weights=(5, 2, 1), share=1.5, most=2, seed="mix")
     inside = Window.partitionBy("source", "bucket").orderBy(F.col("shuffle").asc_nulls_last(), "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     queued = slim.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         offsets, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket")))
-    begin = F.col("ahead") + F.col("offset")
-    limit = F.floor(F.col("target"))
+    return queued.select("doc", "size", "rank", "source_size", "target", (F.col("ahead") + F.col("offset")).alias("begin"))
+
+
+def _units(most: int) -> Column:
+    """Array of a queued document's units, two a copy: ``place`` (finish, rank, begin, part) and ``words``."""
+    def unit(turn: int, part: int) -> Column:
+        ahead = F.col("begin") + turn * F.col("source_size")
+        until = F.greatest(F.lit(0), F.least(F.col("size"), F.floor(F.col("target")) - ahead)).cast("long")
+        words, end = (until, ahead + until) if part == 0 else (F.col("size") - until, ahead + F.col("size"))
+        finish = F.try_divide(end.cast("double"), F.col("target"))
+        place = F.struct(F.coalesce(finish, F.lit(float("inf"))).alias("finish"), F.col("rank"), ahead.alias("ahead"), F.lit(part).alias("part"))
+        return F.struct(place.alias("place"), words.alias("words"))
+
+    return F.filter(F.array(*[unit(turn, part) for turn in range(int(most)) for part in (0, 1)]), lambda u: u["words"] > 0)
+
+
+def _last_unit(queued: DataFrame, most: int):
+    """The last unit, in order of finish time, that the total budget reaches, and how many
+    of its words; None where nothing is served."""
+    numbers = queued.select("size", "rank", "source_size", "target", "begin")
+    units = numbers.select(F.explode(_units(most)).alias("unit"), "target").select("unit.place", "unit.words", "target")
+    ranged = frozen(units.repartitionByRange("place").withColumn("range", F.spark_partition_id()))
+    budget = ranged.groupBy("place.rank").agg(F.floor(F.max("target")).alias("words")).agg(F.sum("words").alias("budget")).first()["budget"]  # one row a source
+    if budget is None:
+        return None
+    sums = ranged.groupBy("range").agg(F.sum("words").alias("held"))  # one row a partition
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("range", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("earlier"), "held")
+    found = offsets.where((F.col("earlier") < budget) & (F.col("earlier") + F.col("held") >= budget)).select("range", (budget - F.col("earlier")).alias("left")).first()
+    if found is None:  # nothing fits into a budget of no whole word
+        return None
+    running = F.sum("words").over(Window.partitionBy("range").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    inside = ranged.where(F.col("range") == found["range"]).withColumn("upto", running).where(F.col("upto") >= found["left"])
+    end = inside.agg(F.min(F.struct("place", "words", "upto")).alias("end")).first()["end"]
+    return end["place"], end["words"] - (end["upto"] - found["left"])
 
-    def copy(turn: int) -> Column:
-        ahead = begin + turn * F.col("source_size")
-        words = F.greatest(F.lit(0), F.least(F.col("size"), limit - ahead))
-        return F.struct(((ahead + F.col("size")) / F.nullif(F.col("target"), F.lit(0.0))).alias("finish"), words.cast("long").alias("words"))
 
-    copies = F.filter(F.array(*[copy(turn) for turn in range(int(most))]), lambda c: c["words"] > 0)
+def mix_plan(docs: DataFrame, weights=(5, 2, 1), share=1.5, most=2, seed="mix") -> DataFrame:
+    """What the mix takes of each document of ``docs`` (doc_id, text, source).
+
+    Returns ``doc`` (the input row, without its text if ``docs`` has only the three columns),
+    ``size``, ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``copies``, an
+    array of ``(finish, words)`` for each copy that the mix takes, ``words`` being less
+    than ``size`` only for the copy at which the source's target is reached.
+    """
+    queued = _queued(docs, weights, share, most, seed)
+    if set(docs.columns) == {"doc_id", "text", "source"}:
+        queued = frozen(queued.withColumn("doc", F.struct("doc.doc_id", "doc.source")))  # numbers only: computed once
+    last = _last_unit(queued, most)
+    if last is None:
+        served = F.filter(_units(most), lambda u: F.lit(False))
+    else:
+        place = F.struct(*[F.lit(last[0][c]).cast(kind).alias(c) for c, kind in (("finish", "double"), ("rank", "int"), ("ahead", "long"), ("part", "int"))])
+        cut = F.transform(_units(most), lambda u: F.struct(
+            u["place"].alias("place"),
+            F.when(u["place"] < place, u["words"]).when(u["place"] == place, F.lit(last[1]).cast("long")).otherwise(F.lit(0).cast("long")).alias("words")))
+        served = F.filter(cut, lambda u: u["words"] > 0)
+    copies = F.transform(served, lambda u: F.struct(u["place"]["finish"].alias("finish"), u["words"].alias("words")))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, c: total + c["words"])
     return queued.select("doc", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", taken)
 
@@ -116,7 +166,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share=1.5, most=2, seed="mix") -> Da
 def op10_mixing(spark, sf_dir) -> DataFrame:
     """Contract query: what the mix takes of every document."""
     from lastmile.llm.common import table
-    plan = mix_plan(table(spark, sf_dir, "documents"))
+    plan = mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return plan.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

@@ -64,6 +64,30 @@ def test_mix_emits_what_the_plan_takes(spark):
     assert words == {k: v for k, v in plan.items() if v}
 
 
+def test_copies_are_served_in_order_of_finish_time_until_the_budget_ends(spark):
+    """Against the queues played out by hand."""
+    rows = rows_of(120, 3)
+    total, target = brute(rows)
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    queue = []
+    for s in order:
+        own = sorted((r for r in rows if r[3] == s), key=lambda r: hashlib.md5(f"mix/{r[0]}".encode()).hexdigest())
+        ahead = 0
+        for turn in range(2):
+            for r in own:
+                size = len((r[1] or "").split())
+                first = max(0, min(size, math.floor(target[s]) - ahead))
+                queue += [((ahead + n) / target[s], order.index(s), ahead, part, r[0], words) for part, (n, words) in enumerate(((first, first), (size, size - first))) if words]
+                ahead += size
+    left, taken = sum(math.floor(t) for t in target.values()), {}
+    for *_, doc, words in sorted(queue):
+        taken[doc] = taken.get(doc, 0) + min(words, left)
+        left -= min(words, left)
+    for docs in (spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "source")):
+        got = {r.doc_id: r.taken for r in mixing.mix_plan(docs).select("doc.doc_id", "taken").collect()}
+        assert {d: w for d, w in got.items() if w} == {d: w for d, w in taken.items() if w}
+
+
 def test_edges(spark):
     assert mixing.mix_plan(spark.createDataFrame([], SCHEMA)).count() == 0
     odd = [(None, "a b", None, None, None), (1, None, None, "x", None), (2, "", None, "x", None), (3, "a b c", "en", "y", 5), (3, "a b c", "en", "y", 5), (4, "long " * 30_000, None, None, 1)]
