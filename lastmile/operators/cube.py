@@ -16,20 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile import fixed, schemas
-from lastmile.functions import ratio_pct, round2, summable, with_time_dimensions
+from lastmile.functions import money_limbs, money_of, ratio_pct, round2, with_time_dimensions
 from lastmile.operators import kpi
 
 DAY = ("day", "year", "month", "city")
 #: Counts, then exact sums with the number of values in them.
 COUNTS = ("rows", "tracked", "delivered", "incidents", "returned", "on_time", "transit_n", "revenue_n")
-SUMS = ("transit_sum", "revenue_sum")
+SUMS = ("transit_sum", "revenue_high", "revenue_low")
 STATES = (*COUNTS, *SUMS)
-STATE_SCHEMA = ", ".join([f"{c} bigint" for c in COUNTS] + ["transit_sum decimal(38,2)", "revenue_sum decimal(38,6)"])
+KINDS = {"transit_sum": "decimal(38,2)", "revenue_high": "decimal(38,0)", "revenue_low": "decimal(38,6)"}
+STATE_SCHEMA = ", ".join(f"{c} {KINDS.get(c, 'bigint')}" for c in STATES)
 
 
 def _added(*names: str) -> list[Column]:
-    kinds = {"transit_sum": "decimal(38,2)", "revenue_sum": "decimal(38,6)"}
-    return [F.coalesce(F.sum(c), F.lit(0)).cast(kinds.get(c, "bigint")).alias(c) for c in names]
+    return [F.coalesce(F.sum(c), F.lit(0)).cast(KINDS.get(c, "bigint")).alias(c) for c in names]
 
 
 def delivery_states(rows: DataFrame, by: Sequence[str], vocab: fixed.Vocabulary = fixed.ENGLISH, sign: str | None = None) -> DataFrame:
@@ -39,14 +39,14 @@ def delivery_states(rows: DataFrame, by: Sequence[str], vocab: fixed.Vocabulary
     times = F.col(sign) if sign else F.lit(1)
     one = lambda cond: F.when(cond, times).otherwise(F.lit(0))
     signed = lambda x: F.when(times < 0, -x).otherwise(x)
-    amount = F.when(summable(F.col("amount")), F.col("amount").try_cast("decimal(24,6)"))
+    high, low = money_limbs(F.col("amount"))
     transit = F.col("transit_hours").cast("decimal(18,2)")
     status = F.col("status")
     values = {
         "rows": times, "tracked": one(F.col("tracking_id").isNotNull()),
         "delivered": one(status == vocab.delivered), "incidents": one(status == vocab.incident), "returned": one(status == vocab.returned),
-        "on_time": F.col("on_time") * times, "transit_n": one(transit.isNotNull()), "revenue_n": one(amount.isNotNull()),
-        "transit_sum": signed(transit), "revenue_sum": signed(amount)}
+        "on_time": F.col("on_time") * times, "transit_n": one(transit.isNotNull()), "revenue_n": one(low.isNotNull()),
+        "transit_sum": signed(transit), "revenue_high": signed(high), "revenue_low": signed(low)}
     timed = with_time_dimensions(rows, "pickup")
     return timed.select(*by, *[x.alias(c) for c, x in values.items()]).groupBy(*by).agg(*_added(*STATES))
 
@@ -73,7 +73,7 @@ def _finished(name: str) -> Column:
         "delivered_pct": ratio_pct(F.sum("delivered"), total),
         "returned_pct": ratio_pct(F.sum("returned"), total),
         "avg_transit_h": round2(F.try_divide(F.sum("transit_sum").cast("double"), F.sum("transit_n"))),
-        "revenue": F.when(F.sum("revenue_n") > 0, F.round(F.sum("revenue_sum"), 2).cast("double")),
+        "revenue": F.when(F.sum("revenue_n") > 0, money_of(F.sum("revenue_high"), F.sum("revenue_low"))),
     }.get(name, F.sum("tracked") if name in ("total_shipments", "shipments") else F.coalesce(F.sum(name), F.lit(0)))
 
 

@@ -426,8 +426,8 @@ def q_latest_per_tracking_id(spark, sf_dir):
 
 @query("upsert_resent")
 def q_upsert_resent(spark, sf_dir):
-    """Merge of the feed with a resent part: every seventh part comes again as returned,
-    a day later in the first and a day earlier in the second half of the cities."""
+    """Merge of the feed with a resent part: shipments whose amount has 7 (or 14)
+    characters come again as returned, a day later in the first and a day earlier in the second half of the cities."""
     parsed = shipment_feed(spark, sf_dir).withColumn("pickup", parse_mixed_timestamp(F.col("pickup_raw")))
     later = F.upper(F.trim(F.col("city"))) < F.lit("F")
     day = F.expr("interval 1 day")

@@ -61,8 +61,7 @@ fs AS (
     case when {h2('k', 'st')} < 'd9' then 'DELIVERED'
          when {h2('k', 'st')} < 'f3' then 'INCIDENT' else 'RETURNED' end as status,
     case when {h2('k', 'cl')} < 'b3' then 'PERSON' else 'COMPANY' end as client_type,
-    lpad(cast(case seg when 'AUTOMOBILE' then 28001+pk%55 when 'BUILDING' then 8001+pk%42
-         when 'FURNITURE' then 46001+pk%25 when 'HOUSEHOLD' then 41001+pk%20 else 48001+pk%15 end as varchar),5,'0') as zip5
+    lpad(cast(1000 + (pk*37 + length(seg)) % 90000 as varchar), 5, '0') as zip5
   from fb),
 fc AS (
   select *, concat(k,'#0') as kc from fs
@@ -78,7 +77,7 @@ raw_shipments AS (
          else concat(substr(seg,1,1),lower(substr(seg,2))) end as city,
     case when {h2('kc', 'zip')} < '0b' and zip5 like '0%' then substr(zip5,2) else zip5 end as zip,
     case when {h2('kc', 'bad', 4)} < '0148' then
-           case pk%4 when 0 then '-5.0' when 1 then '-1.2' when 2 then '9999.0' else '5000.0' end
+           case pk%4 when 0 then '-0.5' when 1 then '0.0' when 2 then '75.5' else '640.0' end
          when {h2('k', 'wn')} < '08' then null
          when {h2('kc', 'com')} < '04' then replace(w,'.',',') else w end as weight_raw,
     status,
@@ -219,7 +218,7 @@ stage_raw AS (
     {count_if('length(zip_raw) < 5')} as short_zip_padded,
     {count_if('length(lpad(zip_raw, 5, chr(48))) <> 5')} as bad_zip_length,
     {count_if("instr(weight_raw, ',') > 0")} as decimal_comma_weight,
-    {count_if('amount_raw is not null and (amount is null or isnan(amount) or isinf(amount) or abs(amount) >= 1e18)')} as amount_not_summable,
+    {count_if('amount_raw is not null and (amount is null or isnan(amount) or isinf(amount) or abs(amount) >= 1e36)')} as amount_not_summable,
     {count_if('(weight is null or (weight > 0.1 and weight <= 50.0)) and weight is null')} as null_weight_imputed
   from normalized),
 stage_clean AS (

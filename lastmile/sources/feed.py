@@ -24,14 +24,9 @@ from lastmile.sources.tables import read_table
 # --- fixed values of the feed ----------------------------------------------
 EU_FORMAT = "dd/MM/yyyy HH:mm:ss"
 ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
-ABSURD_WEIGHTS = ("-5.0", "-1.2", "9999.0", "5000.0")
-SEGMENT_ZIP_BASE = {  # segment -> (first zip, number of zips)
-    "AUTOMOBILE": (28001, 55),
-    "BUILDING": (8001, 42),
-    "FURNITURE": (46001, 25),
-    "HOUSEHOLD": (41001, 20),
-}
-OTHER_ZIP_BASE = (48001, 15)
+ABSURD_WEIGHTS = ("-0.5", "0.0", "75.5", "640.0")
+#: First postal code, the step from part to part and the number of codes.
+ZIP_FIRST, ZIP_STEP, ZIP_COUNT = 1000, 37, 90000
 ASSIGNED_CITIES = ("Automobile", "Building", "Furniture", "Household", " Machinery ")
 # --- end of fixed values ----------------------------------------------------
 
@@ -82,7 +77,6 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "c_mktsegment")
     b = li.join(order_seg.hint("merge"), li.l_orderkey == order_seg.o_orderkey)
 
-    zip_case = " ".join(f"when '{seg}' then {base} + pk % {span}" for seg, (base, span) in SEGMENT_ZIP_BASE.items())
     keyed = b.selectExpr(
         "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), cast(l_partkey as string), "
         "cast(l_suppkey as string), cast(to_date(l_shipdate) as string)) as k",
@@ -96,8 +90,7 @@ def shipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"case when {_hex('k', 'st')} < 'd9' then 'DELIVERED' when {_hex('k', 'st')} < 'f3' then 'INCIDENT' "
         "else 'RETURNED' end as status",
         f"case when {_hex('k', 'cl')} < 'b3' then 'PERSON' else 'COMPANY' end as client_type",
-        f"lpad(cast(case seg {zip_case} else {OTHER_ZIP_BASE[0]} + pk % {OTHER_ZIP_BASE[1]} end as string), "
-        "5, '0') as zip5",
+        f"lpad(cast({ZIP_FIRST} + (pk * {ZIP_STEP} + length(seg)) % {ZIP_COUNT} as string), 5, '0') as zip5",
         f"{_hex('k', 'wn')} as h_wn",
         # one struct per copy (0, plus 1 for a duplicated shipment) with the hash
         # prefixes behind the columns that later filters read (weight range,

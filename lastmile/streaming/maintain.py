@@ -40,8 +40,9 @@ from lastmile.operators.merge import latest_per_key
 from lastmile.operators.ranking import quantile_value
 from lastmile.sources import layers
 
-#: Hash buckets of a store; a bucket should hold about as much as a task reads.
-BUCKETS = 64
+#: Hash buckets of a new store. A batch rewrites the buckets it touches, so a large store wants
+#: buckets of about what a few tasks read.
+BUCKETS = 32
 RAW = list(schemas.RAW_SHIPMENT_COLUMNS)
 KEYS = list(fixed.SHIPMENT_KEY_COLUMNS)
 BESIDES = [k for k in KEYS if k != "weight"]
@@ -67,13 +68,13 @@ def bucket_of(buckets: int = BUCKETS) -> F.Column:
 class Store:
     """The parts that a store's current version names."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
         version = layers.current_version(spark, self.root)
         found = json.loads(layers.version_note(spark, self.root, version)) if version else {}
         self.applied: dict[str, int] = found.get("applied", {})
         self.parts: dict[str, dict[str, str]] = found.get("parts", {})
-        self.buckets: int = found.get("buckets", BUCKETS)
+        self.buckets: int = found.get("buckets", buckets)
 
     def folders(self, table: str, parts=None) -> list[str]:
         """Folders of a table's parts: all, or of ``parts`` those that exist."""
@@ -137,7 +138,7 @@ def _apply_shipments(store: Store, version: str, shipments: DataFrame, vocab: fi
     # the batch by bucket: the names of its folders say which buckets it touches
     per_file = shipments.groupBy(*RAW, "ingestion_timestamp", "source_file", "source_system").agg(F.count(F.lit(1)).alias("n"))
     staged = f"{store.root}/incoming/{version}"
-    per_file.withColumn("bucket", bucket).write.partitionBy("bucket").parquet(staged)
+    per_file.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(staged)
     touched = [n for n in layers.names_in(spark, staged) if n.startswith("bucket=")]
     if not touched:
         return
@@ -169,7 +170,7 @@ def _apply_shipments(store: Store, version: str, shipments: DataFrame, vocab: fi
     delta = cube.changed(cube.delivery_states(_measured(signed, vocab), CUBE_KEYS, vocab, "_sign"))
     part = F.coalesce(F.date_format("day", "yyyy-MM"), F.lit("none"))
     path = f"{store.root}/delta/{version}"
-    delta.withColumn("part", part).write.partitionBy("part").parquet(path)
+    delta.withColumn("part", part).hint("rebalance", F.col("part")).write.partitionBy("part").parquet(path)
     months = [n for n in layers.names_in(spark, path) if n.startswith("part=")]
     if months:
         change = spark.read.schema(TABLES["cube"][0]).parquet(*[f"{path}/{p}" for p in months])
@@ -178,11 +179,11 @@ def _apply_shipments(store: Store, version: str, shipments: DataFrame, vocab: fi
 
 
 def apply_batch(spark: SparkSession, root: str, shipments: DataFrame | None = None, couriers: DataFrame | None = None,
-                source: str = "batch", batch_id: int = 0, vocab: fixed.Vocabulary = fixed.ENGLISH) -> bool:
+                source: str = "batch", batch_id: int = 0, vocab: fixed.Vocabulary = fixed.ENGLISH, buckets: int = BUCKETS) -> bool:
     """Merge a batch of stamped bronze rows into the store; false if it is in it already.
 
-    ``batch_id`` grows with the batches of a ``source``."""
-    store = Store(spark, root)
+    ``batch_id`` grows with the batches of a ``source``; ``buckets`` counts for a new store."""
+    store = Store(spark, root, buckets)
     if store.applied.get(source, -1) >= batch_id:
         return False
     version = layers.new_version()

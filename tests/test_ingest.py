@@ -108,10 +108,27 @@ def test_dirty_amounts_neither_stop_gold_nor_vanish(spark):
     raw = spark.createDataFrame(rows, schemas.RAW_SHIPMENTS)
     norm = normalize_shipments(raw).withColumns({"transit_hours": F.lit(1.0), "on_time": F.lit(1)})
     row = kpi.executive_summary(norm).first()
-    assert row.revenue == 12.5 and row.total_shipments == 8
+    assert row.revenue == 1e30 and row.total_shipments == 8  # 12.5 is less than the last bit
     couriers = clean.clean_couriers(spark.createDataFrame([("REP-1", "a", "b", "2020-01-01", "EMP", "Madrid", "VAN", None)], schemas.RAW_COURIERS))
     counts = quality.pipeline_counts(raw, couriers.select(*schemas.RAW_COURIER_COLUMNS), couriers)
-    assert {r.check: r.value for r in quality.quality_metrics(counts).collect()}["amount_not_summable"] == 5
+    assert {r.check: r.value for r in quality.quality_metrics(counts).collect()}["amount_not_summable"] == 4
+
+
+def test_large_amounts_are_summed_exactly(spark):
+    from lastmile.functions import money_sum
+    from lastmile.operators import cube
+    amounts = [1e18, 1e30, -1e30, 3.0e35, -3.0e35, 9.99e17, 0.01, 0.02, -1e18, 123456789012345678.0, 2.5]
+    want = sum(int(a) if abs(a) >= 2**53 else 0 for a in amounts) + 2.53
+    for order in (amounts, amounts[::-1]):
+        frame = spark.createDataFrame([(float(a),) for a in order], "amount double").repartition(3)
+        assert frame.agg(money_sum(F.col("amount")).alias("s")).first().s == float(want)
+    twice = spark.createDataFrame([(1e30,)] * 1000, "amount double")
+    assert twice.agg(money_sum(F.col("amount")).alias("s")).first().s == pytest.approx(1e33, rel=1e-15)
+    nothing = spark.createDataFrame([(None,), (float("nan"),), (1e300,)], "amount double")
+    assert nothing.agg(money_sum(F.col("amount")).alias("s")).first().s is None
+    rows = spark.createDataFrame([("T", "DELIVERED", 1, 1.0, float(a), None) for a in amounts], "tracking_id string, status string, on_time int, transit_hours double, amount double, city string")
+    states = cube.delivery_states(rows.withColumn("pickup", F.lit("2024-01-01").cast("timestamp")), cube.DAY)
+    assert cube.executive_summary(states).first().revenue == float(want)
 
 
 def test_rounding_beyond_the_decimal_range(spark):
