@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round is a few aggregations and joins over the links, frozen in the
     checkpoint folder; rounds grow with the logarithm of a component's
-    diameter. A hub is a hot join key that adaptive execution splits."""
+    diameter. The links of a hub meet in one task of each join: one side ends in an
+    aggregate by that key, so adaptive execution cannot split it."""
     now = frozen(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
     mark = None
     while True:
