@@ -3,28 +3,32 @@
 Words are runs of non-blank characters, cut after ``PART`` characters so that
 texts without blanks have words too; a k-mer is ``k`` of them in a row (a text
 with fewer has one k-mer of all). Equal k-mers of a text are numbered by
-occurrence. Every numbered k-mer is hashed once; the hash deals it to one of
-``sketches`` slots (one-permutation hashing) and orders it there. A slot keeps its
-``keep`` minimal k-mers, puts them back in text order and hashes the tuple:
-two texts agree in a slot if they share its minimal k-mers in the same order,
-which edits, moves and changed repetition counts all disturb.
+occurrence. Every numbered k-mer is hashed once, onto a circle that ``sketches``
+slots divide evenly (one-permutation hashing). A slot takes the ``keep`` k-mers that
+follow its start on the circle, be they its own or, where it holds fewer, those of
+the slots after it, puts them back in text order and hashes the tuple: two texts agree
+in a slot if they share its k-mers in the same order, which edits, moves and
+changed repetition counts all disturb. So a short text fills every slot with a tuple
+of ``keep`` k-mers, and its fingerprint tells order as that of a long one does.
 
 The fingerprint is the slots' tuple hashes, eight hexadecimal digits each, dashes
-for an empty slot. Likeness of two fingerprints: the share of agreeing slots
-among those not empty in both; 1 for two empty fingerprints.
+in all slots for a text without words. Likeness of two fingerprints: the share of
+agreeing slots among those not empty in both; 1 for two empty fingerprints.
 
 A text costs two sorts of one array of longs and a few linear passes over it;
 nothing is exploded, so no shuffle follows from a text's length.
 
 Edited texts need the next document by id. Ids alone are range-partitioned and
 frozen; each text is shuffled once, by id, and only the opening that its
-predecessor needs is shuffled again.
+predecessor needs is shuffled again. Ids that many rows share (or lack) are found
+first; their texts are dealt over salts, each with a copy of the one opening.
 
 Defined results: null texts are empty; rows that share a ``doc_id`` count as one
 document for "next" (the text of theirs with the smallest hash) and keep a row
 each;
 rows with a null ``doc_id`` come before all others; the only document is its own
-next one; an empty table gives no rows; other columns are not read.
+next one; an empty table gives no rows; other columns are not read. A text of more than
+2^28 words is beyond an array of longs and fails.
 """
 
 from __future__ import annotations
@@ -33,13 +37,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastmile.llm.common import frozen, table
+from lastmile.operators.skewjoin import hot_keys, salted_join, salts_of
 
 #: Longest word; longer runs are cut.
 PART = 16
-#: Bits of a packed long that hold a position; the rest holds a hash.
-POSITION_BITS = 24
+#: Bits of a packed long that hold a position; the rest holds a hash. No array of longs
+#: is longer, as a buffer holds 2 GB.
+POSITION_BITS = 28
 #: Sorts a null id before all others.
 NULL_KEY = -(2**63)
+#: Share of all rows that a salt of a hot id holds.
+SALT_SHARE = 0.0001
 
 
 def _let(value: Column, body) -> Column:
@@ -92,26 +100,32 @@ def _numbered(kmers: Column) -> Column:
 
 
 def slots(text: Column, k=3, sketches=32, keep=2) -> Column:
-    """Order MinHash of a text: an array with one int a slot, null for an empty one.
+    """Order MinHash of a text: an array with one int a slot, nulls without words.
 
-    ``sketches`` is a power of two; the leading bits of a hash are its slot."""
+    ``sketches`` is a power of two, 2 at least; the leading bits of a hash are its slot."""
     bits = (sketches - 1).bit_length()
-    if 1 << bits != sketches:
-        raise ValueError("sketches must be a power of two")
+    if bits < 1 or 1 << bits != sketches:
+        raise ValueError("sketches must be a power of two from 2 on")
 
     def slot(x):
-        return F.shiftrightunsigned(x, 64 - bits).cast("int")
+        return F.shiftright(x, 64 - bits).cast("int")
 
     def of(kmers):
         def pick(ordered):
+            size = F.least(F.size(ordered), F.lit(keep))
+            circle = F.concat(ordered, F.slice(ordered, F.lit(1), size))
+            held = F.transform(_starts(ordered, slot), lambda begin: F.struct(slot(F.get(ordered, begin)).alias("slot"), begin.alias("begin")))
+
             def entry(begin):
-                first = F.get(ordered, begin)
-                least = F.filter(F.slice(ordered, begin + 1, F.lit(keep)), lambda x: slot(x) == slot(first))
-                places = F.sort_array(F.transform(least, _place_of))
-                return F.struct(slot(first).alias("slot"), F.hash(F.transform(places, lambda p: F.get(kmers, p.cast("int")))).alias("hash"))
+                places = F.sort_array(F.transform(F.slice(circle, begin + 1, size), _place_of))
+                return F.hash(F.transform(places, lambda p: F.get(kmers, p.cast("int"))))
+
+            def begin_of(held, i):
+                # hashes are sorted as signed numbers, so the upper half of the slots comes first
+                signed = F.when(i < sketches // 2, i).otherwise(i - sketches)
+                return F.coalesce(F.get(F.filter(held, lambda h: h["slot"] >= signed), F.lit(0))["begin"], F.lit(0))
 
-            found = F.map_from_entries(F.transform(_starts(ordered, slot), entry))
-            return _let(found, lambda f: F.transform(F.sequence(F.lit(0), F.lit(sketches - 1)), lambda i: F.try_element_at(f, i)))
+            return _let(held, lambda held: F.transform(F.sequence(F.lit(0), F.lit(sketches - 1)), lambda i: entry(begin_of(held, i))))
 
         return _let(_numbered(kmers), pick)
 
@@ -156,7 +170,10 @@ def edited_texts(docs: DataFrame, after: DataFrame) -> DataFrame:
     opening = known.join(asked, "key").select(F.col("asker").alias("key"), F.struct(F.xxhash64("text"), F.expr("substring(text, 1, most)").alias("opening")).alias("first"))
     opening = opening.groupBy("key").agg(F.min("first").alias("first"))
     edited = F.concat(F.expr("substring(text, 1, length(text) - quarter)"), F.expr("substring(first.opening, 1, quarter)"))
-    return known.join(opening, "key").withColumn("quarter", quarter).select("key", "text", edited.alias("edited"))
+    salts = salts_of(hot_keys(known.select("key"), "key"), SALT_SHARE)
+    # copies of one row are dealt over the salts too, by their place in the files
+    dealt = known.withColumn("row", F.monotonically_increasing_id()) if salts else known
+    return salted_join(dealt, opening, "key", salts, deal_by=("row",)).withColumn("quarter", quarter).select("key", "text", edited.alias("edited"))
 
 
 def fingerprint_edits(docs: DataFrame, k=3, sketches=32, keep=2) -> DataFrame:
