@@ -1,7 +1,8 @@
 """Operator 5: approximate nearest neighbours by an inverted multi-index.
 
 1. Codebooks. Unit vectors are cut in two halves; k-means on a bounded sample
-   (``SAMPLE`` rows by smallest hash of their ids) gives ``cells`` centroids a half.
+   (``SAMPLE`` rows by smallest hash of their ids) gives ``cells`` centroids a half. Pairs
+   of them grow with the square root of the table's rows, from 1,024 to 65,536.
    Every row is indexed under its pair of nearest centroids.
 2. Traversal. For each query a heap yields centroid pairs by growing sum of the
    two squared distances (the multi-sequence algorithm) until the pairs hold
@@ -20,8 +21,12 @@ Equal query vectors are searched once.
 
 Scale. The index is dealt by first centroid and a hash of the id into blocks of
 at most ``BLOCK`` rows; the queries that visit a centroid are dealt into blocks
-too, so neither side of a group grows with the table. The driver gets the
-sample (2 MB) and a count for each pair of centroids (1024 rows).
+too, so neither side of a group grows with the table. A row is copied once for every
+``BLOCK`` queries that visit its centroid, a query once for every ``BLOCK`` rows of one:
+that is the cost of vectors without directions, where the fitted share is large and a set of
+queries that grows with the table costs its product with the rows, in blocks. The cells
+that a query visits travel as bitmaps (8 KB a query at most). The driver gets the
+sample (2 MB) and a count for each pair of centroids (at most 65,536 rows).
 
 Defined results: vectors that are null, of another length than most, zero, or
 that hold null or non-finite components take no part, nor do rows with a null
@@ -42,20 +47,32 @@ from pyspark.sql import functions as F
 from lastmile.llm.common import table
 
 SAMPLE = 8192
-CELLS = 32
+#: Fewest and most centroids a half; at the most, a centroid has 32 vectors of the sample.
+FEWEST_CELLS, MOST_CELLS = 32, 256
 BLOCK = 8192
 PROBES = 512
 
 
 def usable_vectors(embeddings: DataFrame) -> DataFrame:
-    """``vec_id`` and ``embedding`` of the rows that take part."""
-    numbers = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    """``vec_id`` and ``embedding`` of the rows that take part (floats stay floats, other
+    numbers become doubles)."""
+    kind = "float" if embeddings.schema["embedding"].dataType.elementType.simpleString() == "float" else "double"
+    numbers = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = numbers.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0))
     most = usable.groupBy(F.size("embedding").alias("length")).count().orderBy(F.desc("count"), "length").limit(1).select("length")
     return usable.join(F.broadcast(most), F.size("embedding") == F.col("length"), "left_semi")  # one row
 
 
+def cells_for(rows: int) -> int:
+    """Centroids a half for a table of ``rows`` rows: a power of two, its square about
+    four times the square root of ``rows``."""
+    cells = FEWEST_CELLS
+    while cells < MOST_CELLS and cells**4 < 16 * rows:
+        cells *= 2
+    return cells
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
@@ -128,9 +145,7 @@ def nearest_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.Da
             asked = _matrix(part["embedding"])
             near = _unit(asked) @ units.T
             for r, cells in enumerate(part["cells"]):
-                open_ = np.zeros(int(cell.max()) + 2, bool)
-                open_[[c for c in cells if c <= cell.max()]] = True
-                at = np.flatnonzero(open_[cell])
+                at = np.flatnonzero(np.unpackbits(np.frombuffer(cells, np.uint8))[cell])
                 take = min(len(at), 4 * (k + 1))
                 if not take:
                     continue
@@ -144,7 +159,7 @@ def nearest_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.Da
     return pd.DataFrame(out).astype({"qid": "int64", "vec_id": "int64", "score": "float64"})
 
 
-def search(embeddings: DataFrame, queries: DataFrame, k=5, cells=CELLS, recall=0.97, share: float | None = None) -> DataFrame:
+def search(embeddings: DataFrame, queries: DataFrame, k=5, cells: int | None = None, recall=0.97, share: float | None = None) -> DataFrame:
     """The ``k`` nearest rows found of each row of ``queries`` (vec_id, embedding),
     other than itself: ``query_id``, ``rank``, ``vec_id``, ``score``."""
     vectors = usable_vectors(embeddings)
@@ -155,6 +170,7 @@ def search(embeddings: DataFrame, queries: DataFrame, k=5, cells=CELLS, recall=0
         return empty
     points = _unit(_matrix(sample))
     half = points.shape[1] // 2
+    cells = cells or cells_for(vectors.count())
     codebooks = k_means(points[:, :half], cells), k_means(points[:, half:], cells)
     width = len(codebooks[1])
     visited = share if share is not None else fitted_share(points, codebooks, k, recall)
@@ -176,14 +192,15 @@ def search(embeddings: DataFrame, queries: DataFrame, k=5, cells=CELLS, recall=0
         out = []
         for vector in batch.to_pylist():
             unit = _unit(_matrix([vector]))
-            by_first: dict[int, list[int]] = {}
-            for i, j in traverse(_distances(unit[:, :half], codebooks[0])[0], _distances(unit[:, half:], codebooks[1])[0], counts, wanted):
-                by_first.setdefault(i, []).append(j)
-            out.append([{"c1": i, "cells": j} for i, j in by_first.items()])
-        return pa.array(out, pa.list_(pa.struct([("c1", pa.int32()), ("cells", pa.list_(pa.int32()))])))
+            visits = np.zeros(counts.shape, bool)
+            for pair in traverse(_distances(unit[:, :half], codebooks[0])[0], _distances(unit[:, half:], codebooks[1])[0], counts, wanted):
+                visits[pair] = True
+            maps = np.packbits(visits, axis=1)
+            out.append([{"c1": int(i), "cells": maps[i].tobytes()} for i in np.flatnonzero(visits.any(axis=1))])
+        return pa.array(out, pa.list_(pa.struct([("c1", pa.int32()), ("cells", pa.binary())])))
 
     once = asked.groupBy("embedding").agg(F.min("vec_id").alias("qid"))
-    probes = once.withColumn("pair", F.explode(F.arrow_udf(pairs, "array<struct<c1:int,cells:array<int>>>")(F.col("embedding"))))
+    probes = once.withColumn("pair", F.explode(F.arrow_udf(pairs, "array<struct<c1:int,cells:binary>>")(F.col("embedding"))))
     probes = probes.select("qid", "embedding", F.col("pair.c1").alias("c1"), F.col("pair.cells").alias("cells"))
     rows_of = counts.sum(1)
     blocks = F.element_at(F.array(*[F.lit(int(max(1, -(-n // BLOCK)))) for n in rows_of]), F.col("c1") + 1)

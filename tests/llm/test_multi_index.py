@@ -61,6 +61,20 @@ def test_visiting_every_cell_is_exact(spark, monkeypatch):
             assert abs(a - b) < 1e-12
 
 
+def test_cells_grow_with_the_table(spark):
+    assert [mi.cells_for(n) for n in (0, 2_000, 65_536, 10**6, 10**7, 10**9, 10**11)] == [32, 32, 32, 64, 128, 256, 256]
+    rows = make(4000, 3, 40)
+    for cells in (8, 128):  # bitmaps of one byte and of sixteen
+        assert recall(answers(frame_of(spark, rows), cells=cells), brute(rows)) >= 0.9
+
+
+def test_doubles_are_scored_as_doubles(spark):
+    """Angles that differ by less than a float can hold."""
+    rows = [(0, [1.0, 0.0]), (10, [1.0, 0.1 + 2e-9]), (20, [1.0, 0.1 + 1e-9]), (30, [1.0, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [v for v, _ in answers(frame)[0]] == [30, 20, 10]
+
+
 def test_contract_query_recall(spark):
     got = {}
     for r in mi.op5_multi_index(spark, "/root/testdata/sf0.01").collect():
