@@ -60,12 +60,18 @@ def header_line(spark: SparkSession, path: str) -> str:
 
 def csv_reason(line: Column, fields: int) -> Column:
     """Why a CSV line is no record of ``fields`` fields; null for a record."""
+    def number_of(text: Column, sign: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+
+    def by_fields(found: Column) -> Column:
+        return F.when(found < fields, F.lit(SHORT)).when(found > fields, F.lit(LONG))
+
+    # most lines have neither quotes nor backslashes: their commas are counted as they are
+    plain = ~F.contains(line, F.lit('"')) & ~F.contains(line, F.lit("\\"))
     bare = F.regexp_replace(line, r'\\.', "")  # a backslash escapes what follows
     outside = F.regexp_replace(bare, r'"[^"]*"', "")
-    found = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
-    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
-    return (F.when(quotes % 2 == 1, F.lit(UNCLOSED))
-            .when(found < fields, F.lit(SHORT)).when(found > fields, F.lit(LONG)))
+    quoted = F.when(number_of(bare, '"') % 2 == 1, F.lit(UNCLOSED)).otherwise(by_fields(number_of(outside, ",") + 1))
+    return F.when(plain, by_fields(number_of(line, ",") + 1)).otherwise(quoted)
 
 
 def split_csv(lines: DataFrame, header: Sequence[str]) -> DataFrame:
