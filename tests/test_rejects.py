@@ -1,6 +1,7 @@
 """Lines that are no records leave through a channel of their own."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +105,27 @@ def test_the_stream_separates_them_too(spark, tmp_path, kind):
         assert ingest_available(spark, f"{tmp_path}/in", name, f"{name}-ckpt", kind, rejected=rejected) == 1
         assert ingest_available(spark, f"{tmp_path}/in", name, f"{name}-ckpt", kind, rejected=rejected) == 0
     assert [r.line for r in layers.read_layer(spark, f"{tmp_path}/{kind}-True").select(F.col("line")).collect()] == ["x" if kind == "shipments" else "{"]
+
+
+def test_plain_lines_take_the_short_way_to_the_same_reason(spark):
+    """Lines with and without quotes and backslashes against a count by hand."""
+    rng = random.Random(8)
+    lines = ["".join(rng.choice('ab ,,"\\' if k % 2 else "ab ,,é") for _ in range(rng.randint(0, 12))) for k in range(400)]
+
+    def by_hand(line):
+        inside, found, i = False, 1, 0
+        while i < len(line):
+            if line[i] == "\\" and i + 1 < len(line):
+                i += 1
+            elif line[i] == '"':
+                inside = not inside
+            elif line[i] == "," and not inside:
+                found += 1
+            i += 1
+        if inside:
+            return rejects.UNCLOSED
+        return rejects.SHORT if found < 4 else rejects.LONG if found > 4 else None
+
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [(r.line, r.reason) for r in frame.select("line", rejects.csv_reason(F.col("line"), 4).alias("reason")).collect()]
+    assert got == [(x, by_hand(x)) for x in lines]
