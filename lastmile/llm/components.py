@@ -15,10 +15,10 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
     (large star), otherwise the smaller ones and the node itself (small star)."""
     if both:
         ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = ends.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("of"), F.least("a", "low").alias("low"))
+        low = ends.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("of"), F.least("a", "low").alias("low")).hint("rebalance")
         moved = links.join(low, F.col("b") == F.col("of")).select("a", F.col("low").alias("b"))
     else:
-        low = links.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "of")
+        low = links.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "of").hint("rebalance")
         moved = links.join(low, F.col("a") == F.col("of")).select(F.col("b").alias("a"), F.col("low").alias("b"))
         moved = moved.unionByName(low.select(F.col("of").alias("a"), F.col("low").alias("b")))
     return moved.where("a > b").distinct()
@@ -29,8 +29,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round is a few aggregations and joins over the links, frozen in the
     checkpoint folder; rounds grow with the logarithm of a component's
-    diameter. The links of a hub meet in one task of each join: one side ends in an
-    aggregate by that key, so adaptive execution cannot split it."""
+    diameter. Minima are rebalanced before their join, so that an exchange stands
+    below it on both sides and adaptive execution can split the links of a hub."""
     now = frozen(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
     mark = None
     while True:

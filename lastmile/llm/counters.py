@@ -1,8 +1,8 @@
 """Dense counters over a whole corpus, added up as compressed parts.
 
 Every task counts in one numpy array of fixed size and hands on the parts of it
-that are not zero; parts are added in two steps, so no group holds more than a
-part of every sixteenth task. The driver gets one row a part."""
+that are not zero; parts are added in as many steps as the number of tasks needs,
+so no group holds more than ``FAN_IN`` of them. The driver gets one row a part."""
 
 from __future__ import annotations
 
@@ -14,7 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lastmile.llm.common import frozen
+
 PART = 1 << 14
+#: Parts that one group adds.
+FAN_IN = 64
 SCHEMA = "part int, counts binary"
 
 
@@ -29,16 +33,22 @@ def _adder(kind):
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(x), kind).astype(np.uint64) for x in frame["counts"])
-        return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "of": frame["of"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     return add
 
 
 def total(counted: DataFrame, size: int) -> np.ndarray:
     """Sum of what the tasks of ``counted`` (``SCHEMA``) have counted, 64-bit numbers."""
-    some = counted.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("part", "some").applyInPandas(_adder(np.uint32), SCHEMA)
+    kind, now = np.uint32, counted.withColumn("of", F.spark_partition_id())
+    while True:
+        dealt = now.withColumn("of", F.floor(F.col("of") / FAN_IN).cast("int"))
+        now = frozen(dealt.groupBy("part", "of").applyInPandas(_adder(kind), f"of int, {SCHEMA}"))
+        kind = np.uint64
+        if now.where("of > 0").isEmpty():
+            break
     out = np.zeros(size, np.uint64)
-    for row in some.groupBy("part").applyInPandas(_adder(np.uint64), SCHEMA).collect():
+    for row in now.collect():
         part = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
         out[row["part"] * PART : row["part"] * PART + len(part)] = part
     return out

@@ -19,11 +19,17 @@ gets that band's signatures too.
 
 Candidates. The nodes of a signature are ordered by size and cut into runs
 wherever sizes are too different to be linked. Runs up to ``RUN`` nodes give
-their pairs (bounded), made distinct. Longer runs (large groups of near copies)
-never give pairs as rows: their nodes are clustered, clusters are split into
-blocks bounded in documents and tokens, and each pair of blocks is one group in
-which a matrix product counts all overlaps at once; it returns at most one link
-a node.
+their pairs (bounded), made distinct. The counters are of fixed size, so in a
+large corpus they can take a token for rare that many sets hold; its run tells:
+two sets that no shorter run pairs share a long one. The nodes of long runs are
+therefore signed again, the tokens that more than ``RUN`` of them hold, counted
+exactly, now in the frequent class (a bitmap that marks too many only makes more
+combinations): no single token makes a long run any more. Runs that stay long
+(large groups of near copies) never give pairs as rows: their nodes are clustered,
+clusters are split into bands of sizes, as sets two bands apart cannot be linked,
+and bands into blocks bounded in documents and tokens; each pair of blocks of one
+band or two neighbours is one group in which a matrix product counts all overlaps
+at once and returns at most one link a node. Pairs inside a cluster are left to it.
 
 Verification. Pairs first meet an exact upper bound: a bitmap of about one bit
 a token, where ``|x and y| <= common bits + tokens of x beyond its bits``. The sets
@@ -41,6 +47,7 @@ empty tables give no rows; columns other than the two named ones are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -61,8 +68,10 @@ FREQUENT = 16
 RUN = 64
 #: Documents and tokens of a block.
 BLOCK_DOCS, BLOCK_TOKENS = 512, 500_000
-#: Bits of the id filter before texts are read again.
+#: Bits of the filters: of ids before texts are read again, of tokens to be taken for frequent.
 FILTER_BITS = 23
+#: A block's number in its band, below the band's number, in one long.
+BAND_SHIFT = 32
 
 SIGNED = "doc_id long, n long, c1 long, c2 long, sigs array<long>, sketch array<long>"
 
@@ -146,6 +155,12 @@ def sketch(token: np.ndarray) -> np.ndarray:
     return out
 
 
+def signatures(token: np.ndarray, level: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Signatures of one set (tokens in order)."""
+    take = len(token) - int(need(len(token), num, den)) + 1
+    return token[:take] if level[take - 1] < FREQUENT else combinations(token, level, num, den)
+
+
 def _signed(values) -> np.ndarray:
     return np.asarray(values, np.uint64).view(np.int64)
 
@@ -187,8 +202,7 @@ def signed_documents(docs: DataFrame, levels: np.ndarray, width: int, num: int,
                 n[row] = len(token)
                 c1[row], c2[row] = _class_of(token)
                 maps[row] = sketch(token)
-                take = len(token) - int(need(len(token), num, den)) + 1
-                sigs[row] = token[:take] if level[take - 1] < FREQUENT else combinations(token, level, num, den)
+                sigs[row] = signatures(token, level, num, den)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(c1), pa.array(c2), _lists(sigs), _lists(maps)],
                 names=["doc_id", "n", "c1", "c2", "sigs", "sketch"])
@@ -234,39 +248,67 @@ def _bound(a, b, na, nb):
     return both + F.least(na - ones(fa), nb - ones(fb))
 
 
-def _id_filter(nodes: DataFrame) -> np.ndarray:
-    """Bitmap of hashed ids, 2^23 bits (1 MB): what it lacks is surely not wanted."""
-    at = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
-    rows = nodes.select((at / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(node), {1 << FILTER_BITS}) % 64 as int))").alias("bit"))
+def _filter(hashes: DataFrame) -> np.ndarray:
+    """Bitmap of the last ``FILTER_BITS`` bits of a column ``hash`` (1 MB): what it lacks is surely not there."""
+    at = F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    rows = hashes.select(F.shiftright(at, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
     held = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     for r in rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():  # at most 2^17 rows
         held[r.word] = r.bits
     return held.view(np.uint64)
 
 
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each of the hashes (unsigned)."""
+    at = hashes & np.uint64((1 << FILTER_BITS) - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def _node_sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame, levels: np.ndarray, width: int) -> DataFrame:
     """Token sets of the wanted nodes, from their documents' texts."""
-    held = zlib.compress(_id_filter(wanted).tobytes(), 1)
+    held = zlib.compress(_filter(wanted.select(F.xxhash64("node").alias("hash"))).tobytes(), 1)
 
     def read(batches):
         bits = np.frombuffer(zlib.decompress(held), np.uint64)
         plain = np.zeros(1 << COUNTER_BITS, np.uint8)
         for batch in batches:
-            at = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
-            take = np.flatnonzero((bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))
-            some = batch.take(pa.array(take))
+            at = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+            some = batch.take(pa.array(np.flatnonzero(_held(bits, at))))
             found = list(_sets(some.column(1), width, plain))
             c = [_class_of(t) for _, t, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [some.column(0).take(pa.array([r for r, _, _ in found], pa.int64())), pa.array([x for x, _ in c], pa.int64()), pa.array([x for _, x in c], pa.int64()), _lists([t for _, t, _ in found])],
                 names=["node", "c1", "c2", "tokens"])
 
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    read_back = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", at.alias("at")).mapInArrow(trimmed(read), "node long, c1 long, c2 long, tokens array<long>")
+    read_back = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.xxhash64("doc_id").alias("at")).mapInArrow(trimmed(read), "node long, c1 long, c2 long, tokens array<long>")
     named = nodes.select("node", "c1", "c2").join(wanted.select("node").distinct(), "node", "left_semi")
     return frozen(read_back.join(named, ["node", "c1", "c2"], "left_semi"))
 
 
+def signed_again(sets: DataFrame, levels: np.ndarray, num: int, den: int) -> DataFrame:
+    """Signatures of nodes with the tokens that more than ``RUN`` of them hold in the frequent class."""
+    packed = zlib.compress(levels.tobytes(), 1)
+    usual = sets.select(F.explode("tokens").alias("hash")).groupBy("hash").count().where(F.col("count") > RUN)
+    crowded = zlib.compress(_filter(usual).tobytes(), 1)
+
+    def sign(batches):
+        level_of = np.frombuffer(zlib.decompress(packed), np.uint8)
+        bits = np.frombuffer(zlib.decompress(crowded), np.uint64)
+        for batch in batches:
+            lists = batch.column(1)
+            flat, ends = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            sigs = []
+            for at, end in zip(ends[:-1], ends[1:]):
+                token = flat[at:end]
+                level = level_of[(token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                level = np.where(_held(bits, token), np.maximum(level, FREQUENT), level)
+                order = np.lexsort((token, level))
+                sigs.append(signatures(token[order], level[order], num, den))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends).astype(np.int64)), _lists(sigs)], names=["node", "n", "sigs"])
+
+    return sets.select("node", "tokens").mapInArrow(trimmed(sign), "node long, n long, sigs array<long>")
+
+
 def block_links(frame: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     """Links between the documents of two blocks that suffice to connect them.
 
@@ -310,14 +352,29 @@ def block_links(frame: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
 
 
 def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int) -> DataFrame:
-    """Links inside the clusters of long runs, block pair by block pair."""
-    counted = clusters.join(sets.select("node", F.size("tokens").alias("n")), "node")
-    sizes = counted.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("total")).select(
-        F.col("cluster").alias("of"), F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    # clusters learn their number of blocks without their sets, which are only dealt by node
-    named = clusters.join(sizes, F.col("cluster") == F.col("of")).drop("of")
-    dealt = sets.join(named, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    partner = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """Links inside the clusters of long runs, block pair by block pair.
+
+    Sizes of linked sets are within a factor of ``den / num``, so they lie in the same
+    band or in neighbours (bands are a little wider than that, against rounding)."""
+    band = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * (1 + 1e-9))) if num < den else F.col("n")
+    counted = clusters.join(sets.select("node", F.size("tokens").alias("n")), "node").withColumn("band", band.cast("long"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long")
+    sizes = counted.groupBy("cluster", "band").agg(blocks.alias("blocks"))
+    near = sizes.select("cluster", F.col("band").alias("beside"), F.col("blocks").alias("many"))
+    around = sizes.select("cluster", "band", "blocks", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("beside")).join(near, ["cluster", "beside"])
+    partners = around.groupBy("cluster", "band", "blocks").agg(*[
+        F.coalesce(F.max(F.when(F.col("beside") == F.col("band") + k, F.col("many"))), F.lit(0)).alias(f"many{k + 1}") for k in (-1, 0, 1)])
+
+    def codes(k):
+        first = F.shiftleft(F.col("band") + k, BAND_SHIFT)
+        many = F.col(f"many{k + 1}")
+        return F.when(many > 0, F.sequence(first, first + many - 1)).otherwise(F.array().cast("array<long>"))
+
+    # nodes learn the numbers of blocks without their sets, which are only dealt by node
+    named = counted.drop("n").join(partners, ["cluster", "band"])
+    block = F.shiftleft(F.col("band"), BAND_SHIFT) + F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = sets.join(named, "node").withColumn("block", block)
+    partner = dealt.withColumn("other", F.explode(F.concat(codes(-1), codes(0), codes(1))))
     grouped = partner.select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "tokens")
@@ -325,6 +382,14 @@ def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int) ->
         lambda frame: block_links(frame, num, den), "a long, b long")
 
 
+def _pairs(runs: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs of nodes (a, b, sizes na, nb) of the short runs."""
+    short = runs.where(F.col("size") <= RUN)
+    left, right = (short.select("sig", "run", F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+    joined = left.join(right, ["sig", "run"]).where(F.col("a") < F.col("b")).where(_linkable("na", "nb", num, den))
+    return joined.select("a", "b").distinct()
+
+
 def jaccard_links(docs: DataFrame, width=4, num=85, den=100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Every document's size and class, its nodes, and links that connect them.
 
@@ -337,20 +402,21 @@ def jaccard_links(docs: DataFrame, width=4, num=85, den=100) -> tuple[DataFrame,
     classes = signed.where("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node")).where("node is not null")
     nodes = signed.withColumnRenamed("doc_id", "node").join(classes, ["c1", "c2", "node"], "left_semi").where("n > 0")
     runs = frozen(_runs(nodes, num, den))
-    small = runs.where(F.col("size") <= RUN)
-    left, right = (small.select("sig", "run", F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
-    pairs = left.join(right, ["sig", "run"]).where(F.col("a") < F.col("b")).where(_linkable("na", "nb", num, den)).select("a", "b").distinct()
+    pairs = _pairs(runs, num, den)
     maps = nodes.select("node", "n", "sketch")
     for x in "ab":
         pairs = pairs.join(maps.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"m{x}")), x)
     most = F.least(_bound(F.col("ma"), F.col("mb"), F.col("na"), F.col("nb")), F.col("na"), F.col("nb"))
     pairs = frozen(pairs.where(most * den >= (F.col("na") + F.col("nb") - most) * num).select("a", "b").distinct())
-    long_runs = runs.where(F.col("size") > RUN)
-    clusters = components(long_runs.select(F.col("node").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("component", "cluster")
-    clusters = frozen(clusters)
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(clusters.select("node"))
+    crowded = frozen(runs.where(F.col("size") > RUN).select("node").distinct())
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowded)
     sets = _node_sets(docs, wanted, nodes, levels, width)
-    checked = pairs
+    again = frozen(_runs(signed_again(sets.join(crowded, "node", "left_semi"), levels, num, den), num, den))
+    clusters = frozen(components(again.where(F.col("size") > RUN).select(F.col("node").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("component", "cluster"))
+    checked = pairs.unionByName(_pairs(again, num, den)).distinct()
+    for x in "ab":
+        checked = checked.join(clusters.select(F.col("node").alias(x), F.col("cluster").alias(f"c{x}")), x, "left")
+    checked = checked.where("ca is null or cb is null or ca <> cb").select("a", "b")
     for x in "ab":
         checked = checked.join(sets.select(F.col("node").alias(x), F.col("tokens").alias(f"t{x}")), x)
     common = F.size(F.array_intersect("ta", "tb"))

@@ -77,6 +77,38 @@ def test_near_copies_around_the_threshold(spark, monkeypatch, run, frequent):
     assert result(spark.createDataFrame([(d, t, None, None) for d, t in texts.items()], SCHEMA)) == brute(texts)
 
 
+def test_tokens_of_long_runs_are_signed_again(spark, monkeypatch):
+    # saturated counters take every token for rare: passages that many unlinked texts share
+    # make long runs, which the second signatures dissolve into few pairs and small clusters
+    rng = random.Random(6)
+    passages = [" ".join(f"p{k}_{j}" for j in range(12)) for k in range(3)]
+    own = [" ".join(f"u{k}_{j}" for j in range(45)) for k in range(150)]
+    texts = [f"{passages[k % 3]} {text} {passages[(k + 1) % 3]}" for k, text in enumerate(own)] + near_copies(40, 7, 60, 3)
+    rng.shuffle(texts)
+    texts = dict(enumerate(texts))
+    frame = spark.createDataFrame([(d, t, None, None) for d, t in texts.items()], SCHEMA)
+    monkeypatch.setattr(jj, "RUN", 8)
+    monkeypatch.setattr(jj, "token_levels", lambda docs, width: np.zeros(1 << jj.COUNTER_BITS, np.uint8))
+    seen = []
+    clustered = jj._cluster_links
+    monkeypatch.setattr(jj, "_cluster_links", lambda sets, clusters, num, den: seen.append(clusters) or clustered(sets, clusters, num, den))
+    assert result(frame) == brute(texts)
+    copies = {d for d, t in texts.items() if "p0_0" not in t and "p1_0" not in t}
+    largest = Counter(r.cluster for r in seen[0].collect()).most_common(1)
+    assert not largest or largest[0][1] <= len(copies)
+
+
+def test_clusters_in_bands_of_sizes(spark, monkeypatch):
+    # one token list cut at all lengths: a chain of links through many bands and blocks
+    monkeypatch.setattr(jj, "RUN", 2)
+    monkeypatch.setattr(jj, "BLOCK_DOCS", 4)
+    full = [f"w{k}" for k in range(140)]
+    texts = {d: " ".join(full[:n]) for d, n in enumerate(list(range(5, 140, 3)) + [4, 5, 6, 7, 8, 9])}
+    frame = spark.createDataFrame([(d, t, None, None) for d, t in texts.items()], SCHEMA)
+    assert result(frame) == brute(texts)
+    assert result(frame, num=100, den=100) == brute(texts, 4, 100, 100)
+
+
 def test_other_width_and_threshold(spark):
     texts = dict(enumerate(near_copies(60, 5, 30, 6)))
     frame = spark.createDataFrame([(d, t, None, None) for d, t in texts.items()], SCHEMA)
@@ -102,6 +134,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_hub_of_links_has_exchanges_on_both_sides(spark):
+    from lastmile.llm import components as module
+
+    links = spark.range(1, 3000).selectExpr("id as a", "if(id % 3 = 0, 0L, id - 1) as b").where("a > b")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for both in (True, False):
+            plan = module._star(links, both)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "rebalance" in plan.lower()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.component for r in components(links).collect()} == {0}
+
+
 def test_words_and_shingles_against_regular_expressions(monkeypatch):
     monkeypatch.setattr(words, "SPAN", 300)
     rng = random.Random(1)
