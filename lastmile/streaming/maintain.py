@@ -6,7 +6,8 @@ touches:
 * ``records``: the raw shipments in force, each with its number of copies, by hash
   bucket of the tracking id;
 * ``core``: the clean shipments (the 10 business columns, exact duplicates once), in
-  the same buckets; a weight that is to be imputed is still null;
+  the same buckets; a weight that is to be imputed is still null, and ``twin`` marks rows
+  that differ in nothing else from one without (or with) a weight;
 * ``beside``: clean shipments without a weight that differ in nothing else from
   one with a weight, with that weight, in the same buckets;
 * ``cube``: mergeable states by day, city and courier id, by month;
@@ -14,9 +15,9 @@ touches:
 * ``couriers``: the latest record of each courier.
 
 ``apply_batch`` merges a batch's records into their buckets (a record counts as often as
-in the last file that holds it, so a file landed twice counts once), and takes
-from the cube what those buckets held before and adds what they hold now. What
-depends on all rows is left to the reader: the median comes from ``weights``, and a
+in the last file that holds it, so a file landed twice counts once), and adds
+to the cube the clean shipments that the store did not have: a record stays in force once it is
+there, so none ever goes. What depends on all rows is left to the reader: the median comes from ``weights``, and a
 shipment without a weight that equals another one once the median is filled in
 (``beside`` tells) is taken off; couriers are joined to the states and to the rows
 when they are read, so a changed courier record rewrites no shipment.
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lastmile import fixed, schemas
@@ -47,12 +48,17 @@ RAW = list(schemas.RAW_SHIPMENT_COLUMNS)
 KEYS = list(fixed.SHIPMENT_KEY_COLUMNS)
 BESIDES = [k for k in KEYS if k != "weight"]
 CUBE_KEYS = (*cube.DAY, "courier_id")
+#: Cuts of a part. Rows are dealt by part and cut once; what is grouped by more columns than
+#: the cut is made of then stays in its task.
+CUTS = 64
+#: Columns that cleaning leaves as they are: equal records and equal clean shipments share a cut.
+KEPT = ("tracking_id", "status", "courier_id", "client_type")
 _STAMP = "ingestion_timestamp timestamp, source_file string, source_system string"
 _CLEAN = "tracking_id string, pickup timestamp, delivery timestamp, city string, zip string, weight double, status string, courier_id string, client_type string, amount double"
 #: Of each table its columns and the column that its parts are cut by.
 TABLES = {
-    "records": (", ".join(f"{c} string" for c in RAW) + f", {_STAMP}, n bigint", "bucket"),
-    "core": (f"{_CLEAN}, ingestion_timestamp timestamp", "bucket"),
+    "records": (", ".join(f"{c} string" for c in RAW) + f", {_STAMP}, n bigint, since string", "bucket"),
+    "core": (f"{_CLEAN}, ingestion_timestamp timestamp, since string, twin boolean", "bucket"),
     "beside": (f"{_CLEAN}, beside double", "bucket"),
     "counts": ("raw_rows bigint, in_range_rows bigint, null_weight_rows bigint", "bucket"),
     "cube": (f"day date, year int, month int, city string, courier_id string, {cube.STATE_SCHEMA}", "part"),
@@ -65,6 +71,11 @@ def bucket_of(buckets: int = BUCKETS) -> F.Column:
     return F.pmod(F.xxhash64("tracking_id"), F.lit(buckets)).cast("int")
 
 
+def dealt(rows: DataFrame, part: str, *cut_by: str) -> DataFrame:
+    """Rows dealt by ``part`` and ``_cut``, a hash of ``cut_by``."""
+    return rows.withColumn("_cut", F.pmod(F.xxhash64(*cut_by), F.lit(CUTS)).cast("int")).repartition(part, "_cut")
+
+
 class Store:
     """The parts that a store's current version names."""
 
@@ -86,10 +97,12 @@ class Store:
         schema, folders = TABLES[table][0], self.folders(table, parts)
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def write(self, version: str, table: str, df: DataFrame, touched=None) -> list[str]:
-        """Write a table's touched parts (all by default) as ``version``; a part without rows goes."""
+    def write(self, version: str, table: str, df: DataFrame, touched=None, is_dealt: bool = False) -> list[str]:
+        """Write a table's touched parts (all by default) as ``version``; a part without rows goes.
+
+        ``is_dealt``: the rows come from :func:`dealt`, and are not moved again."""
         by, target = TABLES[table][1], f"{self.root}/{table}/{version}"
-        df.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(target)
+        (df if is_dealt else df.hint("rebalance", F.col(by))).write.option("compression", "zstd").partitionBy(by).parquet(target)
         new = [n for n in layers.names_in(self.spark, target) if n.startswith(f"{by}=")]
         kept = {} if touched is None else {p: v for p, v in self.parts.get(table, {}).items() if p not in touched}
         self.parts[table] = {**kept, **{p: version for p in new}}
@@ -125,28 +138,40 @@ def _measured(core: DataFrame, vocab: fixed.Vocabulary) -> DataFrame:
     return enrich.with_delivery_measures(core.where(F.col("courier_id").isNotNull()), delivered=vocab.delivered)
 
 
-def merged_records(old: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Each record as often as in the last file that holds it; ``old`` and ``incoming``
-    have a row a record and file, with its copies ``n``."""
+def merged_records(old: DataFrame, incoming: DataFrame, bucket: F.Column) -> DataFrame:
+    """Each record as often as in the last file that holds it, with its bucket and the version
+    that brought it first; ``old`` and ``incoming`` have a row a record and file, with its copies ``n``."""
     stamp = ["ingestion_timestamp", "source_file", "source_system", "n"]
-    last = old.unionByName(incoming).groupBy(*RAW).agg(F.max(F.struct(*stamp)).alias("last"))
-    return last.select(*RAW, *[F.col("last")[c].alias(c) for c in stamp])
+    rows = dealt(old.unionByName(incoming).withColumn("bucket", bucket), "bucket", *KEPT)
+    last = rows.groupBy("bucket", "_cut", *RAW).agg(F.max(F.struct(*stamp)).alias("last"), F.min("since").alias("since"))
+    return last.select(*RAW, *[F.col("last")[c].alias(c) for c in stamp], "since", "bucket")
+
+
+def _clean_rows(records: DataFrame, bucket: F.Column) -> DataFrame:
+    """The clean shipments of records, with their bucket and the mark of twins."""
+    typed = _in_range(records).select(*KEYS, "ingestion_timestamp", "since").withColumn("bucket", bucket)
+    core = dealt(typed, "bucket", *KEPT).groupBy("bucket", "_cut", *KEYS).agg(
+        F.min("ingestion_timestamp").alias("ingestion_timestamp"), F.min("since").alias("since"))
+    alike = Window.partitionBy("bucket", "_cut", *BESIDES)
+    missing = F.col("weight").isNull()
+    return core.withColumn("twin", F.max(missing).over(alike) != F.min(missing).over(alike)).drop("_cut")
 
 
 def _apply_shipments(store: Store, version: str, shipments: DataFrame, vocab: fixed.Vocabulary) -> None:
     spark, bucket = store.spark, bucket_of(store.buckets)
-    # the batch by bucket: the names of its folders say which buckets it touches
+    # the batch is computed once; its rows tell which buckets it touches
     per_file = shipments.groupBy(*RAW, "ingestion_timestamp", "source_file", "source_system").agg(F.count(F.lit(1)).alias("n"))
     staged = f"{store.root}/incoming/{version}"
-    per_file.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(staged)
-    touched = [n for n in layers.names_in(spark, staged) if n.startswith("bucket=")]
+    per_file.withColumn("since", F.lit(version)).write.option("compression", "zstd").parquet(staged)
+    incoming = spark.read.schema(TABLES["records"][0]).parquet(staged)
+    touched = [f"bucket={r.bucket}" for r in incoming.select(bucket.alias("bucket")).distinct().collect()]  # at most the store's buckets
     if not touched:
         return
-    incoming = spark.read.schema(TABLES["records"][0]).parquet(*[f"{staged}/{p}" for p in touched])
-    old_records, old_core = store.read("records", touched), store.read("core", touched)
+    # records of a store from before ``since`` are older than any version
+    old_records = store.read("records", touched).withColumn("since", F.coalesce("since", F.lit("")))
     weights = store.read("weights")
 
-    store.write(version, "records", merged_records(old_records, incoming).withColumn("bucket", bucket), touched)
+    store.write(version, "records", merged_records(old_records, incoming, bucket), touched, is_dealt=True)
     records = store.read("records", touched)
     normalized = clean.normalize_shipments(records).withColumn("bucket", bucket)
     rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
@@ -157,25 +182,25 @@ def _apply_shipments(store: Store, version: str, shipments: DataFrame, vocab: fi
     histogram = weights.unionByName(known(records, 1)).unionByName(known(old_records, -1)).groupBy("weight").agg(F.sum("n").alias("n"))
     store.write(version, "weights", histogram.where("n <> 0").withColumn("part", F.lit("all")))
 
-    core = _in_range(records).groupBy(*KEYS).agg(F.min("ingestion_timestamp").alias("ingestion_timestamp"))
-    store.write(version, "core", core.withColumn("bucket", bucket), touched)
+    store.write(version, "core", _clean_rows(records, bucket), touched, is_dealt=True)
     core = store.read("core", touched)
-    weighted = core.where(F.col("weight").isNotNull()).select(*[F.col(k).alias(f"_{k}") for k in BESIDES], F.col("weight").alias("beside"))
+    twins = core.where("twin")
+    weighted = twins.where(F.col("weight").isNotNull()).select(*[F.col(k).alias(f"_{k}") for k in BESIDES], F.col("weight").alias("beside"))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in BESIDES]
-    beside = core.where(F.col("weight").isNull()).join(weighted, same).select(*KEYS, "beside")
+    beside = twins.where(F.col("weight").isNull()).join(weighted, same).select(*KEYS, "beside")
     store.write(version, "beside", beside.withColumn("bucket", bucket), touched)
 
-    # what the touched buckets held goes from the cube, what they hold comes
-    signed = core.withColumn("_sign", F.lit(1)).unionByName(old_core.withColumn("_sign", F.lit(-1)))
-    delta = cube.changed(cube.delivery_states(_measured(signed, vocab), CUBE_KEYS, vocab, "_sign"))
+    # a record is never taken back, so the cube gains the clean shipments that are new
+    new = core.where(F.col("since") == version)
     part = F.coalesce(F.date_format("day", "yyyy-MM"), F.lit("none"))
     path = f"{store.root}/delta/{version}"
-    delta.withColumn("part", part).hint("rebalance", F.col("part")).write.partitionBy("part").parquet(path)
-    months = [n for n in layers.names_in(spark, path) if n.startswith("part=")]
+    cube.changed(cube.delivery_states(_measured(new, vocab), CUBE_KEYS, vocab)).write.option("compression", "zstd").parquet(path)
+    change = spark.read.schema(TABLES["cube"][0]).parquet(path)
+    months = [f"part={r.part}" for r in change.select(part.alias("part")).distinct().collect()]  # one row a month
     if months:
-        change = spark.read.schema(TABLES["cube"][0]).parquet(*[f"{path}/{p}" for p in months])
-        merged = cube.merge_states(store.read("cube", months).unionByName(change), CUBE_KEYS)
-        store.write(version, "cube", merged.withColumn("part", part), months)
+        states = store.read("cube", months).unionByName(change).withColumn("part", part)
+        merged = cube.merge_states(dealt(states, "part", "city", "courier_id"), ("part", "_cut", *CUBE_KEYS))
+        store.write(version, "cube", merged.drop("_cut"), months, is_dealt=True)
 
 
 def apply_batch(spark: SparkSession, root: str, shipments: DataFrame | None = None, couriers: DataFrame | None = None,

@@ -129,3 +129,26 @@ def test_the_maintained_job_takes_only_new_files(spark, tmp_path):
     summary = layers.read_layer(spark, layout.path("gold", "executive_summary")).first()
     want = kpi.executive_summary(enrich.silver_shipments(feed, clean.clean_couriers(couriers))).first()
     assert summary == want
+
+
+def test_records_and_clean_rows_move_once_a_step(spark):
+    schema = maintain.TABLES["records"][0]
+    old = spark.createDataFrame([], schema)
+    merged = maintain.merged_records(old, old, maintain.bucket_of())
+    for frame in (merged, maintain._clean_rows(merged.drop("bucket"), maintain.bucket_of())):
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        steps = 1 if frame is merged else 2
+        assert plan.count("Exchange hashpartitioning(bucket") == plan.count("Exchange hash") == steps
+
+
+def test_a_resend_moves_no_state_and_twins_are_found(spark, tmp_path):
+    root = f"{tmp_path}/store"
+    first = [_raw(1), _raw(3, None), _raw(3, "6.0"), _raw(None, "6.0"), _raw(None, "4,0")]
+    _apply(spark, root, 0, first, COURIERS)
+    # the same shipments in other spellings, one of them a twin that comes later
+    second = [_raw(1, "2,0"), _raw(3, "6,0"), _raw(1, None)]
+    _apply(spark, root, 1, second)
+    _same(spark, root, first + second, COURIERS)
+    store = maintain.Store(spark, root)
+    assert sorted((r.tracking_id, r.beside) for r in store.read("beside").collect()) == [("T1", 2.0), ("T3", 6.0)]
+    assert store.read("cube").agg({"rows": "sum"}).first()[0] == 6
