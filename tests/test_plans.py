@@ -109,3 +109,8 @@ def test_layer_counts_checkpoint_no_fact_table(spark):
     plan = _plan(catalog.QUERIES["layer_counts"](spark, SF_SMALL))
     scans = [line for line in plan.splitlines() if "Scan ExistingRDD[" in line]
     assert all("tracking_id" not in line for line in scans)
+
+
+def test_imputation_runs_the_feed_once(spark):
+    """The rows in range are written and give the median: the result reads no line item."""
+    assert "lineitem.parquet" not in _plan(catalog.QUERIES["impute_median_approx"](spark, SF_SMALL))
