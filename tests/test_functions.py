@@ -83,3 +83,14 @@ def test_time_dimensions_weekday_starts_sunday(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 6, 2, 23, 59, 0),)], "pickup timestamp")
     out = with_time_dimensions(df)
     assert rows(out, "day", "year", "month", "weekday", "hour") == [(dt.date(2024, 6, 2), 2024, 6, 1, 23)]
+
+
+def test_shaped_timestamps_take_no_pattern_and_agree_with_patterns(spark):
+    texts = ["2024-02-29 23:59:59", "2023-02-29 00:00:00", "2024-01-01 24:00:00", "2024-01-01 23:59:60", "0000-01-01 00:00:00", "29/02/2024 00:00:00",
+             "01/13/2024 00:00:00", "2024-01-01", "2024-01-01T08:00:00", " 2024-01-01 08:00:00", "2024-01-01 08:00:00\n", "2024-01-01 08:00:00.5", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    by_pattern = F.coalesce(*[F.try_to_timestamp("s", F.lit(f)) for f in ("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss")])
+    parsed = parse_mixed_timestamp(F.col("s"))
+    assert rows(df.select("s", by_pattern.alias("a"), parsed.alias("b")).where("not (a <=> b)")) == []
+    assert str(parsed._jc).find("CASE WHEN") >= 0  # the shape is looked at before any pattern
+    assert "regexp" not in str(fix_decimal_comma(F.col("s"))._jc)
