@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from lastmile.plans import catalog
@@ -114,3 +116,24 @@ def test_layer_counts_checkpoint_no_fact_table(spark):
 def test_imputation_runs_the_feed_once(spark):
     """The rows in range are written and give the median: the result reads no line item."""
     assert "lineitem.parquet" not in _plan(catalog.QUERIES["impute_median_approx"](spark, SF_SMALL))
+
+
+def test_layer_counts_keeps_neither_distinct_rows_nor_shuffles(spark):
+    """What silver is made of goes as soon as silver is written."""
+    from lastmile.session import ensure_checkpoint_dir
+    from lastmile.sources import layers
+    folder = ensure_checkpoint_dir(spark)
+    before, blocks = set(layers.names_in(spark, folder)), _shuffled_bytes(spark)
+    catalog.QUERIES["layer_counts"](spark, SF_SMALL)
+    made = {n.rsplit("-", 1)[0] for n in set(layers.names_in(spark, folder)) - before}
+    assert "silver-shipments" in made and "distinct-shipments" not in made
+    for _ in range(50):
+        if _shuffled_bytes(spark) - blocks < 300_000:
+            break
+        time.sleep(0.2)
+    assert _shuffled_bytes(spark) - blocks < 300_000  # the feed alone shuffles more
+
+
+def _shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(f.length() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_"))
