@@ -183,7 +183,8 @@ def run_maintained(spark: SparkSession, root: str, vocab: fixed.Vocabulary = fix
     store = layout.path("store", "delivery")
     merged = {kind: maintain.maintain_available(spark, layout.path("bronze", kind), kind, store, layout.path("_checkpoints", f"store_{kind}"), vocab)
               for kind in ("couriers", "shipments")}
-    layout.write(maintain.read_cube(spark, store, vocab), "gold", CUBE)
+    states = maintain.read_cube(spark, store, vocab)
+    layout.write(cube.merge_states(states, [c for c in states.columns if c not in cube.STATES]), "gold", CUBE)
     _publish_gold(spark, layout)
     run_export(spark, layout)
     return {"bronze": bronze, "merged_batches": merged}

@@ -1,11 +1,13 @@
 """A store that takes batches holds what a rebuild from all of them holds."""
 
+import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from lastmile import schemas
+from lastmile import schemas, session
 from lastmile.operators import clean, cube, enrich, kpi
 from lastmile.plans import pipeline
 from lastmile.sources import files, layers
@@ -152,3 +154,83 @@ def test_a_resend_moves_no_state_and_twins_are_found(spark, tmp_path):
     store = maintain.Store(spark, root)
     assert sorted((r.tracking_id, r.beside) for r in store.read("beside").collect()) == [("T1", 2.0), ("T3", 6.0)]
     assert store.read("cube").agg({"rows": "sum"}).first()[0] == 6
+
+
+def test_a_resend_adds_no_run(spark, tmp_path):
+    """Records that were there are merged, and nothing is cleaned or added up again."""
+    root = f"{tmp_path}/store"
+    first = [_raw(k) for k in range(40)]
+    _apply(spark, root, 0, first, COURIERS)
+    before = maintain.Store(spark, root)
+    _apply(spark, root, 1, first[:20] + first[:5])
+    after = maintain.Store(spark, root)
+    assert after.parts["records"] != before.parts["records"]
+    for table in ("core", "cube", "beside"):
+        assert after.parts.get(table) == before.parts.get(table), table
+    _apply(spark, root, 2, [_raw(100), _raw(0, "4.0")])
+    last = maintain.Store(spark, root)
+    assert last.read("core", version=last.parts["cube"]["part=2024"][-1]).count() == 2  # not the other rows of their buckets
+    _same(spark, root, first + first[:5] + [_raw(100), _raw(0, "4.0")], COURIERS)
+
+
+def test_full_parts_become_one_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(maintain, "RUNS", 2)
+    root, taken = f"{tmp_path}/store", []
+    for k in range(4):
+        # T1 gets twins in every batch, T9 once more of the same clean row
+        batch = [_raw(1, None if k % 2 else f"{k + 2}.0"), _raw(10 + k, "6.0"), _raw(9, "2,0" if k else "2.0")]
+        taken += batch
+        _apply(spark, root, k, batch, COURIERS if k == 0 else None)
+        _same(spark, root, taken, COURIERS)
+    store = maintain.Store(spark, root)
+    assert max(len(runs) for t in ("core", "cube", "beside") for runs in store.parts[t].values()) <= 2
+    assert sorted((r.tracking_id, r.beside) for r in store.read("beside").collect()) == [("T1", 2.0), ("T1", 4.0)]
+    # what is no longer named has gone
+    assert len(layers.names_in(spark, f"{root}/cube")) <= 3
+    assert layers.names_in(spark, f"{root}/incoming") == []
+
+
+def test_a_store_from_before_runs_goes_on(spark, tmp_path):
+    root = f"{tmp_path}/store"
+    first = [_raw(k, "4,0" if k % 3 else None) for k in range(12)]
+    _apply(spark, root, 0, first, COURIERS)
+    store, version = maintain.Store(spark, root), layers.new_version()
+    # one version a part, all weights in one part
+    store.read("weights").groupBy("weight").agg(F.sum("n").alias("n")).withColumn("part", F.lit("all")).write.partitionBy("part").parquet(f"{root}/weights/{version}")
+    store.parts["weights"] = {"part=all": [version]}
+    note = {"applied": store.applied, "buckets": store.buckets, "parts": {t: {p: runs[-1] for p, runs in parts.items()} for t, parts in store.parts.items()}}
+    layers.name_version(spark, root, version, json.dumps(note))
+    _same(spark, root, first, COURIERS)
+    _apply(spark, root, 1, [_raw(50, "8.0"), _raw(1, "4.0")])
+    _same(spark, root, first + [_raw(50, "8.0"), _raw(1, "4.0")], COURIERS)
+    assert maintain.Store(spark, root).read("weights").agg({"n": "sum"}).first()[0] == 10
+
+
+def _shuffles(spark):
+    """Files of shuffles that the session's machine holds."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in (str(blocks.apply(k)) for k in range(blocks.size())) if b.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_each_write(spark, tmp_path):
+    before, wanted = _shuffles(spark), spark.conf.get(session.FREE_SHUFFLES)
+    _apply(spark, f"{tmp_path}/store", 0, [_raw(k) for k in range(50)], COURIERS)
+    left = _shuffles(spark) - before
+    for _ in range(50):
+        if len(left) < 10:  # small ones of collected counts
+            break
+        time.sleep(0.2)
+        left = _shuffles(spark) - before
+    assert len(left) < 10, sorted(left)
+    assert spark.conf.get(session.FREE_SHUFFLES) == wanted
+
+
+def test_gold_of_states_that_leave_nothing(spark):
+    """States of several runs add up, and a group that is taken back wholly has no row."""
+    silver = enrich.silver_shipments(spark.createDataFrame([_raw(1), _raw(2, day="02")], schemas.RAW_SHIPMENTS), clean.clean_couriers(spark.createDataFrame(COURIERS, schemas.RAW_COURIERS)))
+    keys = (*cube.DAY, *schemas.COURIER_KEYS)
+    gone = cube.delivery_states(silver.where("tracking_id = 'T2'").withColumn("_sign", F.lit(-1)), keys, sign="_sign")
+    states = cube.delivery_states(silver, keys).unionByName(gone)
+    assert [str(r.day) for r in cube.kpi_daily_city(states).collect()] == ["2024-01-01"]
+    assert cube.kpi_by(states, "vehicle").first().total_shipments == 1
+    assert [r.shipments for r in cube.kpi_courier(states, 1).collect()] == [1]
