@@ -234,3 +234,11 @@ def test_gold_of_states_that_leave_nothing(spark):
     assert [str(r.day) for r in cube.kpi_daily_city(states).collect()] == ["2024-01-01"]
     assert cube.kpi_by(states, "vehicle").first().total_shipments == 1
     assert [r.shipments for r in cube.kpi_courier(states, 1).collect()] == [1]
+
+
+def test_the_audit_time_is_that_of_the_last_file(spark, tmp_path):
+    root = f"{tmp_path}/store"
+    _apply(spark, root, 0, [_raw(1), _raw(2)], COURIERS)
+    _apply(spark, root, 1, [_raw(2), _raw(3)])
+    times = {r.tracking_id: r.bronze_ingestion_ts.hour for r in maintain.read_silver(spark, root, audit=True).collect()}
+    assert times == {"T1": 0, "T2": 1, "T3": 1}
